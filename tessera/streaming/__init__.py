@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no stream, watermark, window or state: every input is a
+finite file (survey 2.12). Nothing is built here; batch operators are plain
+DataFrame functions and run unchanged on a streaming DataFrame where Spark
+allows the same operators.
+"""
