@@ -181,3 +181,11 @@ def image_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """image_id, height, width for every order (all images are 128 x 128)."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"))
     return o.select("image_id", F.lit(IMAGE_H).alias("height"), F.lit(IMAGE_W).alias("width"))
+
+
+def click_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """uid, target for every clicking user: the quality label of the document whose id equals
+    the user id (null = test user). A deterministic train/test split derived from ``labels``."""
+    users = table(spark, sf_dir, "events").select(F.col("user_id").alias("uid")).distinct()
+    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("uid"), F.col("quality").alias("target"))
+    return users.join(lab, "uid", "left")
