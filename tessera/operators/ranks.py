@@ -42,22 +42,35 @@ def add_bucket(df: DataFrame, col: str, splits: list[float], out: str = "_bucket
             .withColumn(out, F.col(out).cast("int"))
 
 
+def _range_bucket(t: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
+    """Bucket id for any orderable type: range partitioning, ids fixed by a reliable checkpoint."""
+    from tessera.session import cut_lineage
+    return cut_lineage(t.repartitionByRange(n_buckets, order_col)
+                       .withColumn("_bucket", F.spark_partition_id()))
+
+
 def prefix_sums(t: DataFrame, order_col: str, weight_cols, n_buckets: int | None = None,
-                suffix: str = "_before") -> DataFrame:
-    """For a table with UNIQUE ``order_col`` values, add ``w_before`` = sum of ``w`` over all
-    rows with a smaller order value, for each weight column. Exact, distributed."""
+                suffix: str = "_before", partition_cols=()) -> DataFrame:
+    """For a table with UNIQUE ``(partition_cols, order_col)`` values, add ``w_before`` = sum
+    of ``w`` over the rows of the same partition with a smaller order value. Exact, distributed."""
+    from pyspark.sql import types as T
     weight_cols = [weight_cols] if isinstance(weight_cols, str) else list(weight_cols)
+    parts = list(partition_cols)
     n_buckets = n_buckets or _default_buckets(t)
-    splits = bucket_splits(t, order_col, n_buckets)
-    tb = add_bucket(t, order_col, splits)
-    totals = tb.groupBy("_bucket").agg(*[F.sum(w).alias(f"_tot_{w}") for w in weight_cols])
-    # n_buckets rows: a global window over them is bounded by construction
-    wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_tot_{w}").over(wb), F.lit(0)).alias(f"_off_{w}")
-                                          for w in weight_cols])
-    wi = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    if isinstance(t.schema[order_col].dataType, T.NumericType):
+        tb = add_bucket(t, order_col, bucket_splits(t, order_col, n_buckets))
+    else:
+        tb = _range_bucket(t, order_col, n_buckets)
+    totals = tb.groupBy(*parts, "_bucket").agg(*[F.sum(w).alias(f"_tot_{w}") for w in weight_cols])
+    # (partitions x n_buckets) rows: bounded by construction
+    wb = (Window.partitionBy(*parts) if parts else Window).orderBy("_bucket") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*parts, "_bucket",
+                            *[F.coalesce(F.sum(f"_tot_{w}").over(wb), F.lit(0)).alias(f"_off_{w}")
+                              for w in weight_cols])
+    wi = Window.partitionBy(*parts, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     inner = tb.select("*", *[F.coalesce(F.sum(w).over(wi), F.lit(0)).alias(f"_in_{w}") for w in weight_cols])
-    out = inner.join(F.broadcast(offsets), "_bucket", "left")
+    out = inner.join(offsets, [*parts, "_bucket"], "left")
     return out.select(*t.columns, *[(F.col(f"_off_{w}") + F.col(f"_in_{w}")).alias(f"{w}{suffix}")
                                     for w in weight_cols])
 

@@ -61,14 +61,14 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     scalar, a one-row aggregate joined back); f1 = {props.k: round(value)}.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    first = ev.agg(F.min(F.to_date("ts")).alias("first_day"))
+    first_day = ev.select(F.min(F.to_date("ts"))).scalar()
     key = F.get_json_object("props", "$.k")
     counter = F.to_json(F.create_map(key, F.round("value").cast("long")))
-    return ev.crossJoin(F.broadcast(first)).select(
+    return ev.select(
         F.col("user_id").alias("uid"),
         F.col("event_id").alias("row_id"),
         F.col("event_type").alias("cat"),
-        F.datediff(F.to_date("ts"), F.col("first_day")).alias("days"),
+        F.datediff(F.to_date("ts"), first_day).alias("days"),
         counter.alias("f1"),
     )
 
@@ -103,14 +103,15 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zones(spark: SparkSession, sf_dir: str, n: int = 20) -> DataFrame:
     """n x n grid of boxes over the bounding range of the points (zone_id, corners, centre)."""
     p = points(spark, sf_dir)
-    rng = p.agg(F.min("lat").alias("la0"), F.max("lat").alias("la1"),
-                F.min("lon").alias("lo0"), F.max("lon").alias("lo1"))
+    la0, la1 = p.select(F.min("lat")).scalar(), p.select(F.max("lat")).scalar()
+    lo0, lo1 = p.select(F.min("lon")).scalar(), p.select(F.max("lon")).scalar()
     cells = spark.range(n * n).select(
         F.col("id").alias("zone_id"),
-        (F.col("id") / n).cast("long").alias("zi"), F.pmod(F.col("id"), F.lit(n)).alias("zj"))
+        (F.col("id") / n).cast("long").alias("zi"), F.pmod(F.col("id"), F.lit(n)).alias("zj"),
+        la0.alias("la0"), la1.alias("la1"), lo0.alias("lo0"), lo1.alias("lo1"))
     dlat = (F.col("la1") - F.col("la0")) / n
     dlon = (F.col("lo1") - F.col("lo0")) / n
-    z = cells.crossJoin(F.broadcast(rng)).select(
+    z = cells.select(
         "zone_id",
         (F.col("la0") + F.col("zi") * dlat).alias("lat_bl"),
         (F.col("lo0") + F.col("zj") * dlon).alias("lon_bl"),
