@@ -145,11 +145,11 @@ def target_encode_oof(train: DataFrame, col: str, fold: str = "fold", target: st
     no loop over folds. A category absent from the other folds -> null."""
     out = out or f"{col}_te"
     g = train.select(F.avg(target)).scalar()
-    per = train.groupBy(col, fold).agg(F.sum(target).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    tot = per.groupBy(col).agg(F.sum("_s").alias("_S"), F.sum("_n").alias("_N"))
+    per = train.groupBy(col, fold).agg(F.sum(target).alias("_s_fold"), F.count(F.lit(1)).alias("_n_fold"))
+    tot = per.groupBy(col).agg(F.sum("_s_fold").alias("_s_all"), F.sum("_n_fold").alias("_n_all"))
     st = per.join(tot, col)
-    n_other = F.col("_N") - F.col("_n")
-    mean_other = F.try_divide(F.col("_S") - F.col("_s"), n_other.cast("double"))
+    n_other = F.col("_n_all") - F.col("_n_fold")
+    mean_other = F.try_divide(F.col("_s_all") - F.col("_s_fold"), n_other.cast("double"))
     enc = st.select(col, fold, F.when(n_other > 0, (mean_other * n_other + F.lit(k) * g) / (n_other + F.lit(k)))
                     .alias(out))
     return train.join(enc, [col, fold], "left")

@@ -65,12 +65,13 @@ def mutual_info(long: DataFrame, labels: DataFrame, key: str, label: str = "targ
     return cnt.select(*feat, mi.alias("score"))
 
 
-def select_top_percent(scores: DataFrame, percent: float, feat=("src", "key")) -> DataFrame:
-    """Keys with the best ``percent`` % of scores (ceil, ties by key), exact distributed rank."""
+def select_top_percent(scores: DataFrame, percent: float, feat=("src", "key"), digits: int = 9) -> DataFrame:
+    """Keys with the best ``percent`` % of scores (ceil, ties by key), exact distributed rank.
+    Scores equal to ``digits`` decimals count as ties (engine-independent order)."""
     feat = list(feat)
     n = scores.count()
     keep = int(math.ceil(n * percent / 100.0))
-    s = scores.withColumn("_neg", -F.coalesce(F.col("score"), F.lit(float("-inf"))))
+    s = scores.withColumn("_neg", -F.coalesce(F.round("score", digits), F.lit(float("-inf"))))
     # rank by (score desc, key asc): a unique order value from a composite string is not
     # numeric, so rank distinct scores first, then break ties inside a score by key
     by_score = s.groupBy("_neg").agg(F.count(F.lit(1)).alias("_c"))
