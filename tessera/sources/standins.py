@@ -190,3 +190,24 @@ def click_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = table(spark, sf_dir, "events").select(F.col("user_id").alias("uid")).distinct()
     lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("uid"), F.col("quality").alias("target"))
     return users.join(lab, "uid", "left")
+
+
+def pred_mask_runs(spark: SparkSession, sf_dir: str, height: int = IMAGE_H) -> DataFrame:
+    """Prediction masks: each predicted box cut into columns (like ``mask_runs``)."""
+    p = pred_boxes(spark, sf_dir)
+    col = F.explode(F.sequence(F.col("x1"), F.col("x2") - 1)).alias("x")
+    return p.select("image_id", F.col("pred_id").alias("instance_id"), "y1", "y2", col).select(
+        "image_id", "instance_id",
+        (F.col("x") * height + F.col("y1") + 1).cast("long").alias("start"),
+        (F.col("y2") - F.col("y1")).cast("long").alias("length"),
+    )
+
+
+def class_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """source, source_class_id, name: class lists of two 'data sets' (regions and nations),
+    the region list given twice (duplicates must be ignored)."""
+    r = table(spark, sf_dir, "region").select(F.lit("region").alias("source"),
+                                              F.col("r_regionkey").alias("source_class_id"), F.col("r_name").alias("name"))
+    n = table(spark, sf_dir, "nation").select(F.lit("nation").alias("source"),
+                                              F.col("n_nationkey").alias("source_class_id"), F.col("n_name").alias("name"))
+    return r.unionByName(n).unionByName(r)
