@@ -37,17 +37,20 @@ def _cells(df: DataFrame, cell: int, keep) -> DataFrame:
 
 
 def iou_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, image: str = "image_id",
-             cell: int = 32, a_cols=(), b_cols=(), a_prefix: str = "a_", b_prefix: str = "b_") -> DataFrame:
+             cell: int = 32, a_cols=(), b_cols=(), a_prefix: str = "a_", b_prefix: str = "b_",
+             b_shared: bool = False) -> DataFrame:
     """Every overlapping pair of boxes of the same image with its IoU.
 
     Output: image, a_id, b_id, a_*/b_* extra columns, iou (> 0). Non-overlapping
-    pairs have IoU 0 and are not emitted. ``a`` and ``b`` may be the same frame."""
+    pairs have IoU 0 and are not emitted. ``a`` and ``b`` may be the same frame.
+    ``b_shared``: ``b`` has no image column and applies to every image (anchors);
+    it is a bounded table (one per image shape) and is broadcast."""
     img = [image] if isinstance(image, str) else list(image)
     ka = [*img, a_id, "y1", "x1", "y2", "x2", *a_cols]
-    kb = [*img, b_id, "y1", "x1", "y2", "x2", *b_cols]
+    kb = [*([] if b_shared else img), b_id, "y1", "x1", "y2", "x2", *b_cols]
     ca = _cells(a, cell, ka).withColumnsRenamed({c: f"{a_prefix}{c}" for c in ka if c not in img})
     cb = _cells(b, cell, kb).withColumnsRenamed({c: f"{b_prefix}{c}" for c in kb if c not in img})
-    j = ca.join(cb, [*img, "_cy", "_cx"], "inner")
+    j = ca.join(F.broadcast(cb), ["_cy", "_cx"], "inner") if b_shared else ca.join(cb, [*img, "_cy", "_cx"], "inner")
     A = tuple(F.col(f"{a_prefix}{n}") for n in ("y1", "x1", "y2", "x2"))
     B = tuple(F.col(f"{b_prefix}{n}") for n in ("y1", "x1", "y2", "x2"))
     iy = F.greatest(A[0], B[0])
@@ -139,7 +142,8 @@ def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_imag
     per image shape, broadcast to the join."""
     pairs = iou_join(gt.select("image_id", "gt_id", "class_id", "y1", "x1", "y2", "x2"),
                      anchors.select("anchor_id", "y1", "x1", "y2", "x2"),
-                     "gt_id", "anchor_id", cell=cell, a_cols=("class_id",), a_prefix="g_", b_prefix="a_")
+                     "gt_id", "anchor_id", cell=cell, a_cols=("class_id",), a_prefix="g_", b_prefix="a_",
+                     b_shared=True)
     pairs = pairs.withColumnRenamed("a_anchor_id", "anchor_id").withColumnRenamed("g_gt_id", "gt_id")
     crowd = pairs.filter(F.col("g_class_id") < 0)
     real = pairs.filter(F.col("g_class_id") > 0)
@@ -148,9 +152,9 @@ def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_imag
     best = real.withColumns({"_ra": F.row_number().over(w_anchor), "_rg": F.row_number().over(w_gt)})
     per_anchor = best.groupBy("image_id", "anchor_id").agg(
         F.max("iou").alias("max_iou"), F.max((F.col("_rg") == 1).cast("int")).alias("is_best_for_gt"),
-        F.max_by(F.struct(*[F.col(f"g_{c}") for c in ("y1", "x1", "y2", "x2")]),
+        F.max_by(F.struct(*[F.col(f"g_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")]),
                  F.struct(F.col("iou"), -F.col("gt_id"))).alias("g"),
-        F.first(F.struct(*[F.col(f"a_{c}") for c in ("y1", "x1", "y2", "x2")])).alias("a"))
+        F.first(F.struct(*[F.col(f"a_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")])).alias("a"))
     crowd_hit = crowd.filter(F.col("iou") >= 0.001).select("image_id", "anchor_id").distinct() \
                      .withColumn("_crowd", F.lit(1))
     lab = per_anchor.join(crowd_hit, ["image_id", "anchor_id"], "full").fillna({"max_iou": 0.0, "_crowd": 0})
@@ -203,7 +207,8 @@ def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, p
     real = pairs.filter(F.col("g_class_id") > 0)
     best = real.groupBy("image_id", "roi_id").agg(
         F.max("iou").alias("max_iou"),
-        F.max_by(F.struct("g_class_id", *[F.col(f"g_{c}") for c in ("y1", "x1", "y2", "x2")]),
+        F.max_by(F.struct(F.col("g_class_id").alias("class_id"),
+                          *[F.col(f"g_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")]),
                  F.struct(F.col("iou"), -F.col("gt_id"))).alias("g"))
     crowd = pairs.filter((F.col("g_class_id") < 0) & (F.col("iou") >= 0.001)).select("image_id", "roi_id").distinct()
     r = rois.select("image_id", "roi_id", "y1", "x1", "y2", "x2").join(best, ["image_id", "roi_id"], "left") \
@@ -217,7 +222,7 @@ def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, p
     negs = cap_per_group(negs, ["image_id"], cap, seed + 1, ["roi_id"])
     d = box_refinement(tuple(F.col(c) for c in ("y1", "x1", "y2", "x2")),
                        tuple(F.col(f"g.{c}") for c in ("y1", "x1", "y2", "x2")), std=BBOX_STD)
-    p = pos.select("image_id", "roi_id", F.col("g.g_class_id").alias("class_id"), *d)
+    p = pos.select("image_id", "roi_id", F.col("g.class_id").alias("class_id"), *d)
     n = negs.select("image_id", "roi_id", F.lit(0).alias("class_id"),
                     *[F.lit(0.0).alias(f"d{x}") for x in ("y", "x", "h", "w")])
     return p.unionByName(n)

@@ -16,10 +16,39 @@ from pyspark.sql import functions as F
 from tessera.operators.boxes import BBOX_STD, apply_deltas_clip, iou_join
 from tessera.operators.window import top_k_per_group
 
-__all__ = ["non_max_suppression", "nms_keep_mask", "propose", "refine_detections", "match_detections",
+__all__ = ["apply_per_key", "non_max_suppression", "nms_keep_mask", "propose", "refine_detections", "match_detections",
            "average_precision", "ap_range", "recall_at_iou", "coco_results", "greedy_match"]
 
 
+def apply_per_key(df: DataFrame, keys, fn_bucket, schema, n_buckets: int | None = None) -> DataFrame:
+    """Run a per-key greedy step with many keys per Python call.
+
+    Rows go to ``pmod(xxhash64(keys), n_buckets)`` groups (one Arrow batch per bucket
+    instead of one per key); ``fn_bucket`` receives the whole bucket and must treat
+    every key separately. A key still stays whole in one bucket, which greedy steps need."""
+    from pyspark.sql import types as T
+    keys = list(keys)
+    n = n_buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).alias("_bkt")
+    cols = df.columns
+    out_schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    names = [f.name for f in out_schema.fields]
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = fn_bucket(pdf[cols])
+        return out[names] if len(out) else pd.DataFrame({c: [] for c in names})
+
+    return df.select("*", bucket).groupBy("_bkt").applyInPandas(run, out_schema)
+
+
+def _group_bounds(keys: np.ndarray):
+    """Start/end offsets of runs of equal keys in a sorted key array."""
+    if len(keys) == 0:
+        return np.array([], dtype=int), np.array([], dtype=int)
+    cut = np.flatnonzero(keys[1:] != keys[:-1]) + 1
+    return np.concatenate([[0], cut]), np.concatenate([cut, [len(keys)]])
+
+
 def nms_keep_mask(y1, x1, y2, x2, scores, ids, thr: float) -> np.ndarray:
     """Greedy NMS on one group: best score first (ties: smaller id), drop IoU > thr, repeat."""
     order = np.lexsort((ids, -scores))
@@ -54,11 +83,19 @@ def non_max_suppression(df: DataFrame, thr: float, id_col: str, by=("image_id",)
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pdf
+        gkey = pdf.groupby(by, sort=False).ngroup().to_numpy()
+        order = np.argsort(gkey, kind="stable")
+        pdf = pdf.iloc[order].reset_index(drop=True)
+        gkey = gkey[order]
         f = lambda c: pdf[c].to_numpy(dtype=float)
-        keep = nms_keep_mask(f("y1"), f("x1"), f("y2"), f("x2"), f(score), pdf[id_col].to_numpy(), thr)
-        return pdf[keep][cols]
-
-    kept = df.groupBy(*by).applyInPandas(run, schema)
+        y1, x1, y2, x2, sc = f("y1"), f("x1"), f("y2"), f("x2"), f(score)
+        ids = pdf[id_col].to_numpy()
+        keep = np.zeros(len(pdf), dtype=bool)
+        for a, b in zip(*_group_bounds(gkey)):
+            keep[a:b] = nms_keep_mask(y1[a:b], x1[a:b], y2[a:b], x2[a:b], sc[a:b], ids[a:b], thr)
+        return pdf[keep]
+
+    kept = apply_per_key(df, by, run, schema)
     if max_out:
         kept = top_k_per_group(kept, by, score, max_out, tie_break=[id_col])
     return kept
@@ -94,20 +131,27 @@ def refine_detections(class_rows: DataFrame, window, min_conf: float = 0.7, nms_
     return top_k_per_group(kept, ["image_id"], "score", max_inst, tie_break=["roi_id"])
 
 
-def greedy_match(pairs: pd.DataFrame, thr: float, min_overlap: float = 0.0) -> pd.DataFrame:
-    """One image: predictions in score order take the best unmatched same-class gt with
-    IoU >= thr; a gt is matched at most once. ``pairs`` columns: pred_id, score, pred_class,
-    gt_id, gt_class, iou."""
-    p = pairs[(pairs["iou"] >= thr) & (pairs["iou"] >= min_overlap) & (pairs["pred_class"] == pairs["gt_class"])]
-    p = p.sort_values(["score", "pred_id", "iou", "gt_id"], ascending=[False, True, False, True], kind="mergesort")
+def greedy_match(pairs: pd.DataFrame, thr: float | None, min_overlap: float = 0.0) -> pd.DataFrame:
+    """Greedy matching for every (image, iou_thr) group in ``pairs``: predictions in score order
+    (ties: smaller id) take the best unmatched same-class gt with IoU >= thr (ties: smaller
+    gt id); a gt is matched at most once. Columns: image_id, [iou_thr,] pred_id, score,
+    pred_class, gt_id, gt_class, iou. One sort, then one pass over the candidate pairs."""
+    p = pairs
+    if "iou_thr" not in p.columns:
+        p = p.assign(iou_thr=float(thr))
+    p = p[(p["iou"] >= p["iou_thr"]) & (p["iou"] >= min_overlap) & (p["pred_class"] == p["gt_class"])]
+    p = p.sort_values(["image_id", "iou_thr", "score", "pred_id", "iou", "gt_id"],
+                      ascending=[True, True, False, True, False, True], kind="mergesort")
     used_gt, used_pred, rows = set(), set(), []
-    for pid, gid, v in zip(p["pred_id"].to_numpy(), p["gt_id"].to_numpy(), p["iou"].to_numpy()):
-        if pid in used_pred or gid in used_gt:
+    for img, t, pid, gid, v in zip(p["image_id"].to_numpy(), p["iou_thr"].to_numpy(), p["pred_id"].to_numpy(),
+                                   p["gt_id"].to_numpy(), p["iou"].to_numpy()):
+        kp, kg = (img, t, pid), (img, t, gid)
+        if kp in used_pred or kg in used_gt:
             continue
-        used_pred.add(pid)
-        used_gt.add(gid)
-        rows.append((pid, gid, v))
-    return pd.DataFrame(rows, columns=["pred_id", "gt_id", "iou"])
+        used_pred.add(kp)
+        used_gt.add(kg)
+        rows.append((img, t, pid, gid, v))
+    return pd.DataFrame(rows, columns=["image_id", "iou_thr", "pred_id", "gt_id", "iou"])
 
 
 def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overlap: float = 0.0,
@@ -128,15 +172,11 @@ def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overl
     pairs = pairs.filter(F.col("iou") >= F.col("iou_thr"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = float(pdf["iou_thr"].iloc[0])
-        m = greedy_match(pdf, t, min_overlap)
-        m.insert(0, "iou_thr", t)
-        m.insert(0, "image_id", pdf["image_id"].iloc[0])
-        return m
+        return greedy_match(pdf, None, min_overlap)
 
     schema = f"image_id {dict(pred.dtypes)['image_id']}, iou_thr double, pred_id {dict(pred.dtypes)['pred_id']}, " \
              f"gt_id {dict(gt.dtypes)['gt_id']}, iou double"
-    out = pairs.groupBy("image_id", "iou_thr").applyInPandas(run, schema)
+    out = apply_per_key(pairs, ["image_id", "iou_thr"], run, schema)
     return out if thresholds is not None else out.drop("iou_thr")
 
 
@@ -159,7 +199,7 @@ def _ap_core(scored: DataFrame, gt_counts: DataFrame, k) -> DataFrame:
     w = Window.partitionBy(*k).orderBy(F.desc("score"), "pred_id")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     c = scored.withColumns({"_rank": F.row_number().over(w), "_ctp": F.sum("tp").over(run)})
-    c = c.join(gt_counts, k, "inner")
+    c = c.join(gt_counts, "image_id", "inner")
     c = c.withColumns({"precision": F.col("_ctp") / F.col("_rank"),
                        "recall": F.try_divide(F.col("_ctp").cast("double"), F.col("n_gt").cast("double"))})
     env = F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing))

@@ -405,7 +405,7 @@ LABEL_MAP = {3: 33, 4: 34, 2: 35, 1: 36, 8: 38, 6: 39}
 
 @register("video_submission", f"""
 WITH {BOX_SQL}, {_RUNS_SQL},
-px AS (SELECT image_id, instance_id, unnest(range(start, start + length)) AS pos FROM runs),
+px AS (SELECT image_id, instance_id, unnest(range(start, start + length)) AS pos FROM pruns),
 rm AS (SELECT image_id, instance_id, ((pos - 1) % 128) * 128 + (pos - 1) // 128 AS rpos FROM px),
 isl AS (SELECT *, rpos - row_number() OVER (PARTITION BY image_id, instance_id ORDER BY rpos) AS g FROM rm),
 rr AS (SELECT image_id, instance_id, min(rpos) AS s, count(*) AS l FROM isl GROUP BY 1, 2, g),
