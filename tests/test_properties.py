@@ -1,0 +1,106 @@
+"""Operators against brute force on the smallest driver tables."""
+
+import itertools
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tessera.functions.geo import EARTH_RADIUS_KM
+from tessera.operators import deteval as D
+from tessera.operators import metrics as M
+from tessera.operators import spatial as G
+from tessera.sources import standins as S
+
+
+def _hav(a1, o1, a2, o2):
+    a1, o1, a2, o2 = map(math.radians, (a1, o1, a2, o2))
+    h = math.sin((a2 - a1) / 2) ** 2 + math.cos(a1) * math.cos(a2) * math.sin((o2 - o1) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * math.asin(math.sqrt(min(1.0, h)))
+
+
+def test_knn_matches_brute_force(spark, small_dir):
+    z = S.zones(spark, small_dir, n=6).select("zone_id", F.col("lat_c").alias("lat"), F.col("lon_c").alias("lon"))
+    p = S.points(spark, small_dir).select("point_id", "lat", "lon")
+    got = {(r.zone_id, r.rank): (r.point_id, r.dist) for r in G.knn_distances(z, p, 7).collect()}
+    pts = [(r.point_id, r.lat, r.lon) for r in p.collect()]
+    for zr in z.collect():
+        d = sorted((_hav(zr.lat, zr.lon, la, lo), pid) for pid, la, lo in pts)[:7]
+        for k, (dist, pid) in enumerate(d, start=1):
+            assert got[(zr.zone_id, k)][0] == pid
+            assert math.isclose(got[(zr.zone_id, k)][1], dist, rel_tol=1e-9)
+
+
+def test_radius_count_brute_force(spark, small_dir):
+    z = S.zones(spark, small_dir, n=5).select("zone_id", F.col("lat_c").alias("lat"), F.col("lon_c").alias("lon"))
+    p = S.points(spark, small_dir).select("point_id", "lat", "lon")
+    got = {r.zone_id: r.n_within_3_0 for r in G.radius_count(z, p, [3.0]).collect()}
+    pts = [(r.lat, r.lon) for r in p.collect()]
+    for zr in z.collect():
+        assert got[zr.zone_id] == sum(_hav(zr.lat, zr.lon, a, o) <= 3.0 for a, o in pts)
+
+
+def test_kendall_and_auc_brute_force(spark, small_dir):
+    c = spark.read.parquet(f"{small_dir}/customer.parquet").select("c_acctbal", "c_nationkey")
+    rows = [(r.c_acctbal, float(r.c_nationkey)) for r in c.collect()]
+    conc = disc = ta = tb = 0
+    for (a1, b1), (a2, b2) in itertools.combinations(rows, 2):
+        s = np.sign(a1 - a2) * np.sign(b1 - b2)
+        conc += s > 0
+        disc += s < 0
+        ta += a1 == a2
+        tb += b1 == b2
+    n0 = len(rows) * (len(rows) - 1) / 2
+    tau = (conc - disc) / math.sqrt((n0 - ta) * (n0 - tb))
+    got = M.kendall_tau(c, "c_acctbal", "c_nationkey", n_buckets=4).first()
+    assert got.discordant == disc and math.isclose(got.tau_b, tau, rel_tol=1e-12)
+    y = [int(a > 0) for a, _ in rows]
+    s = [b for _, b in rows]
+    pos = [v for v, t in zip(s, y) if t]
+    neg = [v for v, t in zip(s, y) if not t]
+    auc = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / (len(pos) * len(neg))
+    df = spark.createDataFrame(list(zip(y, s)), "y int, s double")
+    assert math.isclose(M.roc_auc(df, "y", "s").first().auc, auc, rel_tol=1e-12)
+
+
+def _greedy_reference(preds, gts, thr):
+    """Plain restatement of the matching rule for one image."""
+    used, out = set(), {}
+    for pid, pc, sc, pb in sorted(preds, key=lambda x: (-x[2], x[0])):
+        cands = []
+        for gid, gc, gb in gts:
+            inter = max(0, min(pb[2], gb[2]) - max(pb[0], gb[0])) * max(0, min(pb[3], gb[3]) - max(pb[1], gb[1]))
+            u = (pb[2] - pb[0]) * (pb[3] - pb[1]) + (gb[2] - gb[0]) * (gb[3] - gb[1]) - inter
+            cands.append((inter / u, gid, gc))
+        for v, gid, gc in sorted(cands, key=lambda x: (-x[0], x[1])):
+            if gid in used or gc != pc or v < thr or v <= 0:
+                continue
+            used.add(gid)
+            out[pid] = gid
+            break
+    return out
+
+
+def test_matching_and_nms_brute_force(spark, small_dir):
+    pred = S.pred_boxes(spark, small_dir)
+    gt = S.gt_boxes(spark, small_dir)
+    got = {(r.image_id, r.pred_id): r.gt_id for r in D.match_detections(pred, gt, 0.5).collect()}
+    P, Gt = {}, {}
+    for r in pred.collect():
+        P.setdefault(r.image_id, []).append((r.pred_id, r.class_id, r.score, (r.y1, r.x1, r.y2, r.x2)))
+    for r in gt.collect():
+        Gt.setdefault(r.image_id, []).append((r.gt_id, r.class_id, (r.y1, r.x1, r.y2, r.x2)))
+    want = {}
+    for img, ps in P.items():
+        for pid, gid in _greedy_reference(ps, Gt.get(img, []), 0.5).items():
+            want[(img, pid)] = gid
+    assert got == want
+    kept = D.non_max_suppression(pred, 0.3, "pred_id").collect()
+    by = {}
+    for r in kept:
+        by.setdefault(r.image_id, []).append((r.y1, r.x1, r.y2, r.x2))
+    for boxes in by.values():
+        for a, b in itertools.combinations(boxes, 2):
+            inter = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
+            u = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - inter
+            assert inter / u <= 0.3
