@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera.functions.geo import EARTH_RADIUS_KM, haversine_km
 from tessera.session import cut_lineage
 
-__all__ = ["point_in_box_count", "point_in_box_exists", "zone_attribute_counts", "radius_count",
+__all__ = ["point_in_box_count", "point_in_box_exists", "zone_attribute_counts", "radius_count", "knn_euclidean",
            "knn_distances", "knn_stats", "within_distance_of_any", "grid_steps"]
 
 
@@ -183,3 +183,51 @@ def within_distance_of_any(a: DataFrame, b: DataFrame, d_km: float, name: str =
     cand = _ring_candidates(a, b, 1, dlat, dlon).filter(F.col("dist") <= F.lit(d_km))
     hit = cand.select("zone_id").distinct().withColumn(name, F.lit(1))
     return a.select("zone_id").join(hit, "zone_id", "left").fillna(0, subset=[name])
+
+
+def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: str,
+                  ref_key: str = "_tk", max_rounds: int = 16) -> DataFrame:
+    """Exact k nearest reference rows of each query in Euclidean space over ``vec`` (array).
+
+    Same expanding-ring scheme as ``knn_distances``, with the grid on the first two
+    coordinates: their distance is a lower bound of the full distance, so a query whose
+    k-th candidate lies within the ring's safe radius is final. Output: key, ref columns,
+    dist, rank."""
+    ref_cols = [c for c in refs.columns if c not in (vec,)]
+    x0, x1 = F.col(vec)[0].cast("double"), F.col(vec)[1].cast("double")
+    st = refs.agg(F.min(x0), F.max(x0), F.min(x1), F.max(x1), F.count(F.lit(1))).first()
+    area = max(1e-12, (st[1] - st[0]) * (st[3] - st[2]))
+    cell = max(1e-9, math.sqrt(area * k / max(1, st[4])))
+    span = int(max((st[1] - st[0]) / cell, (st[3] - st[2]) / cell)) + 2
+    r = refs.select(*ref_cols, F.col(vec).alias("_rv"), F.floor(x0 / cell).cast("long").alias("ci"),
+                    F.floor(x1 / cell).cast("long").alias("cj"))
+    pending = queries.select(key, F.col(vec).alias("_qv"))
+    done = []
+    ring = 1
+    for _ in range(max_rounds):
+        last = ring >= span
+        offs = F.sequence(F.lit(-ring), F.lit(ring))
+        q = pending.select(key, "_qv", F.explode(offs).alias("_di")).select("*", F.explode(offs).alias("_dj"))
+        q = q.select(key, "_qv",
+                     (F.floor(F.col("_qv")[0].cast("double") / cell).cast("long") + F.col("_di")).alias("ci"),
+                     (F.floor(F.col("_qv")[1].cast("double") / cell).cast("long") + F.col("_dj")).alias("cj"))
+        cand = q.join(r, ["ci", "cj"], "inner")
+        d = F.sqrt(F.aggregate(F.zip_with("_qv", "_rv", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))),
+                               F.lit(0.0), lambda acc, x: acc + x))
+        cand = cand.select(key, *ref_cols, d.alias("dist"))
+        w = Window.partitionBy(key).orderBy("dist", ref_key)
+        top = cut_lineage(cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+        if last:
+            done.append(top)
+            break
+        kth = top.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kth"))
+        ok = kth.filter((F.col("_n") >= k) & (F.col("_kth") <= F.lit(ring * cell))).select(key)
+        done.append(top.join(ok, key, "left_semi"))
+        pending = cut_lineage(pending.join(ok, key, "left_anti"))
+        if pending.isEmpty():
+            break
+        ring = min(ring * 2, span)
+    out = done[0]
+    for x in done[1:]:
+        out = out.unionByName(x)
+    return out

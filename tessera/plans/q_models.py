@@ -1 +1,161 @@
-"""Registered queries (filled in below)."""
+"""Registered model queries (Spark ML fits on the document features). No SQL form:
+the driver checks rows; tests check the pieces (AUC, kNN, folds) against brute force."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from tessera.operators import encode as E
+from tessera.operators import models as MD
+from tessera.operators.aggregate import fold_test_average
+from tessera.operators.folds import kfold, train_test_split
+from tessera.plans.q_text import _doc_numeric
+from tessera.plans.registry import finish, register
+from tessera.session import table
+from tessera.sources import standins as S
+
+FEATURES = ["n_chars", "n_tokens", "n_distinct", "lang_en", "lang_fr", "lang_de", "lang_es"]
+
+
+def doc_features(spark, sf_dir):
+    """doc_id, target (null = test), numeric features, assembled vector, 5 hash folds."""
+    d = _doc_numeric(spark, sf_dir)
+    nd = S.doc_tokens(spark, sf_dir).groupBy("doc_id").agg(F.countDistinct("token").alias("n_distinct"))
+    lang = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    d = d.join(nd, "doc_id", "left").fillna(0, subset=["n_distinct"]).join(lang, "doc_id")
+    d = E.one_hot(d, "lang", ["en", "fr", "de", "es"])
+    d = d.withColumns({c: F.col(c).cast("double") for c in FEATURES})
+    train = d.filter(F.col("target").isNotNull())
+    d = E.standard_scale(train, d, ["n_chars", "n_tokens", "n_distinct"])
+    d = E.assemble(d, FEATURES)
+    d = d.withColumn("target", F.col("target").cast("double"))
+    return kfold(d, "doc_id", 5, seed=239)
+
+
+def _split(spark, sf_dir):
+    d = doc_features(spark, sf_dir)
+    return d.filter(F.col("target").isNotNull()), d.filter(F.col("target").isNull())
+
+
+@register("doc_logistic_cv")
+def q_doc_logistic_cv(spark, sf_dir):
+    """L2 logistic regression (C = 0.2), balanced class weights, 5-fold AUC."""
+    tr, _ = _split(spark, sf_dir)
+    tr = MD.class_weights(tr, "target")
+    n = tr.count()
+    per = MD.cross_val_score(tr, MD.logistic(0.2, n, weight="weight"), "doc_id", metric="auc")
+    return finish(per)
+
+
+@register("doc_model_zoo")
+def q_doc_model_zoo(spark, sf_dir):
+    """Ridge, L1+L2 linear, boosted trees, forest, factorisation machine: 3-fold AUC
+    mean and std per model (E5-E8, E10, A35)."""
+    tr, _ = _split(spark, sf_dir)
+    tr = kfold(tr.drop("fold"), "doc_id", 3, seed=7)
+    n = tr.count()
+    models = {"ridge": MD.ridge(1.0, n), "l1l2": MD.linear_l1l2(0.001, 0.01),
+              "gbt": MD.gbt(True, max_depth=3, iters=10), "forest": MD.random_forest(False, trees=20, max_depth=5),
+              "fm": MD.factorization_machine(4, iters=20)}
+    out = None
+    for name, est in models.items():
+        per = MD.cross_val_score(tr, est, "doc_id", metric="auc")
+        s = per.agg(F.avg("metric").alias("mean_score"), F.stddev_pop("metric").alias("std_score")) \
+               .select(F.lit(name).alias("model"), "mean_score", "std_score")
+        out = s if out is None else out.unionByName(s)
+    return finish(out)
+
+
+@register("doc_stack_table")
+def q_doc_stack_table(spark, sf_dir):
+    """Out-of-fold and test scores of two models as a score table, test scores averaged over
+    folds, then pivoted, min-max scaled and joined to the features (E11, A36, E21)."""
+    tr, te = _split(spark, sf_dir)
+    n = tr.count()
+    scores = MD.oof_scores(tr, te, MD.logistic(1.0, n), "doc_id", model_name="logit") \
+        .unionByName(MD.oof_scores(tr, te, MD.gbt(True, 3, 0.1, 10), "doc_id", model_name="gbt"))
+    test_avg = fold_test_average(scores.filter(F.col("split") == "test"), "doc_id", "score", "score")
+    test_avg = test_avg.withColumn("split", F.lit("test_mean"))
+    stacked = MD.stack_tables(scores, tr.select("doc_id", "target", *FEATURES), "doc_id")
+    return finish(stacked.join(test_avg.select("doc_id", F.col("score").alias("test_mean")), "doc_id", "left"))
+
+
+@register("doc_blends")
+def q_doc_blends(spark, sf_dir):
+    """Simple, average and concatenate blending, stacking and noise stacking of two bases
+    under a logistic meta model (E16-E20): (doc_id, method, score) for the test documents."""
+    tr, te = _split(spark, sf_dir)
+    n = tr.count()
+    bases = {"logit": MD.logistic(1.0, n), "gbt": MD.gbt(True, 3, 0.1, 10)}
+
+    def meta():
+        from pyspark.ml.classification import LogisticRegression
+        return LogisticRegression(regParam=0.01)
+    parts = {
+        "simple": MD.simple_blend(tr, te, bases, meta(), "doc_id", seed=1),
+        "average": MD.average_blend(tr, te, bases, meta(), "doc_id", n_iter=2, seed=1),
+        "concatenate": MD.concatenate_blend(tr, te, bases, meta(), "doc_id", n_iter=2, seed=1),
+        "stack": MD.stack(tr, te, bases, meta(), "doc_id", n_folds=3, seed=1),
+        "noise_stack": MD.noise_stack(tr, te, bases, meta(), "doc_id", scale=0.05, n_folds=3, seed=1),
+    }
+    out = None
+    for name, df in parts.items():
+        x = df.select("doc_id", F.lit(name).alias("method"), "score")
+        out = x if out is None else out.unionByName(x)
+    return finish(out)
+
+
+@register("doc_model_selection")
+def q_doc_model_selection(spark, sf_dir):
+    """Grid search, validation curve and learning curve of the logistic model."""
+    tr, _ = _split(spark, sf_dir)
+    tr = kfold(tr.drop("fold"), "doc_id", 3, seed=11)
+    n = tr.count()
+    g = MD.grid_search(tr, lambda C: MD.logistic(C, n), {"C": [0.1, 1.0]}, "doc_id") \
+        .select(F.lit("grid").alias("kind"), F.col("params").alias("setting"), F.col("mean_score").alias("score"))
+    v = MD.validation_curve(tr, lambda C: MD.logistic(C, n), "C", [0.1, 1.0], "doc_id") \
+        .select(F.lit("validation").alias("kind"), F.col("C").alias("setting"), F.col("valid_score").alias("score"))
+    lc = MD.learning_curve(tr, MD.logistic(1.0, n), [0.5, 1.0], "doc_id") \
+        .select(F.lit("learning").alias("kind"), F.col("train_share").cast("string").alias("setting"),
+                F.col("valid_score").alias("score"))
+    return finish(g.unionByName(v).unionByName(lc))
+
+
+@register("doc_feature_importance")
+def q_doc_feature_importance(spark, sf_dir):
+    """Top importances of a boosted-tree model."""
+    tr, _ = _split(spark, sf_dir)
+    m = MD.gbt(True, 3, 0.1, 10).fit(tr)
+    return finish(MD.feature_importance(m, FEATURES, k=5))
+
+
+@register("doc_svd")
+def q_doc_svd(spark, sf_dir):
+    """Rank-10 SVD of the TF-IDF document x term matrix, U * S keyed by document."""
+    w = E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9)
+    long = w.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), F.col("tfidf").alias("value"))
+    idx, _ = E.dict_vectorise(long, long)
+    return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10))
+
+
+@register("embedding_pca")
+def q_embedding_pca(spark, sf_dir):
+    """PCA keeping the smallest number of components that explain 95 % of the variance."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector(
+        F.transform("embedding", lambda x: x.cast("double"))).alias("vec"))
+    out, k = MD.pca_by_variance(e, "vec", 0.95)
+    from pyspark.ml.functions import vector_to_array
+    return out.select("vec_id", F.lit(k).alias("n_components"), vector_to_array("pca").alias("pca"))
+
+
+@register("embedding_knn_regress")
+def q_embedding_knn_regress(spark, sf_dir):
+    """k-NN regression (k = 5) of the label from the 64-d embedding, for a 30 % hold-out."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"),
+        F.col("label").cast("double").alias("target"))
+    e = train_test_split(e, "vec_id", 0.3, seed=5)
+    tr, q = e.filter(F.col("is_test") == 0), e.filter(F.col("is_test") == 1)
+    pred = MD.knn_regress(tr, q, 5, "vec_id", "vec", "target")
+    return finish(pred.join(q.select("vec_id", "target"), "vec_id"))

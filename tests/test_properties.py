@@ -104,3 +104,16 @@ def test_matching_and_nms_brute_force(spark, small_dir):
             inter = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
             u = (a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - inter
             assert inter / u <= 0.3
+
+
+def test_knn_euclidean_brute_force(spark, small_dir):
+    from tessera.operators.spatial import knn_euclidean
+    e = spark.read.parquet(f"{small_dir}/embeddings.parquet").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    q = e.filter(F.col("vec_id") < 20)
+    r = e.select(F.col("vec_id").alias("_tk"), "vec")
+    got = {(x.vec_id, x.rank): x._tk for x in knn_euclidean(q, r, 4, "vec_id", "vec").collect()}
+    vecs = {x.vec_id: np.array(x.vec) for x in e.collect()}
+    for qid in range(20):
+        d = sorted((float(np.sqrt(((vecs[qid] - v) ** 2).sum())), rid) for rid, v in vecs.items())[:4]
+        assert [got[(qid, k + 1)] for k in range(4)] == [rid for _, rid in d]
