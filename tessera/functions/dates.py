@@ -31,7 +31,7 @@ def parse_trdatetime(c) -> Column:
 
 
 def date_parts(ts, prefix: str = "") -> list[Column]:
-    """year, month, day, weekday (Monday = 0), hour of a timestamp."""
+    """year, month, day, weekday (Monday = 0), hour of a timestamp (F2)."""
     t = _c(ts)
     return [F.year(t).alias(f"{prefix}year"), F.month(t).alias(f"{prefix}month"),
             F.dayofmonth(t).alias(f"{prefix}day"), F.weekday(t).alias(f"{prefix}weekday"),

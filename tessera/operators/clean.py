@@ -25,6 +25,7 @@ def prefix_rename(df: DataFrame, prefix: str, cols=None, keep=()) -> DataFrame:
 
 
 def drop_columns(df: DataFrame, cols) -> DataFrame:
+    """Remove columns."""
     return df.drop(*cols)
 
 

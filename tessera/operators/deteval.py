@@ -181,7 +181,7 @@ def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overl
 
 
 def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame) -> DataFrame:
-    """AP per image at one threshold (D11, with W4-W6): predictions in score order (ties:
+    """AP per image at one threshold (D11, with W4-W7: rank by score per image, running precision / recall, precision envelope W5): predictions in score order (ties:
     smaller id), running precision and recall, precision envelope from the right, sum of
     recall steps x envelope. No predictions -> 0; no gt -> null."""
     flag = matches.select("image_id", "pred_id").distinct().withColumn("tp", F.lit(1))

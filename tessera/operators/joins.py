@@ -41,6 +41,7 @@ def assemble_outer(tables, key) -> DataFrame:
 
 
 def assemble_inner(tables, key) -> DataFrame:
+    """Feature blocks joined on the key, keys present in every block only."""
     return reduce(lambda a, b: a.join(b, key, "inner"), tables)
 
 
@@ -54,6 +55,7 @@ def align_to_ids(ids: DataFrame, scores: DataFrame, key) -> DataFrame:
 
 
 def semi_by_keys(df: DataFrame, keys: DataFrame, key) -> DataFrame:
+    """Rows whose key is in the id list, by key rather than position."""
     return df.join(keys, key, "left_semi")
 
 

@@ -311,9 +311,13 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
     n_cols = int(long.agg(F.max(col_idx)).first()[0]) + 1
-    rows = long.groupBy(row_key).agg(F.collect_list(F.struct(col_idx, value)).alias("_e"))
+    from pyspark import StorageLevel
+    from tessera.session import cut_lineage
+    # The eigen solver makes one pass over the rows per iteration: materialise the sparse
+    # rows once (checkpoint, then a recomputable in-memory copy of the vectors).
+    rows = cut_lineage(long.groupBy(row_key).agg(F.collect_list(F.struct(col_idx, value)).alias("_e")))
     rdd = rows.rdd.map(lambda r: IndexedRow(int(r[0]), Vectors.sparse(
-        n_cols, sorted((int(e[0]), float(e[1])) for e in r[1]))))
+        n_cols, sorted((int(e[0]), float(e[1])) for e in r[1])))).persist(StorageLevel.MEMORY_AND_DISK)
     svd = IndexedRowMatrix(rdd).computeSVD(k, computeU=True)
     s = svd.s.toArray().tolist()
     spark = long.sparkSession

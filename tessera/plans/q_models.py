@@ -12,7 +12,7 @@ from tessera.operators.aggregate import fold_test_average
 from tessera.operators.folds import kfold, train_test_split
 from tessera.plans.q_text import _doc_numeric
 from tessera.plans.registry import finish, register
-from tessera.session import table
+from tessera.session import cut_lineage, table
 from tessera.sources import standins as S
 
 FEATURES = ["n_chars", "n_tokens", "n_distinct", "lang_en", "lang_fr", "lang_de", "lang_es"]
@@ -34,7 +34,9 @@ def doc_features(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    d = doc_features(spark, sf_dir)
+    # Every fit below re-reads this table many times (one pass per iteration, per fold):
+    # write it once to the checkpoint folder so no fit recomputes tokens and joins.
+    d = cut_lineage(doc_features(spark, sf_dir))
     return d.filter(F.col("target").isNotNull()), d.filter(F.col("target").isNull())
 
 

@@ -63,20 +63,21 @@ def read_points(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return spark.read.schema(schema_of(POINTS_SCHEMA)).format(fmt).load(path)
 
 
-_REGION_SCHEMA = (
-    "filename string, size long, regions map<string, struct<shape_attributes: "
-    "struct<name: string, all_points_x: array<int>, all_points_y: array<int>>>>"
+_REGION_DDL = (
+    "map<string, struct<filename: string, size: bigint, regions: map<string, struct<"
+    "shape_attributes: struct<name: string, all_points_x: array<int>, all_points_y: array<int>>>>>>"
 )
 
 
 def read_region_json(spark: SparkSession, path: str) -> DataFrame:
     """Polygon annotation JSON (one object keyed by image); images without regions skipped.
 
-    Returns image_id, filename, region_id, name, all_points_x, all_points_y.
+    The file is one JSON object whose keys are image keys, so it is read whole and parsed
+    as a map; one task per file. Returns image_key, filename, region_id, shape,
+    all_points_x, all_points_y.
     """
-    raw = spark.read.option("multiLine", True).text(path, wholetext=True)
-    parsed = raw.select(F.from_json("value", f"map<string, struct<{_REGION_SCHEMA.replace(' string', ': string').replace(' long', ': long').replace(' map<', ': map<')}>>").alias("m"))
-    img = parsed.select(F.explode("m").alias("image_key", "img"))
+    raw = spark.read.text(path, wholetext=True)
+    img = raw.select(F.explode(F.from_json("value", _REGION_DDL)).alias("image_key", "img"))
     img = img.filter(F.size(F.coalesce(F.col("img.regions"), F.create_map())) > 0)
     reg = img.select("image_key", F.col("img.filename").alias("filename"),
                      F.explode("img.regions").alias("region_id", "r"))
@@ -117,7 +118,8 @@ def list_images(spark: SparkSession, root: str, pattern: str = "*.png",
     """Image catalogue from a directory tree; the id is taken from the path (S10). Content is dropped."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
              .option("pathGlobFilter", pattern).load(root).select("path", "length"))
-    return files.select(F.regexp_extract("path", id_regex, 1).alias("image_id"), "path", "length")
+    out = files.select(F.regexp_extract("path", id_regex, 1).alias("image_id"), "path", "length")
+    return out.filter(F.col("image_id") != "")  # files outside the image layout (masks, extras)
 
 
 def write_submission(df: DataFrame, path: str, columns, order_col: str | None = None,
