@@ -147,20 +147,26 @@ def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_imag
     pairs = pairs.withColumnRenamed("a_anchor_id", "anchor_id").withColumnRenamed("g_gt_id", "gt_id")
     crowd = pairs.filter(F.col("g_class_id") < 0)
     real = pairs.filter(F.col("g_class_id") > 0)
-    w_anchor = Window.partitionBy("image_id", "anchor_id").orderBy(F.desc("iou"), "gt_id")
-    w_gt = Window.partitionBy("image_id", "gt_id").orderBy(F.desc("iou"), "anchor_id")
-    best = real.withColumns({"_ra": F.row_number().over(w_anchor), "_rg": F.row_number().over(w_gt)})
-    per_anchor = best.groupBy("image_id", "anchor_id").agg(
-        F.max("iou").alias("max_iou"), F.max((F.col("_rg") == 1).cast("int")).alias("is_best_for_gt"),
+    # Two partial aggregations instead of two window sorts over all pairs: per anchor its
+    # best gt (highest IoU, then smaller gt id), per gt its best anchor (then smaller anchor id).
+    per_anchor = real.groupBy("image_id", "anchor_id").agg(
+        F.max("iou").alias("max_iou"),
         F.max_by(F.struct(*[F.col(f"g_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")]),
                  F.struct(F.col("iou"), -F.col("gt_id"))).alias("g"),
         F.first(F.struct(*[F.col(f"a_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")])).alias("a"))
+    best_of_gt = real.groupBy("image_id", "gt_id").agg(
+        F.max_by("anchor_id", F.struct(F.col("iou"), -F.col("anchor_id"))).alias("anchor_id")) \
+        .select("image_id", "anchor_id").distinct().withColumn("is_best_for_gt", F.lit(1))
+    per_anchor = per_anchor.join(best_of_gt, ["image_id", "anchor_id"], "left").fillna(0, subset=["is_best_for_gt"])
     crowd_hit = crowd.filter(F.col("iou") >= 0.001).select("image_id", "anchor_id").distinct() \
                      .withColumn("_crowd", F.lit(1))
     lab = per_anchor.join(crowd_hit, ["image_id", "anchor_id"], "full").fillna({"max_iou": 0.0, "_crowd": 0})
     match = (F.when((F.col("is_best_for_gt") == 1) | (F.col("max_iou") >= pos_thr), 1)
              .when((F.col("max_iou") < neg_thr) & (F.col("_crowd") == 0), -1).otherwise(0))
-    lab = lab.withColumn("match", match)
+    # ``lab`` (two windows and an aggregation over all gt x anchor pairs) feeds three
+    # branches below: write it once to the checkpoint folder.
+    from tessera.session import cut_lineage
+    lab = cut_lineage(lab.withColumn("match", match))
     pos = cap_per_group(lab.filter(F.col("match") == 1), ["image_id"], per_image // 2, seed, ["anchor_id"])
     n_pos = pos.groupBy("image_id").agg(F.count(F.lit(1)).alias("_np"))
     # negatives: overlapping low-IoU anchors + all anchors without any overlap, capped by hash order

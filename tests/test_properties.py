@@ -117,3 +117,58 @@ def test_knn_euclidean_brute_force(spark, small_dir):
     for qid in range(20):
         d = sorted((float(np.sqrt(((vecs[qid] - v) ** 2).sum())), rid) for rid, v in vecs.items())[:4]
         assert [got[(qid, k + 1)] for k in range(4)] == [rid for _, rid in d]
+
+
+def _np_iou(b, a):
+    iy = np.maximum(b[0], a[:, 0]); ix = np.maximum(b[1], a[:, 1])
+    ey = np.minimum(b[2], a[:, 2]); ex = np.minimum(b[3], a[:, 3])
+    inter = np.maximum(ey - iy, 0) * np.maximum(ex - ix, 0)
+    union = (b[2] - b[0]) * (b[3] - b[1]) + (a[:, 2] - a[:, 0]) * (a[:, 3] - a[:, 1]) - inter
+    return inter / union
+
+
+def test_label_anchors_matches_dense_rule(spark):
+    """Every anchor x gt IoU computed densely: argmax anchor of each gt and IoU >= 0.7 are
+    positive, IoU < 0.3 without a crowd hit negative; deltas to the argmax gt / std devs."""
+    from tessera.operators import boxes as B
+    rng = np.random.default_rng(3)
+    anchors = []
+    for aid, (y, x, s) in enumerate(itertools.product(range(0, 64, 8), range(0, 64, 8), (8, 16))):
+        anchors.append((aid, float(y), float(x), float(y + s), float(x + s)))
+    A = np.array([a[1:] for a in anchors])
+    gts = []
+    for img in (1, 2):
+        for g in range(4):
+            y, x = rng.integers(0, 48, 2)
+            h, w = rng.integers(6, 20, 2)
+            gts.append((img, g, 1 if (img, g) != (2, 3) else -1, float(y), float(x), float(y + h), float(x + w)))
+    a_df = spark.createDataFrame(anchors, "anchor_id long, y1 double, x1 double, y2 double, x2 double")
+    g_df = spark.createDataFrame(gts, "image_id long, gt_id int, class_id int, y1 double, x1 double, y2 double, x2 double")
+    imgs = spark.createDataFrame([(1,), (2,)], "image_id long")
+    out = B.label_anchors(a_df, g_df, imgs, per_image=10_000, seed=1, cell=16)
+    got = {(r.image_id, r.anchor_id): r for r in out.collect()}
+    for img in (1, 2):
+        real = [g for g in gts if g[0] == img and g[2] > 0]
+        crowd = [g for g in gts if g[0] == img and g[2] < 0]
+        ov = np.stack([_np_iou(np.array(g[3:]), A) for g in real], axis=1)  # anchors x gts
+        crowd_max = np.max(np.stack([_np_iou(np.array(g[3:]), A) for g in crowd], axis=1), axis=1) \
+            if crowd else np.zeros(len(A))
+        match = np.zeros(len(A), int)
+        amax = ov.max(axis=1)
+        match[(amax < 0.3) & (crowd_max < 0.001)] = -1
+        match[np.argmax(ov, axis=0)] = 1
+        match[amax >= 0.7] = 1
+        for i in range(len(A)):
+            r = got.get((img, i))
+            if match[i] == 0:
+                assert r is None
+                continue
+            assert r is not None and r.match == match[i], (img, i)
+            if match[i] == 1:
+                g = np.array(real[int(np.argmax(ov[i]))][3:])
+                a = A[i]
+                h, w = a[2] - a[0], a[3] - a[1]
+                gh, gw = g[2] - g[0], g[3] - g[1]
+                exp = [((g[0] + 0.5 * gh) - (a[0] + 0.5 * h)) / h / 0.1, ((g[1] + 0.5 * gw) - (a[1] + 0.5 * w)) / w / 0.1,
+                       math.log(gh / h) / 0.2, math.log(gw / w) / 0.2]
+                assert np.allclose([r.dy, r.dx, r.dh, r.dw], exp, atol=1e-9), (img, i)
