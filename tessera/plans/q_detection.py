@@ -374,7 +374,12 @@ def q_training_rois(spark, sf_dir):
     return finish(B.sample_training_rois(rois, gt, per_image=16, seed=5))
 
 
-@register("confident_nonempty")
+@register("confident_nonempty", f"""
+WITH {BOX_SQL}, {_RUNS_SQL},
+ne AS (SELECT image_id, instance_id FROM pruns GROUP BY image_id, instance_id HAVING sum(length) > 0)
+SELECT p.image_id, p.pred_id AS instance_id, p.class_id, p.score, p.y1, p.x1, p.y2, p.x2
+FROM pred p SEMI JOIN ne ON ne.image_id = p.image_id AND ne.instance_id = p.pred_id
+WHERE p.class_id > 0 AND p.score >= 0.05""")
 def q_confident_nonempty(spark, sf_dir):
     """P14 + P17: confident predictions whose mask has pixels."""
     p = confidence_filter(S.pred_boxes(spark, sf_dir), 0.05)
