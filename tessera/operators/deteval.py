@@ -74,10 +74,15 @@ def nms_keep_mask(y1, x1, y2, x2, scores, ids, thr: float) -> np.ndarray:
 
 
 def non_max_suppression(df: DataFrame, thr: float, id_col: str, by=("image_id",), score: str = "score",
-                        max_out: int | None = None) -> DataFrame:
-    """Greedy NMS per group (D4); returns the kept rows, optionally the best ``max_out`` per group."""
+                        max_out: int | None = None, max_group_rows: int = 20_000, cell: float = 32) -> DataFrame:
+    """Greedy NMS per group (D4); returns the kept rows, optionally the best ``max_out`` per group.
+
+    Groups up to ``max_group_rows`` boxes (the normal case: detections per image) run whole
+    in one vectorised pandas call, many groups per call. Larger groups are never gathered:
+    they go through ``_nms_rounds``, an exact distributed form of the same greedy. ``cell``
+    is the grid size of the pair join in the boxes' own units (pixels, or a fraction for
+    normalised boxes)."""
     by = list(by)
-    cols = df.columns
     schema = df.schema
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -95,12 +100,58 @@ def non_max_suppression(df: DataFrame, thr: float, id_col: str, by=("image_id",)
             keep[a:b] = nms_keep_mask(y1[a:b], x1[a:b], y2[a:b], x2[a:b], sc[a:b], ids[a:b], thr)
         return pdf[keep]
 
-    kept = apply_per_key(df, by, run, schema)
+    big = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).select(*by)
+    if big.isEmpty():
+        kept = apply_per_key(df, by, run, schema)
+    else:
+        kept = apply_per_key(df.join(big, by, "left_anti"), by, run, schema).unionByName(
+            _nms_rounds(df.join(big, by, "left_semi"), thr, id_col, by, score, cell))
     if max_out:
         kept = top_k_per_group(kept, by, score, max_out, tie_break=[id_col])
     return kept
 
 
+def _nms_rounds(df: DataFrame, thr: float, id_col: str, by, score: str, cell: float) -> DataFrame:
+    """Exact greedy NMS as rounds of joins, for groups too large for one task.
+
+    Suppression edges hi -> lo join boxes that overlap with IoU > thr, hi first in greedy
+    order (higher score, then smaller id); only overlapping pairs are formed (grid-cell
+    join). Each round keeps every undecided box without an undecided box before it on an
+    edge: all boxes before it are decided and none is kept (else it would be suppressed), so
+    greedy keeps it too. Boxes suppressed by them are dropped; the rest go to the next
+    round. Every round decides at least the first undecided box of each group."""
+    from tessera.session import cut_lineage
+    keys = [*by, id_col]
+    boxes = df.select(*keys, score, "y1", "x1", "y2", "x2")
+    pairs = iou_join(boxes, boxes, id_col, id_col, image=by, cell=cell, a_cols=(score,), b_cols=(score,),
+                     a_prefix="h_", b_prefix="l_")
+    hs, ls, hid, lid = (F.col(c) for c in (f"h_{score}", f"l_{score}", f"h_{id_col}", f"l_{id_col}"))
+    before = (hs > ls) | ((hs == ls) & (hid < lid))
+    edges = cut_lineage(pairs.filter(before & (F.col("iou") > F.lit(thr)))
+                        .select(*by, hid.alias("_hi"), lid.alias("_lo")))
+    und = cut_lineage(boxes.select(*keys))
+    kept = None
+
+    def as_(d, name):
+        return d.withColumnRenamed(id_col, name)
+    while not und.isEmpty():
+        blocked = edges.join(as_(und, "_hi"), [*by, "_hi"], "left_semi").select(*by, F.col("_lo").alias(id_col))
+        new = cut_lineage(und.join(blocked, keys, "left_anti"))
+        kept = new if kept is None else kept.unionByName(new)
+        gone = edges.join(as_(new, "_hi"), [*by, "_hi"], "left_semi").select(*by, F.col("_lo").alias(id_col))
+        und = cut_lineage(und.join(new, keys, "left_anti").join(gone, keys, "left_anti"))
+        edges = cut_lineage(edges.join(as_(und, "_hi"), [*by, "_hi"], "left_semi")
+                            .join(as_(und, "_lo"), [*by, "_lo"], "left_semi"))
+    if kept is None:
+        return df.limit(0)
+    return df.join(kept, keys, "left_semi")
+
+
+def _window_cell(window) -> float:
+    """Pair-join grid cell in the window's units: an eighth of its larger side."""
+    return max(float(window[2]) - float(window[0]), float(window[3]) - float(window[1])) / 8
+
+
 def propose(anchors_scored: DataFrame, window=(0.0, 0.0, 1.0, 1.0), pre_nms: int = 6000, nms_thr: float = 0.7,
             post_nms: int = 1000, std=(0.1, 0.1, 0.2, 0.2)) -> DataFrame:
     """Region proposals (D7): best pre_nms anchors per image by score, deltas applied (std
@@ -110,7 +161,7 @@ def propose(anchors_scored: DataFrame, window=(0.0, 0.0, 1.0, 1.0), pre_nms: int
     win = tuple(F.lit(float(v)) for v in window)
     moved = apply_deltas_clip(top, [F.col(c) for c in ("dy", "dx", "dh", "dw")], win, std=std)
     moved = moved.select("image_id", "anchor_id", "score", "y1", "x1", "y2", "x2")
-    return non_max_suppression(moved, nms_thr, "anchor_id", max_out=post_nms)
+    return non_max_suppression(moved, nms_thr, "anchor_id", max_out=post_nms, cell=_window_cell(window))
 
 
 def refine_detections(class_rows: DataFrame, window, min_conf: float = 0.7, nms_thr: float = 0.3,
@@ -127,7 +178,7 @@ def refine_detections(class_rows: DataFrame, window, min_conf: float = 0.7, nms_
     ref = apply_deltas_clip(b, [F.col(c) for c in ("dy", "dx", "dh", "dw")], win, std=BBOX_STD)
     ref = ref.filter((F.col("class_id") > 0) & (F.col("score") >= min_conf)) \
              .select("image_id", "roi_id", "class_id", "score", "y1", "x1", "y2", "x2")
-    kept = non_max_suppression(ref, nms_thr, "roi_id", by=("image_id", "class_id"))
+    kept = non_max_suppression(ref, nms_thr, "roi_id", by=("image_id", "class_id"), cell=_window_cell(window))
     return top_k_per_group(kept, ["image_id"], "score", max_inst, tie_break=["roi_id"])
 
 

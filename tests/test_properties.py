@@ -172,3 +172,20 @@ def test_label_anchors_matches_dense_rule(spark):
                 exp = [((g[0] + 0.5 * gh) - (a[0] + 0.5 * h)) / h / 0.1, ((g[1] + 0.5 * gw) - (a[1] + 0.5 * w)) / w / 0.1,
                        math.log(gh / h) / 0.2, math.log(gw / w) / 0.2]
                 assert np.allclose([r.dy, r.dx, r.dh, r.dw], exp, atol=1e-9), (img, i)
+
+
+def test_nms_rounds_equal_per_image_greedy(spark, small_dir):
+    """The distributed rounds path (forced for every group) keeps exactly what the
+    per-image greedy keeps, per image and per (image, class)."""
+    pred = S.pred_boxes(spark, small_dir)
+    for by in (("image_id",), ("image_id", "class_id")):
+        a = {(r.image_id, r.pred_id) for r in D.non_max_suppression(pred, 0.3, "pred_id", by=by).collect()}
+        b = {(r.image_id, r.pred_id) for r in
+             D.non_max_suppression(pred, 0.3, "pred_id", by=by, max_group_rows=0).collect()}
+        assert a == b and len(a) > 0
+    # a long chain in one group: every box overlaps the next one, scores fall along it
+    rows = [(1, i, 1.0 - i * 0.001, 0.0, float(i), 10.0, float(i) + 10.0) for i in range(40)]
+    chain = spark.createDataFrame(rows, "image_id long, pred_id int, score double, y1 double, x1 double, y2 double, x2 double")
+    a = sorted(r.pred_id for r in D.non_max_suppression(chain, 0.5, "pred_id").collect())
+    b = sorted(r.pred_id for r in D.non_max_suppression(chain, 0.5, "pred_id", max_group_rows=0, cell=8).collect())
+    assert a == b
