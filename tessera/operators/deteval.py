@@ -206,7 +206,7 @@ def greedy_match(pairs: pd.DataFrame, thr: float | None, min_overlap: float = 0.
 
 
 def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overlap: float = 0.0,
-                     cell: int = 32, thresholds=None) -> DataFrame:
+                     cell: int = 32, thresholds=None, max_group_rows: int = 200_000) -> DataFrame:
     """Greedy matching per image (D10): (image_id, [iou_thr,] pred_id, gt_id, iou) for matched
     predictions. Only overlapping pairs reach the per-image step. ``thresholds`` evaluates
     several IoU thresholds in one pass (grouped by image and threshold)."""
@@ -227,10 +227,48 @@ def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overl
 
     schema = f"image_id {dict(pred.dtypes)['image_id']}, iou_thr double, pred_id {dict(pred.dtypes)['pred_id']}, " \
              f"gt_id {dict(gt.dtypes)['gt_id']}, iou double"
-    out = apply_per_key(pairs, ["image_id", "iou_thr"], run, schema)
+    g = ["image_id", "iou_thr"]
+    big = pairs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).select(*g)
+    if big.isEmpty():
+        out = apply_per_key(pairs, g, run, schema)
+    else:
+        # groups with more candidate pairs than one task should hold are matched in rounds
+        names = [f.split()[0] for f in schema.split(", ")]
+        out = apply_per_key(pairs.join(big, g, "left_anti"), g, run, schema).unionByName(
+            _match_rounds(pairs.join(big, g, "left_semi"), min_overlap).select(*names))
     return out if thresholds is not None else out.drop("iou_thr")
 
 
+def _match_rounds(pairs: DataFrame, min_overlap: float = 0.0) -> DataFrame:
+    """Exact greedy matching as rounds of aggregations, for groups too large for one task.
+
+    The greedy takes candidate pairs in one total order (prediction score desc, prediction
+    id, IoU desc, gt id) and keeps a pair when both ends are free. A pair that comes first
+    among all pairs sharing its prediction or its gt is kept by that greedy, so each round
+    keeps all such pairs (two partial aggregations), drops every pair touching a kept end,
+    and repeats. Each round keeps at least the first pair of every group."""
+    from tessera.session import cut_lineage
+    g = ["image_id", "iou_thr"]
+    e = cut_lineage(pairs.filter((F.col("iou") >= F.col("iou_thr")) & (F.col("iou") >= F.lit(min_overlap))
+                                 & (F.col("pred_class") == F.col("gt_class")))
+                    .select(*g, "pred_id", "gt_id", "score", "iou"))
+    matched = None
+    while not e.isEmpty():
+        best_gt = e.groupBy(*g, "pred_id").agg(
+            F.max_by("gt_id", F.struct(F.col("iou"), -F.col("gt_id"))).alias("gt_id"))
+        best_pred = e.groupBy(*g, "gt_id").agg(
+            F.max_by("pred_id", F.struct(F.col("score"), -F.col("pred_id"))).alias("pred_id"))
+        new = cut_lineage(e.join(best_gt, [*g, "pred_id", "gt_id"], "left_semi")
+                          .join(best_pred, [*g, "pred_id", "gt_id"], "left_semi")
+                          .select(*g, "pred_id", "gt_id", "iou"))
+        matched = new if matched is None else matched.unionByName(new)
+        e = cut_lineage(e.join(new.select(*g, "pred_id"), [*g, "pred_id"], "left_anti")
+                        .join(new.select(*g, "gt_id"), [*g, "gt_id"], "left_anti"))
+    if matched is None:
+        return e.select(*g, "pred_id", "gt_id", "iou")
+    return matched
+
+
 def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame) -> DataFrame:
     """AP per image at one threshold (D11, with W4-W7: rank by score per image, running precision / recall, precision envelope W5): predictions in score order (ties:
     smaller id), running precision and recall, precision envelope from the right, sum of

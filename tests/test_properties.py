@@ -189,3 +189,22 @@ def test_nms_rounds_equal_per_image_greedy(spark, small_dir):
     a = sorted(r.pred_id for r in D.non_max_suppression(chain, 0.5, "pred_id").collect())
     b = sorted(r.pred_id for r in D.non_max_suppression(chain, 0.5, "pred_id", max_group_rows=0, cell=8).collect())
     assert a == b
+
+
+def test_match_rounds_equal_per_image_greedy(spark, small_dir):
+    """Matching in rounds (forced for every group) equals the per-image greedy, at one and at
+    several IoU thresholds."""
+    pred, gt = S.pred_boxes(spark, small_dir), S.gt_boxes(spark, small_dir)
+    for kw in ({"thr": 0.5}, {"thresholds": [0.3, 0.5, 0.7]}):
+        a = sorted(tuple(r) for r in D.match_detections(pred, gt, **kw).collect())
+        b = sorted(tuple(r) for r in D.match_detections(pred, gt, max_group_rows=0, **kw).collect())
+        assert a == b and len(a) > 0
+    # one crowded image: every prediction overlaps every gt, scores and IoUs interleave
+    P = [(1, i, 1, 1.0 - 0.01 * (i % 5), 0.0, 0.0, 20.0 + i, 20.0) for i in range(12)]
+    G = [(1, j, 1, 0.0, 0.0, 18.0 + 2 * j, 20.0) for j in range(8)]
+    sch = "image_id long, {} int, class_id int, {}y1 double, x1 double, y2 double, x2 double"
+    p = spark.createDataFrame(P, sch.format("pred_id", "score double, "))
+    q = spark.createDataFrame(G, sch.format("gt_id", ""))
+    a = sorted(tuple(r) for r in D.match_detections(p, q, 0.5).collect())
+    b = sorted(tuple(r) for r in D.match_detections(p, q, 0.5, max_group_rows=0).collect())
+    assert a == b and len(a) == 8
