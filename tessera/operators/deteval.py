@@ -228,14 +228,17 @@ def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overl
     schema = f"image_id {dict(pred.dtypes)['image_id']}, iou_thr double, pred_id {dict(pred.dtypes)['pred_id']}, " \
              f"gt_id {dict(gt.dtypes)['gt_id']}, iou double"
     g = ["image_id", "iou_thr"]
-    big = pairs.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).select(*g)
+    # Pairs of an image never exceed n_pred x n_gt: two box counts bound every group
+    # without forming the pairs twice. Images over the bound are matched in rounds.
+    n_p = pred.groupBy("image_id").agg(F.count(F.lit(1)).alias("_np"))
+    n_g = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("_ng"))
+    big = n_p.join(n_g, "image_id").filter(F.col("_np") * F.col("_ng") > F.lit(max_group_rows)).select("image_id")
     if big.isEmpty():
         out = apply_per_key(pairs, g, run, schema)
     else:
-        # groups with more candidate pairs than one task should hold are matched in rounds
         names = [f.split()[0] for f in schema.split(", ")]
-        out = apply_per_key(pairs.join(big, g, "left_anti"), g, run, schema).unionByName(
-            _match_rounds(pairs.join(big, g, "left_semi"), min_overlap).select(*names))
+        out = apply_per_key(pairs.join(big, "image_id", "left_anti"), g, run, schema).unionByName(
+            _match_rounds(pairs.join(big, "image_id", "left_semi"), min_overlap).select(*names))
     return out if thresholds is not None else out.drop("iou_thr")
 
 
