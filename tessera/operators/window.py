@@ -41,9 +41,19 @@ def ordered_concat(df: DataFrame, key, order, text: str, sep: str = " ", row_id:
 
 
 def first_per_key(df: DataFrame, key, order) -> DataFrame:
-    """First row of each key in an explicit total order."""
-    w = Window.partitionBy(*_cols(key)).orderBy(*_cols(order))
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """First row of each key in an explicit total order, ascending.
+
+    ``min_by`` over the order columns instead of a window: the aggregate combines map-side,
+    so a hot key never sends all its rows to one task."""
+    keys = _cols(key)
+    ords = _cols(order)
+    if not all(isinstance(c, str) for c in ords):  # ordering expressions (desc, nulls last): window
+        w = Window.partitionBy(*keys).orderBy(*ords)
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    rest = [c for c in df.columns if c not in keys]
+    best = F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in ords])).alias("_b")
+    out = df.groupBy(*keys).agg(best)
+    return out.select(*[F.col(c) if c in keys else F.col("_b")[c].alias(c) for c in df.columns])
 
 
 def argmax_of_columns(cols) -> Column:
