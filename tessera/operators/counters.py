@@ -122,7 +122,8 @@ def key_tokens(long: DataFrame, key: str, offset: int = 1, piece_keys: int = 100
     """Non-zero key ids (+offset) of each user as space-joined text (F11), ascending by id.
     Output (key, piece, tokens): at most ``piece_keys`` ids per piece."""
     nz = long.filter(F.col("value") != 0).select(key, (F.col("key").cast("long") + offset).alias("_id")).distinct()
-    w = Window.partitionBy(key).orderBy("_id")
-    numbered = nz.withColumn("_piece", ((F.row_number().over(w) - 1) / piece_keys).cast("long"))
+    from tessera.operators.ranks import row_number_by_key
+    numbered = row_number_by_key(nz, [key], ["_id"], "_rn") \
+        .withColumn("_piece", (F.col("_rn") / piece_keys).cast("long"))
     return numbered.groupBy(key, F.col("_piece").alias("piece")).agg(
         F.array_join(F.array_sort(F.collect_list("_id")), " ").alias("tokens"))

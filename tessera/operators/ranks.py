@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 __all__ = ["bucket_splits", "add_bucket", "prefix_sums", "average_rank", "dense_rank_global",
-           "row_number_global"]
+           "row_number_global", "row_number_by_key"]
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -91,13 +91,20 @@ def dense_rank_global(df: DataFrame, col: str, out: str, n_buckets: int | None =
     return df.join(ranked.select(col, (F.col("_one_before") + 1).alias(out)), col, "left")
 
 
-def row_number_global(df: DataFrame, order_cols, out: str = "row_idx") -> DataFrame:
-    """0-based position in a total order, distributed (zipWithIndex over a sorted frame).
+def row_number_by_key(df: DataFrame, keys, order_cols, out: str = "row_idx", n_buckets: int | None = None) -> DataFrame:
+    """0-based position of each row inside its key (the whole table when ``keys`` is empty)
+    in a total order of ``order_cols`` (include a unique column). Exact, all on the JVM.
 
-    The order must be total (include a unique key) so that the result is repeatable.
-    """
+    No key is gathered into one task: rows are cut into contiguous ranges of the order
+    (a hot key spans many ranges), each range is numbered by a window, and each
+    (key, range) gets its offset from the (key x range) totals (``prefix_sums``)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
-    srt = df.orderBy(*order_cols)
-    schema = srt.schema.add(out, "long")
-    rdd = srt.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    t = df.withColumns({"_ord": F.struct(*[F.col(c) for c in order_cols]), "_one": F.lit(1)})
+    r = prefix_sums(t, "_ord", "_one", n_buckets, partition_cols=keys)
+    return r.select(*df.columns, F.col("_one_before").cast("long").alias(out))
+
+
+def row_number_global(df: DataFrame, order_cols, out: str = "row_idx") -> DataFrame:
+    """0-based position in a total order over the whole table (``row_number_by_key`` without keys)."""
+    return row_number_by_key(df, [], order_cols, out)

@@ -1,10 +1,9 @@
 """Window-style operators, sorts and limits.
 
-Per-key ordering uses ``Window.partitionBy(key)``: Spark sorts each shuffle
-partition and streams the frame, so a hot key spills instead of being held in
-memory. Operators that build one value out of a whole group (W1, W13) emit it
-in pieces of at most ``piece_rows`` rows, so no single aggregate buffer grows
-with the hottest key.
+Row numbers inside a key come from ``ranks.row_number_by_key``: rows are cut into
+ranges of the order, so a hot key is numbered by many tasks, never one. Operators
+that build one value out of a whole group (W1, W13) emit it in pieces of at most
+``piece_rows`` rows, so no single aggregate buffer grows with the hottest key.
 """
 
 from __future__ import annotations
@@ -30,10 +29,10 @@ def ordered_concat(df: DataFrame, key, order, text: str, sep: str = " ", row_id:
                    piece_rows: int = 100000, out: str = "text") -> DataFrame:
     """A key's texts joined in ascending order (W1). Output (key..., piece, text): piece 0, 1, ...
     each hold up to ``piece_rows`` consecutive rows; most keys have one piece."""
+    from tessera.operators.ranks import row_number_by_key
     keys = _cols(key)
     ords = _cols(order) + ([row_id] if row_id else [])
-    w = Window.partitionBy(*keys).orderBy(*ords)
-    numbered = df.select(*keys, *ords, text, (F.row_number().over(w) - 1).alias("_rn"))
+    numbered = row_number_by_key(df.select(*keys, *ords, text), keys, ords, "_rn")
     piece = (F.col("_rn") / F.lit(piece_rows)).cast("long")
     grouped = numbered.groupBy(*keys, piece.alias("piece")).agg(
         F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col(text).alias("_t")))).alias("_xs"))
@@ -64,18 +63,16 @@ def argmax_of_columns(cols) -> Column:
 
 def row_index(df: DataFrame, order, partition=None, out: str = "row_idx") -> DataFrame:
     """Running row number (0-based) over an explicit order, per partition key if given."""
-    w = Window.partitionBy(*_cols(partition)).orderBy(*_cols(order)) if partition else None
-    if w is None:
-        from tessera.operators.ranks import row_number_global
-        return row_number_global(df, _cols(order), out)
-    return df.withColumn(out, F.row_number().over(w) - 1)
+    from tessera.operators.ranks import row_number_by_key
+    return row_number_by_key(df, _cols(partition) if partition else [], _cols(order), out)
 
 
 def rows_by_key(df: DataFrame, key, order, piece_rows: int = 100000) -> DataFrame:
     """Row numbers of each key as arrays, in pieces of at most ``piece_rows``."""
+    from tessera.operators.ranks import row_number_by_key
     keys = _cols(key)
-    w = Window.partitionBy(*keys).orderBy(*_cols(order))
-    n = df.select(*keys, (F.row_number().over(w) - 1).alias("_rn"))
+    ords = _cols(order)
+    n = row_number_by_key(df.select(*keys, *ords), keys, ords, "_rn").select(*keys, "_rn")
     return n.groupBy(*keys, (F.col("_rn") / piece_rows).cast("long").alias("piece")) \
             .agg(F.array_sort(F.collect_list("_rn")).alias("rows"))
 

@@ -208,3 +208,25 @@ def test_match_rounds_equal_per_image_greedy(spark, small_dir):
     a = sorted(tuple(r) for r in D.match_detections(p, q, 0.5).collect())
     b = sorted(tuple(r) for r in D.match_detections(p, q, 0.5, max_group_rows=0).collect())
     assert a == b and len(a) == 8
+
+
+def test_row_number_by_key_on_a_hot_key(spark):
+    """Per-key and global row numbers equal a window's, when one key holds most rows."""
+    from pyspark.sql import Window
+    from tessera.operators.ranks import row_number_by_key
+    from tessera.operators.window import ordered_concat, rows_by_key
+    df = spark.range(3000).select(F.when(F.col("id") % 10 < 7, F.lit(0)).otherwise(F.col("id") % 13).alias("k"),
+                                  F.pmod(F.xxhash64("id"), F.lit(97)).alias("t"), F.col("id"))
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")) - 1)
+    got = row_number_by_key(df, ["k"], ["t", "id"], "rn", n_buckets=7)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    g_want = df.withColumn("rn", F.row_number().over(Window.orderBy("t", "id")) - 1)
+    g_got = row_number_by_key(df, [], ["t", "id"], "rn", n_buckets=5)
+    assert g_got.exceptAll(g_want).count() == 0 and g_got.count() == 3000
+    # pieces of the hot key are consecutive runs of its order
+    txt = df.withColumn("s", F.col("id").cast("string"))
+    pieces = {(r.k, r.piece): r.text for r in ordered_concat(txt, "k", "t", "s", row_id="id", piece_rows=500).collect()}
+    hot = [str(r.id) for r in df.filter("k = 0").orderBy("t", "id").collect()]
+    assert " ".join(pieces[(0, p)] for p in range(len(hot) // 500 + 1) if (0, p) in pieces) == " ".join(hot)
+    rows = rows_by_key(df, "k", ["t", "id"], piece_rows=1000).filter("k = 0").orderBy("piece").collect()
+    assert [x for r in rows for x in r.rows] == list(range(len(hot)))
