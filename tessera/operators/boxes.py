@@ -174,7 +174,7 @@ def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_imag
     neg_overlap = lab.filter(F.col("match") == -1).select("image_id", "anchor_id")
     free = _untouched_anchors(images, anchors, touched, per_image, seed)
     neg = neg_overlap.unionByName(free).join(n_pos, "image_id", "left").fillna(0, subset=["_np"])
-    neg = cap_per_group(neg, ["image_id"], F.lit(per_image) - F.col("_np"), seed + 1, ["anchor_id"])
+    neg = cap_per_group(neg, ["image_id"], F.lit(per_image) - F.col("_np"), seed + 1, ["anchor_id"], max_n=per_image)
     d = box_refinement(tuple(F.col(f"a.{c}") for c in ("y1", "x1", "y2", "x2")),
                        tuple(F.col(f"g.{c}") for c in ("y1", "x1", "y2", "x2")), std=RPN_STD)
     pos_out = pos.select("image_id", "anchor_id", F.lit(1).alias("match"), *d)
@@ -225,7 +225,9 @@ def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, p
     negs = r.filter(F.col("max_iou") < pos_thr).join(crowd, ["image_id", "roi_id"], "left_anti") \
             .join(n_pos, "image_id", "left").fillna(0, subset=["_np"])
     cap = F.floor(F.col("_np") * (1.0 / pos_frac - 1.0)).cast("int")
-    negs = cap_per_group(negs, ["image_id"], cap, seed + 1, ["roi_id"])
+    max_pos = int(per_image * pos_frac)  # n_pos never exceeds it, so neither does cap
+    negs = cap_per_group(negs, ["image_id"], cap, seed + 1, ["roi_id"],
+                         max_n=int(math.floor(max_pos * (1.0 / pos_frac - 1.0))))
     d = box_refinement(tuple(F.col(c) for c in ("y1", "x1", "y2", "x2")),
                        tuple(F.col(f"g.{c}") for c in ("y1", "x1", "y2", "x2")), std=BBOX_STD)
     p = pos.select("image_id", "roi_id", F.col("g.class_id").alias("class_id"), *d)

@@ -94,11 +94,17 @@ def top_k_per_group(df: DataFrame, group, score: str, k: int, tie_break=None) ->
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 
-def cap_per_group(df: DataFrame, group, n, seed: int, id_cols) -> DataFrame:
-    """Repeatable random cap of ``n`` rows per group (T4); ``n`` may be a column."""
+def cap_per_group(df: DataFrame, group, n, seed: int, id_cols, max_n: int | None = None) -> DataFrame:
+    """Repeatable random cap of ``n`` rows per group (T4); ``n`` may be a column, then
+    ``max_n`` (a literal bound of it) lets Spark cut each group to ``max_n`` rows on the map
+    side before the shuffle (window group limit), as it does for a literal ``n``."""
     w = Window.partitionBy(*_cols(group)).orderBy(hash_order(seed, *_cols(id_cols)), *_cols(id_cols))
-    cap = n if isinstance(n, Column) else F.lit(n)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).drop("_rn")
+    numbered = df.withColumn("_rn", F.row_number().over(w))
+    if isinstance(n, Column):
+        if max_n is not None:
+            numbered = numbered.filter(F.col("_rn") <= F.lit(int(max_n)))
+        return numbered.filter(F.col("_rn") <= n).drop("_rn")
+    return numbered.filter(F.col("_rn") <= F.lit(n)).drop("_rn")
 
 
 def pad_or_truncate(arr, n: int, pad=0) -> Column:
