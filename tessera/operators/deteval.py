@@ -272,7 +272,7 @@ def _match_rounds(pairs: DataFrame, min_overlap: float = 0.0) -> DataFrame:
     return matched
 
 
-def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame) -> DataFrame:
+def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame, max_group_rows: int = 100_000) -> DataFrame:
     """AP per image at one threshold (D11, with W4-W7: rank by score per image, running precision / recall, precision envelope W5): predictions in score order (ties:
     smaller id), running precision and recall, precision envelope from the right, sum of
     recall steps x envelope. No predictions -> 0; no gt -> null."""
@@ -280,24 +280,48 @@ def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame) -> Dat
     scored = pred.select("image_id", "pred_id", "score").join(flag, ["image_id", "pred_id"], "left") \
                  .fillna(0, subset=["tp"])
     n_gt = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    ap = _ap_core(scored, n_gt, ["image_id"])
+    ap = _ap_core(scored, n_gt, ["image_id"], pred, max_group_rows)
     images = pred.select("image_id").union(gt.select("image_id")).distinct()
     out = images.join(n_gt, "image_id", "left").join(ap, "image_id", "left")
     return out.select("image_id", F.when(F.col("n_gt").isNull(), F.lit(None).cast("double"))
                       .otherwise(F.coalesce(F.col("ap"), F.lit(0.0))).alias("ap"))
 
 
-def _ap_core(scored: DataFrame, gt_counts: DataFrame, k) -> DataFrame:
+def _ap_core(scored: DataFrame, gt_counts: DataFrame, k, pred: DataFrame,
+             max_group_rows: int = 100_000) -> DataFrame:
+    """AP per group k: sum over true positives of the precision envelope, over n_gt.
+
+    Predictions in score order (ties: smaller id); the recall step at a true positive is
+    1 / n_gt, so AP = sum(tp * envelope) / n_gt. Images with up to ``max_group_rows``
+    predictions use per-image windows; larger ones use bucketed prefix sums / suffix maxima
+    (``_ap_bucketed``), so no image is gathered into one task."""
+    big = pred.groupBy("image_id").agg(F.count(F.lit(1)).alias("_n")) \
+              .filter(F.col("_n") > max_group_rows).select("image_id")
+    if big.isEmpty():
+        return _ap_window(scored, gt_counts, k)
+    return _ap_window(scored.join(big, "image_id", "left_anti"), gt_counts, k).unionByName(
+        _ap_bucketed(scored.join(big, "image_id", "left_semi"), gt_counts, k))
+
+
+def _ap_window(scored: DataFrame, gt_counts: DataFrame, k) -> DataFrame:
     w = Window.partitionBy(*k).orderBy(F.desc("score"), "pred_id")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     c = scored.withColumns({"_rank": F.row_number().over(w), "_ctp": F.sum("tp").over(run)})
+    c = c.withColumn("precision", F.col("_ctp") / F.col("_rank"))
+    c = c.withColumn("_env", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)))
     c = c.join(gt_counts, "image_id", "inner")
-    c = c.withColumns({"precision": F.col("_ctp") / F.col("_rank"),
-                       "recall": F.try_divide(F.col("_ctp").cast("double"), F.col("n_gt").cast("double"))})
-    env = F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing))
-    prev = F.coalesce(F.lag("recall").over(w), F.lit(0.0))
-    c = c.withColumns({"_env": env, "_step": F.col("recall") - prev})
-    return c.groupBy(*k).agg(F.sum(F.col("_step") * F.col("_env")).alias("ap"))
+    return c.groupBy(*k).agg((F.sum(F.col("tp") * F.col("_env")) / F.max("n_gt")).alias("ap"))
+
+
+def _ap_bucketed(scored: DataFrame, gt_counts: DataFrame, k) -> DataFrame:
+    from tessera.operators.ranks import prefix_sums, suffix_max
+    t = scored.select(*k, "pred_id", F.col("tp").cast("long").alias("tp"), F.lit(1).alias("_one"),
+                      F.struct((-F.col("score")).alias("s"), F.col("pred_id").alias("p")).alias("_ord"))
+    t = prefix_sums(t, "_ord", ["tp", "_one"], partition_cols=k)
+    t = t.withColumn("precision", (F.col("tp_before") + F.col("tp")) / (F.col("_one_before") + 1))
+    t = suffix_max(t, "_ord", "precision", "_env", partition_cols=k)
+    t = t.join(gt_counts, "image_id", "inner")
+    return t.groupBy(*k).agg((F.sum(F.col("tp") * F.col("_env")) / F.max("n_gt")).alias("ap"))
 
 
 def ap_range(pred: DataFrame, gt: DataFrame, thresholds=None, cell: int = 32) -> DataFrame:
@@ -313,7 +337,7 @@ def ap_range(pred: DataFrame, gt: DataFrame, thresholds=None, cell: int = 32) ->
     flag = m.select("image_id", "iou_thr", "pred_id").withColumn("tp", F.lit(1))
     scored = pred.select("image_id", "pred_id", "score", F.explode(thr_arr).alias("iou_thr")) \
                  .join(flag, ["image_id", "iou_thr", "pred_id"], "left").fillna(0, subset=["tp"])
-    ap = _ap_core(scored, n_gt, ["image_id", "iou_thr"])
+    ap = _ap_core(scored, n_gt, ["image_id", "iou_thr"], pred)
     out = img_thr.join(n_gt, "image_id", "left").join(ap, ["image_id", "iou_thr"], "left")
     out = out.withColumn("ap", F.when(F.col("n_gt").isNull(), F.lit(None).cast("double"))
                          .otherwise(F.coalesce(F.col("ap"), F.lit(0.0))))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 __all__ = ["bucket_splits", "add_bucket", "prefix_sums", "average_rank", "dense_rank_global",
-           "row_number_global", "row_number_by_key"]
+           "row_number_global", "row_number_by_key", "suffix_max"]
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -75,6 +75,28 @@ def prefix_sums(t: DataFrame, order_col: str, weight_cols, n_buckets: int | None
                                     for w in weight_cols])
 
 
+def suffix_max(t: DataFrame, order_col: str, value: str, out: str, partition_cols=(),
+               n_buckets: int | None = None) -> DataFrame:
+    """For a table with UNIQUE ``(partition_cols, order_col)`` values, add ``out`` = max of
+    ``value`` over the rows of the same partition at or after this row. Exact, distributed
+    like ``prefix_sums``: range maxima per bucket, a bounded suffix max over buckets, and a
+    window inside each bucket."""
+    from pyspark.sql import types as T
+    parts = list(partition_cols)
+    n_buckets = n_buckets or _default_buckets(t)
+    if isinstance(t.schema[order_col].dataType, T.NumericType):
+        tb = add_bucket(t, order_col, bucket_splits(t, order_col, n_buckets))
+    else:
+        tb = _range_bucket(t, order_col, n_buckets)
+    bmax = tb.groupBy(*parts, "_bucket").agg(F.max(value).alias("_bmax"))
+    wb = (Window.partitionBy(*parts) if parts else Window).orderBy("_bucket") \
+        .rowsBetween(1, Window.unboundedFollowing)
+    later = bmax.select(*parts, "_bucket", F.max("_bmax").over(wb).alias("_later"))
+    wi = Window.partitionBy(*parts, "_bucket").orderBy(order_col).rowsBetween(0, Window.unboundedFollowing)
+    inner = tb.select("*", F.max(value).over(wi).alias("_in")).join(later, [*parts, "_bucket"], "left")
+    return inner.select(*t.columns, F.greatest(F.col("_in"), F.col("_later")).alias(out))
+
+
 def average_rank(df: DataFrame, col: str, out: str, n_buckets: int | None = None) -> DataFrame:
     """1-based rank of ``col`` over the whole table, ties get the mean rank (pandas 'average').
     Null values get a null rank."""
