@@ -100,16 +100,36 @@ def mask_iou_join(a: DataFrame, b: DataFrame, height: int, a_key: str = "instanc
                       (F.col("inter") / (F.col("area_a") + F.col("area_b") - F.col("inter"))).alias("iou"))
 
 
-def resolve_mask_overlaps(runs: DataFrame, scores: DataFrame, prefer: str = "best") -> DataFrame:
+def resolve_mask_overlaps(runs: DataFrame, scores: DataFrame, prefer: str = "best", tile: int = 128) -> DataFrame:
     """Each pixel goes to one instance (W10): the best score wins (ties: smaller id);
     ``prefer='lowest'`` gives the reference's effective behaviour (lowest score wins).
-    Returns the resolved run table."""
-    px = runs_to_pixels(runs).join(scores.select("image_id", "instance_id", "score"),
-                                   ["image_id", "instance_id"], "inner")
-    order = F.desc("score") if prefer == "best" else F.asc("score")
-    w = Window.partitionBy("image_id", "pos").orderBy(order, "instance_id")
-    kept = px.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r", "score")
-    return pixels_to_runs(kept)
+    Returns the resolved run table.
+
+    Works on segments, not pixels: runs are cut at fixed tiles of ``tile`` positions; in
+    each (image, tile) the run ends split the axis into elementary segments, each covered
+    by a fixed set of runs; the winner of a segment is one ``max_by`` over its covering
+    runs, and an instance's won segments merge back into maximal runs. Rows grow with
+    runs, never with pixels."""
+    k = ["image_id", "instance_id"]
+    r = runs.filter(F.col("length") > 0).join(scores.select(*k, "score"), k, "inner")
+    s0, e0 = F.col("start"), F.col("start") + F.col("length")  # [s0, e0), 1-based
+    t = F.explode(F.sequence(F.floor((s0 - 1) / tile), F.floor((e0 - 2) / tile))).alias("_t")
+    pieces = r.select(*k, "score", "start", "length", t).select(
+        *k, "score", "_t",
+        F.greatest(F.col("start"), F.col("_t") * tile + 1).alias("_ps"),
+        F.least(F.col("start") + F.col("length"), (F.col("_t") + 1) * tile + 1).alias("_pe"))
+    cuts = pieces.select("image_id", "_t", F.explode(F.array("_ps", "_pe")).alias("_b")).distinct()
+    w = Window.partitionBy("image_id", "_t").orderBy("_b")  # at most tile + 1 cuts per group
+    segs = cuts.select("image_id", "_t", F.col("_b").alias("_ss"), F.lead("_b").over(w).alias("_se")) \
+               .filter(F.col("_se").isNotNull())
+    cover = segs.join(pieces, ["image_id", "_t"]).filter((F.col("_ps") <= F.col("_ss")) & (F.col("_se") <= F.col("_pe")))
+    if prefer == "best":
+        win = F.max_by("instance_id", F.struct(F.col("score"), -F.col("instance_id")))
+    else:
+        win = F.min_by("instance_id", F.struct(F.col("score"), F.col("instance_id")))
+    won = cover.groupBy("image_id", "_t", "_ss", "_se").agg(win.alias("instance_id"))
+    return _merge_runs(won.select("image_id", "instance_id", F.col("_ss").alias("start"),
+                                  (F.col("_se") - F.col("_ss")).alias("length")), k)
 
 
 def occlude(runs: DataFrame, z: DataFrame) -> DataFrame:
