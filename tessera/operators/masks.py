@@ -137,17 +137,44 @@ def occlude(runs: DataFrame, z: DataFrame) -> DataFrame:
     return resolve_mask_overlaps(runs, z.withColumnRenamed("z", "score"), prefer="best")
 
 
+def _uncovered_rows(seg: DataFrame, k, dx: int) -> DataFrame:
+    """For each column segment (k, x, y_start, y_end), the row intervals it covers that the
+    segments of column x + dx do not: (k, x, u, v) inclusive. Segments of one column are
+    disjoint, so the uncovered parts are the gaps between the overlapping neighbours."""
+    a = seg.select(*k, "x", F.col("y_start").alias("_as"), F.col("y_end").alias("_ae"))
+    nb = seg.select(*k, (F.col("x") - dx).alias("x"), F.col("y_start").alias("_bs"), F.col("y_end").alias("_be"))
+    on = [a[c] == nb[c] for c in [*k, "x"]] + [nb["_bs"] <= a["_ae"], nb["_be"] >= a["_as"]]
+    j = a.join(nb, on, "left").select(a["*"], nb["_bs"], nb["_be"])
+    w = Window.partitionBy(*k, "x", "_as").orderBy("_bs")  # neighbours of one segment: bounded by the height
+    g = j.select(*k, "x", "_as", "_ae", "_bs", "_be",
+                 F.lag("_be").over(w).alias("_prev_be"), F.lead("_bs").over(w).alias("_next_bs"))
+    # gap before each neighbour (from the previous one, or from the segment start) and after the last
+    before = g.select(*k, "x", F.coalesce(F.col("_prev_be") + 1, F.col("_as")).alias("u"),
+                      F.coalesce(F.col("_bs") - 1, F.col("_ae")).alias("v"))
+    after = g.filter(F.col("_bs").isNotNull() & F.col("_next_bs").isNull()) \
+             .select(*k, "x", (F.col("_be") + 1).alias("u"), F.col("_ae").alias("v"))
+    return before.unionByName(after).filter(F.col("u") <= F.col("v"))
+
+
 def run_length_encode_rowmajor(runs: DataFrame, height: int, width: int,
                                keys=("image_id", "instance_id")) -> DataFrame:
     """Row-major 0-based runs 'start count|start count|...' and the pixel count.
-    The last run has its full length."""
+    The last run has its full length.
+
+    No pixels: a row-major run starts at (x, y) where column x covers row y and column
+    x - 1 does not, and ends where column x + 1 does not. Those row sets come from interval
+    differences of neighbouring column segments, so rows grow with output runs; the k-th
+    start of a row pairs with its k-th end, and runs touching across a row end merge."""
     k = list(keys)
-    px = runs_to_pixels(runs, k)
-    p0 = F.col("pos") - 1
-    y = F.pmod(p0, F.lit(height))
-    x = F.floor(p0 / height)
-    rm = px.select(*k, (y * width + x).alias("rpos"))
-    r = pixels_to_runs(rm, k, "rpos").withColumn("start", F.col("start"))
+    seg = _split_runs_by_column(_merge_runs(runs, k), height, k)
+    starts = _uncovered_rows(seg, k, -1).select(*k, F.explode(F.sequence("u", "v")).alias("y"), "x")
+    ends = _uncovered_rows(seg, k, 1).select(*k, F.explode(F.sequence("u", "v")).alias("y"), "x")
+    ws = Window.partitionBy(*k, "y").orderBy("x")  # one image row: bounded by the width
+    starts = starts.select(*k, "y", F.col("x").alias("_xs"), F.row_number().over(ws).alias("_n"))
+    ends = ends.select(*k, "y", F.col("x").alias("_xe"), F.row_number().over(ws).alias("_n"))
+    rr = starts.join(ends, [*k, "y", "_n"]).select(
+        *k, (F.col("y") * width + F.col("_xs")).alias("start"), (F.col("_xe") - F.col("_xs") + 1).alias("length"))
+    r = _merge_runs(rr, k)
     g = r.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_r"),
                           F.sum("length").alias("pixel_count"))
     enc = F.concat(F.array_join(F.transform("_r", lambda s: F.concat_ws(" ", s["start"], s["length"])), "|"), F.lit("|"))
