@@ -1,8 +1,10 @@
 """Pixel-run (mask) operators.
 
 A mask is never a dense array: it is a run table (image_id, instance_id,
-start, length) with column-major 1-based starts (image height H). Encodings
-are gaps-and-islands over runs or pixels with windows partitioned by instance.
+start, length) with column-major 1-based starts (image height H). Every operator
+works on runs or run segments, so rows grow with runs, never with pixels: overlap
+resolution on boundary segments, IoU on column blocks, row-major encoding on interval
+differences of neighbouring columns. ``runs_to_pixels`` is a utility only.
 """
 
 from __future__ import annotations
