@@ -31,17 +31,24 @@ def transaction_features(tx: DataFrame, groups: DataFrame | None, categories, ch
         A.value_range("amount").alias("delta_amount"),
         F.coalesce((F.avg("balance") > 0).cast("int"), F.lit(0)).alias("sign"),
         A.date_span_days_expr("ts").alias("delta_first_end_tr"),
-        A.max_category("channel_type").alias("_max_channel"),
         F.avg("weekend").alias("weekend_share"),
     ]
     if groups is not None:
         aggs.append(A.max_category("mcc_group").alias("mode_mcc_group"))
+    # One-hot of the largest channel without a string max (which would force a sort-based
+    # aggregation): c is the largest iff c occurs and no larger value occurs. Null when the
+    # client has no channel at all, as (max == c) would be.
+    ch = F.col("channel_type")
+    for c in channels:
+        n = A.safe_name(c)
+        aggs += [F.max((ch == F.lit(c)).cast("int")).alias(f"_has_{n}"), F.max((ch > F.lit(c)).cast("int")).alias(f"_gt_{n}")]
     aggs += A.pivot_count_exprs("trx_category", categories, "cnt_")
     aggs += A.pivot_agg_exprs("trx_category", "amount", categories, "sum", "sum_")
     aggs += A.pivot_agg_exprs("weekday", "amount", WEEKDAYS, "avg", "mean_wd_")
     out = tx.groupBy("cl_id").agg(*aggs)
-    onehot = [(F.col("_max_channel") == F.lit(c)).cast("int").alias(f"chan_{A.safe_name(c)}") for c in channels]
-    return out.select(*[c for c in out.columns if c != "_max_channel"], *onehot)
+    names = [A.safe_name(c) for c in channels]
+    onehot = [((F.col(f"_has_{n}") == 1) & (F.col(f"_gt_{n}") == 0)).cast("int").alias(f"chan_{n}") for n in names]
+    return out.select(*[c for c in out.columns if not c.startswith(("_has_", "_gt_"))], *onehot)
 
 
 def signed_feature_set(tx: DataFrame, categories, mcc_values) -> DataFrame:
