@@ -34,6 +34,43 @@ def test_counter_mart_single_exchange_and_pruned_scan(spark, small_dir):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in plan
 
 
+def test_transaction_mart_is_one_hash_aggregation(spark, small_dir):
+    """The whole client mart: one shuffle by client, hash (not sort) aggregation, no Python."""
+    qs, _ = registry.load_all()
+    df = qs["transaction_features"](spark, small_dir)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning(cl_id") == 1
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert "Python" not in plan
+
+
+def test_group_limits_reach_the_map_side(spark):
+    """Top-k and capped sampling per group carry a literal limit, so Spark trims each group
+    before the shuffle (partial WindowGroupLimit); a column cap needs its literal bound."""
+    from pyspark.sql import functions as F
+    from tessera.operators.window import cap_per_group, top_k_per_group
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7 % 11).alias("s"), "id")
+    for d in (top_k_per_group(df, "g", "s", 5, tie_break=["id"]), cap_per_group(df, "g", 8, 1, ["id"]),
+              cap_per_group(df.withColumn("n", 10 - F.col("g")), "g", F.col("n"), 1, ["id"], max_n=10)):
+        d.collect()
+        assert "WindowGroupLimit" in _plan(d)
+
+
+def test_hot_key_row_numbers_use_no_key_only_window(spark):
+    """Row numbers inside a key are computed per (key, order range), never per key alone."""
+    from pyspark.sql import functions as F
+    from tessera.operators.ranks import row_number_by_key
+    df = spark.range(500).select(F.lit(1).alias("k"), "id")
+    d = row_number_by_key(df, ["k"], ["id"], "rn", n_buckets=4)
+    d.collect()
+    plan = _plan(d)
+    assert "_bucket" in plan and "zipWithIndex" not in plan
+
+
 def _norm(v):
     if v is None:
         return "NULL"
