@@ -26,7 +26,10 @@ def roc_auc(df: DataFrame, label: str, score: str, by=(), name: str = "auc") ->
     y = F.col(label).cast("long")
     t = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()) \
           .groupBy(*by, score).agg(F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"))
-    t = prefix_sums(t, score, ["_neg"], partition_cols=by)
+    # prefix_sums reads t twice (split points, then sums): write it once (one row per
+    # distinct score) instead of recomputing the input pipeline
+    from tessera.session import cut_lineage
+    t = prefix_sums(cut_lineage(t), score, ["_neg"], partition_cols=by)
     agg = t.groupBy(*by).agg(
         F.sum(F.col("_pos") * (F.col("_neg_before") + 0.5 * F.col("_neg"))).alias("_num"),
         F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
