@@ -33,3 +33,12 @@ def op5_best_fit_packing(spark, sf_dir):
     """Documents packed into sequences of at most 4096 tokens."""
     from tessera.llm import packing
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    """Bytes of every document that no earlier document holds, as a digest."""
+    from tessera.llm import suffix_dedup
+    out = suffix_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
