@@ -62,6 +62,14 @@ def table_bytes(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+
+
+def expanded(frame: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(frame)
+
+
 def rows_of(batches):
     """The rows of Arrow batches, one dict at a time."""
     for batch in batches:
@@ -122,27 +130,53 @@ def bucket_cuts(keys: np.ndarray, bits: int, first: int = 0, past: int | None =
 
 
 def answer(sent: DataFrame, decide: Callable[[dict], list[np.ndarray]]) -> DataFrame:
-    """Per (block, bucket) the packed bits that ``decide`` gives for the block's keys.
+    """Per (block, bucket) what ``decide`` says of the block's keys, in their order.
 
     ``sent`` has block, bucket and blob columns; ``decide`` gets one bucket's
-    columns as lists and returns one boolean array per entry.
+    columns as lists and returns one array per entry: booleans are sent as
+    packed bits, bytes as a zstd frame.
     """
     def run(table: pa.Table) -> pa.Table:
-        flags = decide({name: table.column(name).to_pylist() for name in table.column_names})
+        said = decide({name: table.column(name).to_pylist() for name in table.column_names})
+        squeeze = zstandard.ZstdCompressor(level=1)
+        said = [np.packbits(x).tobytes() if x.dtype == bool else squeeze.compress(x.tobytes()) for x in said]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
-                         "bits": pa.array([np.packbits(f).tobytes() for f in flags], pa.binary())})
+                         "said": pa.array(said, pa.binary())})
 
-    return sent.groupBy("bucket").applyInArrow(run, "block long, bucket int, bits binary")
+    return sent.groupBy("bucket").applyInArrow(run, "block long, bucket int, said binary")
 
 
 def with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
-    """Blocks with their answers, an array of (bucket, bits); null if a block sent nothing."""
-    per_block = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
+    """Blocks with their answers, an array of (bucket, said); null if a block sent nothing."""
+    per_block = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "said")).alias("answers"))
     return blocks.join(per_block, "block", "left")
 
 
 def bits_in_order(answers: list[dict] | None, sizes: dict[int, int]) -> np.ndarray:
     """All bits in key order; ``sizes`` gives the keys of each bucket."""
-    got = {a["bucket"]: a["bits"] for a in answers or []}
+    got = {a["bucket"]: a["said"] for a in answers or []}
     parts = [np.unpackbits(np.frombuffer(got[k], np.uint8), count=sizes[k]).astype(bool) for k in sorted(sizes)]
     return np.concatenate(parts) if parts else np.zeros(0, bool)
+
+
+def bytes_in_order(answers: list[dict] | None) -> np.ndarray:
+    """All bytes in key order."""
+    expand = zstandard.ZstdDecompressor()
+    parts = [np.frombuffer(expand.decompress(a["said"]), np.uint8) for a in sorted(answers or [], key=lambda a: a["bucket"])]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+
+
+def run_starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    """First index of every run of equal keys."""
+    n = len(sorted_keys[0])
+    new = np.zeros(n, bool)
+    if n:
+        new[0] = True
+        for k in sorted_keys:
+            new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def over_runs(per_run: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """A value per run, repeated for its members."""
+    return np.repeat(per_run, np.diff(np.append(starts, n)))

@@ -42,3 +42,10 @@ def op1_suffix_dedup(spark, sf_dir):
     out = suffix_dedup.repeated_spans(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
                       F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_ngram_jaccard_join(spark, sf_dir):
+    """Size of every document's shingle set and its component of similar documents."""
+    from tessera.llm import jaccard
+    return jaccard.join_components(read_table(spark, sf_dir, "documents"))
