@@ -49,3 +49,24 @@ def op8_ngram_jaccard_join(spark, sf_dir):
     """Size of every document's shingle set and its component of similar documents."""
     from tessera.llm import jaccard
     return jaccard.join_components(read_table(spark, sf_dir, "documents"))
+
+
+#: The rules of the url query.
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+@query
+def op7_url_filter(spark, sf_dir):
+    """Verdict on every page's url; urls that a rule decides are the labelled table of the model."""
+    from tessera.llm import urlfilter
+    pages = urlfilter.parsed(read_table(spark, sf_dir, "pages"), URL_RULES)
+    labelled = pages.where("by_rule IS NOT NULL").withColumn("blocked", F.col("by_rule.verdict") == "block")
+    return urlfilter.judge(pages, urlfilter.train(labelled))
+
+
+@query
+def op10_pii(spark, sf_dir):
+    """Personal data spans of every document, as counts and digests."""
+    from tessera.llm import pii
+    return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
