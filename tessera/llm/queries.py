@@ -70,3 +70,29 @@ def op10_pii(spark, sf_dir):
     """Personal data spans of every document, as counts and digests."""
     from tessera.llm import pii
     return pii.digest(pii.find(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op3_exact_topk(spark, sf_dir):
+    """The 5 largest integer products of every vector whose id is divisible by 50."""
+    from tessera.llm import topk
+    vectors = topk.integers(read_table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors.where("vec_id % 50 = 0"), vectors, 5)
+
+
+ORACLES["op3_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
