@@ -96,3 +96,10 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op9_embedding_near_dedup(spark, sf_dir):
+    """Links and components of vectors with a cosine of at least 0.9."""
+    from tessera.llm import rpforest
+    return rpforest.near_duplicates(read_table(spark, sf_dir, "embeddings"))
