@@ -103,3 +103,41 @@ def op9_embedding_near_dedup(spark, sf_dir):
     """Links and components of vectors with a cosine of at least 0.9."""
     from tessera.llm import rpforest
     return rpforest.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_quotation_linking(spark, sf_dir):
+    """Conversations as a mail thread would hold them, each turn quoting the one before it (which quotes
+    the one before that), linked again by the quotes alone."""
+    from pyspark.sql import Window as W
+
+    from tessera.llm import quotes
+    turns = read_table(spark, sf_dir, "conversations")
+    line = W.partitionBy("conv_id").orderBy("turn")
+    last = F.lag("text").over(line)
+    before = F.lag("text", 2).over(line)
+    quoted = F.concat_ws("\n", quotes.quote(quotes.quote(before)), quotes.quote(last), F.col("text"))
+    linked = quotes.link_replies(turns.withColumn("text", quoted))
+    return linked.select("conv_id", "turn", "role", F.col("parent").alias("parent_turn"), F.col("root").alias("root_turn"),
+                         "depth", "position", F.md5("body").alias("body_md5"))
+
+
+ORACLES["op4_quotation_linking"] = r"""
+WITH RECURSIVE t AS (
+  SELECT *, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS norm,
+         lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS last_text FROM conversations
+), p AS (
+  SELECT a.conv_id, a.turn, any_value(a.role) AS role, any_value(a.text) AS text, min(b.turn) AS parent_turn
+  FROM t a LEFT JOIN t b ON a.conv_id = b.conv_id AND b.turn < a.turn
+    AND b.norm = trim(regexp_replace(lower(a.last_text), '\s+', ' ', 'g'))
+  GROUP BY a.conv_id, a.turn
+), r AS (
+  SELECT conv_id, turn, turn AS root_turn, 0 AS depth FROM p WHERE parent_turn IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.turn, r.root_turn, r.depth + 1 FROM p JOIN r ON p.conv_id = r.conv_id AND p.parent_turn = r.turn
+)
+SELECT p.conv_id, p.turn, role, parent_turn, root_turn, CAST(depth AS INTEGER) AS depth,
+       CAST(row_number() OVER (PARTITION BY p.conv_id, root_turn ORDER BY depth, p.turn) AS INTEGER) AS position,
+       md5(text) AS body_md5
+FROM p JOIN r ON p.conv_id = r.conv_id AND p.turn = r.turn
+"""
