@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bytes_of, prefix_hash, ragged, runs_of, slices, window_hash, written
+from tessera.llm.common import bytes_of, ragged, runs_of, slices, written
+from tessera.llm.wordstore import WordStore
 
 MAX_TOKENS = 4096
 END_ID = 1
@@ -41,14 +42,12 @@ _odd[128:] = True
 _odd[ord("<")] = True
 
 
-class WordTokens:
+class WordTokens(WordStore):
     """Token ids of whole texts, with every distinct word tokenized once per process.
 
     The tokenizer drops white space and never merges across it, so the ids of a
     text are those of its words in order. A word is also cut between an ASCII
     or Latin-1 letter and one of ``.,;:!?``, where the tokenizer always cuts.
-    Ids are kept as 16-bit numbers in one growing array; words are found by a
-    64-bit hash. Past ``limit`` words the store starts afresh.
     """
 
     SEPARATOR = "\x01"
@@ -62,16 +61,10 @@ class WordTokens:
         mark = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         if len(mark) != 1:
             raise ValueError("the separator must be one token")
-        self.mark, self.end_id, self.limit = mark[0], end_id, limit
-        self._reset()
+        self.mark = mark[0]
+        super().__init__(np.array([end_id], np.uint16), limit)  # slot 0: the end of a document
 
-    def _reset(self):
-        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.ids = [np.array([self.end_id], np.uint16)]  # slot 0: the end of a document
-        self.n_ids, self.at, self.length = 1, [np.zeros(1, np.int64)], [np.ones(1, np.int64)]
-        self.n = 1
-
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
+    def encode_words(self, words: list[str]) -> list[np.ndarray]:
         plain = [w for w in words if self.SEPARATOR not in w]
         out: list[np.ndarray] = []
         for a in range(0, len(plain), 4000):
@@ -88,42 +81,8 @@ class WordTokens:
                    np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint16) for w in words]
         return out
 
-    def _slots(self, hashes: np.ndarray, starts, ends, raw: np.ndarray) -> np.ndarray:
-        """Store slot of every word occurrence, encoding the new words."""
-        import pandas as pd
-        which, distinct = pd.factorize(hashes)
-        place = np.searchsorted(self.keys, distinct)
-        found = np.zeros(len(distinct), bool)
-        inside = place < len(self.keys)
-        found[inside] = self.keys[place[inside]] == distinct[inside]
-        slot = np.zeros(len(distinct), np.int64)
-        slot[found] = self.slot[place[found]]
-        new = np.flatnonzero(~found)
-        if len(new):
-            first = np.empty(len(distinct), np.int64)
-            first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
-            view = raw.tobytes()
-            words = [view[s:e].decode("utf-8", "replace") for s, e in
-                     zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
-            ids = self._encode(words)
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.ids.append(np.concatenate(ids))
-            self.at.append(self.n_ids + np.cumsum(lens) - lens)
-            self.length.append(lens)
-            self.n_ids += int(lens.sum())
-            slot[new] = np.arange(self.n, self.n + len(new))
-            self.n += len(new)
-            keys, slots = np.concatenate([self.keys, distinct[new]]), np.concatenate([self.slot, slot[new]])
-            order = np.argsort(keys, kind="stable")
-            self.keys, self.slot = keys[order], slots[order]
-            for name in ("ids", "at", "length"):
-                setattr(self, name, [np.concatenate(getattr(self, name))])
-        return slot[which]
-
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents one after the other, each with the end id; ids per document)."""
-        if self.n > self.limit:
-            self._reset()
         separator = (data == 32) | (data == 10)
         after_letter = np.zeros(len(data), bool)
         if len(data) > 2:
@@ -140,16 +99,12 @@ class WordTokens:
             for s, e in zip(starts[keep].tolist(), ends[keep].tolist(), strict=True):
                 lowered[s:e] = data[s:e]  # lower-casing before composition is only safe in ASCII
             raw = lowered
-        slots = self._slots(window_hash(prefix_hash(raw), starts, ends), starts, ends, raw) if len(starts) else starts
+        slots = self.slots(starts, ends, raw)
         docs = len(offsets) - 1
         stream = np.zeros(len(slots) + docs, np.int64)
         stream[np.arange(len(slots)) + np.repeat(np.arange(docs), counts)] = slots
-        at, length = self.at[-1] if len(self.at) == 1 else np.concatenate(self.at), np.concatenate(self.length)
-        lens = length[stream]
-        ids = np.concatenate(self.ids)[ragged(at[stream], lens)]
-        bounds = np.cumsum(counts + 1)
-        total = np.concatenate([[0], np.cumsum(lens)])[bounds]
-        return ids.astype("<u4"), np.diff(total, prepend=0)
+        ids, total = self.gather(stream)
+        return ids.astype("<u4"), np.diff(total[np.cumsum(counts + 1)], prepend=0)
 
 
 _stores: dict[tuple, WordTokens] = {}
