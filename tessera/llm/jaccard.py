@@ -235,11 +235,8 @@ def _size_fits(x: str, y: str, percent: int):
     return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                    percent: int = PERCENT, max_matches: int = MAX_MATCHES) -> DataFrame:
-    """Per document: id, ``n_shingles`` and ``component_id`` (smallest id of its component)."""
-    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    blocks = B.build(docs, text_col, (id_col,))
+def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, percent: int, max_matches: int) -> DataFrame:
+    """(doc_id, rid, n_shingles, component) of every row; component is a row id."""
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
     told = written(blocks.mapInArrow(_describe(id_col, words), f"doc_id {id_type}, rid long, n long, s1 long, s2 long"), "sets")
     classes = told.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("rep"))
@@ -277,6 +274,39 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = components(links.unionByName(_verify(rest, sets, percent)))
 
     reps = told.join(classes, ["n", "s1", "s2"], "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
-    reps = reps.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "rid").alias("component"))
-    smallest = reps.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return reps.join(smallest, "component").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
+    return reps.select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "rid").alias("component"))
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                    percent: int = PERCENT, max_matches: int = MAX_MATCHES) -> DataFrame:
+    """Per document: id, ``n_shingles`` and ``component_id`` (smallest id of its component)."""
+    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    blocks = B.build(docs, text_col, (id_col,))
+    rows = _components(docs, blocks, id_col, words, percent, max_matches)
+    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(smallest, "component").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
+                      words: int = WORDS, percent: int = PERCENT, max_matches: int = MAX_MATCHES) -> DataFrame:
+    """One row of each component, the one with the smallest id: ``keep`` columns (the id at least) and the text.
+
+    A null text comes back empty, as it is compared."""
+    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    keep = tuple(dict.fromkeys([id_col, *keep]))
+    blocks = B.build(docs, text_col, keep)
+    rows = _components(docs, blocks, id_col, words, percent, max_matches)
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("r"))
+    stay = first.select("r.rid").groupBy(F.shiftright("rid", 20).alias("block")).agg(F.collect_list("rid").alias("stay"))
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(c) for c in keep]).schema)
+
+    def pick(batches):
+        for row in B.rows_of(batches):
+            rest, data, offsets = B.opened(row)
+            at = np.sort(np.array(row["stay"], np.int64) & 0xFFFFF)
+            view = data.tobytes()
+            text = [view[offsets[k]:offsets[k + 1]].decode("utf-8", "replace") for k in at.tolist()]
+            some = rest.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*(some.column(c) for c in keep), pa.array(text, pa.string())], [*keep, text_col])
+
+    return blocks.join(stay, "block").mapInArrow(pick, f"{types}, `{text_col}` string")
