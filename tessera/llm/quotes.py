@@ -8,8 +8,9 @@ passage. The passages of the outermost level decide whom a message answers; an
 answer always points to an earlier message, so replies form trees. What comes
 back are the messages without quotes, in reply order.
 
-Per hash only the earliest message of a thread is joined, so a line that half of
-all messages hold is one row and the join never multiplies.
+Per hash only the earliest message of a thread is joined (one whose whole text it
+is before one that holds it as a line), so a line that half of all messages hold
+is one row and the join never multiplies.
 
 Defined results: a null text has no own text (null) and no quotes; a message
 whose quotes match nothing, or that quotes nobody, starts a conversation of its
@@ -122,13 +123,14 @@ def link_replies(messages: DataFrame, thread_col: str = "conv_id", order_col: st
     """
     rows = written(parsed(messages, (thread_col, order_col), text_col, keep).select(
         F.col(thread_col).alias("thread"), F.col(order_col).cast("long").alias("at"),
-        F.struct(*[F.col(c) for c in keep]).alias("kept"), "body", "own", "quoted"), "messages")
+        *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)], "body", "own", "quoted"), "messages")
     once = rows.where("thread IS NOT NULL AND at IS NOT NULL").groupBy("thread", "at").agg(
         F.count("*").alias("n"), F.first("own").alias("own"), F.first("quoted").alias("quoted")).where("n = 1")
-    originals = once.select("thread", "at", F.explode("own").alias("k")).groupBy("thread", "k.key", "k.whole").agg(
-        F.min("at").alias("source"))
+    originals = once.select("thread", "at", F.explode("own").alias("k")).groupBy("thread", "k.key").agg(
+        F.min("at").alias("any"), F.min(F.when(F.col("k.whole"), F.col("at"))).alias("full"))
     asked = once.select("thread", "at", F.explode("quoted").alias("k")).select("thread", "at", "k.*")
-    matched = asked.join(originals, ["thread", "key", "whole"]).where("source < at")
+    matched = asked.join(originals, ["thread", "key"]).withColumn(
+        "source", F.when(F.expr("full < at"), F.col("full")).otherwise(F.col("any"))).where("source < at")
     votes = matched.groupBy("thread", "at", "level", "source").agg(F.sum("weight").alias("weight"))
     parent = votes.groupBy("thread", "at").agg(
         F.min_by("source", F.struct("level", -F.col("weight"), "source")).alias("parent"))
@@ -140,7 +142,7 @@ def link_replies(messages: DataFrame, thread_col: str = "conv_id", order_col: st
     numbered = out.where("root IS NOT NULL").withColumn("position", place)
     alone = out.where("root IS NULL").withColumn("position", F.lit(1))
     out = numbered.unionByName(alone)
-    return out.select(F.col("thread").alias(thread_col), F.col("at").alias(order_col), *[F.col(f"kept.{c}") for c in keep],
+    return out.select(F.col("thread").alias(thread_col), F.col("at").alias(order_col), *[F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)],
                       "parent", F.coalesce("root", "at").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"), "position",
                       F.size("quoted").alias("n_quoted"), "body")
 
