@@ -93,7 +93,7 @@ def _max_abs_lat(*frames) -> float:
     return m
 
 
-def _ring_candidates(centres: DataFrame, points: DataFrame, ring: int, dlat: float, dlon: float) -> DataFrame:
+def _ring_candidates(centres: DataFrame, points: DataFrame, ring: int, dlat: float, dlon: float, extra=()) -> DataFrame:
     offs = F.sequence(F.lit(-ring), F.lit(ring))
     c = centres.select("zone_id", F.col("lat").alias("zlat"), F.col("lon").alias("zlon"),
                        F.explode(offs).alias("_di")) \
@@ -101,80 +101,121 @@ def _ring_candidates(centres: DataFrame, points: DataFrame, ring: int, dlat: flo
                .select("zone_id", "zlat", "zlon",
                        (_cell(F.col("zlat"), dlat) + F.col("_di")).alias("ci"),
                        (_cell(F.col("zlon"), dlon) + F.col("_dj")).alias("cj"))
-    p = points.select("point_id", "lat", "lon", _cell(F.col("lat"), dlat).alias("ci"),
+    p = points.select("point_id", "lat", "lon", *extra, _cell(F.col("lat"), dlat).alias("ci"),
                       _cell(F.col("lon"), dlon).alias("cj"))
     j = c.join(p, ["ci", "cj"], "inner")
-    return j.select("zone_id", "point_id", haversine_km("zlat", "zlon", "lat", "lon").alias("dist"))
+    return j.select("zone_id", "point_id", *extra, haversine_km("zlat", "zlon", "lat", "lon").alias("dist"))
 
 
-def radius_count(centres: DataFrame, points: DataFrame, radii_km, prefix: str = "n_within_") -> DataFrame:
-    """Points within r km of each centre, for every radius in one pass (J11); 0 if none."""
+def radius_count(centres: DataFrame, points: DataFrame, radii_km, prefix: str = "n_within_",
+                 class_col: str | None = None, classes=()) -> DataFrame:
+    """Points within r km of each centre, for every radius in one pass (J11); 0 if none.
+
+    With ``class_col`` every class of the declared list ``classes`` gets its own columns
+    (``<prefix><class>_<radius>``), all counted in the same join."""
     rmax = max(radii_km)
     dlat, dlon = grid_steps(rmax, _max_abs_lat(centres, points))
-    cand = _ring_candidates(centres, points, 1, dlat, dlon).filter(F.col("dist") <= F.lit(rmax))
-    names = {r: f"{prefix}{str(r).replace('.', '_')}" for r in radii_km}
-    agg = cand.groupBy("zone_id").agg(*[F.count_if(F.col("dist") <= F.lit(r)).alias(n) for r, n in names.items()])
-    return centres.select("zone_id").join(agg, "zone_id", "left").fillna(0, subset=list(names.values()))
-
-
-def knn_distances(centres: DataFrame, points: DataFrame, k: int, cell_km: float | None = None,
-                  max_rounds: int = 12) -> DataFrame:
-    """Exact k nearest points of each centre: (zone_id, point_id, dist, rank), rank 1..k.
-
-    Expanding rings: round r pairs each unfinished centre with the points of the
-    (2R+1)^2 cells around it (R = 1, 2, 4, ...). Every point closer than R cells
-    is then certainly among the candidates, so a centre whose k-th candidate lies
-    within that safe radius is final. Unfinished centres go to the next round; a
-    ring that covers the whole point range finishes everyone.
-    """
-    spark = centres.sparkSession
-    max_lat = _max_abs_lat(centres, points)
-    if cell_km is None:
-        # cell size from point density: about k points per cell on average
-        r = points.agg(F.min("lat"), F.max("lat"), F.min("lon"), F.max("lon"), F.count(F.lit(1))).first()
-        h_km = max(1e-6, math.radians(r[1] - r[0]) * EARTH_RADIUS_KM)
-        w_km = max(1e-6, math.radians(r[3] - r[2]) * EARTH_RADIUS_KM * math.cos(math.radians(max_lat)))
-        cell_km = max(1e-4, math.sqrt(h_km * w_km * k / max(1, r[4])))
-    dlat, dlon = grid_steps(cell_km, max_lat)
-    span = points.agg(F.max(_cell(F.col("lat"), dlat)) - F.min(_cell(F.col("lat"), dlat)),
-                      F.max(_cell(F.col("lon"), dlon)) - F.min(_cell(F.col("lon"), dlon))).first()
-    full_ring = int(max(span[0] or 0, span[1] or 0)) + 1
-    pending = centres.select("zone_id", "lat", "lon")
-    done = []
-    ring = 1
-    for _ in range(max_rounds):
-        last = ring >= full_ring
-        cand = _ring_candidates(pending, points, ring, dlat, dlon)
-        w = Window.partitionBy("zone_id").orderBy("dist", "point_id")
-        top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        top = cut_lineage(top)
-        safe = ring * cell_km
-        if last:
-            done.append(top)
-            break
-        kth = top.groupBy("zone_id").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kth"))
-        ok = kth.filter((F.col("_n") >= k) & (F.col("_kth") <= F.lit(safe))).select("zone_id")
-        done.append(top.join(ok, "zone_id", "left_semi"))
-        pending = cut_lineage(pending.join(ok, "zone_id", "left_anti"))
-        if pending.isEmpty():
-            break
-        ring = min(ring * 2, full_ring)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def knn_stats(centres: DataFrame, points: DataFrame, ks=(3, 5, 10), prefix: str = "knn") -> DataFrame:
-    """Mean, max, population std of distances to the k nearest (each k), and the minimum."""
+    extra = [class_col] if class_col else []
+    cand = _ring_candidates(centres, points, 1, dlat, dlon, extra).filter(F.col("dist") <= F.lit(rmax))
+    aggs, names = [], []
+    for r in radii_km:
+        tail = str(r).replace(".", "_")
+        near = F.col("dist") <= F.lit(r)
+        for cls in (classes if class_col else [None]):
+            names.append(f"{prefix}{tail}" if cls is None else f"{prefix}{cls}_{tail}")
+            aggs.append(F.count_if(near if cls is None else near & (F.col(class_col) == F.lit(cls))).alias(names[-1]))
+    agg = cand.groupBy("zone_id").agg(*aggs)
+    return centres.select("zone_id").join(agg, "zone_id", "left").fillna(0, subset=names)
+
+
+#: Levels of the cell pyramid that one step of the descent goes down, and its deepest level
+#: (cells of 0.01 m on the earth).
+DESCENT = 3
+MAX_LEVEL = 30
+
+
+def _unit_cell(c: Column, level) -> Column:
+    """Cell of a coordinate in [0, 2] at a level: 2^level cells along each axis."""
+    n = F.pow(F.lit(2.0), F.lit(level))
+    return F.least(F.floor(c * n / 2), n - 1).cast("long")
+
+
+def _sphere(df: DataFrame) -> DataFrame:
+    """Points on the unit sphere, shifted to [0, 2]: no seam at the date line or the poles."""
+    la, lo = F.radians("lat"), F.radians("lon")
+    return df.withColumns({"_x": F.cos(la) * F.cos(lo) + 1, "_y": F.cos(la) * F.sin(lo) + 1, "_z": F.sin(la) + 1})
+
+
+def knn_distances(centres: DataFrame, points: DataFrame, k: int, class_col: str | None = None, classes=()) -> DataFrame:
+    """Exact k nearest points of each centre: (zone_id, [class,] point_id, dist, rank), rank 1..k.
+
+    With ``class_col`` the k nearest of every class of the declared list ``classes``, in the
+    same pass. Points are counted in a pyramid of cells (an octree on the unit sphere). Every
+    centre descends it, DESCENT levels a step: each kept cell is replaced by its nonempty
+    children, the k-th smallest upper distance bound (weighted by the counts) is a radius
+    that surely holds k points, and children wholly beyond it are dropped. The few cells left
+    on the last level are joined with their points. Any centre is exact at any distance from
+    the points, and the steps depend on the points' density only."""
+    by = [class_col] if class_col else []
+    pts = _sphere(points.select("point_id", "lat", "lon", *by))
+    st = pts.agg(*[F.max(c) - F.min(c) for c in ("_x", "_y", "_z")], F.count(F.lit(1))).first()
+    extent, n = max((v or 0.0) for v in st[:3]), int(st[3])
+    # about k points a cell on the deepest level, if they were spread over a surface
+    depth = math.ceil(math.log2(2 / max(extent, 2.0 ** -MAX_LEVEL)) + 0.5 * math.log2(max(1.0, n / k)))
+    depth = int(min(MAX_LEVEL, max(DESCENT, -(-depth // DESCENT) * DESCENT)))
+    axes = ("_x", "_y", "_z")
+    cells = ["_cx", "_cy", "_cz"]
+    at = lambda level: [_unit_cell(F.col(a), level).alias(c) for a, c in zip(axes, cells)]
+    finest = pts.select(*by, *at(depth)).groupBy(*by, *cells).agg(F.count(F.lit(1)).alias("_n"))
+    state = _sphere(centres.select("zone_id", "lat", "lon")).withColumnsRenamed({"lat": "zlat", "lon": "zlon"})
+    if class_col:
+        state = state.withColumn(class_col, F.explode(F.array(*[F.lit(v) for v in classes])))
+    who = ["zone_id", *by]
+    state = state.withColumns({f"_p{c}": F.lit(0).cast("long") for c in cells})
+    for level in range(DESCENT, depth + 1, DESCENT):
+        up = depth - level
+        child = finest.groupBy(*by, *[F.shiftright(c, up).alias(c) for c in cells]).agg(F.sum("_n").alias("_n"))
+        child = child.withColumns({f"_p{c}": F.shiftright(c, DESCENT) for c in cells})
+        if level == DESCENT:
+            child = F.broadcast(child)  # at most 8^DESCENT cells a class
+        t = state.join(child, [*by, *[f"_p{c}" for c in cells]])
+        size = 2.0 / 2 ** level
+        low = high = F.lit(0.0)
+        for a, c in zip(axes, cells):
+            lo, hi = F.col(c) * size, (F.col(c) + 1) * size
+            near = F.greatest(lo - F.col(a), F.col(a) - hi, F.lit(0.0))
+            far = F.greatest(F.abs(F.col(a) - lo), F.abs(F.col(a) - hi))
+            low, high = low + near * near, high + far * far
+        t = t.withColumns({"_low": low, "_high": high})
+        # the smallest upper bound whose cells hold k points; all cells if there are fewer points
+        run = F.sum("_n").over(Window.partitionBy(*who).orderBy("_high").rangeBetween(Window.unboundedPreceding, 0))
+        t = t.withColumn("_run", run)
+        bound = F.coalesce(F.min(F.when(F.col("_run") >= k, F.col("_high"))).over(Window.partitionBy(*who)), F.lit(12.0))
+        t = t.withColumn("_bound", bound).filter(F.col("_low") <= F.col("_bound") * (1 + 1e-9) + 1e-15)
+        state = t.select(*who, "zlat", "zlon", *axes, *[F.col(c).alias(f"_p{c}") for c in cells])
+    p = pts.select("point_id", "lat", "lon", *by, *[c.alias(f"_p{n}") for c, n in zip(at(depth), cells)])
+    cand = state.drop(*axes).join(p, [*by, *[f"_p{c}" for c in cells]])
+    cand = cand.select(*who, "point_id", haversine_km("zlat", "zlon", "lat", "lon").alias("dist"))
+    w = Window.partitionBy(*who).orderBy("dist", "point_id")
+    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(k)))
+
+
+def knn_stats(centres: DataFrame, points: DataFrame, ks=(3, 5, 10), prefix: str = "knn",
+              class_col: str | None = None, classes=()) -> DataFrame:
+    """Mean, max, population std of distances to the k nearest (each k), and the minimum.
+    With ``class_col`` one row per zone and class of the declared list."""
     kmax = max(ks)
-    nn = knn_distances(centres, points, kmax)
+    nn = knn_distances(centres, points, kmax, class_col, classes)
     aggs = [F.min("dist").alias(f"{prefix}_min")]
     for k in ks:
         d = F.when(F.col("rank") <= k, F.col("dist"))
         aggs += [F.avg(d).alias(f"{prefix}{k}_mean"), F.max(d).alias(f"{prefix}{k}_max"),
                  F.stddev_pop(d).alias(f"{prefix}{k}_std")]
-    return centres.select("zone_id").join(nn.groupBy("zone_id").agg(*aggs), "zone_id", "left")
+    zones, who = centres.select("zone_id"), ["zone_id"]
+    if class_col:
+        zones = zones.withColumn(class_col, F.explode(F.array(*[F.lit(v) for v in classes])))
+        who.append(class_col)
+    return zones.join(nn.groupBy(*who).agg(*aggs), who, "left")
 
 
 def within_distance_of_any(a: DataFrame, b: DataFrame, d_km: float, name: str = "near_any") -> DataFrame:
@@ -185,49 +226,86 @@ def within_distance_of_any(a: DataFrame, b: DataFrame, d_km: float, name: str =
     return a.select("zone_id").join(hit, "zone_id", "left").fillna(0, subset=[name])
 
 
-def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: str,
-                  ref_key: str = "_tk", max_rounds: int = 16) -> DataFrame:
+def _vector_blocks(df: DataFrame, key: str, vec: str, rows: int) -> DataFrame:
+    """Rows packed as (block, keys, matrix, centre, radius, n): numpy blocks of ``rows`` vectors."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+    key_type = df.schema[key].dataType.simpleString()
+    src = df.select(F.col(key).alias("key"), F.transform(vec, lambda x: x.cast("double")).alias("v")).filter(
+        F.col("v").isNotNull())
+
+    def run(batches):
+        part, n = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for a in range(0, batch.num_rows, rows):
+                some = batch.slice(a, rows)
+                m = np.array(some.column(1).to_pylist(), dtype=np.float64)
+                centre = m.mean(0)
+                radius = float(np.sqrt(((m - centre) ** 2).sum(1)).max())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part + n]), pa.array([some.column(0).to_pylist()], pa.list_(some.column(0).type)),
+                     pa.array([m.tobytes()], pa.binary()), pa.array([centre.tolist()]), pa.array([radius]), pa.array([len(m)], pa.int32())],
+                    ["block", "keys", "matrix", "centre", "radius", "n"])
+                n += 1
+
+    return cut_lineage(src.mapInArrow(run, f"block long, keys array<{key_type}>, matrix binary, centre array<double>, "
+                                           "radius double, n int"))
+
+
+def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: str, ref_key: str = "_tk",
+                  block_rows: int = 1024) -> DataFrame:
     """Exact k nearest reference rows of each query in Euclidean space over ``vec`` (array).
 
-    Same expanding-ring scheme as ``knn_distances``, with the grid on the first two
-    coordinates: their distance is a lower bound of the full distance, so a query whose
-    k-th candidate lies within the ring's safe radius is final. Output: key, ref columns,
-    dist, rank."""
-    ref_cols = [c for c in refs.columns if c not in (vec,)]
-    x0, x1 = F.col(vec)[0].cast("double"), F.col(vec)[1].cast("double")
-    st = refs.agg(F.min(x0), F.max(x0), F.min(x1), F.max(x1), F.count(F.lit(1))).first()
-    area = max(1e-12, (st[1] - st[0]) * (st[3] - st[2]))
-    cell = max(1e-9, math.sqrt(area * k / max(1, st[4])))
-    span = int(max((st[1] - st[0]) / cell, (st[3] - st[2]) / cell)) + 2
-    r = refs.select(*ref_cols, F.col(vec).alias("_rv"), F.floor(x0 / cell).cast("long").alias("ci"),
-                    F.floor(x1 / cell).cast("long").alias("cj"))
-    pending = queries.select(key, F.col(vec).alias("_qv"))
-    done = []
-    ring = 1
-    for _ in range(max_rounds):
-        last = ring >= span
-        offs = F.sequence(F.lit(-ring), F.lit(ring))
-        q = pending.select(key, "_qv", F.explode(offs).alias("_di")).select("*", F.explode(offs).alias("_dj"))
-        q = q.select(key, "_qv",
-                     (F.floor(F.col("_qv")[0].cast("double") / cell).cast("long") + F.col("_di")).alias("ci"),
-                     (F.floor(F.col("_qv")[1].cast("double") / cell).cast("long") + F.col("_dj")).alias("cj"))
-        cand = q.join(r, ["ci", "cj"], "inner")
-        d = F.sqrt(F.aggregate(F.zip_with("_qv", "_rv", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))),
-                               F.lit(0.0), lambda acc, x: acc + x))
-        cand = cand.select(key, *ref_cols, d.alias("dist"))
-        w = Window.partitionBy(key).orderBy("dist", ref_key)
-        top = cut_lineage(cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
-        if last:
-            done.append(top)
-            break
-        kth = top.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_kth"))
-        ok = kth.filter((F.col("_n") >= k) & (F.col("_kth") <= F.lit(ring * cell))).select(key)
-        done.append(top.join(ok, key, "left_semi"))
-        pending = cut_lineage(pending.join(ok, key, "left_anti"))
-        if pending.isEmpty():
-            break
-        ring = min(ring * 2, span)
-    out = done[0]
-    for x in done[1:]:
-        out = out.unionByName(x)
-    return out
+    Blocks of queries meet blocks of references. A block is a ball (centre, radius); a pair of
+    blocks is dropped when no query of one can have a k-th neighbour in the other (triangle
+    inequality against the smallest radius that surely holds k references). The pairs left are
+    compared in numpy, each returning k rows a query. Output: key, ref columns, dist, rank
+    (ties: smaller ``ref_key``, which must be unique)."""
+    import numpy as np
+    import pyarrow as pa
+    q = _vector_blocks(queries, key, vec, min(block_rows, 256))
+    r = _vector_blocks(refs, ref_key, vec, block_rows)
+    gap = F.sqrt(F.aggregate(F.zip_with("q_centre", "r_centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                             lambda acc, x: acc + x))
+    meta_q = q.select(F.col("block").alias("q_block"), F.col("centre").alias("q_centre"), F.col("radius").alias("q_radius"))
+    meta_r = r.select(F.col("block").alias("r_block"), F.col("centre").alias("r_centre"), F.col("radius").alias("r_radius"), "n")
+    # one row per pair of blocks: the stated query set against all references, in blocks
+    pairs = meta_q.join(meta_r, F.size("q_centre") == F.size("r_centre")).withColumn("_gap", gap)
+    pairs = pairs.withColumns({"_low": F.col("_gap") - F.col("q_radius") - F.col("r_radius"),
+                               "_high": F.col("_gap") + F.col("q_radius") + F.col("r_radius")})
+    w = Window.partitionBy("q_block").orderBy("_high").rangeBetween(Window.unboundedPreceding, 0)
+    pairs = pairs.withColumn("_run", F.sum("n").over(w))
+    bound = F.min(F.when(F.col("_run") >= k, F.col("_high"))).over(Window.partitionBy("q_block"))
+    pairs = pairs.withColumn("_bound", F.coalesce(bound, F.lit(float("inf")))) \
+                 .filter(F.col("_low") <= F.col("_bound") * (1 + 1e-9)).select("q_block", "r_block")
+    work = pairs.join(q.select(F.col("block").alias("q_block"), F.col("keys").alias("q_keys"), F.col("matrix").alias("q_matrix")),
+                      "q_block") \
+                .join(r.select(F.col("block").alias("r_block"), F.col("keys").alias("r_keys"), F.col("matrix").alias("r_matrix")),
+                      "r_block").select("q_keys", "q_matrix", "r_keys", "r_matrix")
+    types = dict(queries.dtypes)[key], dict(refs.dtypes)[ref_key]
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                qk, rk = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
+                a = np.frombuffer(batch.column(1)[i].as_py()).reshape(len(qk), -1)
+                b = np.frombuffer(batch.column(3)[i].as_py()).reshape(len(rk), -1)
+                order = sorted(range(len(rk)), key=rk.__getitem__)  # ties: smaller key first
+                b = b[order]
+                out_q, out_r, out_d = [], [], []
+                for j, x in enumerate(a):
+                    d = np.sqrt(((b - x) ** 2).sum(1))
+                    best = np.argsort(d, kind="stable")[:k]
+                    out_q += [qk[j]] * len(best)
+                    out_r += [rk[order[m]] for m in best.tolist()]
+                    out_d.append(d[best])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out_q, batch.column(0).type.value_type), pa.array(out_r, batch.column(2).type.value_type),
+                     pa.array(np.concatenate(out_d))], [key, ref_key, "dist"])
+
+    found = work.mapInArrow(run, f"`{key}` {types[0]}, `{ref_key}` {types[1]}, dist double")
+    top = found.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("dist", ref_key))) \
+               .filter(F.col("rank") <= F.lit(int(k)))
+    rest = [c for c in refs.columns if c not in (vec, ref_key)]
+    return top.join(refs.select(ref_key, *rest), ref_key).select(key, ref_key, *rest, "dist", "rank")

@@ -14,10 +14,12 @@ from tessera.sources import standins as S
 GEO_SQL = """pts AS (SELECT vec_id AS point_id, 55.75 + embedding[1]::DOUBLE AS lat,
                  37.62 + embedding[2]::DOUBLE AS lon, label FROM embeddings),
 rng AS (SELECT min(lat) AS la0, max(lat) AS la1, min(lon) AS lo0, max(lon) AS lo1 FROM pts),
+cells AS (SELECT id, CASE WHEN id < 400 THEN id // 20 ELSE 40 + 20 * (id - 400) END AS zi,
+    CASE WHEN id < 400 THEN id % 20 ELSE id - 400 END AS zj FROM range(420) t(id)),
 zones AS (SELECT id AS zone_id,
-    la0 + (id // 20) * ((la1 - la0) / 20) AS lat_bl, lo0 + (id % 20) * ((lo1 - lo0) / 20) AS lon_bl,
-    la0 + (id // 20 + 1) * ((la1 - la0) / 20) AS lat_tr, lo0 + (id % 20 + 1) * ((lo1 - lo0) / 20) AS lon_tr
-  FROM range(400) t(id), rng),
+    la0 + zi * ((la1 - la0) / 20) AS lat_bl, lo0 + zj * ((lo1 - lo0) / 20) AS lon_bl,
+    la0 + (zi + 1) * ((la1 - la0) / 20) AS lat_tr, lo0 + (zj + 1) * ((lo1 - lo0) / 20) AS lon_tr
+  FROM cells, rng),
 zc AS (SELECT zone_id, (lat_bl + lat_tr) / 2 AS lat, (lon_bl + lon_tr) / 2 AS lon FROM zones)"""
 
 
@@ -26,8 +28,12 @@ def hav(a1, o1, a2, o2):
             f"cos(radians({a1})) * cos(radians({a2})) * pow(sin((radians({o2}) - radians({o1})) / 2), 2)))))")
 
 
+#: Zones beyond the range of the points, up to some 30 ranges away.
+FAR = 20
+
+
 def _centres(spark, sf_dir):
-    return S.zones(spark, sf_dir).select("zone_id", F.col("lat_c").alias("lat"), F.col("lon_c").alias("lon"))
+    return S.zones(spark, sf_dir, far=FAR).select("zone_id", F.col("lat_c").alias("lat"), F.col("lon_c").alias("lon"))
 
 
 # Point classes of the stand-in (tag 'label').
@@ -50,7 +56,7 @@ SELECT z.zone_id, coalesce(count(j.zone_id), 0) AS n_total,
   round(CAST(count(*) FILTER (WHERE j.label IN (0, 1, 2)) AS DOUBLE) / nullif(count(j.zone_id), 0), 6) AS share_low
 FROM zones z LEFT JOIN j USING (zone_id) GROUP BY z.zone_id""", headline=False)
 def q_zone_point_counts(spark, sf_dir):
-    z = S.zones(spark, sf_dir)
+    z = S.zones(spark, sf_dir, far=FAR)
     p = S.points(spark, sf_dir)
     conds = {n: tag_filter("tags", spec) for n, spec in CLASS_SPECS.items()}
     counts = G.zone_attribute_counts(z, p, conds)
@@ -100,3 +106,37 @@ def q_zone_centre_distance(spark, sf_dir):
     c = _centres(spark, sf_dir)
     d = distance_to_point("lat", "lon", S.POINT_LAT0, S.POINT_LON0)
     return finish(c.select("zone_id", d.alias("dist_centre"), log_root(d).alias("dist_log_root")))
+
+
+CLASSES = [0, 1, 2, 3, 4, 5, 6]
+
+
+@register("zone_class_counts", f"""
+WITH {GEO_SQL},
+d AS (SELECT zc.zone_id, p.label, {hav('zc.lat', 'zc.lon', 'p.lat', 'p.lon')} AS dist FROM zc, pts p)
+SELECT zone_id, {", ".join(f"count(*) FILTER (WHERE label = {c} AND dist <= {r}) AS n_within_{c}_{str(r).replace('.', '_')}" for r in (1.0, 5.0) for c in CLASSES)}
+FROM d GROUP BY zone_id""")
+def q_zone_class_counts(spark, sf_dir):
+    """All point classes of a zone in one pass over one point table."""
+    return G.radius_count(_centres(spark, sf_dir), S.points(spark, sf_dir), [1.0, 5.0], class_col="label", classes=CLASSES)
+
+
+@register("zone_class_knn", f"""
+WITH {GEO_SQL},
+d AS (SELECT zc.zone_id, p.label, p.point_id, {hav('zc.lat', 'zc.lon', 'p.lat', 'p.lon')} AS dist FROM zc, pts p
+      WHERE p.label <= 6),
+r AS (SELECT *, row_number() OVER (PARTITION BY zone_id, label ORDER BY dist, point_id) AS rk FROM d)
+SELECT zone_id, label, round(min(dist), 6) AS knn_min,
+  {", ".join(f"round(avg(dist) FILTER (WHERE rk <= {k}), 6) AS knn{k}_mean, round(max(dist) FILTER (WHERE rk <= {k}), 6) AS knn{k}_max, round(stddev_pop(dist) FILTER (WHERE rk <= {k}), 6) AS knn{k}_std" for k in (3, 5))}
+FROM r WHERE rk <= 5 GROUP BY zone_id, label""")
+def q_zone_class_knn(spark, sf_dir):
+    """Nearest-neighbour statistics of every point class in one pass."""
+    return finish(G.knn_stats(_centres(spark, sf_dir), S.points(spark, sf_dir), (3, 5), class_col="label", classes=CLASSES))
+
+
+@register("zone_box_counts", f"""
+WITH {GEO_SQL}
+SELECT z.zone_id, count(p.point_id) AS n_points FROM zones z LEFT JOIN pts p
+  ON p.lat >= z.lat_bl AND p.lat <= z.lat_tr AND p.lon >= z.lon_bl AND p.lon <= z.lon_tr GROUP BY z.zone_id""")
+def q_zone_box_counts(spark, sf_dir):
+    return G.point_in_box_count(S.zones(spark, sf_dir, far=FAR), S.points(spark, sf_dir))

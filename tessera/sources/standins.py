@@ -100,14 +100,18 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zones(spark: SparkSession, sf_dir: str, n: int = 20) -> DataFrame:
-    """n x n grid of boxes over the bounding range of the points (zone_id, corners, centre)."""
+def zones(spark: SparkSession, sf_dir: str, n: int = 20, far: int = 0) -> DataFrame:
+    """n x n grid of boxes over the bounding range of the points (zone_id, corners, centre).
+    ``far`` > 0 continues the grid by that many zones beyond the points, ``n`` boxes north of
+    the range for the first, 2n for the second, and so on."""
     p = points(spark, sf_dir)
     la0, la1 = p.select(F.min("lat")).scalar(), p.select(F.max("lat")).scalar()
     lo0, lo1 = p.select(F.min("lon")).scalar(), p.select(F.max("lon")).scalar()
-    cells = spark.range(n * n).select(
+    extra = F.col("id") - n * n
+    cells = spark.range(n * n + far).select(
         F.col("id").alias("zone_id"),
-        (F.col("id") / n).cast("long").alias("zi"), F.pmod(F.col("id"), F.lit(n)).alias("zj"),
+        F.when(extra < 0, (F.col("id") / n).cast("long")).otherwise(2 * n + n * extra).alias("zi"),
+        F.when(extra < 0, F.pmod(F.col("id"), F.lit(n))).otherwise(extra).alias("zj"),
         la0.alias("la0"), la1.alias("la1"), lo0.alias("lo0"), lo1.alias("lo1"))
     dlat = (F.col("la1") - F.col("la0")) / n
     dlon = (F.col("lo1") - F.col("lo0")) / n

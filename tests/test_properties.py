@@ -327,3 +327,36 @@ def test_rowmajor_encoding_matches_pixels(spark):
         out.append((start, prev - start + 1))
         want = "|".join(f"{a} {b}" for a, b in out) + "|"
         assert got[inst] == (want, len(px)), inst
+
+
+def test_knn_far_zones_and_points_on_a_line(spark):
+    """Any distance, any shape: a street of points, copies, zones off the range, across the date line and at a pole."""
+    pts = [(i, 55.0 + 1e-4 * i, 37.0) for i in range(300)] + [(1000 + i, 55.001, 37.0) for i in range(40)]
+    pts += [(2000, -17.0, 179.999), (2001, -17.0, -179.999), (2002, 89.9, 0.0), (2003, 89.9, 180.0)]
+    zones = [(0, 55.01, 37.2), (1, 56.7, 37.0), (2, 55.001, 37.0), (3, -17.0, 180.0), (4, 90.0, 10.0), (5, 0.0, -140.0), (6, 55.015, 37.0)]
+    z = spark.createDataFrame(zones, "zone_id long, lat double, lon double")
+    p = spark.createDataFrame(pts, "point_id long, lat double, lon double")
+    for k in (1, 7, 1000):
+        got = {}
+        for r in G.knn_distances(z, p, k).collect():
+            got.setdefault(r.zone_id, []).append((r["rank"], r.point_id, r.dist))
+        for zid, la, lo in zones:
+            want = sorted((_hav(la, lo, a, o), i) for i, a, o in pts)[:k]
+            have = sorted(got[zid])
+            assert len(have) == len(want)
+            assert all(math.isclose(h[2], w[0], rel_tol=1e-6, abs_tol=1e-6) for h, w in zip(have, want))
+            if k == 1:
+                assert have[0][1] == want[0][1] or zid in (3, 4)
+
+
+def test_knn_euclidean_outside_the_range(spark):
+    from tessera.operators.spatial import knn_euclidean
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.standard_normal((500, 5)), np.repeat([[3.0] * 5], 20, 0)])
+    q = np.concatenate([x[:3], [[100.0] * 5], [[-50.0, 0, 0, 0, 0]]])
+    refs = spark.createDataFrame([(i, v.tolist(), float(i)) for i, v in enumerate(x)], "_tk long, vec array<double>, target double").repartition(5)
+    qs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "id long, vec array<double>")
+    out = {(r.id, r["rank"]): (r._tk, r.target) for r in knn_euclidean(qs, refs, 6, "id", "vec", block_rows=64).collect()}
+    for i, v in enumerate(q):
+        d = sorted((float(np.sqrt(((x[j] - v) ** 2).sum())), j) for j in range(len(x)))[:6]
+        assert [out[i, k + 1] for k in range(6)] == [(j, float(j)) for _, j in d]
