@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import prefix_sums
+from tessera.operators.ranks import row_number_by_key
 
 __all__ = ["anova_f", "mutual_info", "select_top_percent", "select_percentile_f", "select_percentile_mi"]
 
@@ -39,7 +39,10 @@ def anova_f(long: DataFrame, labels: DataFrame, key: str, label: str = "target",
     # total mean = S / N; SSB = sum_c s_c^2 / n_c - S^2 / N; SSW = SS - sum_c s_c^2 / n_c
     ssb = F.col("B") - F.col("S") * F.col("S") / n_total
     ssw = F.col("SS") - F.col("B")
-    f = F.try_divide(ssb / (k_classes - 1), ssw / (n_total - k_classes))
+    # no spread inside the classes: a perfect separator has F = infinity, a constant key none
+    tiny = F.col("SS") * 1e-12
+    f = F.when(ssw > tiny, (ssb / (k_classes - 1)) / (ssw / (n_total - k_classes))) \
+         .when(ssb > tiny, F.lit(float("inf")))
     return agg.select(*feat, f.alias("score"))
 
 
@@ -66,20 +69,17 @@ def mutual_info(long: DataFrame, labels: DataFrame, key: str, label: str = "targ
 
 
 def select_top_percent(scores: DataFrame, percent: float, feat=("src", "key"), digits: int = 9) -> DataFrame:
-    """Keys with the best ``percent`` % of scores (ceil, ties by key), exact distributed rank.
-    Scores equal to ``digits`` decimals count as ties (engine-independent order)."""
+    """Keys with the best ``percent`` % of scores (ceil, ties by key), exact distributed rank:
+    infinite scores first, undefined ones last. Scores equal to ``digits`` decimals count as
+    ties (engine-independent order). Rows are ranked on (score, key) by range, so many keys
+    of one score span many tasks."""
     feat = list(feat)
-    n = scores.count()
-    keep = int(math.ceil(n * percent / 100.0))
-    s = scores.withColumn("_neg", -F.coalesce(F.round("score", digits), F.lit(float("-inf"))))
-    # rank by (score desc, key asc): a unique order value from a composite string is not
-    # numeric, so rank distinct scores first, then break ties inside a score by key
-    by_score = s.groupBy("_neg").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sums(by_score, "_neg", "_c").select("_neg", F.col("_c_before").alias("_base"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("_neg").orderBy(*feat)
-    r = s.join(ranked, "_neg").withColumn("_rank", F.col("_base") + F.row_number().over(w))
-    return r.filter(F.col("_rank") <= keep).select(*feat, "score")
+    keep = int(math.ceil(scores.count() * percent / 100.0))
+    undefined = F.col("score").isNull() | F.isnan("score")
+    neg = F.when(undefined, F.lit(0.0)).otherwise(-F.round("score", digits))
+    s = scores.withColumns({"_last": undefined.cast("int"), "_neg": neg})
+    r = row_number_by_key(s, [], ["_last", "_neg", *feat], "_rank")
+    return r.filter(F.col("_rank") < keep).select(*feat, "score")
 
 
 def select_percentile_f(long: DataFrame, labels: DataFrame, key: str, percent: float, **kw) -> DataFrame:

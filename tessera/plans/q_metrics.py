@@ -124,20 +124,27 @@ def q_doc_target_encoding(spark, sf_dir):
 
 
 def _tok_long(spark, sf_dir):
+    """Term counts, plus a term that only documents of class 1 hold and one that every document holds."""
     tf = S.doc_tokens(spark, sf_dir).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("value"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    one = F.lit(1).cast("long").alias("value")
+    tf = tf.unionByName(lab.filter(F.col("quality") == 1).select("doc_id", F.lit("<class 1>").alias("token"), one)) \
+           .unionByName(table(spark, sf_dir, "documents").select("doc_id", F.lit("<all>").alias("token"), one))
     return tf.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), "value")
 
 
 _SEL_BASE = f"""{TOKENS_SQL}, {DOCLAB_SQL},
-tf AS (SELECT doc_id, token, count(*) AS tf FROM toks GROUP BY 1, 2),
-lab AS (SELECT doc_id, target FROM dl WHERE target IS NOT NULL)"""
+lab AS (SELECT doc_id, target FROM dl WHERE target IS NOT NULL),
+tf AS (SELECT doc_id, token, count(*) AS tf FROM toks GROUP BY 1, 2
+       UNION ALL SELECT doc_id, '<class 1>', 1 FROM lab WHERE target = 1
+       UNION ALL SELECT doc_id, '<all>', 1 FROM documents)"""
 
 
 def _top_sql(score_cte):
     return f"""{score_cte},
-r AS (SELECT token, score, row_number() OVER (ORDER BY round(score, 9) DESC NULLS LAST, token) AS rk,
+r AS (SELECT token, score, row_number() OVER (ORDER BY CASE WHEN isinf(score) THEN score ELSE round(score, 9) END DESC NULLS LAST, token) AS rk,
              count(*) OVER () AS n FROM sc)
-SELECT 'tok' AS src, token AS key, round(score, 6) AS score FROM r WHERE rk <= ceil(n * 10 / 100.0)"""
+SELECT 'tok' AS src, token AS key, CASE WHEN isinf(score) THEN score ELSE round(score, 6) END AS score FROM r WHERE rk <= ceil(n * 10 / 100.0)"""
 
 
 @register("token_select_f", "WITH " + _top_sql(f"""{_SEL_BASE},
@@ -146,7 +153,8 @@ tot AS (SELECT sum(n_c) AS nn, count(*) AS k FROM nc),
 per AS (SELECT token, target, CAST(sum(tf) AS DOUBLE) AS s, CAST(sum(tf * tf) AS DOUBLE) AS ss
         FROM tf JOIN lab USING (doc_id) GROUP BY 1, 2),
 agg AS (SELECT token, sum(s) AS s, sum(ss) AS ss, sum(s * s / n_c) AS b FROM per JOIN nc USING (target) GROUP BY token),
-sc AS (SELECT token, ((b - s * s / nn) / (k - 1)) / nullif((ss - b) / (nn - k), 0) AS score FROM agg, tot)"""))
+sc AS (SELECT token, CASE WHEN ss - b > ss * 1e-12 THEN ((b - s * s / nn) / (k - 1)) / ((ss - b) / (nn - k))
+         WHEN b - s * s / nn > ss * 1e-12 THEN CAST('infinity' AS DOUBLE) END AS score FROM agg, tot)"""))
 def q_token_select_f(spark, sf_dir):
     lab = S.doc_labels(spark, sf_dir)
     return finish(SEL.select_top_percent(SEL.anova_f(_tok_long(spark, sf_dir), lab, "doc_id"), 10))
