@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.folds import hash_fraction, kfold
+from tessera.operators.folds import hash_fraction, stratified_kfold
 
 __all__ = ["logistic", "ridge", "linear_l1l2", "gbt", "random_forest", "factorization_machine", "score",
            "oof_scores", "cross_val_score", "grid_search", "validation_curve", "learning_curve", "simple_blend",
@@ -26,19 +26,33 @@ __all__ = ["logistic", "ridge", "linear_l1l2", "gbt", "random_forest", "factoriz
 
 # ---- estimators (E4-E8, E10): parameters in the reference's terms ----
 
-def logistic(C: float, n_rows: int, features: str = "features", label: str = "target", weight: str | None = None):
+class PerRows:
+    """An estimator whose penalty depends on the rows it is fitted on: ``make(total weight)``.
+
+    Spark ML minimises the mean loss plus regParam, the reference the summed loss plus its own
+    penalty; the two agree when regParam is divided by the rows (or weights) of this very fit."""
+
+    def __init__(self, make, weight: str | None = None):
+        self.make, self.weight = make, weight
+
+    def fit(self, df: DataFrame):
+        total = df.agg(F.sum(self.weight) if self.weight else F.count(F.lit(1))).first()[0]
+        return self.make(float(total or 1.0)).fit(df)
+
+
+def logistic(C: float, features: str = "features", label: str = "target", weight: str | None = None):
     """L2 logistic regression with the objective C * sum(loss) + ||w||^2 / 2."""
     from pyspark.ml.classification import LogisticRegression
     kw = {"weightCol": weight} if weight else {}
-    return LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (C * n_rows),
-                              elasticNetParam=0.0, standardization=False, maxIter=100, **kw)
+    return PerRows(lambda n: LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (C * n),
+                                                elasticNetParam=0.0, standardization=False, maxIter=100, **kw), weight)
 
 
-def ridge(alpha: float, n_rows: int, features: str = "features", label: str = "target"):
+def ridge(alpha: float, features: str = "features", label: str = "target"):
     """||y - Xw||^2 + alpha ||w||^2 (E5)."""
     from pyspark.ml.regression import LinearRegression
-    return LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / n_rows, elasticNetParam=0.0,
-                            standardization=False)
+    return PerRows(lambda n: LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / n,
+                                              elasticNetParam=0.0, standardization=False))
 
 
 def linear_l1l2(l1: float, l2: float, features: str = "features", label: str = "target"):
@@ -199,7 +213,11 @@ def simple_blend(train: DataFrame, test: DataFrame, bases: dict, meta_est, key:
 
 def average_blend(train, test, bases, meta_est, key, label="target", part1_ratio=0.9, n_iter=3, seed=0) -> DataFrame:
     """Mean of simple blends over seeds."""
-    parts = [simple_blend(train, test, bases, meta_est, key, label, part1_ratio, seed + i) for i in range(n_iter)]
+    return _mean_score([simple_blend(train, test, bases, meta_est, key, label, part1_ratio, seed + i)
+                        for i in range(n_iter)], key)
+
+
+def _mean_score(parts, key: str) -> DataFrame:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
@@ -208,8 +226,8 @@ def average_blend(train, test, bases, meta_est, key, label="target", part1_ratio
 
 def concatenate_blend(train, test, bases, meta_est, key, label="target", part1_ratio=0.9, n_iter=3,
                       seed=0) -> DataFrame:
-    """One meta model on all realisations' part-2 rows together; test scores of the
-    realisations averaged before the meta model (E18)."""
+    """One meta model on all realisations' part-2 rows together; it scores every realisation's
+    test rows, and these scores are averaged (E18)."""
     metas, tests = [], []
     for i in range(n_iter):
         is1 = hash_fraction(seed + i, key) < F.lit(part1_ratio)
@@ -219,40 +237,35 @@ def concatenate_blend(train, test, bases, meta_est, key, label="target", part1_r
             m = est.fit(p1)
             s2 = s2.join(score(m, p2, key, name), key)
             st = st.join(score(m, test, key, name), key)
-        metas.append(s2.withColumn("realisation", F.lit(i)))
+        metas.append(s2)
         tests.append(st)
     allm = metas[0]
     for m in metas[1:]:
         allm = allm.unionByName(m)
-    t = tests[0]
-    for x in tests[1:]:
-        t = t.unionByName(x)
-    t = t.groupBy(key).agg(*[F.avg(n).alias(n) for n in bases])
     meta = meta_est.setFeaturesCol("meta").setLabelCol(label).fit(_assemble_scores(allm, key, bases))
-    return score(meta, _assemble_scores(t, key, bases), key)
+    return _mean_score([score(meta, _assemble_scores(t, key, bases), key) for t in tests], key)
 
 
 def stack(train, test, bases, meta_est, key, label="target", n_folds=3, n_iter=1, seed=0,
           noise: float = 0.0) -> DataFrame:
-    """Out-of-fold base scores as meta features, bases refit on all train for test (E19);
-    ``noise`` > 0 adds Gaussian noise (hash-seeded) to the meta features (E20)."""
+    """Out-of-fold base scores as meta features over stratified folds, bases refit on all train
+    for test (E19); ``noise`` > 0 adds Gaussian noise (hash-seeded) to the meta features of train
+    and test (E20)."""
     reals = []
     for i in range(n_iter):
-        tr = kfold(train, key, n_folds, seed=seed + i)
+        tr = stratified_kfold(train, key, label, n_folds, seed=seed + i)
         meta_tr, meta_te = tr.select(key, label), test.select(key)
         for name, est in bases.items():
             o = oof_scores(tr, None, est, key, "fold", name).select(key, F.col("score").alias(name))
             meta_tr = meta_tr.join(o, key)
             meta_te = meta_te.join(score(est.fit(train), test, key, name), key)
         if noise > 0:
-            meta_tr = meta_tr.withColumns({n: F.col(n) + F.lit(noise) * _gauss(seed + i, key, j)
-                                           for j, n in enumerate(bases)})
+            def shaken(df):
+                return df.withColumns({n: F.col(n) + F.lit(noise) * _gauss(seed + i, key, j) for j, n in enumerate(bases)})  # noqa: B023
+            meta_tr, meta_te = shaken(meta_tr), shaken(meta_te)
         meta = meta_est.setFeaturesCol("meta").setLabelCol(label).fit(_assemble_scores(meta_tr, key, bases))
         reals.append(score(meta, _assemble_scores(meta_te, key, bases), key))
-    u = reals[0]
-    for r in reals[1:]:
-        u = u.unionByName(r)
-    return u.groupBy(key).agg(F.avg("score").alias("score"))
+    return _mean_score(reals, key)
 
 
 def _gauss(seed: int, key: str, j: int):
@@ -262,7 +275,7 @@ def _gauss(seed: int, key: str, j: int):
     return F.sqrt(-2 * F.log(u1)) * F.cos(2 * math.pi * u2)
 
 
-def noise_stack(train, test, bases, meta_est, key, label="target", scale=0.1, n_folds=3, n_iter=1, seed=0):
+def noise_stack(train, test, bases, meta_est, key, label="target", scale=0.03, n_folds=3, n_iter=1, seed=0):
     return stack(train, test, bases, meta_est, key, label, n_folds, n_iter, seed, noise=scale)
 
 
@@ -326,26 +339,38 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
     return u.select(row_key, *[(F.col("u")[i] * F.lit(s[i])).alias(f"{prefix}{i}") for i in range(len(s))])
 
 
-def pca_by_variance(df: DataFrame, vec: str, variance: float = 0.95, key: str | None = None,
-                    out: str = "pca") -> tuple[DataFrame, int]:
-    """Smallest k explaining ``variance`` of the total (M11), then the projection."""
+def pca_by_variance(df: DataFrame, vec: str, variance: float = 0.95, out: str = "pca") -> tuple[DataFrame, int]:
+    """Smallest k explaining ``variance`` of the total (M11), then the projection of the centred
+    vectors as an array column. One fit: the first k columns of its d x d matrix are used."""
+    import numpy as np
+    import pyarrow as pa
     from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import vector_to_array as v2a
-    d = len(df.select(v2a(vec).alias("a")).first()["a"])
+    from pyspark.ml.stat import Summarizer
+    d = len(df.select(vector_to_array(vec).alias("a")).first()["a"])
     full = PCA(k=d, inputCol=vec, outputCol=out).fit(df)
     ev = full.explainedVariance.toArray()
     k = int(min(d, 1 + next((i for i, c in enumerate(ev.cumsum()) if c >= variance - 1e-12), d - 1)))
-    model = PCA(k=k, inputCol=vec, outputCol=out).fit(df)
-    return model.transform(df), k
+    mean = df.select(Summarizer.mean(F.col(vec)).alias("m")).first()["m"].toArray()
+    basis = full.pc.toArray()[:, :k]  # d x k, d fixed by the data model
+    rest = [c for c in df.columns if c != vec]
+    rows = df.select(*rest, vector_to_array(vec).alias("_v"))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+
+    def project(batches):
+        for batch in batches:
+            x = batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            y = ((x - mean) @ basis).ravel()
+            offsets = pa.array(np.arange(0, len(y) + 1, k, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(rest))),
+                                              pa.ListArray.from_arrays(offsets, pa.array(y))], [*rest, out])
+
+    return rows.mapInArrow(project, f"{ddl}, {out} array<double>"), k
 
 
 def knn_regress(train: DataFrame, query: DataFrame, k: int, key: str, vec: str = "vec", target: str = "target",
                 out: str = "prediction") -> DataFrame:
-    """Mean target of the k nearest train rows in Euclidean feature space (E9), exact.
-
-    Candidates come from a grid on the first two coordinates with expanding rings; the
-    distance on two coordinates never exceeds the full distance, so a query is final once
-    its k-th full distance is inside the ring's safe radius (see spatial.knn_distances)."""
+    """Mean target of the k nearest train rows in Euclidean feature space (E9), exact
+    (blocks of queries against blocks of rows, see spatial.knn_euclidean)."""
     from tessera.operators.spatial import knn_euclidean
     nn = knn_euclidean(query.select(key, vec), train.select(F.col(key).alias("_tk"), vec, target), k, key, vec)
     return nn.groupBy(key).agg(F.avg(target).alias(out))

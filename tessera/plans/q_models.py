@@ -45,8 +45,7 @@ def q_doc_logistic_cv(spark, sf_dir):
     """L2 logistic regression (C = 0.2), balanced class weights, 5-fold AUC."""
     tr, _ = _split(spark, sf_dir)
     tr = MD.class_weights(tr, "target")
-    n = tr.count()
-    per = MD.cross_val_score(tr, MD.logistic(0.2, n, weight="weight"), "doc_id", metric="auc")
+    per = MD.cross_val_score(tr, MD.logistic(0.2, weight="weight"), "doc_id", metric="auc")
     return finish(per)
 
 
@@ -56,8 +55,7 @@ def q_doc_model_zoo(spark, sf_dir):
     mean and std per model (E5-E8, E10, A35)."""
     tr, _ = _split(spark, sf_dir)
     tr = kfold(tr.drop("fold"), "doc_id", 3, seed=7)
-    n = tr.count()
-    models = {"ridge": MD.ridge(1.0, n), "l1l2": MD.linear_l1l2(0.001, 0.01),
+    models = {"ridge": MD.ridge(1.0), "l1l2": MD.linear_l1l2(0.001, 0.01),
               "gbt": MD.gbt(True, max_depth=3, iters=10), "forest": MD.random_forest(False, trees=20, max_depth=5),
               "fm": MD.factorization_machine(4, iters=20)}
     out = None
@@ -74,8 +72,7 @@ def q_doc_stack_table(spark, sf_dir):
     """Out-of-fold and test scores of two models as a score table, test scores averaged over
     folds, then pivoted, min-max scaled and joined to the features (E11, A36, E21)."""
     tr, te = _split(spark, sf_dir)
-    n = tr.count()
-    scores = MD.oof_scores(tr, te, MD.logistic(1.0, n), "doc_id", model_name="logit") \
+    scores = MD.oof_scores(tr, te, MD.logistic(1.0), "doc_id", model_name="logit") \
         .unionByName(MD.oof_scores(tr, te, MD.gbt(True, 3, 0.1, 10), "doc_id", model_name="gbt"))
     test_avg = fold_test_average(scores.filter(F.col("split") == "test"), "doc_id", "score", "score")
     test_avg = test_avg.withColumn("split", F.lit("test_mean"))
@@ -88,8 +85,7 @@ def q_doc_blends(spark, sf_dir):
     """Simple, average and concatenate blending, stacking and noise stacking of two bases
     under a logistic meta model (E16-E20): (doc_id, method, score) for the test documents."""
     tr, te = _split(spark, sf_dir)
-    n = tr.count()
-    bases = {"logit": MD.logistic(1.0, n), "gbt": MD.gbt(True, 3, 0.1, 10)}
+    bases = {"logit": MD.logistic(1.0), "gbt": MD.gbt(True, 3, 0.1, 10)}
 
     def meta():
         from pyspark.ml.classification import LogisticRegression
@@ -99,7 +95,7 @@ def q_doc_blends(spark, sf_dir):
         "average": MD.average_blend(tr, te, bases, meta(), "doc_id", n_iter=2, seed=1),
         "concatenate": MD.concatenate_blend(tr, te, bases, meta(), "doc_id", n_iter=2, seed=1),
         "stack": MD.stack(tr, te, bases, meta(), "doc_id", n_folds=3, seed=1),
-        "noise_stack": MD.noise_stack(tr, te, bases, meta(), "doc_id", scale=0.05, n_folds=3, seed=1),
+        "noise_stack": MD.noise_stack(tr, te, bases, meta(), "doc_id", n_folds=3, seed=1),
     }
     out = None
     for name, df in parts.items():
@@ -113,12 +109,11 @@ def q_doc_model_selection(spark, sf_dir):
     """Grid search, validation curve and learning curve of the logistic model."""
     tr, _ = _split(spark, sf_dir)
     tr = kfold(tr.drop("fold"), "doc_id", 3, seed=11)
-    n = tr.count()
-    g = MD.grid_search(tr, lambda C: MD.logistic(C, n), {"C": [0.1, 1.0]}, "doc_id") \
+    g = MD.grid_search(tr, lambda C: MD.logistic(C), {"C": [0.1, 1.0]}, "doc_id") \
         .select(F.lit("grid").alias("kind"), F.col("params").alias("setting"), F.col("mean_score").alias("score"))
-    v = MD.validation_curve(tr, lambda C: MD.logistic(C, n), "C", [0.1, 1.0], "doc_id") \
+    v = MD.validation_curve(tr, lambda C: MD.logistic(C), "C", [0.1, 1.0], "doc_id") \
         .select(F.lit("validation").alias("kind"), F.col("C").alias("setting"), F.col("valid_score").alias("score"))
-    lc = MD.learning_curve(tr, MD.logistic(1.0, n), [0.5, 1.0], "doc_id") \
+    lc = MD.learning_curve(tr, MD.logistic(1.0), [0.5, 1.0], "doc_id") \
         .select(F.lit("learning").alias("kind"), F.col("train_share").cast("string").alias("setting"),
                 F.col("valid_score").alias("score"))
     return finish(g.unionByName(v).unionByName(lc))
@@ -147,8 +142,45 @@ def q_embedding_pca(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector(
         F.transform("embedding", lambda x: x.cast("double"))).alias("vec"))
     out, k = MD.pca_by_variance(e, "vec", 0.95)
-    from pyspark.ml.functions import vector_to_array
-    return out.select("vec_id", F.lit(k).alias("n_components"), vector_to_array("pca").alias("pca"))
+    return out.select("vec_id", F.lit(k).alias("n_components"), "pca")
+
+
+@register("embedding_pca_energy", """
+WITH m AS (SELECT i, avg(e) AS mean FROM (SELECT unnest(embedding) AS e, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY i),
+x AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS e, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)
+SELECT vec_id, round(sum((e - mean) * (e - mean)), 6) AS energy FROM x JOIN m USING (i) GROUP BY vec_id""")
+def q_embedding_pca_energy(spark, sf_dir):
+    """All components together keep every centred vector's squared length."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector(
+        F.transform("embedding", lambda x: x.cast("double"))).alias("vec"))
+    out, _ = MD.pca_by_variance(e, "vec", 1.0)
+    return finish(out.select("vec_id", F.aggregate("pca", F.lit(0.0), lambda a, x: a + x * x).alias("energy")))
+
+
+@register("embedding_svd_energy", """
+SELECT vec_id, round(sum(e * e), 6) AS energy
+FROM (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS e FROM embeddings) GROUP BY vec_id""")
+def q_embedding_svd_energy(spark, sf_dir):
+    """A full-rank U * S keeps every row's squared length."""
+    long = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.posexplode(F.transform("embedding", lambda x: x.cast("double"))).alias("col_idx", "value"))
+    out = MD.truncated_svd(long, "vec_id", "col_idx", "value", 64)
+    energy = sum((F.col(c) * F.col(c) for c in out.columns[1:]), F.lit(0.0))
+    return finish(out.select("vec_id", energy.alias("energy")))
+
+
+@register("embedding_knn_digest", """
+WITH e AS (SELECT vec_id, CAST(label AS DOUBLE) AS target, embedding FROM embeddings),
+d AS (SELECT q.vec_id, r.vec_id AS rid, r.target,
+        list_sum(list_transform(range(1, 65), lambda i: pow(CAST(q.embedding[i] AS DOUBLE) - CAST(r.embedding[i] AS DOUBLE), 2))) AS d2
+      FROM e q JOIN e r ON q.vec_id % 7 = 0 AND r.vec_id % 7 <> 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, rid) AS rk FROM d)
+SELECT vec_id, round(avg(target), 6) AS prediction FROM k WHERE rk <= 5 GROUP BY vec_id""")
+def q_embedding_knn_digest(spark, sf_dir):
+    """k-NN regression with a hold-out by id, so that SQL can repeat it."""
+    e = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("vec"), F.col("label").cast("double").alias("target"))
+    return finish(MD.knn_regress(e.filter("vec_id % 7 <> 0"), e.filter("vec_id % 7 = 0"), 5, "vec_id", "vec", "target"))
 
 
 @register("embedding_knn_regress")
