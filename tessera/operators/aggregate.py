@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 __all__ = ["safe_name", "basic_stats_exprs", "basic_stats", "value_range", "date_span_days_expr",
            "max_category", "true_mode", "pivot_count_exprs", "pivot_agg_exprs", "pivot_count",
            "pivot_agg", "one_hot_aggregate_exprs", "max_per_key", "count_distinct", "two_level_agg",
-           "share", "quantile", "describe", "value_counts", "corr_pairs", "normality_test",
+           "share", "exact_quantiles", "describe", "value_counts", "corr_pairs", "normality_test",
            "drop_duplicates", "score_summary", "fold_test_average", "drop_outliers"]
 
 
@@ -125,33 +125,64 @@ def share(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def quantile(col, q: float, exact: bool = True) -> Column:
-    """Linear-interpolated quantile (A26); ``exact=False`` uses the sketch."""
-    return F.percentile(_c(col), F.lit(q)) if exact else F.percentile_approx(_c(col), F.lit(q))
+def exact_quantiles(df: DataFrame, col: str, probs, by=()) -> DataFrame:
+    """Linear-interpolated quantiles (A26), one row per group: ``by`` columns, then q0, q1, ...
+    in the order of ``probs``.
+
+    Equal values are counted first; the running count over value ranges (``prefix_sums``) gives
+    every value's order positions, and the two order statistics of each quantile are picked by
+    aggregation. No buffer holds a group's values."""
+    from tessera.operators.ranks import prefix_sums
+    by = list(by)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(*by, F.col(col).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_cnt"))
+    runs = prefix_sums(counts, "_v", "_cnt", partition_cols=by)
+    totals = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    if by:
+        same = [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in by]
+        cond = same[0]
+        for x in same[1:]:
+            cond = cond & x
+        joined = runs.alias("r").join(totals.alias("t"), cond)
+    else:
+        joined = runs.alias("r").crossJoin(F.broadcast(totals).alias("t"))  # one row
+    first, past = F.col("_cnt_before"), F.col("_cnt_before") + F.col("_cnt")
+    aggs = []
+    for i, p in enumerate(probs):
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        for name, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((at >= first) & (at < past), F.col("_v"))).alias(f"_{name}{i}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_f{i}"))
+    got = joined.groupBy(*[F.col(f"r.{c}").alias(c) for c in by]).agg(*aggs)
+    return got.select(*by, *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(f"q{i}")
+                             for i in range(len(list(probs)))])
 
 
 def drop_outliers(df: DataFrame, col: str, q: float, keep: str = "below") -> DataFrame:
     """Rows above (or below) the q-quantile removed (P12). The quantile is one scalar subquery."""
-    thr = df.select(quantile(col, q).alias("_q")).scalar()
+    thr = exact_quantiles(df, col, [q]).scalar()
     return df.filter(F.col(col) <= thr) if keep == "below" else df.filter(F.col(col) > thr)
 
 
 def describe(df: DataFrame, cols) -> DataFrame:
     """count, mean, population-free sample std, min, quartiles, max per column (A27), long form:
-    one row per (column, statistic) from ONE aggregation."""
+    one row per (column, statistic)."""
     exprs = []
     for c in cols:
         x = F.col(c).cast("double")
         exprs += [F.count(x).cast("double").alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"),
-                  F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"),
-                  F.percentile(x, F.lit(0.25)).alias(f"{c}|25%"), F.percentile(x, F.lit(0.5)).alias(f"{c}|50%"),
-                  F.percentile(x, F.lit(0.75)).alias(f"{c}|75%"), F.max(x).alias(f"{c}|max")]
-    wide = df.agg(*exprs)
-    names = wide.columns
-    stacked = F.explode(F.array(*[F.struct(F.lit(n.split("|")[0]).alias("column"),
-                                           F.lit(n.split("|")[1]).alias("statistic"),
-                                           F.col(f"`{n}`").alias("value")) for n in names]))
-    return wide.select(stacked.alias("s")).select("s.*")
+                  F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"), F.max(x).alias(f"{c}|max")]
+
+    def stacked(wide: DataFrame) -> DataFrame:
+        return wide.select(F.explode(F.array(*[
+            F.struct(F.lit(n.split("|")[0]).alias("column"), F.lit(n.split("|")[1]).alias("statistic"),
+                     F.col(f"`{n}`").alias("value")) for n in wide.columns])).alias("s")).select("s.*")
+
+    out = stacked(df.agg(*exprs))
+    for c in cols:
+        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        out = out.unionByName(stacked(q.toDF(f"{c}|25%", f"{c}|50%", f"{c}|75%")))
+    return out
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:

@@ -73,12 +73,12 @@ def maxabs_scale_long(train_long: DataFrame, long: DataFrame, keys=("src", "key"
 
 def robust_scale(train: DataFrame, df: DataFrame, cols, suffix: str = "") -> DataFrame:
     """(x - median) / IQR of train (M6); zero IQR -> 1. Scales the column, not one row."""
-    st = _stats(train, cols, {"q1": lambda c: F.percentile(c, 0.25), "q2": lambda c: F.percentile(c, 0.5),
-                              "q3": lambda c: F.percentile(c, 0.75)})
+    from tessera.operators.aggregate import exact_quantiles
     out = {}
     for c in cols:
-        iqr = (st[f"q3|{c}"] or 0.0) - (st[f"q1|{c}"] or 0.0)
-        out[f"{c}{suffix}"] = (F.col(c) - F.lit(st[f"q2|{c}"])) / F.lit(iqr if iqr != 0 else 1.0)
+        q1, q2, q3 = exact_quantiles(train, c, [0.25, 0.5, 0.75]).first()
+        iqr = (q3 or 0.0) - (q1 or 0.0)
+        out[f"{c}{suffix}"] = (F.col(c) - F.lit(q2)) / F.lit(iqr if iqr != 0 else 1.0)
     return df.withColumns(out)
 
 

@@ -9,7 +9,7 @@ from tessera.operators import joins as J
 from tessera.operators import setops as U
 from tessera.operators import window as W
 from tessera.plans.registry import finish, register
-from tessera.plans.transactions import signed_feature_set, transaction_features
+from tessera.plans.transactions import signed_feature_set, signed_long_blocks, transaction_features
 from tessera.session import table
 from tessera.sources import standins as S
 
@@ -58,36 +58,49 @@ def q_transaction_features(spark, sf_dir):
     return finish(transaction_features(tx, S.mcc_groups(spark, sf_dir), S.TRX_CATEGORIES, S.CHANNELS))
 
 
-# The declared MCC (supplier key) columns of the signed block set.
-SIGNED_MCC_VALUES = [1, 2, 3, 4, 5]
-
-
 def _signed_sql():
     parts = []
-    for sign, cond in (("all", "TRUE"), ("pos", "amount > 0"), ("neg", "amount < 0")):
-        masked = {"all": "amount", "pos": "CASE WHEN amount > 0 THEN amount ELSE 0.0 END",
-                  "neg": "CASE WHEN amount < 0 THEN amount ELSE 0.0 END"}[sign]
-        parts += [f"round(sum({masked}), 6) AS {sign}_sum",
-                  f"count(*) FILTER (WHERE {cond}) AS {sign}_count",
-                  f"round(avg(amount) FILTER (WHERE {cond}), 6) AS {sign}_mean",
-                  f"round(coalesce(stddev_samp(amount) FILTER (WHERE {cond}), 0.0), 6) AS {sign}_std",
-                  f"round(max(amount) FILTER (WHERE {cond}), 6) AS {sign}_max"]
-        dims = [("trx_category", "cat", [(f"'{v}'", A.safe_name(v)) for v in S.TRX_CATEGORIES]),
-                ("mcc", "mcc", [(str(v), str(v)) for v in SIGNED_MCC_VALUES]),
-                ("weekday", "wd", [(str(v), str(v)) for v in range(7)]),
-                ("hour", "h", [("0", "0")])]
-        for dim, short, values in dims:
-            for lit, nm in values:
-                hit = f"({cond}) AND {dim} = {lit}"
-                parts += [f"count(*) FILTER (WHERE {hit}) AS {sign}_{short}_{nm}_count",
-                          f"round(coalesce(sum(amount) FILTER (WHERE {hit}), 0.0), 6) AS {sign}_{short}_{nm}_sum"]
+    for sign in ("all", "pos", "neg"):
+        amt = {"all": "amount", "pos": "CASE WHEN amount > 0 THEN amount ELSE 0.0 END",
+               "neg": "CASE WHEN amount < 0 THEN amount ELSE 0.0 END"}[sign]
+
+        def block(name, hit, stats):
+            total = f"round(sum({amt}) FILTER (WHERE {hit}), 2)"  # noqa: B023
+            sql = {"count": f"count(*) FILTER (WHERE {hit})", "sum": f"coalesce({total}, 0.0)",
+                   "max": f"coalesce(max({amt}) FILTER (WHERE {hit}), 0.0)",  # noqa: B023
+                   "std": f"round(coalesce(stddev_samp({amt}) FILTER (WHERE {hit}), 0.0), 3)",  # noqa: B023
+                   "mean": f"round(coalesce({total} / nullif(count(*) FILTER (WHERE {hit}), 0), 0.0), 7)"}
+            return [f"{sql[x]} AS {sign}_{name}{x}" for x in stats]  # noqa: B023
+        five = ("count", "sum", "max", "std", "mean")
+        parts += block("", "TRUE", five)
+        for v in S.TRX_CATEGORIES:
+            parts += block(f"cat_{A.safe_name(v)}_", f"trx_category = '{v}'", five)
+        for d in range(7):
+            parts += block(f"wd_{d}_", f"weekday = {d}", ("mean",))
+        for h in range(24):
+            parts += block(f"h_{h}_", f"hour = {h}", ("mean",))
+    parts.append("CAST(floor((epoch(max(ts)) - epoch(min(ts))) / 86400) AS BIGINT) AS span_days")
     return (f"WITH {_TX_SQL}, t AS (SELECT *, isodow(ts) - 1 AS weekday, hour(ts) AS hour FROM tx)\n"
             "SELECT cl_id,\n  " + ",\n  ".join(parts) + "\nFROM t GROUP BY cl_id")
 
 
 @register("signed_feature_set", _signed_sql())
 def q_signed_feature_set(spark, sf_dir):
-    return finish(signed_feature_set(S.transactions(spark, sf_dir), S.TRX_CATEGORIES, SIGNED_MCC_VALUES))
+    out = finish(signed_feature_set(S.transactions(spark, sf_dir), S.TRX_CATEGORIES), 7)
+    return out.withColumns({c: F.round(c, 3) for c in out.columns if c.endswith("_std")})
+
+
+@register("signed_mcc_blocks", f"""
+WITH {_TX_SQL},
+s AS (SELECT cl_id, mcc, 'all' AS sign, amount AS v FROM tx
+      UNION ALL SELECT cl_id, mcc, 'pos', CASE WHEN amount > 0 THEN amount ELSE 0.0 END FROM tx
+      UNION ALL SELECT cl_id, mcc, 'neg', CASE WHEN amount < 0 THEN amount ELSE 0.0 END FROM tx)
+SELECT cl_id, sign, mcc, count(*) AS n, round(sum(v), 6) AS total, round(max(v), 6) AS largest,
+       round(coalesce(stddev_samp(v), 0.0), 6) AS std, round(avg(v), 6) AS mean
+FROM s GROUP BY cl_id, sign, mcc""")
+def q_signed_mcc_blocks(spark, sf_dir):
+    """The MCC blocks of the signed set, long form over every MCC value."""
+    return finish(signed_long_blocks(S.transactions(spark, sf_dir), "mcc"))
 
 
 @register("category_value_counts", f"""
@@ -117,9 +130,7 @@ SELECT trx_category, round(quantile_cont(amount, 0.99), 6) AS q99, round(quantil
 FROM tx GROUP BY trx_category""")
 def q_amount_quantiles(spark, sf_dir):
     tx = S.transactions(spark, sf_dir)
-    return finish(tx.groupBy("trx_category").agg(A.quantile("amount", 0.99).alias("q99"),
-                                                 A.quantile("amount", 0.5).alias("q50"),
-                                                 A.quantile("amount", 0.995).alias("q995")))
+    return finish(A.exact_quantiles(tx, "amount", [0.99, 0.5, 0.995], ["trx_category"]).toDF("trx_category", "q99", "q50", "q995"))
 
 
 @register("drop_outlier_orders", """

@@ -51,26 +51,45 @@ def transaction_features(tx: DataFrame, groups: DataFrame | None, categories, ch
     return out.select(*[c for c in out.columns if not c.startswith(("_has_", "_gt_"))], *onehot)
 
 
-def signed_feature_set(tx: DataFrame, categories, mcc_values) -> DataFrame:
-    """The count / sum / mean / std / max blocks over all, positive and negative amounts,
-    by category, by MCC (declared top values), by weekday and hour (A8): 13 blocks x 3
-    signs generated from one spec, ONE aggregation."""
+SIGNS = ("all", "pos", "neg")
+HOURS = list(range(24))
+
+
+def _mean(v, cents: int):
+    """Sum rounded to the currency's decimals over the count: independent of the order of addition."""
+    return F.coalesce(F.round(F.sum(v), cents) / F.count(v), F.lit(0.0))
+
+
+def _five(amount, prefix: str, hit=None, cents: int = 2) -> list:
+    v = amount if hit is None else F.when(hit, amount)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return [F.count(v).alias(f"{prefix}count"), zero(F.round(F.sum(v), cents)).alias(f"{prefix}sum"),
+            zero(F.max(v)).alias(f"{prefix}max"), zero(F.stddev_samp(v)).alias(f"{prefix}std"),
+            _mean(v, cents).alias(f"{prefix}mean")]
+
+
+def signed_feature_set(tx: DataFrame, categories) -> DataFrame:
+    """The signed feature set (A8), ONE aggregation: for all amounts, and with the negative or
+    the positive ones set to zero, count / sum / max / std / mean in total and per category,
+    mean per weekday and per hour; and the span in days. Missing cells are 0. The blocks per MCC
+    have an open domain and come in long form (``signed_long_blocks``)."""
     tx = tx.withColumns({"weekday": F.weekday("ts"), "hour": F.hour("ts")})
     aggs = []
-    for sign in ("all", "pos", "neg"):
+    for sign in SIGNS:
         amt = mask_amount("amount", sign)
-        sel = F.lit(True) if sign == "all" else (F.col("amount") > 0 if sign == "pos" else F.col("amount") < 0)
-        tag = sign
-        aggs += [F.sum(amt).alias(f"{tag}_sum"), F.count_if(sel).alias(f"{tag}_count"),
-                 F.avg(F.when(sel, F.col("amount"))).alias(f"{tag}_mean"),
-                 F.coalesce(F.stddev_samp(F.when(sel, F.col("amount"))), F.lit(0.0)).alias(f"{tag}_std"),
-                 F.max(F.when(sel, F.col("amount"))).alias(f"{tag}_max")]
-        for dim, values in (("trx_category", categories), ("mcc", mcc_values),
-                            ("weekday", WEEKDAYS), ("hour", [0])):
-            short = {"trx_category": "cat", "mcc": "mcc", "weekday": "wd", "hour": "h"}[dim]
-            for v in values:
-                hit = sel & (F.col(dim) == F.lit(v))
-                name = f"{tag}_{short}_{A.safe_name(v)}"
-                aggs += [F.count_if(hit).alias(f"{name}_count"),
-                         F.coalesce(F.sum(F.when(hit, F.col("amount"))), F.lit(0.0)).alias(f"{name}_sum")]
+        aggs += _five(amt, f"{sign}_")
+        for v in categories:
+            aggs += _five(amt, f"{sign}_cat_{A.safe_name(v)}_", F.col("trx_category") == F.lit(v))
+        for dim, short, values in (("weekday", "wd", WEEKDAYS), ("hour", "h", HOURS)):
+            aggs += [_mean(F.when(F.col(dim) == F.lit(v), amt), 2).alias(f"{sign}_{short}_{v}_mean") for v in values]
+    aggs.append(A.date_span_days_expr("ts").alias("span_days"))
     return tx.groupBy("cl_id").agg(*aggs)
+
+
+def signed_long_blocks(tx: DataFrame, dim: str) -> DataFrame:
+    """The five statistics per client, sign and every value of ``dim`` (A8), long form."""
+    signed = F.explode(F.array(*[F.struct(F.lit(s).alias("sign"), mask_amount("amount", s).alias("v")) for s in SIGNS]))
+    rows = tx.select("cl_id", dim, signed.alias("s")).select("cl_id", dim, "s.*")
+    return rows.groupBy("cl_id", "sign", dim).agg(
+        F.count("v").alias("n"), F.sum("v").alias("total"), F.max("v").alias("largest"),
+        F.coalesce(F.stddev_samp("v"), F.lit(0.0)).alias("std"), F.avg("v").alias("mean"))
