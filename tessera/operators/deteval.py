@@ -1,150 +1,59 @@
 """Detection post-processing and scoring.
 
-Greedy steps (NMS, matching) are sequential inside one image, so they run per
-group with ``applyInPandas`` (images in parallel); everything else is joins
-and windows. Inputs to the greedy steps are already reduced to overlapping
-pairs by ``boxes.iou_join``.
+The greedy steps (NMS, matching) run as rounds over candidate pairs, one path at every
+size: each round takes every box or pair that is first among all it competes with, which
+is what the greedy would take, and drops what that decides. The pairs are those of
+``boxes.iou_join`` (overlapping boxes only), so a crowded image spreads over many tasks.
+A round is a few aggregations and one checkpoint; the number of rounds is the longest
+chain of boxes that depend on each other, not the size of an image.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.boxes import BBOX_STD, apply_deltas_clip, iou_join
 from tessera.operators.window import top_k_per_group
+from tessera.session import cut_lineage
 
-__all__ = ["apply_per_key", "non_max_suppression", "nms_keep_mask", "propose", "refine_detections", "match_detections",
-           "average_precision", "ap_range", "recall_at_iou", "coco_results", "greedy_match"]
-
-
-def apply_per_key(df: DataFrame, keys, fn_bucket, schema, n_buckets: int | None = None) -> DataFrame:
-    """Run a per-key greedy step with many keys per Python call.
-
-    Rows go to ``pmod(xxhash64(keys), n_buckets)`` groups (one Arrow batch per bucket
-    instead of one per key); ``fn_bucket`` receives the whole bucket and must treat
-    every key separately. A key still stays whole in one bucket, which greedy steps need."""
-    from pyspark.sql import types as T
-    keys = list(keys)
-    n = n_buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).alias("_bkt")
-    cols = df.columns
-    out_schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    names = [f.name for f in out_schema.fields]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = fn_bucket(pdf[cols])
-        return out[names] if len(out) else pd.DataFrame({c: [] for c in names})
-
-    return df.select("*", bucket).groupBy("_bkt").applyInPandas(run, out_schema)
-
-
-def _group_bounds(keys: np.ndarray):
-    """Start/end offsets of runs of equal keys in a sorted key array."""
-    if len(keys) == 0:
-        return np.array([], dtype=int), np.array([], dtype=int)
-    cut = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-    return np.concatenate([[0], cut]), np.concatenate([cut, [len(keys)]])
-
-
-def nms_keep_mask(y1, x1, y2, x2, scores, ids, thr: float) -> np.ndarray:
-    """Greedy NMS on one group: best score first (ties: smaller id), drop IoU > thr, repeat."""
-    order = np.lexsort((ids, -scores))
-    area = (y2 - y1) * (x2 - x1)
-    keep = np.zeros(len(scores), dtype=bool)
-    alive = np.ones(len(scores), dtype=bool)
-    for i in order:
-        if not alive[i]:
-            continue
-        keep[i] = True
-        alive[i] = False
-        idx = np.nonzero(alive)[0]
-        if idx.size == 0:
-            break
-        iy1 = np.maximum(y1[i], y1[idx])
-        ix1 = np.maximum(x1[i], x1[idx])
-        iy2 = np.minimum(y2[i], y2[idx])
-        ix2 = np.minimum(x2[i], x2[idx])
-        inter = np.maximum(iy2 - iy1, 0) * np.maximum(ix2 - ix1, 0)
-        ov = inter / (area[i] + area[idx] - inter)
-        alive[idx[ov > thr]] = False
-    return keep
+__all__ = ["non_max_suppression", "propose", "refine_detections", "detection_pairs", "mask_pairs", "match_detections",
+           "average_precision", "ap_range", "recall_at_iou", "coco_results"]
 
 
 def non_max_suppression(df: DataFrame, thr: float, id_col: str, by=("image_id",), score: str = "score",
-                        max_out: int | None = None, max_group_rows: int = 20_000, cell: float = 32) -> DataFrame:
-    """Greedy NMS per group (D4); returns the kept rows, optionally the best ``max_out`` per group.
-
-    Groups up to ``max_group_rows`` boxes (the normal case: detections per image) run whole
-    in one vectorised pandas call, many groups per call. Larger groups are never gathered:
-    they go through ``_nms_rounds``, an exact distributed form of the same greedy. ``cell``
-    is the grid size of the pair join in the boxes' own units (pixels, or a fraction for
-    normalised boxes)."""
+                        max_out: int | None = None, cell: float = 32) -> DataFrame:
+    """Greedy NMS per group (D4): best score first (ties: smaller id), boxes with IoU > ``thr``
+    to it dropped; returns the kept rows, optionally the best ``max_out`` per group. ``cell`` is
+    the grid size of the pair join in the boxes' own units (pixels, or a fraction).
+
+    Suppression edges hi -> lo join boxes that overlap with IoU > thr, hi first in greedy order.
+    A box without an undecided box before it on an edge is kept (if one of them had been kept it
+    would be gone); boxes after a kept one are dropped; the rest go to the next round."""
     by = list(by)
-    schema = df.schema
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            return pdf
-        gkey = pdf.groupby(by, sort=False).ngroup().to_numpy()
-        order = np.argsort(gkey, kind="stable")
-        pdf = pdf.iloc[order].reset_index(drop=True)
-        gkey = gkey[order]
-        f = lambda c: pdf[c].to_numpy(dtype=float)
-        y1, x1, y2, x2, sc = f("y1"), f("x1"), f("y2"), f("x2"), f(score)
-        ids = pdf[id_col].to_numpy()
-        keep = np.zeros(len(pdf), dtype=bool)
-        for a, b in zip(*_group_bounds(gkey)):
-            keep[a:b] = nms_keep_mask(y1[a:b], x1[a:b], y2[a:b], x2[a:b], sc[a:b], ids[a:b], thr)
-        return pdf[keep]
-
-    big = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_group_rows).select(*by)
-    if big.isEmpty():
-        kept = apply_per_key(df, by, run, schema)
-    else:
-        kept = apply_per_key(df.join(big, by, "left_anti"), by, run, schema).unionByName(
-            _nms_rounds(df.join(big, by, "left_semi"), thr, id_col, by, score, cell))
-    if max_out:
-        kept = top_k_per_group(kept, by, score, max_out, tie_break=[id_col])
-    return kept
-
-
-def _nms_rounds(df: DataFrame, thr: float, id_col: str, by, score: str, cell: float) -> DataFrame:
-    """Exact greedy NMS as rounds of joins, for groups too large for one task.
-
-    Suppression edges hi -> lo join boxes that overlap with IoU > thr, hi first in greedy
-    order (higher score, then smaller id); only overlapping pairs are formed (grid-cell
-    join). Each round keeps every undecided box without an undecided box before it on an
-    edge: all boxes before it are decided and none is kept (else it would be suppressed), so
-    greedy keeps it too. Boxes suppressed by them are dropped; the rest go to the next
-    round. Every round decides at least the first undecided box of each group."""
-    from tessera.session import cut_lineage
     keys = [*by, id_col]
     boxes = df.select(*keys, score, "y1", "x1", "y2", "x2")
     pairs = iou_join(boxes, boxes, id_col, id_col, image=by, cell=cell, a_cols=(score,), b_cols=(score,),
                      a_prefix="h_", b_prefix="l_")
     hs, ls, hid, lid = (F.col(c) for c in (f"h_{score}", f"l_{score}", f"h_{id_col}", f"l_{id_col}"))
     before = (hs > ls) | ((hs == ls) & (hid < lid))
-    edges = cut_lineage(pairs.filter(before & (F.col("iou") > F.lit(thr)))
-                        .select(*by, hid.alias("_hi"), lid.alias("_lo")))
-    und = cut_lineage(boxes.select(*keys))
-    kept = None
-
-    def as_(d, name):
-        return d.withColumnRenamed(id_col, name)
-    while not und.isEmpty():
-        blocked = edges.join(as_(und, "_hi"), [*by, "_hi"], "left_semi").select(*by, F.col("_lo").alias(id_col))
-        new = cut_lineage(und.join(blocked, keys, "left_anti"))
-        kept = new if kept is None else kept.unionByName(new)
-        gone = edges.join(as_(new, "_hi"), [*by, "_hi"], "left_semi").select(*by, F.col("_lo").alias(id_col))
-        und = cut_lineage(und.join(new, keys, "left_anti").join(gone, keys, "left_anti"))
-        edges = cut_lineage(edges.join(as_(und, "_hi"), [*by, "_hi"], "left_semi")
-                            .join(as_(und, "_lo"), [*by, "_lo"], "left_semi"))
-    if kept is None:
-        return df.limit(0)
-    return df.join(kept, keys, "left_semi")
+    edges = cut_lineage(pairs.filter(before & (F.col("iou") > F.lit(thr))).select(*by, hid.alias("_hi"), lid.alias("_lo")))
+    dropped = None
+    hi, lo = [*by, "_hi"], [*by, "_lo"]
+    while True:
+        # free: on an edge as its first box, and behind no other box
+        free = edges.select(*hi).distinct().join(edges.select(*by, F.col("_lo").alias("_hi")).distinct(), hi, "left_anti")
+        gone = edges.join(free, hi, "left_semi").select(*lo).distinct()
+        gone = cut_lineage(gone)
+        if gone.isEmpty():
+            break
+        dropped = gone if dropped is None else dropped.unionByName(gone)
+        left = edges.join(gone, lo, "left_anti")
+        edges = cut_lineage(left.join(gone.select(*by, F.col("_lo").alias("_hi")), hi, "left_anti"))
+    kept = df if dropped is None else df.join(dropped.withColumnRenamed("_lo", id_col), keys, "left_anti")
+    if max_out:
+        kept = top_k_per_group(kept, by, score, max_out, tie_break=[id_col])
+    return kept
 
 
 def _window_cell(window) -> float:
@@ -182,166 +91,107 @@ def refine_detections(class_rows: DataFrame, window, min_conf: float = 0.7, nms_
     return top_k_per_group(kept, ["image_id"], "score", max_inst, tie_break=["roi_id"])
 
 
-def greedy_match(pairs: pd.DataFrame, thr: float | None, min_overlap: float = 0.0) -> pd.DataFrame:
-    """Greedy matching for every (image, iou_thr) group in ``pairs``: predictions in score order
-    (ties: smaller id) take the best unmatched same-class gt with IoU >= thr (ties: smaller
-    gt id); a gt is matched at most once. Columns: image_id, [iou_thr,] pred_id, score,
-    pred_class, gt_id, gt_class, iou. One sort, then one pass over the candidate pairs."""
-    p = pairs
-    if "iou_thr" not in p.columns:
-        p = p.assign(iou_thr=float(thr))
-    p = p[(p["iou"] >= p["iou_thr"]) & (p["iou"] >= min_overlap) & (p["pred_class"] == p["gt_class"])]
-    p = p.sort_values(["image_id", "iou_thr", "score", "pred_id", "iou", "gt_id"],
-                      ascending=[True, True, False, True, False, True], kind="mergesort")
-    used_gt, used_pred, rows = set(), set(), []
-    for img, t, pid, gid, v in zip(p["image_id"].to_numpy(), p["iou_thr"].to_numpy(), p["pred_id"].to_numpy(),
-                                   p["gt_id"].to_numpy(), p["iou"].to_numpy()):
-        kp, kg = (img, t, pid), (img, t, gid)
-        if kp in used_pred or kg in used_gt:
-            continue
-        used_pred.add(kp)
-        used_gt.add(kg)
-        rows.append((img, t, pid, gid, v))
-    return pd.DataFrame(rows, columns=["image_id", "iou_thr", "pred_id", "gt_id", "iou"])
+_PAIR = ["image_id", "pred_id", "gt_id", "score", "pred_class", "gt_class", "iou"]
 
 
-def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overlap: float = 0.0,
-                     cell: int = 32, thresholds=None, max_group_rows: int = 200_000) -> DataFrame:
-    """Greedy matching per image (D10): (image_id, [iou_thr,] pred_id, gt_id, iou) for matched
-    predictions. Only overlapping pairs reach the per-image step. ``thresholds`` evaluates
-    several IoU thresholds in one pass (grouped by image and threshold)."""
+def detection_pairs(pred: DataFrame, gt: DataFrame, cell: int = 32) -> DataFrame:
+    """Candidate pairs of overlapping boxes with scores, classes and box IoU."""
     pairs = iou_join(pred.select("image_id", "pred_id", "class_id", "score", "y1", "x1", "y2", "x2"),
                      gt.select("image_id", "gt_id", "class_id", "y1", "x1", "y2", "x2"),
                      "pred_id", "gt_id", cell=cell, a_cols=("class_id", "score"), b_cols=("class_id",),
                      a_prefix="p_", b_prefix="g_")
-    pairs = pairs.select("image_id", F.col("p_pred_id").alias("pred_id"), F.col("p_score").alias("score"),
-                         F.col("p_class_id").alias("pred_class"), F.col("g_gt_id").alias("gt_id"),
-                         F.col("g_class_id").alias("gt_class"), "iou")
-    ths = list(thresholds) if thresholds is not None else [thr]
-    pairs = pairs.filter(F.col("iou") >= F.lit(min(ths)))
-    pairs = pairs.select("*", F.explode(F.array(*[F.lit(float(t)) for t in ths])).alias("iou_thr"))
-    pairs = pairs.filter(F.col("iou") >= F.col("iou_thr"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return greedy_match(pdf, None, min_overlap)
-
-    schema = f"image_id {dict(pred.dtypes)['image_id']}, iou_thr double, pred_id {dict(pred.dtypes)['pred_id']}, " \
-             f"gt_id {dict(gt.dtypes)['gt_id']}, iou double"
-    g = ["image_id", "iou_thr"]
-    # Pairs of an image never exceed n_pred x n_gt: two box counts bound every group
-    # without forming the pairs twice. Images over the bound are matched in rounds.
-    n_p = pred.groupBy("image_id").agg(F.count(F.lit(1)).alias("_np"))
-    n_g = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("_ng"))
-    big = n_p.join(n_g, "image_id").filter(F.col("_np") * F.col("_ng") > F.lit(max_group_rows)).select("image_id")
-    if big.isEmpty():
-        out = apply_per_key(pairs, g, run, schema)
-    else:
-        names = [f.split()[0] for f in schema.split(", ")]
-        out = apply_per_key(pairs.join(big, "image_id", "left_anti"), g, run, schema).unionByName(
-            _match_rounds(pairs.join(big, "image_id", "left_semi"), min_overlap).select(*names))
-    return out if thresholds is not None else out.drop("iou_thr")
+    return pairs.select("image_id", F.col("p_pred_id").alias("pred_id"), F.col("g_gt_id").alias("gt_id"),
+                        F.col("p_score").alias("score"), F.col("p_class_id").alias("pred_class"),
+                        F.col("g_class_id").alias("gt_class"), "iou")
+
 
+def mask_pairs(pred: DataFrame, gt: DataFrame, pred_runs: DataFrame, gt_runs: DataFrame, height: int) -> DataFrame:
+    """Candidate pairs with mask IoU instead of box IoU; runs as in ``masks.mask_iou_join``."""
+    from tessera.operators.masks import mask_iou_join
+    j = mask_iou_join(gt_runs, pred_runs, height).select(
+        "image_id", F.col("a_id").alias("gt_id"), F.col("b_id").alias("pred_id"), "iou")
+    return j.join(pred.select("image_id", "pred_id", "score", F.col("class_id").alias("pred_class")), ["image_id", "pred_id"]) \
+            .join(gt.select("image_id", "gt_id", F.col("class_id").alias("gt_class")), ["image_id", "gt_id"]).select(*_PAIR)
 
-def _match_rounds(pairs: DataFrame, min_overlap: float = 0.0) -> DataFrame:
-    """Exact greedy matching as rounds of aggregations, for groups too large for one task.
 
-    The greedy takes candidate pairs in one total order (prediction score desc, prediction
-    id, IoU desc, gt id) and keeps a pair when both ends are free. A pair that comes first
-    among all pairs sharing its prediction or its gt is kept by that greedy, so each round
-    keeps all such pairs (two partial aggregations), drops every pair touching a kept end,
-    and repeats. Each round keeps at least the first pair of every group."""
-    from tessera.session import cut_lineage
+def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overlap: float = 0.0,
+                     cell: int = 32, thresholds=None, pairs: DataFrame | None = None) -> DataFrame:
+    """Greedy matching per image (D10): (image_id, [iou_thr,] pred_id, gt_id, iou) of matched
+    predictions. Predictions in score order (ties: smaller id) take the best free gt of their
+    class with IoU >= thr (ties: smaller gt id). ``thresholds`` evaluates several IoU thresholds
+    in one pass; ``pairs`` brings other candidates (``mask_pairs`` for masks).
+
+    The greedy takes pairs in one total order (score desc, prediction id, IoU desc, gt id) and
+    keeps a pair when both ends are free. A pair that is first among all pairs of its prediction
+    and of its gt is kept by it; each round keeps those and drops the pairs that touch them."""
+    ths = [float(t) for t in (thresholds if thresholds is not None else [thr])]
+    pairs = detection_pairs(pred, gt, cell) if pairs is None else pairs
+    pairs = pairs.filter((F.col("pred_class") == F.col("gt_class")) & (F.col("iou") >= F.lit(max(min(ths), min_overlap))))
+    pairs = pairs.select("*", F.explode(F.array(*[F.lit(t) for t in ths])).alias("iou_thr")).filter("iou >= iou_thr")
     g = ["image_id", "iou_thr"]
-    e = cut_lineage(pairs.filter((F.col("iou") >= F.col("iou_thr")) & (F.col("iou") >= F.lit(min_overlap))
-                                 & (F.col("pred_class") == F.col("gt_class")))
-                    .select(*g, "pred_id", "gt_id", "score", "iou"))
-    matched = None
-    while not e.isEmpty():
-        best_gt = e.groupBy(*g, "pred_id").agg(
-            F.max_by("gt_id", F.struct(F.col("iou"), -F.col("gt_id"))).alias("gt_id"))
-        best_pred = e.groupBy(*g, "gt_id").agg(
-            F.max_by("pred_id", F.struct(F.col("score"), -F.col("pred_id"))).alias("pred_id"))
-        new = cut_lineage(e.join(best_gt, [*g, "pred_id", "gt_id"], "left_semi")
-                          .join(best_pred, [*g, "pred_id", "gt_id"], "left_semi")
-                          .select(*g, "pred_id", "gt_id", "iou"))
-        matched = new if matched is None else matched.unionByName(new)
-        e = cut_lineage(e.join(new.select(*g, "pred_id"), [*g, "pred_id"], "left_anti")
-                        .join(new.select(*g, "gt_id"), [*g, "gt_id"], "left_anti"))
-    if matched is None:
-        return e.select(*g, "pred_id", "gt_id", "iou")
-    return matched
-
-
-def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame, max_group_rows: int = 100_000) -> DataFrame:
-    """AP per image at one threshold (D11, with W4-W7: rank by score per image, running precision / recall, precision envelope W5): predictions in score order (ties:
-    smaller id), running precision and recall, precision envelope from the right, sum of
-    recall steps x envelope. No predictions -> 0; no gt -> null."""
-    flag = matches.select("image_id", "pred_id").distinct().withColumn("tp", F.lit(1))
-    scored = pred.select("image_id", "pred_id", "score").join(flag, ["image_id", "pred_id"], "left") \
-                 .fillna(0, subset=["tp"])
+    p_key, g_key = [*g, "pred_id"], [*g, "gt_id"]
+    e = cut_lineage(pairs.select(*g, "pred_id", "gt_id", "score", "iou"))
+    parts = []
+    while True:
+        best_gt = e.groupBy(*p_key).agg(F.max_by(F.struct("gt_id", "iou"), F.struct(F.col("iou"), -F.col("gt_id"))).alias("b"))
+        best_pred = e.groupBy(*g_key).agg(F.max_by("pred_id", F.struct(F.col("score"), -F.col("pred_id"))).alias("pred_id"))
+        new = best_gt.select(*p_key, "b.*").join(best_pred, [*g, "pred_id", "gt_id"], "left_semi")
+        new = cut_lineage(new.select(*g, "pred_id", "gt_id", "iou"))
+        parts.append(new)
+        e = cut_lineage(e.join(new.select(*p_key), p_key, "left_anti").join(new.select(*g_key), g_key, "left_anti"))
+        if e.isEmpty():
+            break
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out if thresholds is not None else out.drop("iou_thr")
+
+
+def _ap_core(pred: DataFrame, matches: DataFrame, gt_counts: DataFrame, thresholds) -> DataFrame:
+    """AP per image for every threshold, as columns ap0, ap1, ...
+
+    Predictions are ranked once per image in score order (ties: smaller id) with one true-positive
+    flag per threshold (W7). The recall step at a true positive is 1 / n_gt, so AP is the sum of the
+    precision envelope over true positives, over n_gt. Running counts (W4) and the envelope from
+    the right (W5) go by ranges of the order: no image is gathered into one task."""
+    from tessera.operators.ranks import prefix_sums, range_buckets, suffix_max
+    n = range(len(thresholds))
+    flags = matches.groupBy("image_id", "pred_id").agg(
+        *[F.max((F.col("iou_thr") == F.lit(float(t))).cast("long")).alias(f"tp{i}") for i, t in enumerate(thresholds)])
+    t = pred.select("image_id", "pred_id", "score").join(flags, ["image_id", "pred_id"], "left") \
+            .fillna(0, subset=[f"tp{i}" for i in n])
+    t = t.select("image_id", F.struct((-F.col("score")).alias("s"), F.col("pred_id").alias("p")).alias("_ord"),
+                 F.lit(1).alias("_one"), *[f"tp{i}" for i in n])
+    t = range_buckets(t, "_ord")
+    t = prefix_sums(t, "_ord", ["_one", *[f"tp{i}" for i in n]], partition_cols=["image_id"])
+    t = t.withColumns({f"prec{i}": (F.col(f"tp{i}_before") + F.col(f"tp{i}")) / (F.col("_one_before") + 1) for i in n})
+    t = suffix_max(t, "_ord", {f"prec{i}": f"env{i}" for i in n}, partition_cols=["image_id"])
+    t = t.groupBy("image_id").agg(*[F.sum(F.col(f"tp{i}") * F.col(f"env{i}")).alias(f"_s{i}") for i in n])
+    return t.join(gt_counts, "image_id").select("image_id", *[(F.col(f"_s{i}") / F.col("n_gt")).alias(f"ap{i}") for i in n])
+
+
+def _images_ap(pred: DataFrame, gt: DataFrame, matches: DataFrame, thresholds) -> DataFrame:
+    """Every image with ap0, ap1, ...: null without gt, 0 without predictions."""
     n_gt = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    ap = _ap_core(scored, n_gt, ["image_id"], pred, max_group_rows)
+    ap = _ap_core(pred, matches, n_gt, thresholds)
     images = pred.select("image_id").union(gt.select("image_id")).distinct()
     out = images.join(n_gt, "image_id", "left").join(ap, "image_id", "left")
-    return out.select("image_id", F.when(F.col("n_gt").isNull(), F.lit(None).cast("double"))
-                      .otherwise(F.coalesce(F.col("ap"), F.lit(0.0))).alias("ap"))
-
-
-def _ap_core(scored: DataFrame, gt_counts: DataFrame, k, pred: DataFrame,
-             max_group_rows: int = 100_000) -> DataFrame:
-    """AP per group k: sum over true positives of the precision envelope, over n_gt.
-
-    Predictions in score order (ties: smaller id); the recall step at a true positive is
-    1 / n_gt, so AP = sum(tp * envelope) / n_gt. Images with up to ``max_group_rows``
-    predictions use per-image windows; larger ones use bucketed prefix sums / suffix maxima
-    (``_ap_bucketed``), so no image is gathered into one task."""
-    big = pred.groupBy("image_id").agg(F.count(F.lit(1)).alias("_n")) \
-              .filter(F.col("_n") > max_group_rows).select("image_id")
-    if big.isEmpty():
-        return _ap_window(scored, gt_counts, k)
-    return _ap_window(scored.join(big, "image_id", "left_anti"), gt_counts, k).unionByName(
-        _ap_bucketed(scored.join(big, "image_id", "left_semi"), gt_counts, k))
-
-
-def _ap_window(scored: DataFrame, gt_counts: DataFrame, k) -> DataFrame:
-    w = Window.partitionBy(*k).orderBy(F.desc("score"), "pred_id")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    c = scored.withColumns({"_rank": F.row_number().over(w), "_ctp": F.sum("tp").over(run)})
-    c = c.withColumn("precision", F.col("_ctp") / F.col("_rank"))
-    c = c.withColumn("_env", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)))
-    c = c.join(gt_counts, "image_id", "inner")
-    return c.groupBy(*k).agg((F.sum(F.col("tp") * F.col("_env")) / F.max("n_gt")).alias("ap"))
-
-
-def _ap_bucketed(scored: DataFrame, gt_counts: DataFrame, k) -> DataFrame:
-    from tessera.operators.ranks import prefix_sums, suffix_max
-    t = scored.select(*k, "pred_id", F.col("tp").cast("long").alias("tp"), F.lit(1).alias("_one"),
-                      F.struct((-F.col("score")).alias("s"), F.col("pred_id").alias("p")).alias("_ord"))
-    t = prefix_sums(t, "_ord", ["tp", "_one"], partition_cols=k)
-    t = t.withColumn("precision", (F.col("tp_before") + F.col("tp")) / (F.col("_one_before") + 1))
-    t = suffix_max(t, "_ord", "precision", "_env", partition_cols=k)
-    t = t.join(gt_counts, "image_id", "inner")
-    return t.groupBy(*k).agg((F.sum(F.col("tp") * F.col("_env")) / F.max("n_gt")).alias("ap"))
-
-
-def ap_range(pred: DataFrame, gt: DataFrame, thresholds=None, cell: int = 32) -> DataFrame:
-    """AP per (image, IoU threshold) and its mean per image.
-    Default thresholds 0.50, 0.55, ..., 0.95."""
-    ths = thresholds or [round(0.5 + 0.05 * i, 2) for i in range(10)]
-    m = match_detections(pred, gt, cell=cell, thresholds=ths)
-    thr_arr = F.array(*[F.lit(float(t)) for t in ths])
-    n_gt = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_gt"))
-    images = pred.select("image_id").union(gt.select("image_id")).distinct()
-    # every image and prediction is scored at every threshold (a fixed literal list)
-    img_thr = images.select("image_id", F.explode(thr_arr).alias("iou_thr"))
-    flag = m.select("image_id", "iou_thr", "pred_id").withColumn("tp", F.lit(1))
-    scored = pred.select("image_id", "pred_id", "score", F.explode(thr_arr).alias("iou_thr")) \
-                 .join(flag, ["image_id", "iou_thr", "pred_id"], "left").fillna(0, subset=["tp"])
-    ap = _ap_core(scored, n_gt, ["image_id", "iou_thr"], pred)
-    out = img_thr.join(n_gt, "image_id", "left").join(ap, ["image_id", "iou_thr"], "left")
-    out = out.withColumn("ap", F.when(F.col("n_gt").isNull(), F.lit(None).cast("double"))
-                         .otherwise(F.coalesce(F.col("ap"), F.lit(0.0))))
-    return out.select("image_id", "iou_thr", "ap")
+    return out.select("image_id", *[F.when(F.col("n_gt").isNotNull(), F.coalesce(F.col(f"ap{i}"), F.lit(0.0))).alias(f"ap{i}")
+                                    for i in range(len(thresholds))])
+
+
+def average_precision(pred: DataFrame, gt: DataFrame, matches: DataFrame) -> DataFrame:
+    """AP per image at one threshold (D11, W4-W7): sum of recall steps x precision envelope.
+    No predictions -> 0; no gt -> null."""
+    return _images_ap(pred, gt, matches.withColumn("iou_thr", F.lit(0.0)), [0.0]).withColumnRenamed("ap0", "ap")
+
+
+def ap_range(pred: DataFrame, gt: DataFrame, thresholds=None, cell: int = 32, pairs: DataFrame | None = None) -> DataFrame:
+    """AP per (image, IoU threshold) (D11, D12). Default thresholds 0.50, 0.55, ..., 0.95."""
+    ths = [float(t) for t in (thresholds or [round(0.5 + 0.05 * i, 2) for i in range(10)])]
+    wide = _images_ap(pred, gt, match_detections(pred, gt, cell=cell, thresholds=ths, pairs=pairs), ths)
+    rows = F.explode(F.array(*[F.struct(F.lit(t).alias("iou_thr"), F.col(f"ap{i}").alias("ap")) for i, t in enumerate(ths)]))
+    return wide.select("image_id", rows.alias("r")).select("image_id", "r.*")
 
 
 def recall_at_iou(pred: DataFrame, gt: DataFrame, thr: float, cell: int = 32) -> DataFrame:
@@ -359,12 +209,13 @@ def recall_at_iou(pred: DataFrame, gt: DataFrame, thr: float, cell: int = 32) ->
 
 
 def coco_results(pred: DataFrame, registry: DataFrame, rle: DataFrame | None = None) -> DataFrame:
-    """Result rows (D14): image, source class id, [x, y, w, h] (one decimal), score, mask RLE."""
+    """Result rows (D14): image, source class id, [x, y, w, h] (corners to one decimal), the
+    score as it is, mask RLE."""
     from tessera.functions.boxes import to_xywh
     from tessera.operators.joins import class_map_join
     p = class_map_join(pred, registry, direction="to_source")
     out = p.select("image_id", "pred_id", "source_class_id", *to_xywh(tuple(F.col(c) for c in ("y1", "x1", "y2", "x2"))),
-                   F.bround(F.col("score"), 3).alias("score"))
+                   "score")
     if rle is not None:
         out = out.join(rle.withColumnRenamed("instance_id", "pred_id"), ["image_id", "pred_id"], "left")
     return out

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["bucket_splits", "add_bucket", "prefix_sums", "average_rank", "dense_rank_global",
+__all__ = ["bucket_splits", "add_bucket", "range_buckets", "prefix_sums", "average_rank", "dense_rank_global",
            "row_number_global", "row_number_by_key", "suffix_max"]
 
 
@@ -42,10 +42,10 @@ def add_bucket(df: DataFrame, col: str, splits: list[float], out: str = "_bucket
             .withColumn(out, F.col(out).cast("int"))
 
 
-def _range_bucket(t: DataFrame, order_col: str, n_buckets: int) -> DataFrame:
+def range_buckets(t: DataFrame, order_col: str, n_buckets: int | None = None) -> DataFrame:
     """Bucket id for any orderable type: range partitioning, ids fixed by a reliable checkpoint."""
     from tessera.session import cut_lineage
-    return cut_lineage(t.repartitionByRange(n_buckets, order_col)
+    return cut_lineage(t.repartitionByRange(n_buckets or _default_buckets(t), order_col)
                        .withColumn("_bucket", F.spark_partition_id()))
 
 
@@ -57,10 +57,12 @@ def prefix_sums(t: DataFrame, order_col: str, weight_cols, n_buckets: int | None
     weight_cols = [weight_cols] if isinstance(weight_cols, str) else list(weight_cols)
     parts = list(partition_cols)
     n_buckets = n_buckets or _default_buckets(t)
-    if isinstance(t.schema[order_col].dataType, T.NumericType):
+    if "_bucket" in t.columns:  # cut into ranges before (``range_buckets``)
+        tb = t
+    elif isinstance(t.schema[order_col].dataType, T.NumericType):
         tb = add_bucket(t, order_col, bucket_splits(t, order_col, n_buckets))
     else:
-        tb = _range_bucket(t, order_col, n_buckets)
+        tb = range_buckets(t, order_col, n_buckets)
     totals = tb.groupBy(*parts, "_bucket").agg(*[F.sum(w).alias(f"_tot_{w}") for w in weight_cols])
     # (partitions x n_buckets) rows: bounded by construction
     wb = (Window.partitionBy(*parts) if parts else Window).orderBy("_bucket") \
@@ -75,26 +77,21 @@ def prefix_sums(t: DataFrame, order_col: str, weight_cols, n_buckets: int | None
                                     for w in weight_cols])
 
 
-def suffix_max(t: DataFrame, order_col: str, value: str, out: str, partition_cols=(),
+def suffix_max(t: DataFrame, order_col: str, values: dict[str, str], partition_cols=(),
                n_buckets: int | None = None) -> DataFrame:
-    """For a table with UNIQUE ``(partition_cols, order_col)`` values, add ``out`` = max of
-    ``value`` over the rows of the same partition at or after this row. Exact, distributed
-    like ``prefix_sums``: range maxima per bucket, a bounded suffix max over buckets, and a
-    window inside each bucket."""
-    from pyspark.sql import types as T
+    """For a table with UNIQUE ``(partition_cols, order_col)`` values, add for every
+    ``value -> out`` of ``values`` the max of ``value`` over the rows of the same partition at
+    or after this row. Exact, distributed like ``prefix_sums``: range maxima per bucket, a
+    bounded suffix max over buckets, and a window inside each bucket."""
     parts = list(partition_cols)
-    n_buckets = n_buckets or _default_buckets(t)
-    if isinstance(t.schema[order_col].dataType, T.NumericType):
-        tb = add_bucket(t, order_col, bucket_splits(t, order_col, n_buckets))
-    else:
-        tb = _range_bucket(t, order_col, n_buckets)
-    bmax = tb.groupBy(*parts, "_bucket").agg(F.max(value).alias("_bmax"))
+    tb = t if "_bucket" in t.columns else range_buckets(t, order_col, n_buckets or _default_buckets(t))
+    bmax = tb.groupBy(*parts, "_bucket").agg(*[F.max(v).alias(f"_max_{v}") for v in values])
     wb = (Window.partitionBy(*parts) if parts else Window).orderBy("_bucket") \
         .rowsBetween(1, Window.unboundedFollowing)
-    later = bmax.select(*parts, "_bucket", F.max("_bmax").over(wb).alias("_later"))
+    later = bmax.select(*parts, "_bucket", *[F.max(f"_max_{v}").over(wb).alias(f"_later_{v}") for v in values])
     wi = Window.partitionBy(*parts, "_bucket").orderBy(order_col).rowsBetween(0, Window.unboundedFollowing)
-    inner = tb.select("*", F.max(value).over(wi).alias("_in")).join(later, [*parts, "_bucket"], "left")
-    return inner.select(*t.columns, F.greatest(F.col("_in"), F.col("_later")).alias(out))
+    inner = tb.select("*", *[F.max(v).over(wi).alias(f"_in_{v}") for v in values]).join(later, [*parts, "_bucket"], "left")
+    return inner.select(*t.columns, *[F.greatest(F.col(f"_in_{v}"), F.col(f"_later_{v}")).alias(o) for v, o in values.items()])
 
 
 def average_rank(df: DataFrame, col: str, out: str, n_buckets: int | None = None) -> DataFrame:

@@ -306,33 +306,114 @@ def q_resize_geometry(spark, sf_dir):
     return finish(out)
 
 
-# ---- greedy steps: no SQL form; checked against brute force in tests ----
-
-@register("nms_predictions")
+# ---- greedy steps: the oracles repeat the greedy as a recursion over its order ----
+
+def _nms_sql(boxes: str, id_col: str, by: str, thr: float) -> str:
+    """CTEs ranking ``boxes`` and walking each group in order; ``kept`` has (by, id_col)."""
+    area = lambda t: f"(({t}.y2 - {t}.y1) * ({t}.x2 - {t}.x1))"
+    inter = "(least(a.y2, b.y2) - greatest(a.y1, b.y1)) * (least(a.x2, b.x2) - greatest(a.x1, b.x1))"
+    same = " AND ".join(f"a.{c} = b.{c}" for c in by.split(", "))
+    step = " AND ".join(f"k.{c} = r.{c}" for c in by.split(", "))
+    return f"""rk AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY score DESC, {id_col}) AS rk FROM {boxes}),
+sup AS (SELECT {', '.join(f'b.{c}' for c in by.split(', '))}, b.rk, list(a.rk) AS hi FROM rk a JOIN rk b ON {same} AND a.rk < b.rk
+        AND least(a.y2, b.y2) > greatest(a.y1, b.y1) AND least(a.x2, b.x2) > greatest(a.x1, b.x1)
+        WHERE CAST({inter} AS DOUBLE) / ({area('a')} + {area('b')} - {inter}) > {thr} GROUP BY ALL),
+rs AS (SELECT rk.*, coalesce(sup.hi, []) AS hi FROM rk LEFT JOIN sup USING ({by}, rk)),
+walk AS (SELECT {by}, rk, [rk] AS keep FROM rs WHERE rk = 1
+  UNION ALL SELECT {', '.join(f'r.{c}' for c in by.split(', '))}, r.rk,
+    CASE WHEN list_has_any(k.keep, r.hi) THEN k.keep ELSE list_append(k.keep, r.rk) END
+  FROM walk k JOIN rs r ON {step} AND r.rk = k.rk + 1),
+last AS (SELECT {by}, arg_max(keep, rk) AS keep FROM walk GROUP BY {by}),
+kept AS (SELECT rs.* EXCLUDE (rk, hi) FROM rs JOIN last USING ({by}) WHERE list_contains(keep, rk))"""
+
+
+def _match_sql(ths, pairs: str = "pairs") -> str:
+    """CTEs walking the candidate pairs of each (image, threshold) in greedy order; result ``matched``."""
+    return f"""th AS (SELECT unnest([{', '.join(str(float(t)) for t in ths)}]) AS iou_thr),
+cand AS (SELECT image_id, iou_thr, pred_id, gt_id, iou,
+    row_number() OVER (PARTITION BY image_id, iou_thr ORDER BY score DESC, pred_id, iou DESC, gt_id) AS rk
+  FROM {pairs}, th WHERE gt_class = pred_class AND iou >= iou_thr),
+mw AS (SELECT image_id, iou_thr, rk, [pred_id] AS ps, [gt_id] AS gs, [rk] AS taken FROM cand WHERE rk = 1
+  UNION ALL SELECT c.image_id, c.iou_thr, c.rk,
+    CASE WHEN list_contains(ps, c.pred_id) OR list_contains(gs, c.gt_id) THEN ps ELSE list_append(ps, c.pred_id) END,
+    CASE WHEN list_contains(ps, c.pred_id) OR list_contains(gs, c.gt_id) THEN gs ELSE list_append(gs, c.gt_id) END,
+    CASE WHEN list_contains(ps, c.pred_id) OR list_contains(gs, c.gt_id) THEN taken ELSE list_append(taken, c.rk) END
+  FROM mw JOIN cand c ON c.image_id = mw.image_id AND c.iou_thr = mw.iou_thr AND c.rk = mw.rk + 1),
+ml AS (SELECT image_id, iou_thr, arg_max(taken, rk) AS taken FROM mw GROUP BY 1, 2),
+matched AS (SELECT c.* EXCLUDE (rk) FROM cand c JOIN ml USING (image_id, iou_thr) WHERE list_contains(taken, rk))"""
+
+
+_AP_SQL = """ng AS (SELECT image_id, count(*) AS n_gt FROM gt GROUP BY 1),
+pr AS (SELECT pred.image_id, th.iou_thr, pred.pred_id, score, CAST(m.pred_id IS NOT NULL AS INTEGER) AS tp
+       FROM pred CROSS JOIN th LEFT JOIN matched m ON m.image_id = pred.image_id AND m.pred_id = pred.pred_id AND m.iou_thr = th.iou_thr),
+cum AS (SELECT *, sum(tp) OVER w / row_number() OVER w AS prec FROM pr
+        WINDOW w AS (PARTITION BY image_id, iou_thr ORDER BY score DESC, pred_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+env AS (SELECT *, max(prec) OVER (PARTITION BY image_id, iou_thr ORDER BY score DESC, pred_id
+                                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS e FROM cum),
+ap AS (SELECT image_id, iou_thr, sum(tp * e) / any_value(n_gt) AS ap FROM env JOIN ng USING (image_id) GROUP BY 1, 2)"""
+AP_THRESHOLDS = [round(0.5 + 0.05 * i, 2) for i in range(10)]
+
+
+@register("nms_predictions", f"""
+WITH RECURSIVE {BOX_SQL}, {_nms_sql('pred', 'pred_id', 'image_id', 0.3)}
+SELECT * FROM kept""")
 def q_nms_predictions(spark, sf_dir):
     p = S.pred_boxes(spark, sf_dir)
     return D.non_max_suppression(p, 0.3, "pred_id", by=("image_id",))
 
 
-@register("match_detections")
+@register("match_detections", f"""
+WITH RECURSIVE {BOX_SQL}, {PAIRS_SQL}, {_match_sql([0.5])}
+SELECT image_id, pred_id, gt_id, round(iou, 6) AS iou FROM matched""")
 def q_match_detections(spark, sf_dir):
-    return D.match_detections(S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir), 0.5)
+    return finish(D.match_detections(S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir), 0.5))
 
 
-@register("average_precision", headline=True)
+@register("average_precision", f"""
+WITH RECURSIVE {BOX_SQL}, {PAIRS_SQL}, {_match_sql([0.5])}, {_AP_SQL}
+SELECT image_id, round(ap, 6) AS ap FROM ap""", headline=True)
 def q_average_precision(spark, sf_dir):
     pred, gt = S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir)
     return finish(D.average_precision(pred, gt, D.match_detections(pred, gt, 0.5)))
 
 
-@register("ap_range")
+@register("ap_range", f"""
+WITH RECURSIVE {BOX_SQL}, {PAIRS_SQL}, {_match_sql(AP_THRESHOLDS)}, {_AP_SQL}
+SELECT image_id, round(avg(ap), 6) AS map_50_95 FROM ap GROUP BY image_id""")
 def q_ap_range(spark, sf_dir):
     pred, gt = S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir)
     per = D.ap_range(pred, gt)
     return finish(per.groupBy("image_id").agg(F.avg("ap").alias("map_50_95")))
 
 
-@register("refine_detections")
+@register("mask_match_detections", f"""
+WITH RECURSIVE {BOX_SQL},
+gc AS (SELECT image_id, gt_id, class_id, x, y1 + x % 3 AS s, y2 AS e FROM gt, LATERAL (SELECT unnest(range(x1, x2)) AS x) WHERE y1 + x % 3 < y2),
+pc AS (SELECT image_id, pred_id, class_id, score, x, y1 AS s, y2 AS e FROM pred, LATERAL (SELECT unnest(range(x1, x2)) AS x)),
+ga AS (SELECT image_id, gt_id, sum(e - s) AS area FROM gc GROUP BY 1, 2),
+pa AS (SELECT image_id, pred_id, sum(e - s) AS area FROM pc GROUP BY 1, 2),
+inter AS (SELECT gc.image_id, gt_id, pred_id, any_value(gc.class_id) AS gt_class, any_value(pc.class_id) AS pred_class, any_value(score) AS score,
+    sum(least(gc.e, pc.e) - greatest(gc.s, pc.s)) AS n
+  FROM gc JOIN pc ON gc.image_id = pc.image_id AND gc.x = pc.x AND least(gc.e, pc.e) > greatest(gc.s, pc.s) GROUP BY 1, 2, 3),
+pairs AS (SELECT inter.*, CAST(n AS DOUBLE) / (ga.area + pa.area - n) AS iou FROM inter JOIN ga USING (image_id, gt_id) JOIN pa USING (image_id, pred_id)),
+{_match_sql([0.5])}
+SELECT image_id, pred_id, gt_id, round(iou, 6) AS iou FROM matched""")
+def q_mask_match_detections(spark, sf_dir):
+    """Matching by mask overlap; the gt masks have a ragged upper edge, so mask and box overlap differ."""
+    pred, gt = S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir)
+    pairs = D.mask_pairs(pred, gt, S.pred_mask_runs(spark, sf_dir), S.mask_runs(spark, sf_dir, ragged=3), H)
+    return finish(D.match_detections(pred, gt, 0.5, pairs=pairs))
+
+
+@register("refine_detections", f"""
+WITH RECURSIVE {BOX_SQL},
+conf AS (SELECT p.image_id, p.pred_id AS roi_id, p.class_id, 0.5 + 5 * p.score AS score,
+    greatest(least(CAST(g.y1 AS DOUBLE), {H}), 0) AS y1, greatest(least(CAST(g.x1 AS DOUBLE), {W}), 0) AS x1,
+    greatest(least(CAST(g.y2 AS DOUBLE), {H}), 0) AS y2, greatest(least(CAST(g.x2 AS DOUBLE), {W}), 0) AS x2
+  FROM pred p JOIN gt g ON g.image_id = p.image_id AND g.gt_id = p.pred_id WHERE 0.5 + 5 * p.score >= 0.7),
+{_nms_sql('conf', 'roi_id', 'image_id, class_id', 0.3)}
+SELECT image_id, roi_id, class_id, round(score, 6) AS score, round(y1, 6) AS y1, round(x1, 6) AS x1, round(y2, 6) AS y2, round(x2, 6) AS x2
+FROM kept""")
 def q_refine_detections(spark, sf_dir):
     """Class rows from predictions: the predicted class with prob 0.5 + 5 * score and the
     deltas that move the box onto its gt, background with the rest; refined, filtered,
@@ -349,7 +430,12 @@ def q_refine_detections(spark, sf_dir):
     return finish(D.refine_detections(fg.unionByName(bg), (0, 0, H, W), min_conf=0.7, nms_thr=0.3))
 
 
-@register("propose_regions")
+@register("propose_regions", f"""
+WITH RECURSIVE {BOX_SQL},
+win AS (SELECT image_id, pred_id AS anchor_id, score, least(y1 / 127.0, 1) AS y1, least(x1 / 127.0, 1) AS x1,
+          least(y2 / 127.0, 1) AS y2, least(x2 / 127.0, 1) AS x2 FROM pred),
+{_nms_sql('win', 'anchor_id', 'image_id', 0.7)}
+SELECT image_id, anchor_id, score, round(y1, 6) AS y1, round(x1, 6) AS x1, round(y2, 6) AS y2, round(x2, 6) AS x2 FROM kept""")
 def q_propose_regions(spark, sf_dir):
     p = S.pred_boxes(spark, sf_dir)
     scored = p.select("image_id", F.col("pred_id").alias("anchor_id"), "score",

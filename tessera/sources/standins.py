@@ -171,11 +171,14 @@ def pred_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mask_runs(spark: SparkSession, sf_dir: str, height: int = IMAGE_H) -> DataFrame:
-    """image_id, instance_id, start (1-based, column-major), length: each gt box cut into columns."""
+def mask_runs(spark: SparkSession, sf_dir: str, height: int = IMAGE_H, ragged: int = 1) -> DataFrame:
+    """image_id, instance_id, start (1-based, column-major), length: each gt box cut into columns.
+    ``ragged`` > 1 starts column x by x % ragged pixels lower, so the mask is not a rectangle."""
     g = gt_boxes(spark, sf_dir)
     col = F.explode(F.sequence(F.col("x1"), F.col("x2") - 1)).alias("x")
-    return g.select("image_id", F.col("gt_id").alias("instance_id"), "y1", "y2", col).select(
+    g = g.select("image_id", F.col("gt_id").alias("instance_id"), "y1", "y2", col)
+    g = g.withColumn("y1", F.col("y1") + F.pmod(F.col("x"), F.lit(ragged))).filter("y1 < y2")
+    return g.select(
         "image_id", "instance_id",
         (F.col("x") * height + F.col("y1") + 1).cast("long").alias("start"),
         (F.col("y2") - F.col("y1")).cast("long").alias("length"),

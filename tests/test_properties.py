@@ -174,40 +174,44 @@ def test_label_anchors_matches_dense_rule(spark):
                 assert np.allclose([r.dy, r.dx, r.dh, r.dw], exp, atol=1e-9), (img, i)
 
 
-def test_nms_rounds_equal_per_image_greedy(spark, small_dir):
-    """The distributed rounds path (forced for every group) keeps exactly what the
-    per-image greedy keeps, per image and per (image, class)."""
+def _greedy_nms(rows, thr):
+    """Plain greedy over (score, id, box): ids kept."""
+    kept = []
+    for s, i, b in sorted(rows, key=lambda r: (-r[0], r[1])):
+        if all(_np_iou(b, np.array([k]))[0] <= thr for _, k in kept):
+            kept.append((i, b))
+    return sorted(i for i, _ in kept)
+
+
+def test_nms_rounds_equal_the_plain_greedy(spark, small_dir):
+    """Rounds keep exactly what the greedy keeps, per image and per (image, class)."""
     pred = S.pred_boxes(spark, small_dir)
+    rows = pred.collect()
     for by in (("image_id",), ("image_id", "class_id")):
-        a = {(r.image_id, r.pred_id) for r in D.non_max_suppression(pred, 0.3, "pred_id", by=by).collect()}
-        b = {(r.image_id, r.pred_id) for r in
-             D.non_max_suppression(pred, 0.3, "pred_id", by=by, max_group_rows=0).collect()}
-        assert a == b and len(a) > 0
+        groups = {}
+        for r in rows:
+            groups.setdefault(tuple(r[c] for c in by), []).append((r.score, r.pred_id, (r.y1, r.x1, r.y2, r.x2)))
+        want = {(k[0], i) for k, g in groups.items() for i in _greedy_nms(g, 0.3)}
+        assert {(r.image_id, r.pred_id) for r in D.non_max_suppression(pred, 0.3, "pred_id", by=by).collect()} == want
     # a long chain in one group: every box overlaps the next one, scores fall along it
-    rows = [(1, i, 1.0 - i * 0.001, 0.0, float(i), 10.0, float(i) + 10.0) for i in range(40)]
-    chain = spark.createDataFrame(rows, "image_id long, pred_id int, score double, y1 double, x1 double, y2 double, x2 double")
-    a = sorted(r.pred_id for r in D.non_max_suppression(chain, 0.5, "pred_id").collect())
-    b = sorted(r.pred_id for r in D.non_max_suppression(chain, 0.5, "pred_id", max_group_rows=0, cell=8).collect())
-    assert a == b
+    chain = [(1, i, 1.0 - i * 0.001, 0.0, float(i), 10.0, float(i) + 10.0) for i in range(40)]
+    df = spark.createDataFrame(chain, "image_id long, pred_id int, score double, y1 double, x1 double, y2 double, x2 double")
+    got = sorted(r.pred_id for r in D.non_max_suppression(df, 0.5, "pred_id", cell=8).collect())
+    assert got == _greedy_nms([(r[2], r[1], r[3:]) for r in chain], 0.5)
 
 
-def test_match_rounds_equal_per_image_greedy(spark, small_dir):
-    """Matching in rounds (forced for every group) equals the per-image greedy, at one and at
-    several IoU thresholds."""
-    pred, gt = S.pred_boxes(spark, small_dir), S.gt_boxes(spark, small_dir)
-    for kw in ({"thr": 0.5}, {"thresholds": [0.3, 0.5, 0.7]}):
-        a = sorted(tuple(r) for r in D.match_detections(pred, gt, **kw).collect())
-        b = sorted(tuple(r) for r in D.match_detections(pred, gt, max_group_rows=0, **kw).collect())
-        assert a == b and len(a) > 0
-    # one crowded image: every prediction overlaps every gt, scores and IoUs interleave
+def test_match_rounds_equal_the_plain_greedy(spark):
+    """One crowded image: every prediction overlaps every gt, scores and IoUs interleave."""
     P = [(1, i, 1, 1.0 - 0.01 * (i % 5), 0.0, 0.0, 20.0 + i, 20.0) for i in range(12)]
     G = [(1, j, 1, 0.0, 0.0, 18.0 + 2 * j, 20.0) for j in range(8)]
     sch = "image_id long, {} int, class_id int, {}y1 double, x1 double, y2 double, x2 double"
     p = spark.createDataFrame(P, sch.format("pred_id", "score double, "))
     q = spark.createDataFrame(G, sch.format("gt_id", ""))
-    a = sorted(tuple(r) for r in D.match_detections(p, q, 0.5).collect())
-    b = sorted(tuple(r) for r in D.match_detections(p, q, 0.5, max_group_rows=0).collect())
-    assert a == b and len(a) == 8
+    for t in (0.5, 0.9):
+        want = _greedy_reference([(r[1], r[2], r[3], r[4:]) for r in P], [(g[1], g[2], g[3:]) for g in G], t)
+        assert {r.pred_id: r.gt_id for r in D.match_detections(p, q, t).collect()} == want
+    both = D.match_detections(p, q, thresholds=[0.5, 0.9]).collect()
+    assert len(both) == sum(D.match_detections(p, q, t).count() for t in (0.5, 0.9))
 
 
 def test_row_number_by_key_on_a_hot_key(spark):
@@ -237,10 +241,6 @@ def test_average_precision_brute_force(spark, small_dir):
     pred, gt = S.pred_boxes(spark, small_dir), S.gt_boxes(spark, small_dir)
     m = D.match_detections(pred, gt, 0.5)
     got = {r.image_id: r.ap for r in D.average_precision(pred, gt, m).collect()}
-    # the bucketed path (forced for every image) gives the same values
-    forced = {r.image_id: r.ap for r in D.average_precision(pred, gt, m, max_group_rows=0).collect()}
-    assert set(forced) == set(got)
-    assert all((got[i] is None and forced[i] is None) or math.isclose(got[i], forced[i], abs_tol=1e-12) for i in got)
     tp = {(r.image_id, r.pred_id) for r in m.collect()}
     n_gt = {}
     for r in gt.collect():
