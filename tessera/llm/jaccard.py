@@ -17,12 +17,14 @@ pairs.
 4. Hubs. In a list of sets that share a prefix shingle, most belong to one group
    of near copies. Every member is first verified against the list's hub, the
    set with the most shared shingles. That joins most groups without pairs.
-5. Rest. Pairs of a list that are still in different components are counted;
-   those with enough shared prefix shingles are verified. No candidate is
-   dropped: a skipped pair is already in one component.
+5. Rest. Two sets that share a prefix shingle are both members of its hub's
+   group. Members that are not yet in the hub's component meet the others of the
+   group in parts; pairs with enough shared prefix shingles are verified. No
+   candidate is dropped: a pair not looked at is already in one component.
 
-Verification counts exact overlaps of 64-bit shingle hashes and is grouped by
-one side, salted so that a task holds at most about ``GROUP`` sets.
+Verification counts exact overlaps of 64-bit shingle hashes. Groups are dealt
+out in parts of about ``GROUP`` sets, so no task holds a whole group, and links
+come back one per component, not one per pair.
 
 Defined results: null, empty or white-space texts have an empty set and are
 their own component; repeated rows join each other; a null id takes part, and a
@@ -169,7 +171,8 @@ def choose_prefixes(size: np.ndarray, starts: np.ndarray, code: np.ndarray, perc
     return best, size - overlap + best
 
 
-def _prefixes(words: int, percent: int, max_matches: int, with_sets: bool):
+def _ordered_sets(words: int, percent: int, max_matches: int):
+    """Sets that share a prefix shingle with another: tokens, which of them are shared prefix tokens, matches asked."""
     def run(batches):
         for row in B.rows_of(batches):
             rids, doc, value = _chosen(row, words)
@@ -182,28 +185,39 @@ def _prefixes(words: int, percent: int, max_matches: int, with_sets: bool):
             order = np.argsort(value)
             order = order[np.argsort(code[order], kind="stable")]
             order = order[np.argsort(doc[order].astype(np.uint16 if doc[-1] < 1 << 16 else np.int64), kind="stable")]
-            code = code[order]
-            matches, length = choose_prefixes(size, starts, code, percent, max_matches)
-            at = ragged(starts, length)
-            of = np.repeat(np.arange(len(docs)), length)
-            shared = code[at] > 1
-            at, of = at[shared], of[shared]
-            if with_sets:
-                live = np.unique(of)
-                if len(live):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rids[docs[live]]),
-                         pa.array([value[s:s + n].tobytes() for s, n in zip(starts[live], size[live], strict=True)], pa.binary())],
-                        ["rid", "tokens"])
-                continue
-            common = np.add.reduceat(code > 1, starts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value[order][at].view(np.int64)), pa.array(rids[docs[of]]), pa.array(size[of].astype(np.int32)),
-                 pa.array(matches[of].astype(np.int32)), pa.array((common / size)[of].astype(np.float32))],
-                ["token", "rid", "n", "k", "common"])
+            matches, length = choose_prefixes(size, starts, code[order], percent, max_matches)
+            mine = order[ragged(starts, length)]
+            shared = np.zeros(len(value), bool)
+            shared[mine[code[mine] > 1]] = True
+            live = np.flatnonzero(np.logical_or.reduceat(shared, starts))
+            if len(live):
+                common = np.add.reduceat(code > 1, starts) / size
+                ends = starts + size
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rids[docs[live]]), pa.array(size[live].astype(np.int32)), pa.array(matches[live].astype(np.int32)),
+                     pa.array(common[live].astype(np.float32)),
+                     pa.array([value[s:e].tobytes() for s, e in zip(starts[live], ends[live], strict=True)], pa.binary()),
+                     pa.array([np.packbits(shared[s:e]).tobytes() for s, e in zip(starts[live], ends[live], strict=True)], pa.binary())],
+                    ["rid", "n", "k", "common", "tokens", "shared"])
     return run
 
 
+def _tokens(row_tokens: bytes, shared: bytes) -> tuple[np.ndarray, np.ndarray]:
+    tokens = np.frombuffer(row_tokens, np.uint64)
+    return tokens, np.unpackbits(np.frombuffer(shared, np.uint8), count=len(tokens)).astype(bool)
+
+
+def _prefix_tokens(batches):
+    """The inverted lists: one row per shared prefix token of a set."""
+    for batch in batches:
+        prefix = [t[s] for t, s in (_tokens(t, s) for t, s in zip(batch.column("tokens").to_pylist(),
+                                                                  batch.column("shared").to_pylist(), strict=True))]
+        of = np.repeat(np.arange(len(prefix)), [len(p) for p in prefix])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([np.zeros(0, np.uint64), *prefix]).view(np.int64)),
+             batch.column("rid").take(pa.array(of)), batch.column("common").take(pa.array(of))], ["token", "rid", "common"])
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are similar. Groups by a; a's set goes with every part of its group."""
     per_a = pairs.groupBy("a").agg(F.count("*").alias("m"))
@@ -231,8 +245,87 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return asked.groupBy("a", "part").applyInArrow(run, "a long, b long")
 
 
-def _size_fits(x: str, y: str, percent: int):
-    return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 1 << 14) -> np.ndarray:
+    """Sizes of all intersections of two lists of distinct tokens, by 0/1 matrices of the tokens in both."""
+    flat = [np.concatenate([np.zeros(0, np.uint64), *x]) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    out = np.zeros((len(left), len(right)), np.float32)
+    places = []
+    for lists, all_tokens in zip((left, right), flat, strict=True):
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        at = np.minimum(np.searchsorted(both, all_tokens), max(len(both) - 1, 0))
+        ok = both[at] == all_tokens if len(both) else np.zeros(0, bool)
+        order = np.argsort(at[ok], kind="stable")
+        places.append((at[ok][order], row[ok][order]))
+    for a in range(0, len(both), columns):
+        width = min(columns, len(both) - a)
+        m = []
+        for (at, row), n in zip(places, out.shape, strict=True):
+            lo, hi = np.searchsorted(at, [a, a + width])
+            x = np.zeros((n, width), np.float32)
+            x[row[lo:hi], at[lo:hi] - a] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out.astype(np.int64)
+
+
+def _link_rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of one hub's group.
+
+    ``members`` has hub, rid, component and main (the hub's component). Pairs
+    inside the main component are settled, so members outside it, in parts of
+    ``GROUP``, meet all members, in parts too. A task holds two parts; it asks
+    for the shared prefix tokens first, verifies those pairs, and returns at most
+    one link per component.
+    """
+    split = members.groupBy("hub").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"),
+                                       F.ceil(F.count(F.when(F.expr("component != main"), 1)) / GROUP).cast("int").alias("o_parts"))
+    rows = members.join(split.where("o_parts > 0"), "hub")
+    draw = F.xxhash64("rid", F.lit("part"))
+    everyone = rows.select("hub", "rid", "component", F.explode(F.expr("sequence(0, o_parts - 1)")).alias("o_part"),
+                           F.pmod(draw, "parts").cast("int").alias("part"), F.lit(False).alias("outside"))
+    outside = rows.where("component != main").select(
+        "hub", "rid", "component", F.pmod(draw, "o_parts").cast("int").alias("o_part"),
+        F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(True).alias("outside"))
+    asked = everyone.unionByName(outside).join(sets.select("rid", "k", "tokens", "shared"), "rid")
+
+    def run(table: pa.Table) -> pa.Table:
+        col = {c: table.column(c).to_numpy() for c in ("rid", "component", "k")}
+        tokens = [_tokens(t, s) for t, s in zip(table.column("tokens").to_pylist(), table.column("shared").to_pylist(), strict=True)]
+        out = np.array(table.column("outside").to_pylist(), bool)
+        left, right = np.flatnonzero(out), np.flatnonzero(~out)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        hits = _overlaps([tokens[i][0][tokens[i][1]] for i in left], [tokens[i][0][tokens[i][1]] for i in right])
+        need = np.minimum(col["k"][left][:, None], col["k"][right][None, :])
+        size = np.array([len(t) for t, _ in tokens])
+        low = np.minimum(size[left][:, None], size[right][None, :])
+        high = np.maximum(size[left][:, None], size[right][None, :])
+        wanted = ((hits >= need) & (100 * low >= percent * high)
+                  & (col["component"][left][:, None] != col["component"][right][None, :]))
+        x, y = np.flatnonzero(wanted.any(1)), np.flatnonzero(wanted.any(0))
+        both = _overlaps([tokens[i][0] for i in left[x]], [tokens[i][0] for i in right[y]])
+        union = size[left[x]][:, None] + size[right[y]][None, :] - both
+        i, j = np.nonzero(wanted[np.ix_(x, y)] & (100 * both >= percent * union))
+        i, j = left[x[i]], right[y[j]]
+        pairs = np.sort(np.stack([col["component"][i], col["component"][j]], 1), 1)
+        _, first = np.unique(pairs, axis=0, return_index=True)
+        parent: dict[int, int] = {}
+
+        def find(c):
+            while parent.setdefault(c, c) != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        links = []
+        for m in first.tolist():
+            p, q = find(int(pairs[m, 0])), find(int(pairs[m, 1]))
+            if p != q:
+                parent[p] = q
+                links.append(m)
+        return pa.table({"a": pa.array(col["rid"][i[links]], pa.int64()), "b": pa.array(col["rid"][j[links]], pa.int64())})
+
+    return asked.groupBy("hub", "o_part", "part").applyInArrow(run, "a long, b long")
 
 
 def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, percent: int, max_matches: int) -> DataFrame:
@@ -247,31 +340,19 @@ def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, per
     sent = source.mapInArrow(_send(words, bits), "block long, bucket int, keys binary, here binary")
     answers = written(B.answer(sent, _frequency), "frequency")
     asked = B.with_answers(source, answers)
-    prefix = written(asked.mapInArrow(_prefixes(words, percent, max_matches, False),
-                                      "token long, rid long, n int, k int, common float"), "prefixes")
-    sets = written(asked.mapInArrow(_prefixes(words, percent, max_matches, True), "rid long, tokens binary"), "tokens")
-
-    hub = prefix.groupBy("token").agg(F.max_by(F.struct("rid", "n"), F.struct("common", "rid")).alias("hub"))
-    near = prefix.join(hub, "token").where("rid != hub.rid").where(_size_fits("n", "hub.n", percent))
-    tried = written(near.select(F.col("hub.rid").alias("a"), F.col("rid").alias("b")).distinct(), "tried")
-    links = written(_verify(tried, sets, percent), "links")
+    sets = written(asked.mapInArrow(_ordered_sets(words, percent, max_matches),
+                                    "rid long, n int, k int, common float, tokens binary, shared binary"), "tokens")
+    lists = sets.select("rid", "common", "tokens", "shared").mapInArrow(_prefix_tokens, "token long, rid long, common float")
+    hub = lists.groupBy("token").agg(F.max_by("rid", F.struct("common", "rid")).alias("hub"))
+    members = written(lists.select("token", "rid").join(hub, "token").select("hub", "rid").distinct(), "members")
+    links = written(_verify(members.where("rid != hub").select(F.col("hub").alias("a"), F.col("rid").alias("b")),
+                            sets, percent), "links")
     first = components(links)
-
-    placed = prefix.join(first.withColumnRenamed("node", "rid"), "rid", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "rid"))
-    main = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                       F.max_by("component", F.struct("common", "rid")).alias("main"))
-    open_lists = written(placed.join(main.where("lo != hi").select("token", "main"), "token"), "open")
-    x = open_lists.where("component != main").select(
-        "token", *[F.col(c).alias(f"x_{c}") for c in ("rid", "n", "k", "component")])
-    pairs = x.join(open_lists, "token").where(
-        "component != x_component AND (component = main OR x_rid < rid)").where(_size_fits("n", "x_n", percent))
-    pairs = pairs.select(F.least("rid", "x_rid").alias("a"), F.greatest("rid", "x_rid").alias("b"),
-                         F.least("k", "x_k").alias("k"))
-    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("hits"), F.first("k").alias("k")).where("hits >= k")
-    known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = written(pairs.select("a", "b").join(known, ["a", "b"], "left_anti"), "rest")
-    final = components(links.unionByName(_verify(rest, sets, percent)))
+    placed = members.join(first.withColumnRenamed("node", "rid"), "rid", "left").select(
+        "hub", "rid", F.coalesce("component", "rid").alias("component"))
+    main = placed.where("rid = hub").select("hub", F.col("component").alias("main"))
+    rest = written(_link_rest(written(placed.join(main, "hub"), "placed"), sets, percent), "rest")
+    final = components(links.unionByName(rest))
 
     reps = told.join(classes, ["n", "s1", "s2"], "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
     return reps.select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "rid").alias("component"))
