@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.boxes import apply_box_deltas, box_refinement, clip, iou
-from tessera.operators.window import cap_per_group, hash_order
+from tessera.operators.window import cap_per_group, hash_int
 
 __all__ = ["iou_join", "argmax_match", "generate_anchors", "generate_pyramid_anchors", "boxes_from_runs",
            "label_anchors", "sample_training_rois", "apply_deltas_clip", "detections_to_image",
@@ -38,19 +38,20 @@ def _cells(df: DataFrame, cell: int, keep) -> DataFrame:
 
 def iou_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, image: str = "image_id",
              cell: int = 32, a_cols=(), b_cols=(), a_prefix: str = "a_", b_prefix: str = "b_",
-             b_shared: bool = False) -> DataFrame:
+             b_on=None) -> DataFrame:
     """Every overlapping pair of boxes of the same image with its IoU.
 
     Output: image, a_id, b_id, a_*/b_* extra columns, iou (> 0). Non-overlapping
     pairs have IoU 0 and are not emitted. ``a`` and ``b`` may be the same frame.
-    ``b_shared``: ``b`` has no image column and applies to every image (anchors);
-    it is a bounded table (one per image shape) and is broadcast."""
+    ``b_on``: ``b`` has no image column and applies to every image that agrees with it in these
+    columns (anchors of an image shape)."""
     img = [image] if isinstance(image, str) else list(image)
-    ka = [*img, a_id, "y1", "x1", "y2", "x2", *a_cols]
-    kb = [*([] if b_shared else img), b_id, "y1", "x1", "y2", "x2", *b_cols]
-    ca = _cells(a, cell, ka).withColumnsRenamed({c: f"{a_prefix}{c}" for c in ka if c not in img})
-    cb = _cells(b, cell, kb).withColumnsRenamed({c: f"{b_prefix}{c}" for c in kb if c not in img})
-    j = ca.join(F.broadcast(cb), ["_cy", "_cx"], "inner") if b_shared else ca.join(cb, [*img, "_cy", "_cx"], "inner")
+    shared = list(b_on) if b_on is not None else []
+    ka = [*img, *shared, a_id, "y1", "x1", "y2", "x2", *a_cols]
+    kb = [*(img if b_on is None else shared), b_id, "y1", "x1", "y2", "x2", *b_cols]
+    ca = _cells(a, cell, ka).withColumnsRenamed({c: f"{a_prefix}{c}" for c in ka if c not in img and c not in shared})
+    cb = _cells(b, cell, kb).withColumnsRenamed({c: f"{b_prefix}{c}" for c in kb if c not in img and c not in shared})
+    j = ca.join(cb, [*(img if b_on is None else shared), "_cy", "_cx"], "inner")
     A = tuple(F.col(f"{a_prefix}{n}") for n in ("y1", "x1", "y2", "x2"))
     B = tuple(F.col(f"{b_prefix}{n}") for n in ("y1", "x1", "y2", "x2"))
     iy = F.greatest(A[0], B[0])
@@ -131,50 +132,44 @@ def _split_runs_by_column(runs: DataFrame, height: int, keys) -> DataFrame:
 
 
 def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_image: int = 256,
-                  pos_thr: float = 0.7, neg_thr: float = 0.3, seed: int = 0, cell: int = 32) -> DataFrame:
-    """RPN anchor targets (D5), long form for anchors that are not plain negatives plus the
-    capped negatives: (image_id, anchor_id, match 1/-1, dy, dx, dh, dw).
-
-    IoU < neg_thr is negative unless a crowd box (class_id < 0) overlaps with IoU >= 0.001;
-    the best anchor of each gt and every anchor with IoU >= pos_thr are positive; positives
-    capped at per_image/2, negatives at per_image - positives, both by repeatable hash order.
-    Deltas go to the best gt, divided by the RPN std devs. Anchors are one bounded table
-    per image shape, broadcast to the join."""
-    pairs = iou_join(gt.select("image_id", "gt_id", "class_id", "y1", "x1", "y2", "x2"),
-                     anchors.select("anchor_id", "y1", "x1", "y2", "x2"),
-                     "gt_id", "anchor_id", cell=cell, a_cols=("class_id",), a_prefix="g_", b_prefix="a_",
-                     b_shared=True)
+                  pos_thr: float = 0.7, neg_thr: float = 0.3, seed: int = 0, cell: int = 32, shape=()) -> DataFrame:
+    """RPN anchor targets (D5): (image_id, anchor_id, match 1/-1, dy, dx, dh, dw).
+
+    ``anchors`` holds one set per image shape (columns ``shape``, also in ``images``; ids 0, 1,
+    ... inside a set). IoU < neg_thr is negative unless a crowd box (class_id < 0) overlaps with
+    IoU >= 0.001; the best anchor of each gt and every anchor with IoU >= pos_thr are positive;
+    positives capped at per_image / 2, negatives drawn uniformly from all other anchors of the
+    image up to per_image - positives, both repeatable per image. Deltas go to the best gt,
+    divided by the RPN std devs."""
+    shape = list(shape)
+    size = images.select("image_id", *shape)
+    boxes = gt.select("image_id", "gt_id", "class_id", "y1", "x1", "y2", "x2")
+    if shape:
+        boxes = boxes.join(size, "image_id")
+    pairs = iou_join(boxes, anchors.select("anchor_id", "y1", "x1", "y2", "x2", *shape),
+                     "gt_id", "anchor_id", cell=cell, a_cols=("class_id",), a_prefix="g_", b_prefix="a_", b_on=shape)
     pairs = pairs.withColumnRenamed("a_anchor_id", "anchor_id").withColumnRenamed("g_gt_id", "gt_id")
-    crowd = pairs.filter(F.col("g_class_id") < 0)
-    real = pairs.filter(F.col("g_class_id") > 0)
-    # Two partial aggregations instead of two window sorts over all pairs: per anchor its
-    # best gt (highest IoU, then smaller gt id), per gt its best anchor (then smaller anchor id).
-    per_anchor = real.groupBy("image_id", "anchor_id").agg(
-        F.max("iou").alias("max_iou"),
-        F.max_by(F.struct(*[F.col(f"g_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")]),
-                 F.struct(F.col("iou"), -F.col("gt_id"))).alias("g"),
-        F.first(F.struct(*[F.col(f"a_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")])).alias("a"))
-    best_of_gt = real.groupBy("image_id", "gt_id").agg(
+    real = F.col("g_class_id") > 0
+    # per anchor its best gt (highest IoU, then smaller gt id), per gt its best anchor (then smaller anchor id)
+    per_anchor = pairs.groupBy("image_id", "anchor_id").agg(
+        F.max(F.when(real, F.col("iou"))).alias("max_iou"),
+        F.max_by(F.when(real, F.struct(*[F.col(f"g_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")])),
+                 F.when(real, F.struct(F.col("iou"), -F.col("gt_id")))).alias("g"),
+        F.first(F.struct(*[F.col(f"a_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")])).alias("a"),
+        F.max((~real & (F.col("iou") >= 0.001)).cast("int")).alias("_crowd"))
+    best_of_gt = pairs.filter(real).groupBy("image_id", "gt_id").agg(
         F.max_by("anchor_id", F.struct(F.col("iou"), -F.col("anchor_id"))).alias("anchor_id")) \
-        .select("image_id", "anchor_id").distinct().withColumn("is_best_for_gt", F.lit(1))
-    per_anchor = per_anchor.join(best_of_gt, ["image_id", "anchor_id"], "left").fillna(0, subset=["is_best_for_gt"])
-    crowd_hit = crowd.filter(F.col("iou") >= 0.001).select("image_id", "anchor_id").distinct() \
-                     .withColumn("_crowd", F.lit(1))
-    lab = per_anchor.join(crowd_hit, ["image_id", "anchor_id"], "full").fillna({"max_iou": 0.0, "_crowd": 0})
-    match = (F.when((F.col("is_best_for_gt") == 1) | (F.col("max_iou") >= pos_thr), 1)
+        .select("image_id", "anchor_id").distinct().withColumn("_best", F.lit(1))
+    lab = per_anchor.join(best_of_gt, ["image_id", "anchor_id"], "left").fillna({"max_iou": 0.0, "_best": 0})
+    match = (F.when((F.col("_best") == 1) | (F.col("max_iou") >= pos_thr), 1)
              .when((F.col("max_iou") < neg_thr) & (F.col("_crowd") == 0), -1).otherwise(0))
-    # ``lab`` (two windows and an aggregation over all gt x anchor pairs) feeds three
-    # branches below: write it once to the checkpoint folder.
+    # the labels of touched anchors feed three branches below: written once to the checkpoint folder
     from tessera.session import cut_lineage
     lab = cut_lineage(lab.withColumn("match", match))
     pos = cap_per_group(lab.filter(F.col("match") == 1), ["image_id"], per_image // 2, seed, ["anchor_id"])
     n_pos = pos.groupBy("image_id").agg(F.count(F.lit(1)).alias("_np"))
-    # negatives: overlapping low-IoU anchors + all anchors without any overlap, capped by hash order
-    touched = lab.select("image_id", "anchor_id")
-    neg_overlap = lab.filter(F.col("match") == -1).select("image_id", "anchor_id")
-    free = _untouched_anchors(images, anchors, touched, per_image, seed)
-    neg = neg_overlap.unionByName(free).join(n_pos, "image_id", "left").fillna(0, subset=["_np"])
-    neg = cap_per_group(neg, ["image_id"], F.lit(per_image) - F.col("_np"), seed + 1, ["anchor_id"], max_n=per_image)
+    barred = lab.filter(F.col("match") != -1).select("image_id", "anchor_id")
+    neg = _draw_anchors(size, anchors, barred, n_pos, per_image, seed, shape)
     d = box_refinement(tuple(F.col(f"a.{c}") for c in ("y1", "x1", "y2", "x2")),
                        tuple(F.col(f"g.{c}") for c in ("y1", "x1", "y2", "x2")), std=RPN_STD)
     pos_out = pos.select("image_id", "anchor_id", F.lit(1).alias("match"), *d)
@@ -183,21 +178,38 @@ def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_imag
     return pos_out.unionByName(neg_out)
 
 
-def _untouched_anchors(images: DataFrame, anchors: DataFrame, touched: DataFrame, per_image: int,
-                       seed: int) -> DataFrame:
-    """Per image, the first ``per_image`` anchors in hash order among those that overlap no gt.
-
-    Only the per_image + (touched count) best hash positions can be needed, so each image
-    takes the first per_image + k anchors of a global hash order (a bounded prefix of a
-    bounded table) instead of pairing every image with every anchor."""
-    k = touched.groupBy("image_id").agg(F.count(F.lit(1)).alias("_k"))
-    w = Window.orderBy(hash_order(seed, "anchor_id"), "anchor_id")
-    ranked = F.broadcast(anchors.select("anchor_id").withColumn("_pos", F.row_number().over(w)))
-    need = images.select("image_id").join(k, "image_id", "left").fillna(0, subset=["_k"]) \
-                 .withColumn("_need", F.col("_k") + per_image)
-    slots = need.select("image_id", F.explode(F.sequence(F.lit(1), F.col("_need"))).alias("_pos"))
-    cand = slots.join(ranked, "_pos", "inner").select("image_id", "anchor_id")
-    return cand.join(touched, ["image_id", "anchor_id"], "left_anti")
+def next_prime(n: int) -> int:
+    n = max(2, n)
+    while any(n % k == 0 for k in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
+def _draw_anchors(size: DataFrame, anchors: DataFrame, barred: DataFrame, n_pos: DataFrame, per_image: int, seed: int,
+                  shape) -> DataFrame:
+    """Per image ``per_image`` - positives anchors, uniform over all that are not ``barred``.
+
+    Every image walks its own permutation of the anchor ids: step j goes to (a j + b) mod p with
+    p the first prime from the number of anchors on and a, b drawn for the image. As many steps
+    are made as the barred ids and the gap up to p can spoil, so the draw never falls short."""
+    counts = anchors.groupBy(*shape).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per image shape
+    rows = [(*[r[c] for c in shape], r["_n"], next_prime(r["_n"])) for r in counts.collect()]
+    ddl = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in counts.schema.fields] + ["_p long"])
+    sets = anchors.sparkSession.createDataFrame(rows, ddl)
+    spoiled = barred.groupBy("image_id").agg(F.count(F.lit(1)).alias("_k"))
+    per = (size.join(sets, shape) if shape else size.crossJoin(sets)).join(spoiled, "image_id", "left") \
+        .join(n_pos, "image_id", "left").fillna(0, subset=["_k", "_np"])
+    per = per.withColumns({"_a": 1 + F.pmod(hash_int(seed + 1, "image_id"), F.col("_p") - 1),
+                           "_b": F.pmod(hash_int(seed + 2, "image_id"), F.col("_p")),
+                           "_want": F.lit(per_image) - F.col("_np")})
+    last = F.least(F.col("_p"), F.col("_want") + F.col("_k") + F.col("_p") - F.col("_n")) - 1
+    steps = per.filter((F.col("_want") > 0) & (F.col("_n") > 0)).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_j"))
+    steps = steps.withColumn("anchor_id", F.pmod(F.col("_a") * F.col("_j") + F.col("_b"), F.col("_p"))).filter("anchor_id < _n")
+    free = steps.join(barred, ["image_id", "anchor_id"], "left_anti")
+    w = Window.partitionBy("image_id").orderBy("_j")
+    free = free.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= F.lit(per_image)).filter("_rn <= _want")
+    return free.select("image_id", "anchor_id")
 
 
 def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, pos_frac: float = 0.33,
@@ -261,13 +273,13 @@ def detections_to_image(df: DataFrame, image_h: int, image_w: int, window, orig_
 
 
 def _u(seed: int, *cols) -> Column:
-    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 30)).cast("double") / float(1 << 30)
+    return hash_int(seed, *cols).cast("double") / float(1 << 28)
 
 
 def random_rois(gt: DataFrame, images: DataFrame, n: int, seed: int = 0, near_frac: float = 0.9) -> DataFrame:
     """n random boxes per image (D16): near_frac of them drawn around the gt boxes (corners
     within one box size of the gt), the rest anywhere in the image; sides at least 1 px.
-    Uniforms come from xxhash64(seed, image, index), so the draw is repeatable."""
+    Uniforms come from the md5 of (seed, image, index), so the draw is repeatable."""
     per_gt = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("_g"))
     n_near = int(n * near_frac)
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")
@@ -315,12 +327,15 @@ def confusion_pairs(gt: DataFrame, pred: DataFrame, thr: float = 0.5, cell: int
 
 def build_class_registry(classes: DataFrame) -> DataFrame:
     """Dense class ids (D18): background = 0, then (source, source_class_id) in sorted order;
-    duplicate (source, id) pairs keep their first name (smallest). Small dimension table."""
-    from tessera.operators.ranks import prefix_sums
-    d = classes.groupBy("source", "source_class_id").agg(F.min("name").alias("name"))
-    keyed = d.withColumn("_k", F.concat_ws("\u0001", "source", F.lpad(F.col("source_class_id").cast("string"), 20, "0"))) \
-             .withColumn("_one", F.lit(1))
-    ranked = prefix_sums(keyed, "_k", "_one").select("source", "source_class_id", "name",
-                                                      (F.col("_one_before") + 1).cast("int").alias("class_id"))
-    bg = classes.sparkSession.createDataFrame([("", 0, "BG", 0)], "source string, source_class_id int, name string, class_id int")
-    return bg.unionByName(ranked.withColumn("source_class_id", F.col("source_class_id").cast("int")))
+    duplicate (source, id) pairs keep their first name (smallest). Small dimension table.
+    ``active_class_ids`` lists the class ids of the row's source, background first: the classes
+    that an image of that source may hold."""
+    from tessera.operators.ranks import row_number_by_key
+    d = classes.groupBy("source", F.col("source_class_id").cast("long").alias("source_class_id")).agg(F.min("name").alias("name"))
+    ranked = row_number_by_key(d, [], ["source", "source_class_id"], "_rn").select(
+        "source", "source_class_id", "name", (F.col("_rn") + 1).cast("int").alias("class_id"))
+    active = ranked.groupBy("source").agg(
+        F.concat(F.array(F.lit(0)), F.array_sort(F.collect_list("class_id"))).alias("active_class_ids"))
+    bg = classes.sparkSession.createDataFrame([("", 0, "BG", 0, [0])], "source string, source_class_id long, name string, "
+                                              "class_id int, active_class_ids array<int>")
+    return bg.unionByName(ranked.join(active, "source").select(*bg.columns))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 __all__ = ["ordered_concat", "first_per_key", "argmax_of_columns", "row_index", "rows_by_key",
            "sort_by", "top_k", "top_k_per_group", "cap_per_group", "pad_or_truncate", "sample_rows",
-           "hash_order"]
+           "hash_order", "hash_int"]
 
 
 def _cols(x):
@@ -21,8 +21,14 @@ def _cols(x):
 
 
 def hash_order(seed: int, *cols) -> Column:
-    """Repeatable pseudo-random order key (replaces np.random shuffles)."""
-    return F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
+    """Repeatable pseudo-random order key (replaces np.random shuffles): the md5 of the seed and
+    the columns, which any SQL engine can repeat."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]))
+
+
+def hash_int(seed: int, *cols) -> Column:
+    """28 bits of the order key as a number."""
+    return F.conv(F.substring(hash_order(seed, *cols), 1, 7), 16, 10).cast("long")
 
 
 def ordered_concat(df: DataFrame, key, order, text: str, sep: str = " ", row_id: str | None = None,
@@ -95,10 +101,11 @@ def top_k_per_group(df: DataFrame, group, score: str, k: int, tie_break=None) ->
 
 
 def cap_per_group(df: DataFrame, group, n, seed: int, id_cols, max_n: int | None = None) -> DataFrame:
-    """Repeatable random cap of ``n`` rows per group (T4); ``n`` may be a column, then
+    """Repeatable random cap of ``n`` rows per group (T4): the draw hashes the group and the ids,
+    so equal ids of two groups are drawn independently. ``n`` may be a column, then
     ``max_n`` (a literal bound of it) lets Spark cut each group to ``max_n`` rows on the map
     side before the shuffle (window group limit), as it does for a literal ``n``."""
-    w = Window.partitionBy(*_cols(group)).orderBy(hash_order(seed, *_cols(id_cols)), *_cols(id_cols))
+    w = Window.partitionBy(*_cols(group)).orderBy(hash_order(seed, *_cols(group), *_cols(id_cols)), *_cols(id_cols))
     numbered = df.withColumn("_rn", F.row_number().over(w))
     if isinstance(n, Column):
         if max_n is not None:

@@ -117,22 +117,34 @@ ANCHOR_RATIOS = (0.5, 1.0, 2.0)
 ANCHOR_STRIDES = (8, 16, 32)
 
 
-def _anchor_sql():
+SHAPES = ((H, W), (H, W + 32))  # Fixed values: the stand-in's image shapes, even and odd orders
+
+
+def _anchor_count(h, w):
+    return sum(-(-h // st) * -(-w // st) * len(ANCHOR_RATIOS) for st in ANCHOR_STRIDES)
+
+
+def _anchor_cte():
+    """CTE ``anc``: every anchor of the shapes that occur in the data."""
     parts = []
-    offset = 0
-    for lvl, (s, st) in enumerate(zip(ANCHOR_SCALES, ANCHOR_STRIDES)):
-        n = -(-H // st)
-        m = -(-W // st)
-        combos = ", ".join(f"({k}, {s} / sqrt({r}), {s} * sqrt({r}))" for k, r in enumerate(ANCHOR_RATIOS))
-        parts.append(f"""SELECT {lvl} AS level, {offset} + (c.id * {len(ANCHOR_RATIOS)} + k.k) AS anchor_id,
+    for h, w in SHAPES:
+        offset = 0
+        for lvl, (s, st) in enumerate(zip(ANCHOR_SCALES, ANCHOR_STRIDES)):
+            n, m = -(-h // st), -(-w // st)
+            combos = ", ".join(f"({k}, {s} / sqrt({r}), {s} * sqrt({r}))" for k, r in enumerate(ANCHOR_RATIOS))
+            parts.append(f"""SELECT {h} AS height, {w} AS width, {lvl} AS level, {offset} + (c.id * {len(ANCHOR_RATIOS)} + k.k) AS anchor_id,
    (c.id // {m}) * {st} - 0.5 * k.h AS y1, (c.id % {m}) * {st} - 0.5 * k.w AS x1,
    (c.id // {m}) * {st} + 0.5 * k.h AS y2, (c.id % {m}) * {st} + 0.5 * k.w AS x2
  FROM range({n * m}) c(id), (VALUES {combos}) k(k, h, w)""")
-        offset += n * m * len(ANCHOR_RATIOS)
-    return f"""WITH a AS ({' UNION ALL '.join(parts)}),
-sh AS (SELECT DISTINCT 128 AS height, 128 AS width FROM orders)
-SELECT sh.height, sh.width, level, CAST(anchor_id AS BIGINT) AS anchor_id,
-  round(y1, 6) AS y1, round(x1, 6) AS x1, round(y2, 6) AS y2, round(x2, 6) AS x2 FROM a, sh"""
+            offset += n * m * len(ANCHOR_RATIOS)
+    return f"""sizes AS (SELECT o_orderkey AS image_id, {H} AS height, CAST({W} + 32 * (o_orderkey % 2) AS INTEGER) AS width FROM orders),
+anc AS (SELECT a.* FROM ({' UNION ALL '.join(parts)}) a SEMI JOIN sizes ON sizes.height = a.height AND sizes.width = a.width)"""
+
+
+def _anchor_sql():
+    return f"""WITH {_anchor_cte()}
+SELECT height, width, level, CAST(anchor_id AS BIGINT) AS anchor_id,
+  round(y1, 6) AS y1, round(x1, 6) AS x1, round(y2, 6) AS y2, round(x2, 6) AS x2 FROM anc"""
 
 
 def anchors_for_shapes(spark, sf_dir):
@@ -218,17 +230,20 @@ def q_confusion_pairs(spark, sf_dir):
 _REG_SQL = """cls AS (SELECT 'region' AS source, r_regionkey AS source_class_id, r_name AS name FROM region
         UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation
         UNION ALL SELECT 'region', r_regionkey, r_name FROM region),
-reg AS (SELECT '' AS source, 0 AS source_class_id, 'BG' AS name, 0 AS class_id
-        UNION ALL SELECT source, source_class_id, min(name),
-               CAST(row_number() OVER (ORDER BY source, source_class_id) AS INTEGER) FROM cls GROUP BY 1, 2)"""
+ids AS (SELECT source, CAST(source_class_id AS BIGINT) AS source_class_id, min(name) AS name,
+               CAST(row_number() OVER (ORDER BY source, source_class_id) AS INTEGER) AS class_id FROM cls GROUP BY 1, source_class_id),
+reg AS (SELECT '' AS source, CAST(0 AS BIGINT) AS source_class_id, 'BG' AS name, 0 AS class_id, [0] AS active_class_ids
+        UNION ALL SELECT ids.*, list_prepend(0, list_sort(list(class_id) OVER (PARTITION BY source))) FROM ids)"""
 
 
 @register("class_registry", f"""
 WITH {_REG_SQL}
-SELECT source, source_class_id, name, class_id, split_part(name, ',', 1) AS short_name FROM reg""")
+SELECT source, source_class_id, name, class_id, split_part(name, ',', 1) AS short_name,
+  array_to_string(active_class_ids, ',') AS active_class_ids FROM reg""")
 def q_class_registry(spark, sf_dir):
     reg = B.build_class_registry(S.class_sources(spark, sf_dir))
-    return reg.withColumn("short_name", clean_name("name"))
+    return reg.withColumns({"short_name": clean_name("name"),
+                            "active_class_ids": F.array_join(F.col("active_class_ids").cast("array<string>"), ",")})
 
 
 @register("coco_results", f"""
@@ -241,7 +256,7 @@ def q_coco_results(spark, sf_dir):
     reg = B.build_class_registry(S.class_sources(spark, sf_dir))
     rle = MK.run_length_encode(S.pred_mask_runs(spark, sf_dir))
     out = D.coco_results(S.pred_boxes(spark, sf_dir), reg, rle)
-    return finish(out.drop("source", "name") if "source" in out.columns else out)
+    return finish(out.drop("source", "name", "active_class_ids"))
 
 
 @register("detections_to_image", f"""
@@ -444,19 +459,115 @@ def q_propose_regions(spark, sf_dir):
     return finish(D.propose(scored, pre_nms=6000, nms_thr=0.7, post_nms=1000))
 
 
-@register("rpn_anchor_targets")
+def _hash_sql(seed, *cols):
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(cols)})), 1, 7) AS BIGINT)"
+
+
+def _delta_sql(box, to, std):
+    """Four refinement columns from alias ``box`` to alias ``to``."""
+    bh, bw, gh, gw = f"({box}.y2 - {box}.y1)", f"({box}.x2 - {box}.x1)", f"({to}.y2 - {to}.y1)", f"({to}.x2 - {to}.x1)"
+    return (f"round((({to}.y1 + 0.5 * {gh}) - ({box}.y1 + 0.5 * {bh})) / {bh} / {std[0]}, 6) AS dy, "
+            f"round((({to}.x1 + 0.5 * {gw}) - ({box}.x1 + 0.5 * {bw})) / {bw} / {std[1]}, 6) AS dx, "
+            f"round(ln(CAST({gh} AS DOUBLE) / {bh}) / {std[2]}, 6) AS dh, round(ln(CAST({gw} AS DOUBLE) / {bw}) / {std[3]}, 6) AS dw")
+
+
+def _iou_sql(a, b):
+    inter = f"(least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1)) * (least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1))"
+    return (f"CAST({inter} AS DOUBLE) / (({a}.y2 - {a}.y1) * ({a}.x2 - {a}.x1) + ({b}.y2 - {b}.y1) * ({b}.x2 - {b}.x1) - {inter})")
+
+
+RPN_PER_IMAGE, RPN_SEED = 64, 7
+_N_P = [(w, _anchor_count(h, w), B.next_prime(_anchor_count(h, w))) for h, w in SHAPES]
+
+
+@register("rpn_anchor_targets", f"""
+WITH {BOX_SQL}, {_anchor_cte()},
+img AS (SELECT * FROM sizes SEMI JOIN gt USING (image_id)),
+pr AS (SELECT g.image_id, g.gt_id, a.anchor_id, {_iou_sql('g', 'a')} AS iou
+  FROM gt g JOIN img USING (image_id) JOIN anc a ON a.height = img.height AND a.width = img.width
+    AND least(g.y2, a.y2) > greatest(g.y1, a.y1) AND least(g.x2, a.x2) > greatest(g.x1, a.x1)),
+per AS (SELECT image_id, anchor_id, max(iou) AS mi, arg_max(gt_id, (iou, -gt_id)) AS gt_id FROM pr GROUP BY 1, 2),
+best AS (SELECT DISTINCT image_id, anchor_id FROM (SELECT image_id, gt_id, arg_max(anchor_id, (iou, -anchor_id)) AS anchor_id FROM pr GROUP BY 1, 2)),
+lab AS (SELECT per.*, CASE WHEN best.image_id IS NOT NULL OR mi >= 0.7 THEN 1 WHEN mi < 0.3 THEN -1 ELSE 0 END AS match
+        FROM per LEFT JOIN best ON best.image_id = per.image_id AND best.anchor_id = per.anchor_id),
+pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id
+          ORDER BY md5(concat_ws('|', '{RPN_SEED}', image_id, anchor_id)), anchor_id) AS rn FROM lab WHERE match = 1) WHERE rn <= {RPN_PER_IMAGE // 2}),
+np AS (SELECT image_id, count(*) AS n FROM pos GROUP BY 1),
+barred AS (SELECT image_id, anchor_id FROM lab WHERE match <> -1),
+nb AS (SELECT image_id, count(*) AS k FROM barred GROUP BY 1),
+np_(width, n, p) AS (VALUES {', '.join(f'({w}, {n}, {p})' for w, n, p in _N_P)}),
+par AS (SELECT img.image_id, s.n, s.p, {RPN_PER_IMAGE} - coalesce(np.n, 0) AS want, coalesce(nb.k, 0) AS k,
+          1 + {_hash_sql(RPN_SEED + 1, 'img.image_id')} % (s.p - 1) AS a, {_hash_sql(RPN_SEED + 2, 'img.image_id')} % s.p AS b
+        FROM img JOIN np_ s ON s.width = img.width LEFT JOIN np ON np.image_id = img.image_id LEFT JOIN nb ON nb.image_id = img.image_id),
+steps AS (SELECT *, unnest(range(least(p, want + k + p - n))) AS j FROM par),
+free AS (SELECT image_id, (a * j + b) % p AS anchor_id, j, want FROM steps WHERE (a * j + b) % p < n),
+neg AS (SELECT image_id, anchor_id FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY j) AS rn
+          FROM free ANTI JOIN barred USING (image_id, anchor_id)) WHERE rn <= want)
+SELECT pos.image_id, pos.anchor_id, 1 AS match, {_delta_sql('a', 'g', B.RPN_STD)}
+FROM pos JOIN img USING (image_id) JOIN gt g ON g.image_id = pos.image_id AND g.gt_id = pos.gt_id
+  JOIN anc a ON a.height = img.height AND a.width = img.width AND a.anchor_id = pos.anchor_id
+UNION ALL SELECT image_id, anchor_id, -1, NULL, NULL, NULL, NULL FROM neg""")
 def q_rpn_anchor_targets(spark, sf_dir):
-    anchors = anchors_for_shapes(spark, sf_dir).drop("height", "width", "level")
+    anchors = anchors_for_shapes(spark, sf_dir).drop("level")
     images = S.image_sizes(spark, sf_dir).join(S.gt_boxes(spark, sf_dir).select("image_id").distinct(),
                                                "image_id", "left_semi")
-    return finish(B.label_anchors(anchors, S.gt_boxes(spark, sf_dir), images, per_image=64, seed=7))
+    return finish(B.label_anchors(anchors, S.gt_boxes(spark, sf_dir), images, per_image=RPN_PER_IMAGE, seed=RPN_SEED,
+                                  shape=("height", "width")))
 
 
-@register("training_rois")
+ROIS, ROI_SEED, NEAR = 20, 3, int(20 * 0.9)
+
+
+def _rois_sql():
+    """CTE ``rois``: the random boxes of D16."""
+    u = [f"{_hash_sql(ROI_SEED + i, 'b.image_id', 'b.k')} / 268435456.0" for i in range(4)]
+
+    def lo(a, b, side):
+        return f"greatest(least(floor(least({a}, {b})), {side} - 1.0), 0.0)"
+
+    def hi(a, b, side, low):
+        return f"greatest(greatest(least(floor(greatest({a}, {b})), CAST({side} AS DOUBLE)), 0.0), {low} + 1)"
+    return f"""img AS (SELECT s.* FROM (SELECT o_orderkey AS image_id, {H} AS height, CAST({W} + 32 * (o_orderkey % 2) AS INTEGER) AS width FROM orders) s SEMI JOIN gt USING (image_id)),
+gn AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY gt_id) - 1 AS r FROM gt),
+gc AS (SELECT image_id, count(*) AS g FROM gt GROUP BY 1),
+b2 AS (SELECT img.*, t.k, coalesce(gc.g, 0) AS g FROM img CROSS JOIN range({ROIS}) t(k) LEFT JOIN gc USING (image_id)),
+b3 AS (SELECT b.*, gn.y1, gn.x1, gn.y2, gn.x2, (b.k < {NEAR} AND b.g > 0) AS near,
+         {u[0]} AS u0, {u[1]} AS u1, {u[2]} AS u2, {u[3]} AS u3
+       FROM b2 b LEFT JOIN gn ON gn.image_id = b.image_id AND b.k < {NEAR} AND b.g > 0 AND gn.r = b.k % b.g),
+c AS (SELECT *, CASE WHEN near THEN y1 - (y2 - y1) + u0 * 2 * (y2 - y1) ELSE u0 * height END AS ya,
+         CASE WHEN near THEN y2 - (y2 - y1) + u1 * 2 * (y2 - y1) ELSE u1 * height END AS yb,
+         CASE WHEN near THEN x1 - (x2 - x1) + u2 * 2 * (x2 - x1) ELSE u2 * width END AS xa,
+         CASE WHEN near THEN x2 - (x2 - x1) + u3 * 2 * (x2 - x1) ELSE u3 * width END AS xb FROM b3),
+d AS (SELECT *, {lo('ya', 'yb', 'height')} AS ry, {lo('xa', 'xb', 'width')} AS rx FROM c),
+rois AS (SELECT image_id, k AS roi_id, CAST(near AS INTEGER) AS near_gt, CAST(ry AS INTEGER) AS y1, CAST(rx AS INTEGER) AS x1,
+         CAST({hi('ya', 'yb', 'height', 'ry')} AS INTEGER) AS y2, CAST({hi('xa', 'xb', 'width', 'rx')} AS INTEGER) AS x2 FROM d)"""
+
+
+@register("random_rois", f"WITH {BOX_SQL}, {_rois_sql()}\nSELECT * FROM rois")
+def q_random_rois(spark, sf_dir):
+    gt = S.gt_boxes(spark, sf_dir)
+    images = S.image_sizes(spark, sf_dir).join(gt.select("image_id").distinct(), "image_id", "left_semi")
+    return B.random_rois(gt, images, ROIS, seed=ROI_SEED)
+
+
+@register("training_rois", f"""
+WITH {BOX_SQL}, {_rois_sql()},
+pr AS (SELECT r.image_id, r.roi_id, g.gt_id, {_iou_sql('r', 'g')} AS iou FROM rois r JOIN gt g ON g.image_id = r.image_id
+    AND least(g.y2, r.y2) > greatest(g.y1, r.y1) AND least(g.x2, r.x2) > greatest(g.x1, r.x1)),
+best AS (SELECT image_id, roi_id, max(iou) AS mi, arg_max(gt_id, (iou, -gt_id)) AS gt_id FROM pr GROUP BY 1, 2),
+rb AS (SELECT r.*, coalesce(mi, 0) AS mi, best.gt_id FROM rois r LEFT JOIN best ON best.image_id = r.image_id AND best.roi_id = r.roi_id),
+pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY md5(concat_ws('|', '5', image_id, roi_id)), roi_id) AS rn
+          FROM rb WHERE mi >= 0.5) WHERE rn <= 5),
+np AS (SELECT image_id, count(*) AS n FROM pos GROUP BY 1),
+neg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY md5(concat_ws('|', '6', image_id, roi_id)), roi_id) AS rn
+          FROM rb WHERE mi < 0.5) x JOIN np USING (image_id) WHERE rn <= CAST(floor(n * (1.0 / 0.33 - 1.0)) AS INTEGER) AND rn <= 10)
+SELECT r.image_id, r.roi_id, g.class_id, {_delta_sql('r', 'g', B.BBOX_STD)}
+FROM pos r JOIN gt g ON g.image_id = r.image_id AND g.gt_id = r.gt_id
+UNION ALL SELECT image_id, roi_id, 0, 0.0, 0.0, 0.0, 0.0 FROM neg""")
 def q_training_rois(spark, sf_dir):
     gt = S.gt_boxes(spark, sf_dir)
     images = S.image_sizes(spark, sf_dir).join(gt.select("image_id").distinct(), "image_id", "left_semi")
-    rois = B.random_rois(gt, images, 20, seed=3)
+    rois = B.random_rois(gt, images, ROIS, seed=ROI_SEED)
     return finish(B.sample_training_rois(rois, gt, per_image=16, seed=5))
 
 

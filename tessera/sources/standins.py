@@ -186,9 +186,10 @@ def mask_runs(spark: SparkSession, sf_dir: str, height: int = IMAGE_H, ragged: i
 
 
 def image_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """image_id, height, width for every order (all images are 128 x 128)."""
+    """image_id, height, width for every order: 128 x 128, images of odd orders 32 pixels wider."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"))
-    return o.select("image_id", F.lit(IMAGE_H).alias("height"), F.lit(IMAGE_W).alias("width"))
+    wider = (F.pmod(F.col("image_id"), F.lit(2)) * 32).cast("int")
+    return o.select("image_id", F.lit(IMAGE_H).alias("height"), (F.lit(IMAGE_W) + wider).alias("width"))
 
 
 def click_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

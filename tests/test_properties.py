@@ -360,3 +360,47 @@ def test_knn_euclidean_outside_the_range(spark):
     for i, v in enumerate(q):
         d = sorted((float(np.sqrt(((x[j] - v) ** 2).sum())), j) for j in range(len(x)))[:6]
         assert [out[i, k + 1] for k in range(6)] == [(j, float(j)) for _, j in d]
+
+
+def test_negative_anchors_are_drawn_uniformly(spark):
+    """200 images with the same gt: every free anchor is drawn about equally often, images differ,
+    and the cap is filled exactly."""
+    from tessera.operators import boxes as B
+    anchors = spark.createDataFrame([(i, float(8 * (i // 20)), float(8 * (i % 20)), float(8 * (i // 20) + 8), float(8 * (i % 20) + 8), 80, 160)
+                                     for i in range(200)], "anchor_id long, y1 double, x1 double, y2 double, x2 double, height int, width int")
+    other = anchors.filter("anchor_id < 50").withColumn("width", F.lit(40))
+    images = spark.createDataFrame([(i, 80, 160 if i < 200 else 40) for i in range(210)], "image_id long, height int, width int")
+    gt = images.select("image_id", F.lit(1).alias("gt_id"), F.lit(1).alias("class_id"), F.lit(8.0).alias("y1"), F.lit(8.0).alias("x1"),
+                       F.lit(16.0).alias("y2"), F.lit(17.0).alias("x2"))
+    out = B.label_anchors(anchors.unionByName(other), gt, images, per_image=40, seed=3, shape=("height", "width")).collect()
+    draws, counts = {}, {}
+    for r in out:
+        if r.match == -1:
+            draws.setdefault(r.image_id, []).append(r.anchor_id)
+            if r.image_id < 200:
+                counts[r.anchor_id] = counts.get(r.anchor_id, 0) + 1
+    assert all(len(v) == len(set(v)) == 39 for v in draws.values())
+    assert all(max(v) < 50 for i, v in draws.items() if i >= 200)
+    assert len({tuple(sorted(v)) for i, v in draws.items() if i < 200}) > 190
+    assert len(counts) == 199 and max(counts.values()) < 75 and min(counts.values()) > 15  # 39.2 expected
+
+
+def test_exact_quantiles_of_groups(spark):
+    from tessera.operators.aggregate import exact_quantiles
+    rng = np.random.default_rng(1)
+    rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 900), rng.integers(0, 40, 900))] + [(5, 1.0), (6, None)]
+    got = {r.g: r for r in exact_quantiles(spark.createDataFrame(rows, "g int, v double"), "v", [0.0, 0.37, 0.5, 1.0], ["g"]).collect()}
+    for g in (0, 1, 2, 5):
+        v = [x for k, x in rows if k == g]
+        assert np.allclose([got[g][f"q{i}"] for i in range(4)], np.quantile(v, [0.0, 0.37, 0.5, 1.0]))
+
+
+def test_selection_ranks_perfect_separators_first(spark):
+    from tessera.operators import select as SEL
+    lab = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id int, target int")
+    long = [(i, "tok", "sep", 1) for i in range(40) if i % 2] + [(i, "tok", "all", 1) for i in range(40)]
+    long += [(i, "tok", f"n{k}", 1) for k in range(18) for i in range(40) if (i * (k + 3)) % 7 == 0]
+    df = spark.createDataFrame(long, "doc_id int, src string, key string, value int")
+    scores = SEL.anova_f(df, lab, "doc_id")
+    assert [r.key for r in SEL.select_top_percent(scores, 5).collect()] == ["sep"]
+    assert "all" not in {r.key for r in SEL.select_top_percent(scores, 95).collect()}
