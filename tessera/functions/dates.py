@@ -23,11 +23,13 @@ def parse_period(c) -> Column:
 
 
 def parse_trdatetime(c) -> Column:
-    """'21OCT17:00:00:00' -> timestamp. Month names are matched case-insensitively."""
+    """'21OCT17:00:00:00' -> timestamp. Month names are matched case-insensitively; two-digit
+    years 69-99 are of the 20th century."""
     s = _c(c)
     # upper-case month names ('OCT') are normalised to 'Oct' before parsing
     fixed = F.concat(F.substring(s, 1, 2), F.initcap(F.substring(s, 3, 3)), F.substring(s, 6, 64))
-    return F.to_timestamp(fixed, TRDATETIME_FORMAT)
+    t = F.to_timestamp(fixed, TRDATETIME_FORMAT)
+    return F.when(F.year(t) >= 2069, t - F.expr("INTERVAL 100 YEARS")).otherwise(t)
 
 
 def date_parts(ts, prefix: str = "") -> list[Column]:

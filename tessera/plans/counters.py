@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.maps import map_size, map_sum
 from tessera.operators import aggregate as A
-from tessera.operators.counters import distinct_flags_count, pivot_with_total, with_maps
+from tessera.operators.counters import distinct_flags_count, distinct_map_keys, map_value_sum, pivot_with_total, with_maps
 from tessera.operators.window import argmax_of_columns
 
 
@@ -49,21 +49,13 @@ def extended_counter_features(clicks: DataFrame, cats, srcs) -> DataFrame:
     base = df.groupBy("uid").agg(*base_aggs)
     per_day = A.two_level_agg(df.select("uid", "days"), "uid", "days", prefix="_").select(
         "uid", F.col("_days_max").alias("max_day_cntr"), F.col("_days_mean").alias("mean_day_cntr"))
-    # distinct keys and value sums per (uid, cat): explode once, de-duplicate keys, aggregate
-    long = None
-    for s in srcs:
-        part = df.select("uid", "cat", F.lit(s).alias("src"), F.explode(F.col(s)).alias("key", "value"))
-        long = part if long is None else long.unionByName(part)
-    per_cat = long.groupBy("uid", "cat", "src").agg(F.countDistinct("key").alias("nuniq"),
-                                                     F.sum("value").alias("sumval"))
-    spread_aggs = []
-    for s in srcs:
-        for stem, v in ((f"nuniq_keys_{s}", "nuniq"), (f"sumval_keys_{s}", "sumval")):
-            sel = F.col("src") == F.lit(s)
-            spread_aggs += [F.coalesce(F.sum(F.when(sel & (F.col("cat") == F.lit(c)), F.col(v))), F.lit(0))
-                            .alias(f"{stem}_cat{i}") for i, c in enumerate(cats)]
-            spread_aggs.append(F.coalesce(F.sum(F.when(sel, F.col(v))), F.lit(0)).alias(f"{stem}_total"))
-    spread = per_cat.groupBy("uid").agg(*spread_aggs)
+    # distinct keys and value sums per (uid, cat), spread over the categories with totals
+    keys = distinct_map_keys(df, ["uid", "cat"], srcs)
+    keys = keys.groupBy("uid", "cat").agg(*[
+        F.coalesce(F.max(F.when(F.col("src") == F.lit(s), F.col("nuniq_keys"))), F.lit(0)).alias(f"nuniq_{s}") for s in srcs])
+    per_cat = map_value_sum(df, ["uid", "cat"], srcs).join(keys, ["uid", "cat"], "left")
+    names = {f"nuniq_{s}": f"nuniq_keys_{s}" for s in srcs} | {f"sumval_{s}": f"sumval_keys_{s}" for s in srcs}
+    spread = pivot_with_total(per_cat, "uid", "cat", cats, list(names), names)
     out = base.join(per_day, "uid", "left").join(spread, "uid", "left")
     cat_cols = [f"num_times_cat_eq_{i}" for i in range(len(cats))]
     out = out.fillna(0, subset=[c for c in out.columns if c.startswith(("nuniq_keys_", "sumval_keys_"))])

@@ -48,5 +48,5 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def load_all():
     """Import every query module so that it registers itself."""
     from tessera.plans import (q_transactions, q_counters, q_geo, q_text, q_metrics,  # noqa: F401
-                               q_detection, q_models)
+                               q_detection, q_models, q_tables)
     return QUERIES, ORACLES

@@ -73,6 +73,24 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """uid, row_id, cat, days and three JSON counter maps of an order: f1 part group -> lines,
+    f2 supplier group -> quantity, f3 line number -> quantity of its larger lines (often empty)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    first_day = o.select(F.min("day")).scalar()
+    out = o
+    for name, rows, key, value in (
+            ("f1", li, F.pmod("l_partkey", F.lit(50)), F.count(F.lit(1))),
+            ("f2", li, F.pmod("l_suppkey", F.lit(20)), F.sum(F.col("l_quantity").cast("long"))),
+            ("f3", li.filter("l_quantity > 25"), F.col("l_linenumber"), F.max(F.col("l_quantity").cast("long")))):
+        per = rows.groupBy("l_orderkey", key.cast("string").alias("k")).agg(value.alias("v"))
+        m = per.groupBy("l_orderkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", "v")))).alias(name))
+        out = out.join(m.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+    return out.select(F.col("o_custkey").alias("uid"), F.col("o_orderkey").alias("row_id"), F.col("o_orderpriority").alias("cat"),
+                      F.datediff("day", first_day).alias("days"), *[F.coalesce(c, F.lit("{}")).alias(c) for c in ("f1", "f2", "f3")])
+
+
 def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, target (null = test row) for every document."""
     d = table(spark, sf_dir, "documents").select("doc_id")
