@@ -102,19 +102,21 @@ def dict_vectorise(train_long: DataFrame, long: DataFrame, keys=("src", "key"),
 
 
 def tfidf(tokens: DataFrame, doc: str = "doc_id", term: str = "token", min_df=1, max_df=1.0,
-          max_features: int | None = None, smooth: bool = True, norm: str | None = "l2") -> DataFrame:
+          max_features: int | None = None, smooth: bool = True, norm: str | None = "l2",
+          docs: DataFrame | None = None) -> DataFrame:
     """Term counts x idf, row L2 norm (M9), long form (doc, term, tf, idf, tfidf).
 
     idf = ln((1 + n) / (1 + df)) + 1 (smooth) or ln(n / df) + 1. ``min_df`` / ``max_df``
     are document counts (int) or fractions (float); ``max_features`` keeps the terms with
-    the largest total count (ties by term)."""
+    the largest total count (ties by term). n counts every row of ``docs``, documents without a
+    term too; without ``docs`` only those that have one."""
     # A row needs a document and a term (the per-document norm join drops null documents
     # anyway). ``tf`` feeds four branches (n_docs, df, the weights, the norms): write it
     # once to the checkpoint folder instead of tokenising the raw text four times.
     from tessera.session import cut_lineage
     tokens = tokens.filter(F.col(doc).isNotNull() & F.col(term).isNotNull())
     tf = cut_lineage(tokens.groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf")))
-    n_docs = tf.select(F.countDistinct(doc)).scalar()
+    n_docs = (tf if docs is None else docs).select(F.countDistinct(doc)).scalar()
     dfs = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_tot"))
 
     def bound(x):

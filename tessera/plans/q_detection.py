@@ -394,7 +394,7 @@ def q_average_precision(spark, sf_dir):
 
 @register("ap_range", f"""
 WITH RECURSIVE {BOX_SQL}, {PAIRS_SQL}, {_match_sql(AP_THRESHOLDS)}, {_AP_SQL}
-SELECT image_id, round(avg(ap), 6) AS map_50_95 FROM ap GROUP BY image_id""")
+SELECT image_id, round(avg(ap), 6) AS map_50_95 FROM ap GROUP BY image_id""", headline=True)
 def q_ap_range(spark, sf_dir):
     pred, gt = S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir)
     per = D.ap_range(pred, gt)
@@ -506,7 +506,7 @@ neg AS (SELECT image_id, anchor_id FROM (SELECT *, row_number() OVER (PARTITION
 SELECT pos.image_id, pos.anchor_id, 1 AS match, {_delta_sql('a', 'g', B.RPN_STD)}
 FROM pos JOIN img USING (image_id) JOIN gt g ON g.image_id = pos.image_id AND g.gt_id = pos.gt_id
   JOIN anc a ON a.height = img.height AND a.width = img.width AND a.anchor_id = pos.anchor_id
-UNION ALL SELECT image_id, anchor_id, -1, NULL, NULL, NULL, NULL FROM neg""")
+UNION ALL SELECT image_id, anchor_id, -1, NULL, NULL, NULL, NULL FROM neg""", headline=True)
 def q_rpn_anchor_targets(spark, sf_dir):
     anchors = anchors_for_shapes(spark, sf_dir).drop("level")
     images = S.image_sizes(spark, sf_dir).join(S.gt_boxes(spark, sf_dir).select("image_id").distinct(),

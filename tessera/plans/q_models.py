@@ -40,7 +40,7 @@ def _split(spark, sf_dir):
     return d.filter(F.col("target").isNotNull()), d.filter(F.col("target").isNull())
 
 
-@register("doc_logistic_cv")
+@register("doc_logistic_cv", headline=True)
 def q_doc_logistic_cv(spark, sf_dir):
     """L2 logistic regression (C = 0.2), balanced class weights, 5-fold AUC."""
     tr, _ = _split(spark, sf_dir)
@@ -130,7 +130,8 @@ def q_doc_feature_importance(spark, sf_dir):
 @register("doc_svd")
 def q_doc_svd(spark, sf_dir):
     """Rank-10 SVD of the TF-IDF document x term matrix, U * S keyed by document."""
-    w = E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9)
+    w = E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9,
+                docs=table(spark, sf_dir, "documents").select("doc_id"))
     long = w.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), F.col("tfidf").alias("value"))
     idx, _ = E.dict_vectorise(long, long)
     return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10))

@@ -22,7 +22,7 @@ DOCLAB_SQL = """dl AS (SELECT d.doc_id, l.quality AS target FROM documents d LEF
 @register("doc_tfidf", rf"""
 WITH {TOKENS_SQL},
 tf AS (SELECT doc_id, token, count(*) AS tf FROM toks GROUP BY 1, 2),
-nd AS (SELECT count(DISTINCT doc_id) AS n FROM toks),
+nd AS (SELECT count(*) + 1 AS n FROM documents),
 dfs AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
 keep AS (SELECT token, df, ln((1.0 + n) / (1.0 + df)) + 1 AS idf FROM dfs, nd WHERE df >= 2 AND df <= 0.9 * n),
 w AS (SELECT tf.doc_id, tf.token, tf.tf, keep.df, keep.idf, tf.tf * keep.idf AS x FROM tf JOIN keep USING (token)),
@@ -30,7 +30,10 @@ nrm AS (SELECT doc_id, sqrt(sum(x * x)) AS nn FROM w GROUP BY doc_id)
 SELECT doc_id, token, tf, df, round(idf, 6) AS idf, round(CASE WHEN nn > 0 THEN x / nn ELSE x END, 6) AS tfidf
 FROM w JOIN nrm USING (doc_id)""", headline=True)
 def q_doc_tfidf(spark, sf_dir):
-    return finish(E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9))
+    """n counts all documents, and one more that has no text at all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    docs = docs.unionByName(docs.agg((F.max("doc_id") + 1).alias("doc_id")))
+    return finish(E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9, docs=docs))
 
 
 @register("doc_label_encode", """
@@ -107,12 +110,15 @@ WITH {TOKENS_SQL},
 tr AS (SELECT DISTINCT token FROM toks WHERE doc_id IN (SELECT doc_id FROM labels)),
 voc AS (SELECT token, CAST(row_number() OVER (ORDER BY token) AS INTEGER) AS id FROM tr),
 s AS (SELECT doc_id, list(id ORDER BY pos) AS ids FROM toks JOIN voc USING (token) GROUP BY doc_id)
-SELECT doc_id, list_resize(ids, 50, 0) AS seq, CAST(len(ids) AS INTEGER) AS n_ids, list_max(ids) AS max_id FROM s""")
+SELECT doc_id, list_resize(coalesce(ids, []), 50, 0) AS seq, CAST(coalesce(len(ids), 0) AS INTEGER) AS n_ids, coalesce(list_max(ids), 0) AS max_id
+FROM documents LEFT JOIN s USING (doc_id)""")
 def q_doc_index_sequences(spark, sf_dir):
     indexed, _ = _vocab(spark, sf_dir)
     ids = indexed.select("doc_id", "pos", (F.col("col_idx") + 1).alias("id"))
     seq = ids.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_s")) \
              .select("doc_id", F.transform("_s", lambda x: x["id"]).alias("ids"))
+    seq = table(spark, sf_dir, "documents").select("doc_id").join(seq, "doc_id", "left") \
+        .withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))  # no known word: all padding
     return seq.select("doc_id", pad_or_truncate("ids", 50).alias("seq"), array_length("ids").alias("n_ids"),
                       array_max_or_zero("ids").alias("max_id"))
 

@@ -94,17 +94,27 @@ _COCO_SCHEMA = T.StructType([
     T.StructField("annotations", T.ArrayType(T.StructType([
         T.StructField("id", T.LongType()), T.StructField("image_id", T.LongType()),
         T.StructField("category_id", T.IntegerType()), T.StructField("iscrowd", T.IntegerType()),
-        T.StructField("bbox", T.ArrayType(T.DoubleType()))]))),
+        T.StructField("bbox", T.ArrayType(T.DoubleType())),
+        T.StructField("segmentation", T.StringType())]))),
     T.StructField("categories", T.ArrayType(T.StructType([
         T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())]))),
 ])
 
 
 def read_coco_json(spark: SparkSession, path: str, class_ids=None) -> dict[str, DataFrame]:
-    """COCO instances file -> images, annotations, categories; only images holding the wanted classes."""
+    """COCO instances file -> images, annotations, categories; only images holding the wanted classes.
+
+    A segmentation comes as ``polygons`` (lists of x, y, x, y, ...) or as the run ``counts`` of an
+    uncompressed mask with its ``size`` (height, width); a compressed mask keeps its text in
+    ``counts_text``. The codec of the latter is not built."""
     raw = spark.read.option("multiLine", True).schema(_COCO_SCHEMA).json(path)
     images = raw.select(F.explode("images").alias("i")).select("i.*")
     anns = raw.select(F.explode("annotations").alias("a")).select("a.*")
+    seg = F.col("segmentation")
+    runs = F.from_json(seg, "counts array<long>, size array<int>")
+    anns = anns.withColumns({"polygons": F.when(seg.startswith("["), F.from_json(seg, "array<array<double>>")),
+                             "counts": F.when(seg.startswith("{"), runs["counts"]), "size": F.when(seg.startswith("{"), runs["size"]),
+                             "counts_text": F.when(seg.rlike(r'"counts"\s*:\s*"'), F.get_json_object(seg, "$.counts"))}).drop("segmentation")
     cats = raw.select(F.explode("categories").alias("c")).select("c.*")
     if class_ids is not None:
         cats = cats.filter(F.col("id").isin(list(class_ids)))

@@ -65,9 +65,13 @@ def test_read_coco_json_keeps_images_with_wanted_classes(spark, tmp_path):
         "images": [{"id": 1, "file_name": "1.jpg", "width": 10, "height": 8},
                    {"id": 2, "file_name": "2.jpg", "width": 10, "height": 8},
                    {"id": 3, "file_name": "3.jpg", "width": 10, "height": 8}],
-        "annotations": [{"id": 10, "image_id": 1, "category_id": 1, "iscrowd": 0, "bbox": [0, 0, 2, 2]},
+        "annotations": [{"id": 10, "image_id": 1, "category_id": 1, "iscrowd": 0, "bbox": [0, 0, 2, 2],
+                         "segmentation": [[0, 0, 2, 0, 2, 2], [1.5, 1, 1, 2, 2, 2]]},
                         {"id": 11, "image_id": 2, "category_id": 2, "iscrowd": 0, "bbox": [1, 1, 2, 2]},
-                        {"id": 12, "image_id": 2, "category_id": 1, "iscrowd": 1, "bbox": [1, 1, 3, 3]}],
+                        {"id": 12, "image_id": 2, "category_id": 1, "iscrowd": 1, "bbox": [1, 1, 3, 3],
+                         "segmentation": {"counts": [3, 4, 73], "size": [8, 10]}},
+                        {"id": 13, "image_id": 3, "category_id": 1, "iscrowd": 1, "bbox": [1, 1, 3, 3],
+                         "segmentation": {"counts": "a1b2", "size": [8, 10]}}],
         "categories": [{"id": 1, "name": "person"}, {"id": 2, "name": "car"}],
     }
     p = _write(tmp_path / "coco.json", json.dumps(doc, indent=1))
@@ -76,7 +80,11 @@ def test_read_coco_json_keeps_images_with_wanted_classes(spark, tmp_path):
     assert [r.id for r in out["annotations"].collect()] == [11]
     assert [r.name for r in out["categories"].collect()] == ["car"]
     full = S.read_coco_json(spark, p)
-    assert full["images"].count() == 3 and full["annotations"].count() == 3
+    assert full["images"].count() == 3 and full["annotations"].count() == 4
+    seg = {r.id: r for r in full["annotations"].collect()}
+    assert seg[10].polygons == [[0, 0, 2, 0, 2, 2], [1.5, 1, 1, 2, 2, 2]] and seg[10].counts is None
+    assert seg[12].counts == [3, 4, 73] and seg[12].size == [8, 10] and seg[12].polygons is None
+    assert seg[13].counts_text == "a1b2" and seg[11].polygons is None and seg[11].counts_text is None
 
 
 def test_list_images_takes_id_from_folder(spark, tmp_path):
