@@ -130,7 +130,8 @@ def _isolating_splits(df: DataFrame, col: str, n_buckets: int) -> tuple[list[flo
     return splits, singles
 
 
-def kendall_tau(df: DataFrame, a: str, b: str, n_buckets: int = 64, name: str = "tau_b") -> DataFrame:
+def kendall_tau(df: DataFrame, a: str, b: str, n_buckets: int | None = None, name: str = "tau_b",
+                bucket_rows: int = 1_000_000) -> DataFrame:
     """Kendall tau-b of two numeric columns, exact, without pairing rows.
 
     S = n0 - n1 - n2 + n3 - 2D with n1, n2, n3 the tied pairs in a, in b and in
@@ -140,11 +141,14 @@ def kendall_tau(df: DataFrame, a: str, b: str, n_buckets: int = 64, name: str =
     D = (pairs in different a- AND b-buckets, from the bucket histogram)
       + (pairs inside one a-bucket) + (pairs inside one b-bucket) - (pairs inside one cell),
     the last three per group with ``weighted_inversions``. Single-value buckets
-    hold no discordant pair and are skipped.
+    hold no discordant pair and are skipped. There are as many buckets as hold about
+    ``bucket_rows`` rows each, 64 to 1 024 (the histogram of cells is one small matrix).
     """
     from pyspark.ml.feature import Bucketizer
     pairs = (df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
              .dropna().groupBy("a", "b").agg(F.count(F.lit(1)).alias("w")))
+    if n_buckets is None:
+        n_buckets = min(1024, max(64, -(-pairs.count() // bucket_rows)))
     sa, singles_a = _isolating_splits(pairs, "a", n_buckets)
     sb, singles_b = _isolating_splits(pairs, "b", n_buckets)
     inf = float("inf")

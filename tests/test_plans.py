@@ -84,7 +84,7 @@ def _norm(v):
 
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(r[i] for i in order) for r in rows), [cols[i] for i in order]
+    return [tuple(r[i] for i in order) for r in rows], [cols[i] for i in order]
 
 
 def _close(a, b):
