@@ -97,17 +97,17 @@ def parsed(messages: DataFrame, keys: tuple[str, ...], text_col: str, keep: tupl
 
 
 def _trees(parents: DataFrame) -> DataFrame:
-    """(thread, at, root, depth) from (thread, at, parent) by pointer doubling."""
+    """(thread, at, root, depth) from (thread, at, parent) by pointer doubling over the open rows."""
     state = cut_lineage(parents.select("thread", "at", F.coalesce("parent", "at").alias("root"),
-                                       F.col("parent").isNotNull().cast("int").alias("depth")))
-    while True:
-        up = state.select("thread", F.col("at").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        step = state.join(up, ["thread", "root"]).select(
-            "thread", "at", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"))
-        moved = step.join(state.withColumnRenamed("root", "was").drop("depth"), ["thread", "at"]).where("root != was").limit(1)
-        state = cut_lineage(step)
-        if not moved.count():
-            return state
+                                       F.col("parent").isNotNull().cast("int").alias("depth"),
+                                       F.col("parent").isNull().alias("done")))
+    while state.where("NOT done").limit(1).count():
+        up = state.select("thread", F.col("at").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"),
+                          F.col("done").alias("ends"))
+        step = state.where("NOT done").join(up, ["thread", "root"]).select(
+            "thread", "at", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
+        state = cut_lineage(state.where("done").unionByName(step))
+    return state.drop("done")
 
 
 def link_replies(messages: DataFrame, thread_col: str = "conv_id", order_col: str = "turn", text_col: str = "text",
