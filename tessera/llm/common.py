@@ -59,6 +59,17 @@ def slices(offsets: np.ndarray, limit: int = CHUNK):
         a = b
 
 
+def row_slices(batch: pa.RecordBatch, column: int = -1, limit: int = CHUNK):
+    """The batch in pieces of about ``limit`` bytes of a string column, without copying; what is
+    made of a piece is small, whatever the batch holds."""
+    arr = batch.column(column if column >= 0 else batch.num_columns + column)
+    width = np.int64 if pa.types.is_large_string(arr.type) or pa.types.is_large_binary(arr.type) else np.int32
+    offsets = np.frombuffer(arr.buffers()[1], dtype=width)[arr.offset:arr.offset + len(arr) + 1].astype(np.int64) \
+        if len(arr) else np.zeros(1, np.int64)
+    for a, b in slices(offsets, limit):
+        yield batch.slice(a, b - a)
+
+
 _rng = np.random.default_rng(0x7E55)
 #: Random 64-bit value of every byte; the second table feeds the independent check hash.
 BYTE_VALUE = _rng.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -23,12 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASE, INVERSE, bytes_of, mix, ragged, runs_of, slices
+from tessera.llm.common import BASE, INVERSE, bytes_of, mix, ragged, row_slices, runs_of
 from tessera.llm.wordstore import WordStore
 
 MARK = "\u2581"
 #: Cells of one Viterbi matrix.
-CELLS = 1 << 20
+CELLS = 1 << 17
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,26 +179,31 @@ def pieces(path: str) -> Pieces:
     return _models[path]
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``ids``."""
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
+           check: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids``; with ``check`` also ``round_trip``: whether the ids decode to the text."""
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    types = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
 
     def run(batches):
         model = pieces(model_path)
-        for batch in batches:
-            text = batch.column(batch.num_columns - 1)
-            data, offsets = bytes_of(pc.replace_substring(text, MARK, " "))
-            for a, b in slices(offsets):
-                ids, ends = model.encode(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                some = batch.slice(a, b - a)
-                null = pa.array(text.slice(a, b - a).is_null().to_numpy(zero_copy_only=False))
+        for whole in batches:
+            for batch in row_slices(whole):
+                text = batch.column(batch.num_columns - 1)
+                data, offsets = bytes_of(pc.replace_substring(text, MARK, " "))
+                ids, ends = model.encode(data, offsets)
+                null = pa.array(text.is_null().to_numpy(zero_copy_only=False))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(some.column(k) for k in range(len(keep))), pc.if_else(null, pa.scalar(None, lists.type), lists)],
-                    [*keep, "ids"])
-
-    return rows.mapInArrow(run, f"{types}, ids array<int>" if types else "ids array<int>")
+                out = [*(batch.column(k) for k in range(len(keep))), pc.if_else(null, pa.scalar(None, lists.type), lists)]
+                if check:
+                    back, bounds = model.decode(ids, ends)
+                    same = len(back) == len(data) and np.array_equal(bounds, offsets) and np.array_equal(back, data)
+                    out.append(pa.array([True] * len(text) if same else
+                                        [back[bounds[k]:bounds[k + 1]].tobytes() == data[offsets[k]:offsets[k + 1]].tobytes()
+                                         for k in range(len(text))]))
+                yield pa.RecordBatch.from_arrays(out, [*keep, "ids", *["round_trip"] * check])
+
+    return rows.mapInArrow(run, ", ".join([*types, "ids array<int>", *["round_trip boolean"] * check]))
 
 
 def decode(encoded: DataFrame, model_path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -72,4 +72,6 @@ def test_table(spark):
     got = sorted(((r.doc_id, r.decoded) for r in out), key=repr)
     assert got == sorted(((k, None if t is None else t.replace("▁", " ")) for k, t in rows), key=repr)
     assert all((r.ids is None) == (r.doc_id == 100) and r.block == "x" for r in out)
+    checked = sentencepieces.encode(df, PATH, check=True).collect()
+    assert all(r.round_trip for r in checked) and len(checked) == len(rows)
     assert sentencepieces.encode(docs_df(spark, []), PATH).collect() == []
