@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bytes_of, slices, written
+from tessera.llm.common import bytes_of, kept_table, slices
 
 BLOCK_BYTES = 2 << 20
 #: Keys that one bucket's task holds at a time.
@@ -33,8 +33,8 @@ BLOCK_SCHEMA = "block long, n_bytes long, n_docs int, rest binary, offsets binar
 
 
 def build(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Write ``docs`` as blocks: the ``keep`` columns and the text (null: empty)."""
+          block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
+    """Write ``docs`` as blocks: the ``keep`` columns and the text (null: empty). Returns the table and its path."""
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
 
     def cut(batches):
@@ -52,7 +52,7 @@ def build(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc
                     ["block", "n_bytes", "n_docs", "rest", "offsets", "text"])
                 n += 1
 
-    return written(rows.mapInArrow(cut, BLOCK_SCHEMA), "blocks")
+    return kept_table(rows.mapInArrow(cut, BLOCK_SCHEMA), "blocks")
 
 
 def table_bytes(batch: pa.RecordBatch) -> bytes:
@@ -87,7 +87,7 @@ def opened(row: dict) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
 
 def bucket_bits(keys: int) -> int:
     """Buckets, as a power of two, so that one holds about BUCKET_KEYS of ``keys``."""
-    return min(15, max(0, int(np.ceil(np.log2(max(1, keys / BUCKET_KEYS))))))
+    return max(0, int(np.ceil(np.log2(max(1, keys / BUCKET_KEYS)))))
 
 
 def packed(keys: np.ndarray, width: int = 8) -> bytes:
@@ -122,11 +122,12 @@ def bucket_cuts(keys: np.ndarray, bits: int, first: int = 0, past: int | None =
     if bits == 0:
         yield 0, 0, len(keys)
         return
-    edges = np.searchsorted(keys, np.arange(first, past, dtype=np.uint64) << np.uint64(64 - bits))
-    edges = np.append(edges, len(keys) if past == 1 << bits else
-                      np.searchsorted(keys, np.uint64(past) << np.uint64(64 - bits)))
-    for k in np.flatnonzero(np.diff(edges)).tolist():
-        yield first + k, int(edges[k]), int(edges[k + 1])
+    ids = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    starts = run_starts(ids)
+    ends = np.append(starts[1:], len(keys))
+    buckets = ids[starts]
+    mine = np.flatnonzero((buckets >= first) & (buckets < past))
+    yield from zip(buckets[mine].tolist(), starts[mine].tolist(), ends[mine].tolist(), strict=True)
 
 
 def answer(sent: DataFrame, decide: Callable[[dict], list[np.ndarray]]) -> DataFrame:

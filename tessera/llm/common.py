@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,35 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     Cuts the lineage: a lost executor re-reads the table instead of redoing the
     work. The folder comes from ``spark.checkpoint.dir``.
     """
+    return kept_table(df, tag)[0]
+
+
+def kept_table(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``written``, and the table's path for ``discard``."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``kept_table`` that no later step reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Inside, a finished step's shuffle files are dropped at once instead of with the driver's next
+    garbage collection, so the steps of one operator do not add up on disk. The result that an
+    operator returns is made outside and may be run more than once."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def bytes_of(arr: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import blocks as B
-from tessera.llm.common import bytes_of, components, mix, prefix_hash, ragged, runs_of, window_hash, written
+from tessera.llm.common import (bytes_of, components, discard, dropping_shuffles, kept_table, mix, prefix_hash, ragged,
+                                runs_of, window_hash, written)
 
 WORDS = 5
 PERCENT = 75
@@ -336,12 +337,15 @@ def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, per
     chosen = classes.groupBy(F.shiftright("rep", 20).alias("block")).agg(F.collect_list("rep").alias("chosen"))
     total = classes.agg(F.sum("n")).first()[0] or 0
     bits = B.bucket_bits(total)
-    source = written(blocks.join(chosen, "block"), "chosen")
+    spark = docs.sparkSession
+    source, source_path = kept_table(blocks.join(chosen, "block"), "chosen")
     sent = source.mapInArrow(_send(words, bits), "block long, bucket int, keys binary, here binary")
-    answers = written(B.answer(sent, _frequency), "frequency")
+    answers, answers_path = kept_table(B.answer(sent, _frequency), "frequency")
     asked = B.with_answers(source, answers)
-    sets = written(asked.mapInArrow(_ordered_sets(words, percent, max_matches),
-                                    "rid long, n int, k int, common float, tokens binary, shared binary"), "tokens")
+    sets, sets_path = kept_table(asked.mapInArrow(_ordered_sets(words, percent, max_matches),
+                                                  "rid long, n int, k int, common float, tokens binary, shared binary"), "tokens")
+    for done in (source_path, answers_path):  # the ordered sets are all that later steps read
+        discard(spark, done)
     lists = sets.select("rid", "common", "tokens", "shared").mapInArrow(_prefix_tokens, "token long, rid long, common float")
     hub = lists.groupBy("token").agg(F.max_by("rid", F.struct("common", "rid")).alias("hub"))
     members = written(lists.select("token", "rid").join(hub, "token").select("hub", "rid").distinct(), "members")
@@ -352,6 +356,7 @@ def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, per
         "hub", "rid", F.coalesce("component", "rid").alias("component"))
     main = placed.where("rid = hub").select("hub", F.col("component").alias("main"))
     rest = written(_link_rest(written(placed.join(main, "hub"), "placed"), sets, percent), "rest")
+    discard(spark, sets_path)
     final = components(links.unionByName(rest))
 
     reps = told.join(classes, ["n", "s1", "s2"], "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
@@ -361,9 +366,10 @@ def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, per
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                     percent: int = PERCENT, max_matches: int = MAX_MATCHES) -> DataFrame:
     """Per document: id, ``n_shingles`` and ``component_id`` (smallest id of its component)."""
-    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    blocks = B.build(docs, text_col, (id_col,))
-    rows = _components(docs, blocks, id_col, words, percent, max_matches)
+    with dropping_shuffles(docs.sparkSession):
+        blocks, path = B.build(docs, text_col, (id_col,))
+        rows = _components(docs, blocks, id_col, words, percent, max_matches)
+        discard(docs.sparkSession, path)
     smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return rows.join(smallest, "component").select(F.col("doc_id").alias(id_col), "n_shingles", "component_id")
 
@@ -373,10 +379,10 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """One row of each component, the one with the smallest id: ``keep`` columns (the id at least) and the text.
 
     A null text comes back empty, as it is compared."""
-    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     keep = tuple(dict.fromkeys([id_col, *keep]))
-    blocks = B.build(docs, text_col, keep)
-    rows = _components(docs, blocks, id_col, words, percent, max_matches)
+    with dropping_shuffles(docs.sparkSession):
+        blocks, _ = B.build(docs, text_col, keep)
+        rows = _components(docs, blocks, id_col, words, percent, max_matches)
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("r"))
     stay = first.select("r.rid").groupBy(F.shiftright("rid", 20).alias("block")).agg(F.collect_list("rid").alias("stay"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(c) for c in keep]).schema)
