@@ -34,7 +34,11 @@ BLOCK_SCHEMA = "block long, n_bytes long, n_docs int, rest binary, offsets binar
 
 def build(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",),
           block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
-    """Write ``docs`` as blocks: the ``keep`` columns and the text (null: empty). Returns the table and its path."""
+    """Write ``docs`` as blocks: the ``keep`` columns and the text (null: empty). Returns the table and its path.
+
+    ``block`` is the number of the block's first document: the partition in the upper 31 bits (as many as Spark
+    numbers), the place in it in the lower 32. So ``block`` plus a place in the block is a row id, at any partition.
+    """
     rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
 
     def cut(batches):
@@ -50,7 +54,9 @@ def build(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc
                      pa.array([squeeze.compress((offsets[a:b + 1] - offsets[a]).tobytes())], pa.binary()),
                      pa.array([squeeze.compress(np.ascontiguousarray(data[offsets[a]:offsets[b]]))], pa.binary())],
                     ["block", "n_bytes", "n_docs", "rest", "offsets", "text"])
-                n += 1
+                n += b - a
+                if n >= 1 << 32:
+                    raise ValueError("a partition of 2^32 documents or more: read the input in smaller splits")
 
     return kept_table(rows.mapInArrow(cut, BLOCK_SCHEMA), "blocks")
 

@@ -86,7 +86,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> t
 
 
 def _row_ids(block: int, n: int) -> np.ndarray:
-    return (np.int64(block) << np.int64(20)) + np.arange(n, dtype=np.int64)
+    """A block's number is the row id of its first document (blocks.py)."""
+    return np.int64(block) + np.arange(n, dtype=np.int64)
 
 
 def _describe(id_col: str, words: int):
@@ -100,8 +101,8 @@ def _describe(id_col: str, words: int):
             ends = np.concatenate([[0], np.cumsum(size)])
             sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(v)]) for v in (value, mix(value + np.uint64(1)))]
             sig = [(s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums]
-            yield pa.RecordBatch.from_arrays([rest.column(id_col), pa.array(_row_ids(row["block"], n)), pa.array(size),
-                                              pa.array(sig[0]), pa.array(sig[1])], ["doc_id", "rid", "n", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([rest.column(id_col), pa.array(_row_ids(row["block"], n)), pa.array(np.full(n, row["block"], np.int64)),
+                                              pa.array(size), pa.array(sig[0]), pa.array(sig[1])], ["doc_id", "rid", "block", "n", "s1", "s2"])
     return run
 
 
@@ -110,7 +111,7 @@ def _chosen(row: dict, words: int):
     _, data, offsets = B.opened(row)
     n = len(offsets) - 1
     mine = np.zeros(n, bool)
-    mine[np.array(row["chosen"] or [], np.int64) & 0xFFFFF] = True
+    mine[np.array(row["chosen"] or [], np.int64) - row["block"]] = True
     doc, value = shingle_sets(data, offsets, words)
     keep = mine[doc]
     return _row_ids(row["block"], n), doc[keep], value[keep]
@@ -330,11 +331,11 @@ def _link_rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, percent: int, max_matches: int) -> DataFrame:
-    """(doc_id, rid, n_shingles, component) of every row; component is a row id."""
+    """(doc_id, rid, block, n_shingles, component) of every row; component is a row id."""
     id_type = docs.select(F.col(id_col)).schema[0].dataType.simpleString()
-    told = written(blocks.mapInArrow(_describe(id_col, words), f"doc_id {id_type}, rid long, n long, s1 long, s2 long"), "sets")
-    classes = told.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("rep"))
-    chosen = classes.groupBy(F.shiftright("rep", 20).alias("block")).agg(F.collect_list("rep").alias("chosen"))
+    told = written(blocks.mapInArrow(_describe(id_col, words), f"doc_id {id_type}, rid long, block long, n long, s1 long, s2 long"), "sets")
+    classes = told.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("rep"), F.min_by("block", "rid").alias("block"))
+    chosen = classes.groupBy("block").agg(F.collect_list("rep").alias("chosen"))
     total = classes.agg(F.sum("n")).first()[0] or 0
     bits = B.bucket_bits(total)
     spark = docs.sparkSession
@@ -359,8 +360,8 @@ def _components(docs: DataFrame, blocks: DataFrame, id_col: str, words: int, per
     discard(spark, sets_path)
     final = components(links.unionByName(rest))
 
-    reps = told.join(classes, ["n", "s1", "s2"], "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
-    return reps.select("doc_id", "rid", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "rid").alias("component"))
+    reps = told.join(classes.drop("block"), ["n", "s1", "s2"], "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
+    return reps.select("doc_id", "rid", "block", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "rid").alias("component"))
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -383,14 +384,14 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     with dropping_shuffles(docs.sparkSession):
         blocks, _ = B.build(docs, text_col, keep)
         rows = _components(docs, blocks, id_col, words, percent, max_matches)
-    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("r"))
-    stay = first.select("r.rid").groupBy(F.shiftright("rid", 20).alias("block")).agg(F.collect_list("rid").alias("stay"))
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "block")).alias("r"))
+    stay = first.select("r.rid", "r.block").groupBy("block").agg(F.collect_list("rid").alias("stay"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(c) for c in keep]).schema)
 
     def pick(batches):
         for row in B.rows_of(batches):
             rest, data, offsets = B.opened(row)
-            at = np.sort(np.array(row["stay"], np.int64) & 0xFFFFF)
+            at = np.sort(np.array(row["stay"], np.int64) - row["block"])
             view = data.tobytes()
             text = [view[offsets[k]:offsets[k + 1]].decode("utf-8", "replace") for k in at.tolist()]
             some = rest.take(pa.array(at))

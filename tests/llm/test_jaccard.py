@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from helpers import docs_df, near_copy, words
+from pyspark.sql import functions as F
 
 from tessera.llm import blocks, jaccard
 
@@ -70,6 +71,28 @@ def test_one_per_component(spark):
     assert sorted(r.doc_id for r in out) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_partitions_beyond_2048(spark, monkeypatch):
+    """Blocks numbered as those of partitions 0, 2048 and 4096 keep their links and their own row ids."""
+    build = blocks.build
+
+    def far(*args):
+        table, path = build(*args)
+        return table.withColumn("block", F.col("block") + F.shiftright("block", 32) * (2047 << 32)), path
+
+    monkeypatch.setattr(blocks, "build", far)
+    rng = random.Random(3)
+    rows = {}
+    for k in (0, 2, 4):
+        base = words(rng, 80)
+        rows |= {k: " ".join(base), k + 1: " ".join(near_copy(rng, base, 1))}
+    text = F.element_at(F.create_map(*[F.lit(x) for kv in rows.items() for x in kv]), F.col("id").cast("int"))
+    docs = spark.range(0, 6, 1, 3).select(F.col("id").alias("doc_id"), text.alias("text"))
+    out = jaccard.join_components(docs)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()) == brute(list(rows.items()))
+    kept = jaccard.one_per_component(docs).collect()
+    assert {r.doc_id: r.text for r in kept} == {k: rows[k] for k in (0, 2, 4)}
+
+
 def test_empty_table(spark):
     assert jaccard.join_components(docs_df(spark, [])).collect() == []
 
