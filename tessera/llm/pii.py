@@ -9,7 +9,10 @@ character they write, the source range it stands for:
 * digits: runs of at least MIN_SPELLED spelled digits (English, German, Spanish,
   French; "plus" and "dot" inside a run too), and look-alike letters inside long
   digit runs, become digits;
-* addresses: "(at)", "[dot]" and the like, and "name at host dot tld".
+* addresses: each separator is plain, bracketed ("(at)", "[dot]") or spelled on
+  its own. After a plain or bracketed "at" any last label counts; after a spelled
+  one a last spelled or plain dot asks for a known label, and "name at host.tld"
+  without any disguised dot is prose.
 
 The base patterns then run on the rewritten text and their spans are mapped
 back. A mapped span is added unless a base span of its kind covers it, so clean
@@ -109,16 +112,26 @@ _spelled = {w: str(d) for words in DIGIT_WORDS.values() for d, w in enumerate(wo
 _word = "|".join(sorted(_spelled, key=len, reverse=True))
 _item = rf"(?:{_word}|dot|plus|[0-9]+)(?![^\W_])"
 _run = re.compile(rf"(?<![^\W_]){_item}(?:[\s,-]+{_item}){{{MIN_SPELLED - 1},}}", re.IGNORECASE)
-_some_spelled = re.compile(rf"[\s,.:(-](?:{_word})[\s,-]+(?:{_word})[\s,-]+(?:{_word})(?![^\W_])")
+# Any run that counts has a digit word with an item after it.
+_some_spelled = re.compile(rf"[\W_](?:{_word})[\s,-]+(?:{_word}|dot|plus|[0-9])")
 _run_item = re.compile(_item, re.IGNORECASE)
 _strange = re.compile(r"[^\x00-\x9f\xa1-\xac\xae-\xff]|[\xa0\xad]")
 _bracket_at = re.compile(r"\s*(?:\[\s*(?:at|@)\s*\]|\(\s*(?:at|@)\s*\)|\{\s*(?:at|@)\s*\}|<\s*(?:at|@)\s*>)\s*", re.IGNORECASE)
 _bracket_dot = re.compile(r"\s*(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*(?:dot|\.)\s*>)\s*", re.IGNORECASE)
-_spaced = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:\s+dot\s+[A-Za-z0-9_%+-]+)*\s+at\s+[A-Za-z0-9-]+"
-                     r"(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*", re.IGNORECASE)
-# Last labels accepted after a spelled " dot ", which also occurs in prose.
-TOP_LEVELS = frozenset("com org net edu gov mil int info biz io ai co de fr es uk eu it nl ch at be us ca au in jp cn ru br mx pl se no dk fi".split())
-_spaced_part = re.compile(r"\s+(at|dot)\s+", re.IGNORECASE)
+_hidden_dot = re.compile(rf"{_bracket_dot.pattern}|\s+dot\s+", re.IGNORECASE)
+_address = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:(?:{_hidden_dot.pattern})[A-Za-z0-9_%+-]+)*"
+                      rf"(?P<at>@|{_bracket_at.pattern}|\s+at\s+)[A-Za-z0-9-]+(?:(?:\.|{_hidden_dot.pattern})[A-Za-z0-9-]+)+", re.IGNORECASE)
+_domain_dot = re.compile(rf"\.|{_hidden_dot.pattern}", re.IGNORECASE)
+_dot_word = re.compile(r"\sdot\s", re.IGNORECASE)
+# Last labels accepted after a spelled " dot " that also occurs in prose; country codes, then others.
+TOP_LEVELS = frozenset((
+    "ac ad ae af ag ai al am ao aq ar at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ch ci "
+    "ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm dz ec ee eg er es et eu fi fj fk fm fo fr ga gd ge gf gg gh gi gl gm "
+    "gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc "
+    "li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz "
+    "om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sk sl sm sn sr ss st su sv sx sy sz "
+    "tc td tf tg th tj tk tl tm tn tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw "
+    "com org net edu gov mil int info biz dev app xyz online site tech store cloud shop club blog mobi pro name email").split())
 _mixed = re.compile(r"(?<![A-Za-z0-9])\+?[0-9OoIl](?:[ ().-]{0,2}[0-9OoIl]){9,}(?![A-Za-z0-9])")
 _mixed_trigger = re.compile(r"[0-9][ ().-]{0,2}[OoIl]")
 _brackets = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]", re.IGNORECASE)
@@ -208,10 +221,37 @@ def _address_edits(text: str):
     return sorted(out)
 
 
-def _spaced_edits(text: str):
-    return [(p.start(), p.end(), "@" if p.group(1).lower() == "at" else ".")
-            for m in _spaced.finditer(text) if re.split(r"[\s.]+", m.group())[-1].lower() in TOP_LEVELS
-            for p in _spaced_part.finditer(text, m.start(), m.end())]
+def _domain_end(text: str, m: re.Match, explicit: bool) -> int:
+    """Where the address's domain ends: its longest part that is one; 0 if there is none."""
+    begin = m.end("at")
+    dots = list(_domain_dot.finditer(text, begin, m.end()))
+    for k in range(len(dots), 0, -1):
+        end = dots[k].start() if k < len(dots) else m.end()
+        plain = [d.group() == "." for d in dots[:k]]
+        spelled = [d.group().strip().lower() == "dot" for d in dots[:k]]
+        known = text[dots[k - 1].end():end].lower() in TOP_LEVELS
+        if explicit:  # any label, unless words go on after a domain that is one already
+            good = known or not (any(plain) and any(spelled[plain.index(True):]))
+        else:  # "name at host.tld" is prose
+            disguised = not all(plain) or _hidden_dot.search(text, m.start(), m.start("at"))
+            good = disguised and (known or not (spelled[-1] or plain[-1]))
+        if good:
+            return end
+    return 0
+
+
+def _disguise_edits(text: str):
+    """Addresses whose "@" and dots are each plain, bracketed or spelled."""
+    out, past = [], 0
+    while m := _address.search(text, past):
+        at = m.group("at")
+        end = _domain_end(text, m, at.strip().lower() != "at")
+        whole = [(m.start("at"), m.end("at"), "@")] if at != "@" else []
+        whole += [(d.start(), d.end(), ".") for d in _hidden_dot.finditer(text, m.end("at"), end)] if end else []
+        past = end or m.end("at")
+        if end and whole:  # a plain address takes no words before it
+            out += whole + [(d.start(), d.end(), ".") for d in _hidden_dot.finditer(text, m.start(), m.start("at"))]
+    return sorted(out)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -219,10 +259,11 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     low = text.lower()
     strange = not text.isascii() and _strange.search(text)
     steps = [(strange, _character_edits)]
-    steps.append((strange or _some_spelled.search(" " + low), _spelled_edits))
+    steps.append((strange or (_some_spelled.search(" " + low) and _run.search(text)), _spelled_edits))
     steps.append((strange or _mixed_trigger.search(text), _mixed_edits))
-    steps.append((strange or _brackets.search(text), _address_edits))
-    steps.append((strange or (" dot" in low or "\tdot" in low or "\ndot" in low), _spaced_edits))
+    brackets = _brackets.search(text)
+    steps.append((strange or brackets or _dot_word.search(text), _disguise_edits))
+    steps.append((strange or brackets, _address_edits))
     if not any(wanted for wanted, _ in steps):
         return []
     work, changed = Rewrite(text), False

@@ -63,6 +63,23 @@ def test_clean_texts_gain_nothing(text):
     assert pii.added_spans(text, pii.base_spans(text)) == []
 
 
+@pytest.mark.parametrize(("found", "kind"), [
+    ("john (at) example dot com", "email"), ("john at example [dot] com", "email"), ("john@example dot com", "email"),
+    ("john (at) example dot museum", "email"), ("john at example dot dev", "email"), ("john dot smith at example.com", "email"),
+    ("john dot smith (at) mail dot example.com", "email"), ("john@mail.example dot com", "email"),
+    ("plus 4 four 2 zero 7 nine 4 six 0 one 2", "phone")])
+def test_mixed_disguises(found, kind):
+    text = f"call or write: {found}, now"
+    assert (kind, found, False) in [(pii.KINDS[k], text[s:e], base) for k, s, e, base in pii.spans_of(text)]
+
+
+@pytest.mark.parametrize("text", [
+    "visit us at example.com today", "write to jo@ex.com dot the end", "the dot jo@ex.com is plain", "we met at noon dot nothing else",
+    "one 2 three 4 dot", "at one dot two"])
+def test_prose_gains_nothing(text):
+    assert pii.added_spans(text, pii.base_spans(text)) == []
+
+
 def test_base_spans_stay():
     text = "jo@ex.com and jо@ex.com, 4111 1111 1111 1111 and four" + " one" * 15
     spans = pii.spans_of(text)
