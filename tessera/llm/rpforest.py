@@ -7,8 +7,11 @@ The upper levels are fitted on a bounded sample (at most ``SAMPLE`` vectors a
 tree and round, thresholds only), and every vector is routed through them; a
 group that is still larger than ``GROUP`` gets another round. Below that, a task
 holds one group and goes on splitting by its exact medians down to ``LEAF``
-vectors. A node whose vectors are mostly near each other is not split further
-but compared whole, so dense clusters lose no links.
+vectors. A node of which a tenth of the (sampled) pairs are links is not split
+further but compared whole, on the upper levels in pairs of parts of ``TARGET``
+vectors over several tasks; its comparisons are about ten times its links at
+most. A table that is dense as a whole is compared once, without trees. A group
+that is a small share of a large table is still cut on its way down.
 
 All pairs of a leaf are compared by the exact double-precision cosine; pairs at
 or above the threshold are links, and connected links are components.
@@ -35,6 +38,8 @@ SAMPLE = 16_384
 GROUP = 20_000
 TARGET = 4_000
 LEAF = 200
+#: Sampled vectors that a node is judged dense by, at least.
+DENSE_LEAST = 8
 SEED = 11
 
 
@@ -73,8 +78,12 @@ def _edges(projected: np.ndarray) -> tuple[float, float]:
     return float(lo), float(hi)
 
 
-def fit_upper(sample: np.ndarray, tree: int, round_: int, depth: int) -> list[np.ndarray]:
-    """Bands of every node of the first ``depth`` levels (level l has 2^l nodes)."""
+def fit_upper(sample: np.ndarray, tree: int, round_: int, depth: int, threshold: float) -> list[np.ndarray]:
+    """Bands of every node of the first ``depth`` levels (level l has 2^l nodes).
+
+    A dense node has the band (inf, inf), and so have the nodes below it: all its vectors go left, none is parted.
+    """
+    rng = np.random.default_rng([SEED, tree, round_])
     node, at, bands = np.zeros(len(sample), np.int64), np.arange(len(sample)), []
     for level in range(depth):
         projected = sample[at] @ _direction(tree, round_, level, sample.shape[1])
@@ -82,8 +91,11 @@ def fit_upper(sample: np.ndarray, tree: int, round_: int, depth: int) -> list[np
         order = np.argsort(node, kind="stable")
         edges = np.searchsorted(node[order], np.arange((1 << level) + 1))
         for k in range(1 << level):
-            if edges[k + 1] > edges[k]:
-                band[k] = _edges(projected[order[edges[k]:edges[k + 1]]])
+            mine = order[edges[k]:edges[k + 1]]
+            if (level and np.isinf(bands[-1][k // 2, 0])) or (len(mine) >= DENSE_LEAST and _dense(sample[at[mine]], threshold, rng)):
+                band[k] = np.inf
+            elif len(mine):
+                band[k] = _edges(projected[mine])
         bands.append(band)
         left, right = projected <= band[node, 1], projected >= band[node, 0]
         node, at = np.concatenate([2 * node[left], 2 * node[right] + 1]), np.concatenate([at[left], at[right]])
@@ -140,8 +152,10 @@ def split_and_compare(unit: np.ndarray, threshold: float, seed) -> tuple[np.ndar
     return key // len(unit), key % len(unit)
 
 
-def _descend(rows: DataFrame, round_: int, depths: dict[tuple[int, int, int], tuple[int, float]]) -> DataFrame:
-    """Route the rows of the groups in ``depths`` ((tree, dim, node) -> (levels, sample share)) further down."""
+def _descend(rows: DataFrame, round_: int, depths: dict[tuple[int, int, int], tuple[int, float]],
+             threshold: float) -> tuple[DataFrame, set[tuple[int, int, int]]]:
+    """Route the rows of the groups in ``depths`` ((tree, dim, node) -> (levels, sample share)) further
+    down. Returns them and the dense nodes, which no round may split."""
     names = ["tree", "dim", "node"]
     spark = rows.sparkSession
     plan = spark.createDataFrame([(*k, share) for k, (_, share) in depths.items()],
@@ -152,7 +166,7 @@ def _descend(rows: DataFrame, round_: int, depths: dict[tuple[int, int, int], tu
 
     def fit(table: pa.Table) -> pa.Table:
         key = tuple(table.column(c)[0].as_py() for c in names)
-        bands = fit_upper(_unit(table.column("vector")), key[0], round_, depths[key][0])
+        bands = fit_upper(_unit(table.column("vector")), key[0], round_, depths[key][0], threshold)
         return pa.table({c: pa.array([v], t) for c, v, t in zip(names, key, [pa.int32(), pa.int32(), pa.int64()], strict=True)}
                         | {"bands": pa.array([np.concatenate(bands).tobytes()], pa.binary())})
 
@@ -162,6 +176,8 @@ def _descend(rows: DataFrame, round_: int, depths: dict[tuple[int, int, int], tu
         flat = np.frombuffer(r["bands"], np.float64).reshape(-1, 2)
         levels = int(np.log2(len(flat) + 1))
         trees[r["tree"], r["dim"], r["node"]] = [flat[(1 << k) - 1:(1 << (k + 1)) - 1] for k in range(levels)]
+    dense = {(t, d, (node << len(bands)) + 2 * int(k)) for (t, d, node), bands in trees.items()
+             for k in np.flatnonzero(np.isinf(bands[-1][:, 0]))}
     shared = spark.sparkContext.broadcast(trees)
 
     def down(batches):
@@ -181,25 +197,75 @@ def _descend(rows: DataFrame, round_: int, depths: dict[tuple[int, int, int], tu
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(node), part.column(3), part.column(4)],
                                                  ["tree", "dim", "node", "cid", "vector"])
 
-    return rows.mapInArrow(down, "tree int, dim int, node long, cid long, vector binary")
+    return rows.mapInArrow(down, "tree int, dim int, node long, cid long, vector binary"), dense
+
+
+def _dense_table(classes: DataFrame, dim: int, n: int, threshold: float) -> bool:
+    """Whether a tenth of the pairs of about 512 vectors of one dimension are links."""
+    drawn = F.pmod(F.xxhash64("cid", F.lit("dense")), F.lit(1 << 30)) < int(min(1.0, 512 / n) * (1 << 30))
+    some = classes.where(F.col("dim") == dim).where(drawn).select("vector").limit(1024).toArrow()
+    if some.num_rows < DENSE_LEAST:
+        return False
+    unit = _unit(some.column("vector"))
+    return (unit @ unit.T >= threshold).sum() - len(unit) >= 0.1 * len(unit) * (len(unit) - 1)
+
+
+def _compare_parts(rows: DataFrame, whole: dict[tuple[int, int, int], int], threshold: float) -> DataFrame:
+    """All links of the nodes in ``whole`` ((tree, dim, node) -> vectors). A task holds two parts of a node."""
+    keys = ["tree", "dim", "node"]
+    plan = rows.sparkSession.createDataFrame([(*k, -(-n // TARGET)) for k, n in whole.items()],
+                                             "tree int, dim int, node long, parts int")
+    part = F.pmod(F.xxhash64("cid", F.lit("part")), "parts").cast("int")
+    dealt = rows.join(F.broadcast(plan), keys).withColumn("part", part).select(
+        *keys, "cid", "vector", "part", F.explode(F.expr("sequence(0, parts - 1)")).alias("other"))
+    dealt = dealt.select(*keys, F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "cid", "vector")
+
+    def compare(table: pa.Table) -> pa.Table:
+        cid, unit = table.column("cid").to_numpy(), _unit(table.column("vector"))
+        first = table.column("part").to_numpy() == table.column("p")[0].as_py()
+        if first.all() or not first.any():
+            same = table.column("p")[0].as_py() == table.column("q")[0].as_py()
+            found = list(near_pairs(unit, threshold)) if same else []
+        else:
+            left, right = np.flatnonzero(first), np.flatnonzero(~first)
+            found = []
+            for a in range(0, len(left), 2048):
+                i, j = np.nonzero(unit[left[a:a + 2048]] @ unit[right].T >= threshold)
+                found.append((left[a:a + 2048][i], right[j]))
+        i, j = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*found, strict=True) if found else ([], [])))
+        return pa.table({"a": pa.array(np.minimum(cid[i], cid[j])), "b": pa.array(np.maximum(cid[i], cid[j]))})
+
+    return dealt.groupBy(*keys, "p", "q").applyInArrow(compare, "a long, b long")
 
 
 def links(classes: DataFrame, threshold: float = 0.9, trees: int = TREES) -> DataFrame:
     """Distinct pairs (a, b) of class ids found near each other; ``classes`` has cid, dim and vector."""
     sizes = {r["dim"]: r["n"] for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    whole = {(0, d, 1): n for d, n in sizes.items() if n > GROUP // 2 and _dense_table(classes, d, n, threshold)}
+    once = [d for _, d, _ in whole]
     rows = classes.select(F.explode(F.array(*[F.lit(t) for t in range(trees)])).alias("tree"), "dim",
                           F.lit(1).cast("long").alias("node"), "cid", "vector")
-    large = {(t, d, 1): n for d, n in sizes.items() for t in range(trees) if n > GROUP // 2}
+    rows = rows.where((F.col("tree") == 0) | ~F.col("dim").isin(once)) if once else rows
+    large = {(t, d, 1): n for d, n in sizes.items() for t in range(trees) if n > GROUP // 2 and d not in once}
+    dense = set(whole)
     round_ = 0
     while large:
         depths = {key: (int(np.clip(np.ceil(np.log2(n / TARGET)), 1, 11)), min(1.0, SAMPLE / n)) for key, n in large.items()}
-        rows = written(_descend(rows, round_, depths), "forest")
+        routed, found_dense = _descend(rows, round_, depths, threshold)
+        rows = written(routed, "forest")
+        dense |= found_dense
         counts = rows.groupBy("tree", "dim", "node").agg(F.count("*").alias("n"))
+        if dense:
+            known = rows.sparkSession.createDataFrame(sorted(dense), "tree int, dim int, node long")
+            sized = counts.join(F.broadcast(known), ["tree", "dim", "node"])
+            whole = {(r["tree"], r["dim"], r["node"]): r["n"] for r in sized.collect()}  # at most 2^levels a group and round
+            counts = counts.join(F.broadcast(known), ["tree", "dim", "node"], "left_anti")
         before, large = large, {(r["tree"], r["dim"], r["node"]): r["n"] for r in
                                 counts.where(F.col("n") > GROUP).limit(trees << 11).collect()}
         round_ += 1
         if large and max(large.values()) >= max(before.values()):
-            break  # random directions no longer part them: near copies, compared in one group
+            whole |= large  # random directions no longer part them
+            break
     keys = ["tree", "dim", "node"]
 
     def compare(table: pa.Table) -> pa.Table:
@@ -208,7 +274,13 @@ def links(classes: DataFrame, threshold: float = 0.9, trees: int = TREES) -> Dat
         i, j = split_and_compare(_unit(table.column("vector")), threshold, [SEED, *key])
         return pa.table({"a": pa.array(np.minimum(cid[i], cid[j])), "b": pa.array(np.maximum(cid[i], cid[j]))})
 
-    found = rows.groupBy(*keys).applyInArrow(compare, "a long, b long")
+    split = rows
+    if whole:
+        known = rows.sparkSession.createDataFrame(sorted(whole), "tree int, dim int, node long")
+        split = rows.join(F.broadcast(known), keys, "left_anti")
+    found = split.groupBy(*keys).applyInArrow(compare, "a long, b long")
+    if whole:
+        found = found.unionByName(_compare_parts(rows, whole, threshold))
     return found.where("a < b").distinct()
 
 

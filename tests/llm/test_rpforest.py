@@ -43,6 +43,23 @@ def test_recall_and_components(spark, monkeypatch, group):
     assert all(r.kept == (r.vec_id == r.component_id) for r in out.values())
 
 
+@pytest.mark.parametrize("share", [0.2, 0.5])
+def test_upper_levels_keep_dense_groups(spark, monkeypatch, share):
+    """Depth of a large table by a small TARGET: a group of near copies is not cut on the upper levels."""
+    monkeypatch.setattr(rpforest, "GROUP", 200)
+    monkeypatch.setattr(rpforest, "TARGET", 40)
+    monkeypatch.setattr(rpforest, "LEAF", 20)
+    rng = np.random.default_rng(4)
+    n, m = 3000, int(3000 * share)
+    x = rng.standard_normal((n, 24))
+    x[:m] = x[0] + 0.28 * rng.standard_normal((m, 24))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    out = {r.vec_id: r.n_links for r in rpforest.near_duplicates(df, trees=4).collect()}
+    links, _ = brute(list(range(n)), x)
+    found = np.array([out[i] for i in range(n)])
+    assert (found <= links).all() and found.sum() >= (1.0 if share == 0.5 else 0.95) * links.sum()
+
+
 def test_rows_that_take_no_part(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [1.0, 0.0]), (7, [2.0, 0.0]),
             (8, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (10, [1e200, 1e200]), (11, [1.0, 1.0]), (3, [0.0, 1.0])]
