@@ -150,3 +150,75 @@ def op6_sentencepiece(spark, sf_dir):
     path = tokenizer_path("piece_bpe_32k.model")
     encoded = sentencepieces.encode(read_table(spark, sf_dir, "documents"), path, check=True)
     return encoded.select("doc_id", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "round_trip")
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Leaf, subroot, root and folded proof of every document; a fifth of the ids is tampered with."""
+    from tessera.llm import merkle
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.proofs(docs, tampered=F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+
+
+ORACLES["op11_merkle_manifest"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('s' || source, '') AS src,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS front,
+    coalesce(strlen(text) || ':' || text, '-') AS body,
+    coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS low,
+    xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1),
+        lambda i: [256 + ascii(CAST(doc_id AS VARCHAR)[i]), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda x, y: CASE WHEN y >= 256 THEN xor(x, y - 256)
+                        WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END), 4294967295) AS crc
+  FROM documents
+), leaf AS (
+  SELECT doc_id, src, sha256(front || body) AS leaf,
+         CASE WHEN crc % 5 = 0 THEN sha256(front || low) ELSE sha256(front || body) END AS seen
+  FROM d
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+         count(*) OVER (PARTITION BY src) AS n FROM leaf
+), nodes AS (
+  SELECT 0 AS lvl, src, r, n, leaf AS h FROM ranked
+  UNION ALL
+  SELECT lvl + 1, src, r // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY r)) FROM nodes
+  WHERE n > 1 GROUP BY lvl, src, n, r // 16
+), subroots AS (
+  SELECT src, h, row_number() OVER (ORDER BY src) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1
+), upper AS (
+  SELECT 0 AS lvl, r, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, r // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY r)) FROM upper
+  WHERE n > 1 GROUP BY lvl, n, r // 16
+), side AS (
+  SELECT a.lvl, a.src, a.r, coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r < a.r), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r > a.r), '') AS rt
+  FROM nodes a JOIN nodes b ON a.lvl = b.lvl AND a.src = b.src AND a.r // 16 = b.r // 16
+  WHERE a.n > 1 GROUP BY a.lvl, a.src, a.r
+), upside AS (
+  SELECT a.lvl, a.r, coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r < a.r), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (b.r > a.r), '') AS rt
+  FROM upper a JOIN upper b ON a.lvl = b.lvl AND a.r // 16 = b.r // 16
+  WHERE a.n > 1 GROUP BY a.lvl, a.r
+), path AS (
+  SELECT x.src, x.r, s.lvl, s.l, s.rt FROM ranked x JOIN side s ON s.src = x.src AND s.r = x.r >> (4 * s.lvl)
+  UNION ALL
+  SELECT x.src, x.r, 100 + u.lvl, u.l, u.rt FROM ranked x JOIN subroots t ON t.src = x.src
+  JOIN upside u ON u.r = t.r >> (4 * u.lvl)
+), steps AS (
+  SELECT *, row_number() OVER (PARTITION BY src, r ORDER BY lvl) AS k FROM path
+), fold AS (
+  SELECT src, r, CAST(0 AS BIGINT) AS k, seen AS h FROM ranked
+  UNION ALL
+  SELECT f.src, f.r, s.k, sha256(s.l || f.h || s.rt) FROM fold f JOIN steps s ON s.src = f.src AND s.r = f.r AND s.k = f.k + 1
+), ends AS (
+  SELECT src, r, arg_max(h, k) AS h FROM fold GROUP BY src, r
+), proof AS (
+  SELECT src, r, sha256(string_agg(l || rt, '' ORDER BY k)) AS p FROM steps GROUP BY src, r
+)
+SELECT x.doc_id, x.leaf, t.h AS subroot, u.h AS root, coalesce(p.p, sha256('')) AS proof_sha256, e.h AS folded_root,
+       e.h = u.h AS verified
+FROM ranked x JOIN subroots t ON t.src = x.src JOIN ends e ON e.src = x.src AND e.r = x.r
+JOIN upper u ON u.n = 1 LEFT JOIN proof p ON p.src = x.src AND p.r = x.r
+"""
