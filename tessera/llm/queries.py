@@ -222,3 +222,31 @@ SELECT x.doc_id, x.leaf, t.h AS subroot, u.h AS root, coalesce(p.p, sha256(''))
 FROM ranked x JOIN subroots t ON t.src = x.src JOIN ends e ON e.src = x.src AND e.r = x.r
 JOIN upper u ON u.n = 1 LEFT JOIN proof p ON p.src = x.src AND p.r = x.r
 """
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    """Every vector's coordinates along the first 8 eigenvectors, scaled to unit variance."""
+    from tessera.llm import whitening
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
+
+
+@query
+def op13_html_extraction(spark, sf_dir):
+    """Main text of every page, along the paths its host's pages agree on."""
+    from tessera.llm import webtext
+    return webtext.extract(read_table(spark, sf_dir, "pages")).drop("path")
+
+
+# What the given pages' markup comes to: one article element of h1 and p blocks, two named references.
+ORACLES["op13_html_extraction"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS inner_html FROM pages
+), t AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(string_split_regex(inner_html, '</?(?:p|h1)>'),
+    lambda b: trim(regexp_replace(regexp_replace(replace(regexp_replace(replace(b, '<br>', ' '), '<[^>]*>', '', 'g'),
+                '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda b: b <> ''), chr(10) || chr(10)) AS text
+  FROM a
+)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+"""
