@@ -58,8 +58,9 @@ def leaves(docs: DataFrame, key: str = "source", tampered: Column | None = None)
 def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
     """``rows`` with ``rank`` (from 0, in the order inside the group) and ``n`` (rows of the group). Contiguous
     ranges of the order are numbered apart; a group has one total per range, so no group meets in one task."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     t = range_buckets(rows.withColumn("_uid", F.monotonically_increasing_id())
-                      .withColumn("_ord", F.struct(*order, "_uid")), "_ord")
+                      .withColumn("_ord", F.struct(*order, "_uid")), "_ord", parts)
     totals = t.groupBy("group", "_bucket").agg(F.count(F.lit(1)).alias("m"))
     whole = W.partitionBy("group")
     offsets = totals.select("group", "_bucket", (F.sum("m").over(whole.orderBy("_bucket")) - F.col("m")).alias("before"),
