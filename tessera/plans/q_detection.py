@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import boxes as FB
 from tessera.functions.misc import clean_name
+from tessera.operators import anchors as A
 from tessera.operators import boxes as B
 from tessera.operators import deteval as D
 from tessera.operators import masks as MK
@@ -147,21 +148,12 @@ SELECT height, width, level, CAST(anchor_id AS BIGINT) AS anchor_id,
   round(y1, 6) AS y1, round(x1, 6) AS x1, round(y2, 6) AS y2, round(x2, 6) AS x2 FROM anc"""
 
 
-def anchors_for_shapes(spark, sf_dir):
-    shapes = S.image_sizes(spark, sf_dir).select("height", "width").distinct()
-    out = None
-    # the distinct image shapes are few by nature (one anchor set per shape)
-    for r in shapes.collect():
-        a = B.generate_pyramid_anchors(spark, ANCHOR_SCALES, ANCHOR_RATIOS, (r["height"], r["width"]), ANCHOR_STRIDES)
-        a = a.select(F.lit(r["height"]).alias("height"), F.lit(r["width"]).alias("width"), "*")
-        out = a if out is None else out.unionByName(a)
-    return out
+GRID = A.AnchorGrid(ANCHOR_SCALES, ANCHOR_RATIOS, ANCHOR_STRIDES)
 
 
 @register("pyramid_anchors", _anchor_sql())
 def q_pyramid_anchors(spark, sf_dir):
-    return finish(anchors_for_shapes(spark, sf_dir).select("height", "width", "level", "anchor_id",
-                                                             "y1", "x1", "y2", "x2"))
+    return finish(A.grid_anchors(S.image_sizes(spark, sf_dir).select("height", "width").distinct(), GRID))
 
 
 @register("boxes_from_masks", f"""
@@ -508,11 +500,9 @@ FROM pos JOIN img USING (image_id) JOIN gt g ON g.image_id = pos.image_id AND g.
   JOIN anc a ON a.height = img.height AND a.width = img.width AND a.anchor_id = pos.anchor_id
 UNION ALL SELECT image_id, anchor_id, -1, NULL, NULL, NULL, NULL FROM neg""", headline=True)
 def q_rpn_anchor_targets(spark, sf_dir):
-    anchors = anchors_for_shapes(spark, sf_dir).drop("level")
-    images = S.image_sizes(spark, sf_dir).join(S.gt_boxes(spark, sf_dir).select("image_id").distinct(),
-                                               "image_id", "left_semi")
-    return finish(B.label_anchors(anchors, S.gt_boxes(spark, sf_dir), images, per_image=RPN_PER_IMAGE, seed=RPN_SEED,
-                                  shape=("height", "width")))
+    gt = S.gt_boxes(spark, sf_dir)
+    images = S.image_sizes(spark, sf_dir).join(gt.select("image_id").distinct(), "image_id", "left_semi")
+    return finish(A.label_grid_anchors(GRID, gt, images, per_image=RPN_PER_IMAGE, seed=RPN_SEED))
 
 
 ROIS, ROI_SEED, NEAR = 20, 3, int(20 * 0.9)
