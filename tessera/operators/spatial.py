@@ -1,10 +1,9 @@
-"""Grid-cell spatial joins.
+"""Spatial counts and neighbours.
 
 Spark has no spatial index, and a theta join of zones x points would be a
-nested loop. Every operator here turns the geometry into an EQUI join on a
-grid-cell key (each zone lists the cells it can touch, each point has one
-cell), then applies the exact predicate to the candidates. Only candidates
-that share a cell are ever paired.
+nested loop. Counts in boxes and circles go down a tree of cells that hold
+equally many points (``celltree``); nearest neighbours go down a pyramid of cells.
+Every step is an EQUI join on a cell; only cells on a zone's border pair points.
 """
 
 from __future__ import annotations
@@ -14,118 +13,54 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.geo import EARTH_RADIUS_KM, haversine_km
+from tessera.functions.geo import haversine_km
+from tessera.operators.celltree import CellTree, cell_tree, counts_in_boxes, counts_in_circles
 from tessera.session import cut_lineage
 
-__all__ = ["point_in_box_count", "point_in_box_exists", "zone_attribute_counts", "radius_count", "knn_euclidean",
-           "knn_distances", "knn_stats", "within_distance_of_any", "grid_steps"]
+__all__ = ["point_tree", "point_in_box_count", "point_in_box_exists", "zone_attribute_counts", "radius_count", "knn_euclidean",
+           "knn_distances", "knn_stats", "within_distance_of_any"]
 
 
-def _cell(c, step: float) -> Column:
-    return F.floor(c / F.lit(step)).cast("long")
+def point_tree(points: DataFrame, conditions: dict | None = None) -> CellTree:
+    """Tree of the points for the box operators: all points first, then each named condition. One tree
+    serves any number of them."""
+    return cell_tree(points, {"": F.lit(True), **(conditions or {})})
 
 
-def _explode_range(lo: Column, hi: Column, step: float, name: str) -> Column:
-    return F.explode(F.sequence(_cell(lo, step), _cell(hi, step))).alias(name)
-
-
-def _box_step(zones: DataFrame) -> tuple[float, float]:
-    """Cell size = median zone height / width (one small aggregate)."""
-    r = zones.agg(F.percentile_approx(F.col("lat_tr") - F.col("lat_bl"), 0.5).alias("h"),
-                  F.percentile_approx(F.col("lon_tr") - F.col("lon_bl"), 0.5).alias("w")).first()
-    h = float(r["h"] or 0.0) or 1e-3
-    w = float(r["w"] or 0.0) or 1e-3
-    return h, w
-
-
-def _box_candidates(zones: DataFrame, points: DataFrame, step=None) -> DataFrame:
-    dlat, dlon = step or _box_step(zones)
-    z = zones.select("zone_id", "lat_bl", "lat_tr", "lon_bl", "lon_tr",
-                     _explode_range(F.col("lat_bl"), F.col("lat_tr"), dlat, "ci")) \
-             .select("*", _explode_range(F.col("lon_bl"), F.col("lon_tr"), dlon, "cj"))
-    p = points.withColumns({"ci": _cell(F.col("lat"), dlat), "cj": _cell(F.col("lon"), dlon)})
-    j = z.join(p, ["ci", "cj"], "inner")
-    inside = ((F.col("lat") >= F.col("lat_bl")) & (F.col("lat") <= F.col("lat_tr")) &
-              (F.col("lon") >= F.col("lon_bl")) & (F.col("lon") <= F.col("lon_tr")))
-    return j.filter(inside)
-
-
-def point_in_box_count(zones: DataFrame, points: DataFrame, name: str = "n_points", step=None) -> DataFrame:
+def point_in_box_count(zones: DataFrame, points: DataFrame | CellTree, name: str = "n_points") -> DataFrame:
     """Points with lat_bl <= lat <= lat_tr and lon_bl <= lon <= lon_tr (both ends inclusive);
     0 for zones without points (J9)."""
-    c = _box_candidates(zones, points, step).groupBy("zone_id").agg(F.count(F.lit(1)).alias(name))
-    return zones.select("zone_id").join(c, "zone_id", "left").fillna(0, subset=[name])
+    tree = points if isinstance(points, CellTree) else point_tree(points)
+    return counts_in_boxes(zones, tree, [name, *tree.measures[1:]]).select("zone_id", name)
 
 
-def point_in_box_exists(zones: DataFrame, points: DataFrame, name: str = "has_point", step=None) -> DataFrame:
+def point_in_box_exists(zones: DataFrame, points: DataFrame | CellTree, name: str = "has_point") -> DataFrame:
     """1 when at least one point lies in the zone."""
-    hit = _box_candidates(zones, points, step).select("zone_id").distinct().withColumn(name, F.lit(1))
-    return zones.select("zone_id").join(hit, "zone_id", "left").fillna(0, subset=[name])
+    n = point_in_box_count(zones, points, "_n")
+    return n.select("zone_id", (F.col("_n") > 0).cast("int").alias(name))
 
 
-def zone_attribute_counts(zones: DataFrame, points: DataFrame, conditions: dict, step=None,
-                          total: str = "n_total") -> DataFrame:
+def zone_attribute_counts(zones: DataFrame, points: DataFrame | CellTree, conditions: dict, total: str = "n_total") -> DataFrame:
     """Per zone: number of points and, for each named condition, count and share."""
-    aggs = [F.count(F.lit(1)).alias(total)]
-    aggs += [F.count_if(cond).alias(f"n_{n}") for n, cond in conditions.items()]
-    c = _box_candidates(zones, points, step).groupBy("zone_id").agg(*aggs)
-    out = zones.select("zone_id").join(c, "zone_id", "left")
-    out = out.fillna(0, subset=[total] + [f"n_{n}" for n in conditions])
+    tree = points if isinstance(points, CellTree) else point_tree(points, conditions)
+    out = counts_in_boxes(zones, tree, [total] + [f"n_{n}" for n in conditions])
     return out.withColumns({f"share_{n}": F.try_divide(F.col(f"n_{n}").cast("double"), F.col(total).cast("double"))
                             for n in conditions})
 
 
-def grid_steps(cell_km: float, max_abs_lat: float) -> tuple[float, float]:
-    """Cell sizes in degrees such that any two points more than ``cell_km`` apart in the
-    cell index of either axis are also more than ``cell_km`` apart on the sphere."""
-    dlat = math.degrees(cell_km / EARTH_RADIUS_KM)
-    c = math.cos(math.radians(min(89.0, abs(max_abs_lat) + 0.5)))
-    s = min(1.0, math.sin(cell_km * 1.01 / (2 * EARTH_RADIUS_KM)) / c)
-    dlon = math.degrees(2 * math.asin(s))
-    return dlat, dlon
-
-
-def _max_abs_lat(*frames) -> float:
-    m = 0.0
-    for f in frames:
-        v = f.agg(F.max(F.abs(F.col("lat")))).first()[0]
-        m = max(m, float(v or 0.0))
-    return m
-
-
-def _ring_candidates(centres: DataFrame, points: DataFrame, ring: int, dlat: float, dlon: float, extra=()) -> DataFrame:
-    offs = F.sequence(F.lit(-ring), F.lit(ring))
-    c = centres.select("zone_id", F.col("lat").alias("zlat"), F.col("lon").alias("zlon"),
-                       F.explode(offs).alias("_di")) \
-               .select("*", F.explode(offs).alias("_dj")) \
-               .select("zone_id", "zlat", "zlon",
-                       (_cell(F.col("zlat"), dlat) + F.col("_di")).alias("ci"),
-                       (_cell(F.col("zlon"), dlon) + F.col("_dj")).alias("cj"))
-    p = points.select("point_id", "lat", "lon", *extra, _cell(F.col("lat"), dlat).alias("ci"),
-                      _cell(F.col("lon"), dlon).alias("cj"))
-    j = c.join(p, ["ci", "cj"], "inner")
-    return j.select("zone_id", "point_id", *extra, haversine_km("zlat", "zlon", "lat", "lon").alias("dist"))
-
-
 def radius_count(centres: DataFrame, points: DataFrame, radii_km, prefix: str = "n_within_",
                  class_col: str | None = None, classes=()) -> DataFrame:
     """Points within r km of each centre, for every radius in one pass (J11); 0 if none.
 
     With ``class_col`` every class of the declared list ``classes`` gets its own columns
-    (``<prefix><class>_<radius>``), all counted in the same join."""
-    rmax = max(radii_km)
-    dlat, dlon = grid_steps(rmax, _max_abs_lat(centres, points))
-    extra = [class_col] if class_col else []
-    cand = _ring_candidates(centres, points, 1, dlat, dlon, extra).filter(F.col("dist") <= F.lit(rmax))
-    aggs, names = [], []
-    for r in radii_km:
-        tail = str(r).replace(".", "_")
-        near = F.col("dist") <= F.lit(r)
-        for cls in (classes if class_col else [None]):
-            names.append(f"{prefix}{tail}" if cls is None else f"{prefix}{cls}_{tail}")
-            aggs.append(F.count_if(near if cls is None else near & (F.col(class_col) == F.lit(cls))).alias(names[-1]))
-    agg = cand.groupBy("zone_id").agg(*aggs)
-    return centres.select("zone_id").join(agg, "zone_id", "left").fillna(0, subset=names)
+    (``<prefix><class>_<radius>``), all counted in the same descent."""
+    tails = [str(r).replace(".", "_") for r in radii_km]
+    if class_col:
+        tree = cell_tree(points, {str(c): F.col(class_col) == F.lit(c) for c in classes})
+        names = [[f"{prefix}{c}_{t}" for c in classes] for t in tails]
+    else:
+        tree, names = cell_tree(points, {"n": F.lit(True)}), [[f"{prefix}{t}"] for t in tails]
+    return counts_in_circles(centres, tree, radii_km, names)
 
 
 #: Levels of the cell pyramid that one step of the descent goes down, and its deepest level
@@ -220,10 +155,8 @@ def knn_stats(centres: DataFrame, points: DataFrame, ks=(3, 5, 10), prefix: str
 
 def within_distance_of_any(a: DataFrame, b: DataFrame, d_km: float, name: str = "near_any") -> DataFrame:
     """1 if any row of ``b`` lies within ``d_km`` of the row of ``a``."""
-    dlat, dlon = grid_steps(d_km, _max_abs_lat(a, b))
-    cand = _ring_candidates(a, b, 1, dlat, dlon).filter(F.col("dist") <= F.lit(d_km))
-    hit = cand.select("zone_id").distinct().withColumn(name, F.lit(1))
-    return a.select("zone_id").join(hit, "zone_id", "left").fillna(0, subset=[name])
+    n = counts_in_circles(a, cell_tree(b, {"n": F.lit(True)}), [d_km], [["_n"]])
+    return n.select("zone_id", (F.col("_n") > 0).cast("int").alias(name))
 
 
 def _vector_blocks(df: DataFrame, key: str, vec: str, rows: int) -> DataFrame:

@@ -59,8 +59,9 @@ def q_zone_point_counts(spark, sf_dir):
     z = S.zones(spark, sf_dir, far=FAR)
     p = S.points(spark, sf_dir)
     conds = {n: tag_filter("tags", spec) for n, spec in CLASS_SPECS.items()}
-    counts = G.zone_attribute_counts(z, p, conds)
-    exists = G.point_in_box_exists(z, p)
+    tree = G.point_tree(p, conds)
+    counts = G.zone_attribute_counts(z, tree, conds)
+    exists = G.point_in_box_exists(z, tree)
     return finish(counts.join(exists, "zone_id"))
 
 
@@ -108,7 +109,7 @@ def q_zone_centre_distance(spark, sf_dir):
     return finish(c.select("zone_id", d.alias("dist_centre"), log_root(d).alias("dist_log_root")))
 
 
-CLASSES = [0, 1, 2, 3, 4, 5, 6]
+CLASSES = list(range(10))  # every label of the points
 
 
 @register("zone_class_counts", f"""
@@ -123,8 +124,7 @@ def q_zone_class_counts(spark, sf_dir):
 
 @register("zone_class_knn", f"""
 WITH {GEO_SQL},
-d AS (SELECT zc.zone_id, p.label, p.point_id, {hav('zc.lat', 'zc.lon', 'p.lat', 'p.lon')} AS dist FROM zc, pts p
-      WHERE p.label <= 6),
+d AS (SELECT zc.zone_id, p.label, p.point_id, {hav('zc.lat', 'zc.lon', 'p.lat', 'p.lon')} AS dist FROM zc, pts p),
 r AS (SELECT *, row_number() OVER (PARTITION BY zone_id, label ORDER BY dist, point_id) AS rk FROM d)
 SELECT zone_id, label, round(min(dist), 6) AS knn_min,
   {", ".join(f"round(avg(dist) FILTER (WHERE rk <= {k}), 6) AS knn{k}_mean, round(max(dist) FILTER (WHERE rk <= {k}), 6) AS knn{k}_max, round(stddev_pop(dist) FILTER (WHERE rk <= {k}), 6) AS knn{k}_std" for k in (3, 5))}
