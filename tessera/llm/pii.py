@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -116,11 +117,22 @@ _run = re.compile(rf"(?<![^\W_]){_item}(?:[\s,-]+{_item}){{{MIN_SPELLED - 1},}}"
 _some_spelled = re.compile(rf"[\W_](?:{_word})[\s,-]+(?:{_word}|dot|plus|[0-9])")
 _run_item = re.compile(_item, re.IGNORECASE)
 _strange = re.compile(r"[^\x00-\x9f\xa1-\xac\xae-\xff]|[\xa0\xad]")
-_bracket_at = re.compile(r"\s*(?:\[\s*(?:at|@)\s*\]|\(\s*(?:at|@)\s*\)|\{\s*(?:at|@)\s*\}|<\s*(?:at|@)\s*>)\s*", re.IGNORECASE)
-_bracket_dot = re.compile(r"\s*(?:\[\s*(?:dot|\.)\s*\]|\(\s*(?:dot|\.)\s*\)|\{\s*(?:dot|\.)\s*\}|<\s*(?:dot|\.)\s*>)\s*", re.IGNORECASE)
-_hidden_dot = re.compile(rf"{_bracket_dot.pattern}|\s+dot\s+", re.IGNORECASE)
-_address = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:(?:{_hidden_dot.pattern})[A-Za-z0-9_%+-]+)*"
-                      rf"(?P<at>@|{_bracket_at.pattern}|\s+at\s+)[A-Za-z0-9-]+(?:(?:\.|{_hidden_dot.pattern})[A-Za-z0-9-]+)+", re.IGNORECASE)
+# A run of white space is tried once, from its start; possessive repeats never give back.
+_lead = r"(?:(?<!\s)\s++)?"
+
+
+def _bracketed(words: str) -> str:
+    return "(?:" + "|".join(rf"{o}\s*+(?:{words})\s*+{c}" for o, c in (("\\[", "\\]"), ("\\(", "\\)"), ("\\{", "\\}"), ("<", ">"))) + ")"
+
+
+_bracket_at = re.compile(rf"{_lead}{_bracketed('at|@')}\s*+", re.IGNORECASE)
+_bracket_dot = re.compile(rf"{_lead}{_bracketed('dot|[.]')}\s*+", re.IGNORECASE)
+_hidden_dot = re.compile(rf"{_bracket_dot.pattern}|(?<!\s)\s++dot\s++", re.IGNORECASE)
+# A hidden dot without the white space after it, which may be that before the next one.
+_dot_head = re.compile(rf"{_lead}{_bracketed('dot|[.]')}|(?<!\s)\s++dot(?=\s)", re.IGNORECASE)
+_space = re.compile(r"\s*+")
+_at = re.compile(rf"@|{_bracket_at.pattern}|(?<!\s)\s++at\s++", re.IGNORECASE)
+_domain_chain = re.compile(rf"[A-Za-z0-9-]++(?:(?:\.|{_hidden_dot.pattern})[A-Za-z0-9-]++)+", re.IGNORECASE)
 _domain_dot = re.compile(rf"\.|{_hidden_dot.pattern}", re.IGNORECASE)
 _dot_word = re.compile(r"\sdot\s", re.IGNORECASE)
 # Last labels accepted after a spelled " dot " that also occurs in prose; country codes, then others.
@@ -221,36 +233,63 @@ def _address_edits(text: str):
     return sorted(out)
 
 
-def _domain_end(text: str, m: re.Match, explicit: bool) -> int:
-    """Where the address's domain ends: its longest part that is one; 0 if there is none."""
-    begin = m.end("at")
-    dots = list(_domain_dot.finditer(text, begin, m.end()))
+def _domain_end(text: str, begin: int, end: int, explicit: bool, hidden_before: bool) -> int:
+    """Where the domain in [begin, end) ends: its longest part that is one; 0 if there is none."""
+    dots = list(_domain_dot.finditer(text, begin, end))
+    plain = [d.group() == "." for d in dots]
+    spelled = [d.group().strip().lower() == "dot" for d in dots]
+    first = plain.index(True) if any(plain) else len(dots)
+    after = next((k for k in range(first, len(dots)) if spelled[k]), len(dots))  # first spelled dot after a plain one
+    hidden = plain.index(False) if not all(plain) else len(dots)
     for k in range(len(dots), 0, -1):
-        end = dots[k].start() if k < len(dots) else m.end()
-        plain = [d.group() == "." for d in dots[:k]]
-        spelled = [d.group().strip().lower() == "dot" for d in dots[:k]]
-        known = text[dots[k - 1].end():end].lower() in TOP_LEVELS
+        stop = dots[k].start() if k < len(dots) else end
+        known = text[dots[k - 1].end():stop].lower() in TOP_LEVELS
         if explicit:  # any label, unless words go on after a domain that is one already
-            good = known or not (any(plain) and any(spelled[plain.index(True):]))
+            good = known or after >= k
         else:  # "name at host.tld" is prose
-            disguised = not all(plain) or _hidden_dot.search(text, m.start(), m.start("at"))
-            good = disguised and (known or not (spelled[-1] or plain[-1]))
+            good = (hidden < k or hidden_before) and (known or not (spelled[k - 1] or plain[k - 1]))
         if good:
-            return end
+            return stop
     return 0
 
 
+def _name_start(text: str, end: int, past: int, hidden: dict[int, int]) -> int:
+    """Start of the name that ends at ``end``: words joined by hidden dots, none before ``past``; the first
+    one may hold plain dots. -1 if there is none."""
+    found = -1
+    while True:
+        start, dotted = end, False
+        while start > 0 and text[start - 1] in _local:
+            start -= 1
+            dotted |= text[start] == "."
+            if start < past:
+                return found
+        if start == end:
+            return found
+        found = start
+        if dotted or start not in hidden:
+            return found
+        end = hidden[start]
+
+
 def _disguise_edits(text: str):
-    """Addresses whose "@" and dots are each plain, bracketed or spelled."""
-    out, past = [], 0
-    while m := _address.search(text, past):
-        at = m.group("at")
-        end = _domain_end(text, m, at.strip().lower() != "at")
-        whole = [(m.start("at"), m.end("at"), "@")] if at != "@" else []
-        whole += [(d.start(), d.end(), ".") for d in _hidden_dot.finditer(text, m.end("at"), end)] if end else []
-        past = end or m.end("at")
+    """Addresses whose "@" and dots are each plain, bracketed or spelled, from each "@" outwards."""
+    hidden = {_space.match(text, m.end()).end(): m.start() for m in _dot_head.finditer(text)}
+    out, past, at = [], 0, _at.search(text)
+    while at:
+        start = _name_start(text, at.start(), past, hidden)
+        domain = _domain_chain.match(text, at.end()) if start >= 0 else None
+        if not domain:
+            at = _at.search(text, at.start() + 1)
+            continue
+        before = [(d.start(), d.end(), ".") for d in _hidden_dot.finditer(text, start, at.start())]
+        end = _domain_end(text, at.end(), domain.end(), at.group().strip().lower() != "at", bool(before))
+        whole = [(at.start(), at.end(), "@")] if at.group() != "@" else []
+        whole += [(d.start(), d.end(), ".") for d in _hidden_dot.finditer(text, at.end(), end)] if end else []
         if end and whole:  # a plain address takes no words before it
-            out += whole + [(d.start(), d.end(), ".") for d in _hidden_dot.finditer(text, m.start(), m.start("at"))]
+            out += whole + before
+        past = end or at.end()
+        at = _at.search(text, past)
     return sorted(out)
 
 
@@ -274,7 +313,9 @@ def added_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     if not changed:
         return []
     found = {(kind, work.start[s], work.end[e - 1]) for kind, s, e in base_spans(work.text)}
-    return sorted((k, s, e) for k, s, e in found if not any(k == b and x <= s and e <= y for b, x, y in base))
+    # base spans of a kind do not overlap: the last one that starts no later is the only one that can hold a span
+    last = lambda k, s: base[bisect_right(base, (k, s, len(text))) - 1] if base else (-1, 0, 0)
+    return sorted((k, s, e) for k, s, e in found if not ((b := last(k, s))[0] == k and b[1] <= s and e <= b[2]))
 
 
 def spans_of(text: str | None) -> list[tuple[int, int, int, bool]]:

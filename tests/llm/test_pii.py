@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from helpers import docs_df
@@ -100,3 +101,26 @@ def test_table(spark):
     kept = {r.doc_id: r for r in pii.find(docs_df(spark, rows), keep=("doc_id", "block")).collect()}
     assert kept[2].redacted is None and kept[5].redacted == "[EMAIL]" and kept[1].block == "x"
     assert pii.find(docs_df(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("piece", [" ", "\n", "a dot ", "(at) ", "a@", "a at ", "[dot]", " dot", "( ", "one  ", "a@b.cd ", "1 "])
+def test_any_run_takes_linear_time(piece):
+    """Four times the text takes about four times as long, also with a character that sets off every step."""
+    def seconds(text):
+        start = time.process_time()
+        pii.spans_of(text)
+        return time.process_time() - start
+
+    for before, after in (("", ""), ("x (at) y.de", ""), ("“ x (at) y.de", " q at w dot de")):
+        short, long = (seconds(before + piece * (n // len(piece)) + after) for n in (50_000, 200_000))
+        assert long < 12 * max(short, 0.05), (piece, short, long)
+
+
+def test_chains_and_neighbours():
+    def added(text):
+        return [text[s:e] for _, s, e, base in pii.spans_of(text) if not base]
+
+    assert added("a dot b dot c (at) d dot e dot com") == ["a dot b dot c (at) d dot e dot com"]
+    assert added("x at at y dot de") == ["at at y dot de"]  # the second word is a name
+    assert added("j dot x.y (at) z dot org, k (at) l [dot] org") == ["x.y (at) z dot org", "k (at) l [dot] org"]
+    assert added("a (at) b dot de (at) c dot de") == ["a (at) b dot de"]
