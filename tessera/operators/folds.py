@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.window import hash_int
+
 __all__ = ["train_test_split", "kfold", "stratified_kfold", "hash_fraction"]
 
 
 def hash_fraction(seed: int, key) -> F.Column:
-    """Uniform [0, 1) value from (seed, key)."""
-    k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(F.lit(seed), k), F.lit(1 << 30)).cast("double") / float(1 << 30)
+    """Uniform [0, 1) value from the md5 of (seed, key), which any SQL engine can repeat."""
+    return hash_int(seed, key).cast("double") / float(1 << 28)
 
 
 def train_test_split(df: DataFrame, key: str, test_frac: float, seed: int = 0, name: str = "is_test") -> DataFrame:
@@ -20,8 +21,8 @@ def train_test_split(df: DataFrame, key: str, test_frac: float, seed: int = 0, n
 
 
 def kfold(df: DataFrame, key: str, n: int, seed: int = 0, name: str = "fold") -> DataFrame:
-    """Shuffled k folds: fold = pmod(xxhash64(seed, key), n)."""
-    return df.withColumn(name, F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(n)).cast("int"))
+    """Shuffled k folds: fold = 28 bits of the md5 of (seed, key), modulo n."""
+    return df.withColumn(name, F.pmod(hash_int(seed, key), F.lit(n)).cast("int"))
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, n: int, seed: int = 0, name: str = "fold") -> DataFrame:

@@ -1,9 +1,10 @@
 """Model fitting, validation and ensembling on Spark ML (E4-E22, E24; M10, M11).
 
 Tables in, tables out: every scorer returns ``(key, score)`` rows keyed by the
-entity id, never arrays aligned by position. Loops run on the driver only over
-folds, seeds or grid points (a handful); each step is a distributed fit or
-transform. Randomness comes from hashes of (seed, key).
+entity id, never arrays aligned by position. Ridge and logistic models fit all
+folds, strengths and training shares in the same passes (``linear``); for other
+estimators loops run on the driver over folds, seeds or grid points, each step a
+distributed fit or transform. Randomness comes from hashes of (seed, key).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tessera.operators.folds import hash_fraction, stratified_kfold
 
 __all__ = ["logistic", "ridge", "linear_l1l2", "gbt", "random_forest", "factorization_machine", "score",
-           "oof_scores", "cross_val_score", "grid_search", "validation_curve", "learning_curve", "simple_blend",
+           "oof_scores", "cross_val_score", "grid_metric", "grid_search", "validation_curve", "learning_curve", "simple_blend",
            "average_blend", "concatenate_blend", "stack", "noise_stack", "stack_tables", "feature_importance",
            "class_weights", "truncated_svd", "pca_by_variance", "knn_regress"]
 
@@ -40,19 +41,39 @@ class PerRows:
         return self.make(float(total or 1.0)).fit(df)
 
 
+class Linear(PerRows):
+    """A linear model that can be fitted alone (Spark ML) or, in the validation functions below, for all folds,
+    strengths and training shares in the same passes (``linear.fit_all``). ``strength``: C or alpha."""
+
+    def __init__(self, kind: str, strength: float, features: str, label: str, make, weight: str | None = None):
+        super().__init__(make, weight)
+        self.kind, self.strength, self.features, self.label = kind, float(strength), features, label
+
+    def fit(self, df: DataFrame):
+        if self.kind != "ridge":
+            return super().fit(df)
+        # Spark ML divides a linear model's penalty by the label's standard deviation
+        n, sd = df.agg(F.count(self.label), F.stddev_pop(self.label)).first()
+        return self.make(float(n or 1) / (sd or 1.0)).fit(df)
+
+    def family(self):
+        """Fits of one family can share their passes."""
+        return self.kind, self.features, self.label, self.weight
+
+
 def logistic(C: float, features: str = "features", label: str = "target", weight: str | None = None):
     """L2 logistic regression with the objective C * sum(loss) + ||w||^2 / 2."""
     from pyspark.ml.classification import LogisticRegression
     kw = {"weightCol": weight} if weight else {}
-    return PerRows(lambda n: LogisticRegression(featuresCol=features, labelCol=label, regParam=1.0 / (C * n),
-                                                elasticNetParam=0.0, standardization=False, maxIter=100, **kw), weight)
+    return Linear("logistic", C, features, label, lambda n: LogisticRegression(
+        featuresCol=features, labelCol=label, regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, maxIter=100, **kw), weight)
 
 
 def ridge(alpha: float, features: str = "features", label: str = "target"):
     """||y - Xw||^2 + alpha ||w||^2 (E5)."""
     from pyspark.ml.regression import LinearRegression
-    return PerRows(lambda n: LinearRegression(featuresCol=features, labelCol=label, regParam=alpha / n,
-                                              elasticNetParam=0.0, standardization=False))
+    return Linear("ridge", alpha, features, label, lambda n: LinearRegression(
+        featuresCol=features, labelCol=label, regParam=alpha / n, elasticNetParam=0.0, standardization=False))
 
 
 def linear_l1l2(l1: float, l2: float, features: str = "features", label: str = "target"):
@@ -103,19 +124,71 @@ def score(model, df: DataFrame, key: str, name: str = "score") -> DataFrame:
 
 # ---- validation (E11-E15) ----
 
+def _same_family(ests) -> bool:
+    return all(isinstance(e, Linear) for e in ests) and len({e.family() for e in ests}) == 1
+
+
+def _folds(df: DataFrame, fold: str) -> list:
+    return [r[0] for r in df.select(fold).distinct().orderBy(fold).collect()]
+
+
+def _linear_scores(df: DataFrame, est: Linear, fits, betas, keep, oof: str | None) -> DataFrame:
+    """Rows of ``df`` with the score of every fit (``fit``: its number), or, with ``oof``, of the fits that left
+    out the row's fold. The coefficients are folds x strengths x columns numbers."""
+    from tessera.operators.linear import linear_score
+    models = F.array(*[F.struct(F.lit(k).alias("fit"), F.lit(-1 if f.fold is None else int(f.fold)).alias("f"),
+                                F.lit([float(v) for v in b]).cast("array<double>").alias("b"))
+                       for k, (f, b) in enumerate(zip(fits, betas)) if b is not None])
+    t = df.select(*keep, est.features, *([F.col(oof).alias("_f")] if oof else []), F.explode(models).alias("m"))
+    if oof:
+        t = t.filter(F.col("m.f") == F.col("_f"))
+    return t.select(*keep, F.col("m.fit").alias("fit"), linear_score(est.kind, est.features, F.col("m.b")).alias("score"))
+
+
+def _linear_oof(train: DataFrame, ests: list[Linear], keep, fold: str, shares=None) -> DataFrame:
+    """Out-of-fold scores of linear models of one family, all fitted in the same passes: (keep, fold, model,
+    score), model = place in ``ests``. ``shares``: (share column, its numbers) fits one model per number
+    instead, on the rows of at most that share, and scores those rows only."""
+    from tessera.operators.linear import Fit, fit_all
+    est, folds = ests[0], _folds(train, fold)
+    column, numbers = shares or (None, [0])
+    runs = [(e, s) for e in ests for s in numbers]
+    fits = [Fit(e.strength, f, s) for e, s in runs for f in folds]
+    betas = fit_all(est.kind, train, fits, est.features, est.label, est.weight, fold, column)
+    df = train if column is None else train.withColumn("_share", column)
+    out = _linear_scores(df, est, fits, betas, [*keep, fold, *(["_share"] if shares else [])], fold)
+    out = out.withColumn("model", F.floor(F.col("fit") / len(folds)).cast("int")).drop("fit")
+    if shares:
+        limit = F.array(*[F.lit(int(s)) for _, s in runs])[F.col("model")]
+        out = out.filter(F.col("_share") <= limit).drop("_share")
+    return out
+
+
 def oof_scores(train: DataFrame, test: DataFrame | None, est: Estimator, key: str, fold: str = "fold",
                model_name: str = "model") -> DataFrame:
     """Per fold: fit on the other folds, score the fold and the test set.
-    Returns (key, model, fold, split, score); split is 'oof' or 'test'."""
-    folds = [r[0] for r in train.select(fold).distinct().orderBy(fold).collect()]
-    parts = []
-    for f in folds:
-        m = est.fit(train.filter(F.col(fold) != f))
-        parts.append(score(m, train.filter(F.col(fold) == f), key).select(
-            key, F.lit(model_name).alias("model"), F.lit(f).alias("fold"), F.lit("oof").alias("split"), "score"))
+    Returns (key, model, fold, split, score); split is 'oof' or 'test'. Linear models fit all folds in the
+    same passes, other estimators one fold after the other."""
+    folds = _folds(train, fold)
+    if isinstance(est, Linear):
+        from tessera.operators.linear import Fit, fit_all
+        fits = [Fit(est.strength, f) for f in folds]
+        betas = fit_all(est.kind, train, fits, est.features, est.label, est.weight, fold)
+        parts = [_linear_scores(train, est, fits, betas, [key, fold], fold).withColumn("split", F.lit("oof"))]
         if test is not None:
-            parts.append(score(m, test, key).select(
-                key, F.lit(model_name).alias("model"), F.lit(f).alias("fold"), F.lit("test").alias("split"), "score"))
+            number = F.array(*[F.lit(f) for f in folds])
+            parts.append(_linear_scores(test, est, fits, betas, [key], None).withColumns(
+                {fold: number[F.col("fit")], "split": F.lit("test")}))
+        parts = [p.select(key, F.lit(model_name).alias("model"), F.col(fold).alias("fold"), "split", "score") for p in parts]
+    else:
+        parts = []
+        for f in folds:
+            m = est.fit(train.filter(F.col(fold) != f))
+            parts.append(score(m, train.filter(F.col(fold) == f), key).select(
+                key, F.lit(model_name).alias("model"), F.lit(f).alias("fold"), F.lit("oof").alias("split"), "score"))
+            if test is not None:
+                parts.append(score(m, test, key).select(
+                    key, F.lit(model_name).alias("model"), F.lit(f).alias("fold"), F.lit("test").alias("split"), "score"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -142,6 +215,8 @@ def _metric(df: DataFrame, label: str, metric: str, by):
 def cross_val_score(train: DataFrame, est: Estimator, key: str, label: str = "target", fold: str = "fold",
                     metric: str = "auc") -> DataFrame:
     """Metric per fold plus mean and population std (E12): (fold, metric) rows and summary."""
+    if isinstance(est, Linear) and metric != "kendall":
+        return _metric(_linear_oof(train, [est], [label], fold), label, metric, [fold]).withColumnRenamed(fold, "fold")
     oof = oof_scores(train, None, est, key, fold).join(train.select(key, label), key)
     per = _metric(oof, label, metric, ["fold"])
     return per
@@ -151,15 +226,34 @@ def _summary(per: DataFrame) -> DataFrame:
     return per.agg(F.avg("metric").alias("mean"), F.stddev_pop("metric").alias("std"))
 
 
+def grid_metric(train: DataFrame, ests: list[Linear], label: str = "target", fold: str = "fold", metric: str = "auc",
+                shares=None) -> DataFrame:
+    """(model, fold, metric) of linear models of one family, all fitted in the same passes; model = place in
+    ``ests`` (E12, E13)."""
+    return _metric(_linear_oof(train, ests, [label], fold, shares), label, metric, ["model", fold])
+
+
+def _by_model(train: DataFrame, ests, label: str, fold: str, metric: str, shares=None) -> dict[int, tuple[float, float]]:
+    """Mean and std of the fold metric of every model."""
+    per = grid_metric(train, ests, label, fold, metric, shares)
+    rows = per.groupBy("model").agg(F.avg("metric").alias("mean"), F.stddev_pop("metric").alias("std")).collect()
+    return {r.model: (r["mean"], r["std"]) for r in rows}
+
+
 def grid_search(train: DataFrame, make_est, grid: dict, key: str, label: str = "target", fold: str = "fold",
                 metric: str = "auc", greater_is_better: bool = True) -> DataFrame:
     """Every parameter combination, mean / std of the fold metric; rank 1 = best."""
-    rows = []
     names = list(grid)
-    for combo in itertools.product(*[grid[n] for n in names]):
-        params = dict(zip(names, combo))
-        s = _summary(cross_val_score(train, make_est(**params), key, label, fold, metric)).first()
-        rows.append((str(params), float(s["mean"]), float(s["std"])))
+    combos = [dict(zip(names, combo)) for combo in itertools.product(*[grid[n] for n in names])]
+    ests = [make_est(**params) for params in combos]
+    if _same_family(ests) and metric != "kendall":
+        scored = _by_model(train, ests, label, fold, metric)
+        rows = [(str(params), *scored.get(k, (None, None))) for k, params in enumerate(combos)]
+    else:
+        rows = []
+        for params, est in zip(combos, ests):
+            s = _summary(cross_val_score(train, est, key, label, fold, metric)).first()
+            rows.append((str(params), float(s["mean"]), float(s["std"])))
     spark = train.sparkSession
     out = spark.createDataFrame(rows, "params string, mean_score double, std_score double")
     order = F.desc("mean_score") if greater_is_better else F.asc("mean_score")
@@ -169,24 +263,42 @@ def grid_search(train: DataFrame, make_est, grid: dict, key: str, label: str = "
 def validation_curve(train: DataFrame, make_est, param: str, values, key: str, label: str = "target",
                      fold: str = "fold", metric: str = "auc") -> DataFrame:
     """Train and validation metric for each value of one parameter."""
-    rows = []
-    for v in values:
-        est = make_est(**{param: v})
-        val = _summary(cross_val_score(train, est, key, label, fold, metric)).first()["mean"]
-        m = est.fit(train)
-        tr = _metric(score(m, train, key).join(train.select(key, label), key).withColumn("_g", F.lit(0)),
-                     label, metric, ["_g"]).first()["metric"]
-        rows.append((str(v), float(tr), float(val)))
+    ests = [make_est(**{param: v}) for v in values]
+    if _same_family(ests) and metric != "kendall":
+        from tessera.operators.linear import Fit, fit_all
+        valid = _by_model(train, ests, label, fold, metric)
+        fits = [Fit(e.strength) for e in ests]
+        betas = fit_all(ests[0].kind, train, fits, ests[0].features, ests[0].label, ests[0].weight)
+        own = _metric(_linear_scores(train, ests[0], fits, betas, [label], None), label, metric, ["fit"])
+        own = {r.fit: r.metric for r in own.collect()}
+        rows = [(str(v), own.get(k), valid.get(k, (None,))[0]) for k, v in enumerate(values)]
+    else:
+        rows = []
+        for v, est in zip(values, ests):
+            val = _summary(cross_val_score(train, est, key, label, fold, metric)).first()["mean"]
+            m = est.fit(train)
+            tr = _metric(score(m, train, key).join(train.select(key, label), key).withColumn("_g", F.lit(0)),
+                         label, metric, ["_g"]).first()["metric"]
+            rows.append((str(v), float(tr), float(val)))
     return train.sparkSession.createDataFrame(rows, f"{param} string, train_score double, valid_score double")
 
 
 def learning_curve(train: DataFrame, est: Estimator, sizes, key: str, label: str = "target",
                    fold: str = "fold", metric: str = "auc", seed: int = 0) -> DataFrame:
     """Validation metric when training on a hash-chosen share of the rows."""
-    rows = []
-    for s in sizes:
-        sub = train.filter(hash_fraction(seed, key) < F.lit(float(s)))
-        rows.append((float(s), float(_summary(cross_val_score(sub, est, key, label, fold, metric)).first()["mean"])))
+    place = hash_fraction(seed, key)
+    if isinstance(est, Linear) and metric != "kendall":
+        steps = sorted(set(float(s) for s in sizes))
+        share = F.lit(len(steps))  # beyond every size
+        for k, s in reversed(list(enumerate(steps))):
+            share = F.when(place < F.lit(s), k).otherwise(share)
+        valid = _by_model(train, [est], label, fold, metric, (share, list(range(len(steps)))))
+        rows = [(float(s), valid.get(steps.index(float(s)), (None,))[0]) for s in sizes]
+    else:
+        rows = []
+        for s in sizes:
+            sub = train.filter(place < F.lit(float(s)))
+            rows.append((float(s), float(_summary(cross_val_score(sub, est, key, label, fold, metric)).first()["mean"])))
     return train.sparkSession.createDataFrame(rows, "train_share double, valid_score double")
 
 

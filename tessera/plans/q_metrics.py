@@ -185,8 +185,15 @@ def q_stratified_fold_sizes(spark, sf_dir):
     return f.groupBy("target", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("doc_splits")
+def fold_sql(seed: int, key: str) -> str:
+    """28 bits of the md5 of (seed, key), as ``window.hash_int``."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {key})), 1, 7) AS BIGINT)"
+
+
+@register("doc_splits", f"""
+SELECT doc_id, CAST({fold_sql(239, 'doc_id')} % 10 AS INTEGER) AS fold,
+       CAST({fold_sql(17, 'doc_id')} / 268435456.0 < 0.2 AS INTEGER) AS is_test FROM documents""")
 def q_doc_splits(spark, sf_dir):
-    """Hash folds and hold-out flags: repeatable, no SQL hash equivalent (rows-only check)."""
+    """Hash folds and hold-out flags."""
     d = table(spark, sf_dir, "documents").select("doc_id")
     return train_test_split(kfold(d, "doc_id", 10, seed=239), "doc_id", 0.2, seed=17)

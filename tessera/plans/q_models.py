@@ -10,7 +10,8 @@ from tessera.operators import encode as E
 from tessera.operators import models as MD
 from tessera.operators.aggregate import fold_test_average
 from tessera.operators.folds import kfold, train_test_split
-from tessera.plans.q_text import _doc_numeric
+from tessera.plans.q_metrics import fold_sql
+from tessera.plans.q_text import DOCLAB_SQL, TOKENS_SQL
 from tessera.plans.registry import finish, register
 from tessera.session import cut_lineage, table
 from tessera.sources import standins as S
@@ -20,10 +21,14 @@ FEATURES = ["n_chars", "n_tokens", "n_distinct", "lang_en", "lang_fr", "lang_de"
 
 def doc_features(spark, sf_dir):
     """doc_id, target (null = test), numeric features, assembled vector, 5 hash folds."""
-    d = _doc_numeric(spark, sf_dir)
-    nd = S.doc_tokens(spark, sf_dir).groupBy("doc_id").agg(F.countDistinct("token").alias("n_distinct"))
-    lang = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    d = d.join(nd, "doc_id", "left").fillna(0, subset=["n_distinct"]).join(lang, "doc_id")
+    # tokens are counted inside their document's row: no shuffle of tokens
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda t: F.length(t) > 0)
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", words.alias("w"))
+    d = d.select("doc_id", "n_chars", "lang", F.coalesce(F.size("w"), F.lit(0)).alias("n_tokens"),
+                 F.coalesce(F.size(F.array_distinct("w")), F.lit(0)).alias("n_distinct"))
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
+    # read by the scaling's statistics and by what follows
+    d = cut_lineage(d.join(lab, "doc_id", "left"))
     d = E.one_hot(d, "lang", ["en", "fr", "de", "es"])
     d = d.withColumns({c: F.col(c).cast("double") for c in FEATURES})
     train = d.filter(F.col("target").isNotNull())
@@ -49,6 +54,56 @@ def q_doc_logistic_cv(spark, sf_dir):
     return finish(per)
 
 
+def _ridge_sql(alphas, folds: int, seed: int) -> str:
+    """AUC per fold of ridge by normal equations: one matrix of products per fold, Gauss-Jordan elimination as a
+    recursion over the columns, then ranks with mean ties."""
+    d = len(FEATURES)
+    one_hot = ", ".join(f"CAST(lang = '{v}' AS DOUBLE)" for v in ("en", "fr", "de", "es"))
+    scaled = ", ".join(f"({c} - m.{c[0]}{c[2]}_m) / CASE WHEN m.{c[0]}{c[2]}_s = 0 THEN 1 ELSE m.{c[0]}{c[2]}_s END" for c in FEATURES[:3])
+    stats = ", ".join(f"avg({c}) AS {c[0]}{c[2]}_m, stddev_pop({c}) AS {c[0]}{c[2]}_s" for c in FEATURES[:3])
+    return f"""
+WITH RECURSIVE {TOKENS_SQL}, {DOCLAB_SQL},
+nt AS (SELECT doc_id, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct FROM toks GROUP BY doc_id),
+d AS (SELECT documents.doc_id, n_chars, coalesce(n_tokens, 0) AS n_tokens, coalesce(n_distinct, 0) AS n_distinct, lang, dl.target,
+        {fold_sql(seed, 'documents.doc_id')} % {folds} AS fold
+      FROM documents LEFT JOIN nt USING (doc_id) LEFT JOIN dl USING (doc_id) WHERE dl.target IS NOT NULL),
+m AS (SELECT {stats} FROM d),
+x AS (SELECT doc_id, fold, CAST(target AS DOUBLE) AS y, [{scaled}, {one_hot}, 1.0] AS v FROM d, m),
+e AS (SELECT doc_id, fold, unnest(list_append(v, y)) AS c, unnest(range(1, {d + 3})) AS i FROM x),
+g AS (SELECT f.fold, a.i, b.i AS j, sum(a.c * b.c) AS s FROM e a JOIN e b USING (doc_id)
+      JOIN (SELECT DISTINCT fold FROM d) f ON f.fold <> a.fold WHERE a.i <= {d + 1} GROUP BY 1, 2, 3),
+al AS (SELECT CAST(unnest([{', '.join(str(float(a)) for a in alphas)}]) AS DOUBLE) AS alpha),
+r AS (SELECT alpha, fold, i, list(s + CASE WHEN i = j AND i <= {d} THEN alpha ELSE 0 END ORDER BY j) AS row FROM g, al GROUP BY 1, 2, 3),
+mat AS (SELECT alpha, fold, list(row ORDER BY i) AS a FROM r GROUP BY 1, 2),
+elim AS (
+  SELECT alpha, fold, 1 AS k, a FROM mat
+  UNION ALL
+  SELECT alpha, fold, k + 1, list_transform(range(1, {d + 2}), lambda i: list_transform(range(1, {d + 3}), lambda j:
+    CASE WHEN i = k THEN a[k][j] / a[k][k] ELSE a[i][j] - a[i][k] * a[k][j] / a[k][k] END))
+  FROM elim WHERE k <= {d + 1}),
+beta AS (SELECT alpha, fold, list_transform(a, lambda row: row[{d + 2}]) AS b FROM elim WHERE k = {d + 2}),
+sc AS (SELECT alpha, x.fold, y, list_sum(list_transform(range(1, {d + 2}), lambda i: v[i] * b[i])) AS s
+       FROM x JOIN beta ON x.fold = beta.fold),
+rk AS (SELECT alpha, fold, y, rank() OVER (PARTITION BY alpha, fold ORDER BY s)
+         + (count(*) OVER (PARTITION BY alpha, fold, s) - 1) / 2.0 AS rk FROM sc)
+SELECT alpha, CAST(fold AS INTEGER) AS fold,
+  round((sum(rk) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * (count(*) - sum(y))), 6) AS auc
+FROM rk GROUP BY 1, 2"""
+
+
+RIDGE_ALPHAS, RIDGE_FOLDS, RIDGE_SEED = (0.1, 1.0, 100.0), 3, 7
+
+
+@register("doc_ridge_grid", _ridge_sql(RIDGE_ALPHAS, RIDGE_FOLDS, RIDGE_SEED))
+def q_doc_ridge_grid(spark, sf_dir):
+    """Ridge for every penalty and fold from one pass over the rows: AUC per penalty and fold."""
+    tr, _ = _split(spark, sf_dir)
+    tr = kfold(tr.drop("fold"), "doc_id", RIDGE_FOLDS, seed=RIDGE_SEED)
+    per = MD.grid_metric(tr, [MD.ridge(a) for a in RIDGE_ALPHAS], "target", "fold")
+    alpha = F.array(*[F.lit(a) for a in RIDGE_ALPHAS])[F.col("model")]
+    return finish(per.select(alpha.alias("alpha"), "fold", F.col("metric").alias("auc")))
+
+
 @register("doc_model_zoo")
 def q_doc_model_zoo(spark, sf_dir):
     """Ridge, L1+L2 linear, boosted trees, forest, factorisation machine: 3-fold AUC
