@@ -17,6 +17,9 @@ __all__ = ["with_maps", "explode_counters", "distinct_map_keys", "map_value_sum"
            "merge_maps_sum", "merge_maps_last", "binarise", "max_merged_value", "support_filter",
            "global_key_totals", "top_keys_by_test_mass", "distinct_flags_count", "key_tokens"]
 
+#: Longest list of keys that is broadcast; some 100 bytes a key.
+BROADCAST_KEYS = 100_000
+
 
 def with_maps(df: DataFrame, srcs) -> DataFrame:
     """Parse each JSON counter column in place (text -> map<string,bigint>)."""
@@ -106,11 +109,11 @@ def global_key_totals(df: DataFrame, srcs) -> DataFrame:
 def top_keys_by_test_mass(long: DataFrame, labels: DataFrame, key: str, n: int,
                           label: str = "target") -> DataFrame:
     """The n keys with the largest value sum over test users (A22), then the long table
-    restricted to them. Ties broken by key; the top-n list is a bounded broadcast."""
+    restricted to them. Ties broken by key; a list of up to BROADCAST_KEYS keys is broadcast."""
     test_users = labels.filter(F.col(label).isNull()).select(key)
     mass = long.join(test_users, key, "left_semi").groupBy("src", "key").agg(F.sum("value").alias("mass"))
     top = mass.orderBy(F.desc("mass"), "src", "key").limit(n).select("src", "key")
-    return long.join(F.broadcast(top), ["src", "key"], "left_semi")
+    return long.join(F.broadcast(top) if n <= BROADCAST_KEYS else top, ["src", "key"], "left_semi")
 
 
 def distinct_flags_count(cols) -> Column:

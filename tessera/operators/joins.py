@@ -64,8 +64,8 @@ def anti_by_keys(df: DataFrame, keys: DataFrame, key) -> DataFrame:
 
 
 def class_map_join(df: DataFrame, registry: DataFrame, direction: str = "to_internal") -> DataFrame:
-    """(source, source_class_id) <-> internal class_id (J17). The registry is a bounded dimension."""
-    reg = F.broadcast(registry)
+    """(source, source_class_id) <-> internal class_id (J17). Adaptive execution broadcasts the registry by its size."""
+    reg = registry
     if direction == "to_internal":
         return df.join(reg.select("source", "source_class_id", "class_id"),
                        ["source", "source_class_id"], "left")

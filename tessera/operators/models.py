@@ -425,7 +425,7 @@ def class_weights(df: DataFrame, label: str = "target", weights: dict | None = N
     n = df.select(F.count(F.lit(1))).scalar()
     k = cnt.select(F.count(F.lit(1))).scalar()
     w = cnt.select(label, (n / (k * F.col("_nc"))).cast("double").alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
 # ---- reductions (M10, M11) ----
