@@ -160,27 +160,35 @@ def within_distance_of_any(a: DataFrame, b: DataFrame, d_km: float, name: str =
 
 
 def _vector_blocks(df: DataFrame, key: str, vec: str, rows: int) -> DataFrame:
-    """Rows packed as (block, keys, matrix, centre, radius, n): numpy blocks of ``rows`` vectors."""
+    """Rows packed as (block, keys, matrix, centre, radius, n): numpy blocks of ``rows`` vectors of one length.
+    Vectors that are null, empty or hold a null or non-finite component are left out."""
     import numpy as np
     import pyarrow as pa
     from pyspark import TaskContext
     key_type = df.schema[key].dataType.simpleString()
-    src = df.select(F.col(key).alias("key"), F.transform(vec, lambda x: x.cast("double")).alias("v")).filter(
-        F.col("v").isNotNull())
+    src = df.select(F.col(key).alias("key"), F.transform(vec, lambda x: x.cast("double")).alias("v"))
+    whole = F.forall("v", lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(x))
+    src = src.filter(F.col("v").isNotNull() & (F.size("v") > 0) & whole)
 
     def run(batches):
         part, n = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for a in range(0, batch.num_rows, rows):
-                some = batch.slice(a, rows)
-                m = np.array(some.column(1).to_pylist(), dtype=np.float64)
-                centre = m.mean(0)
-                radius = float(np.sqrt(((m - centre) ** 2).sum(1)).max())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part + n]), pa.array([some.column(0).to_pylist()], pa.list_(some.column(0).type)),
-                     pa.array([m.tobytes()], pa.binary()), pa.array([centre.tolist()]), pa.array([radius]), pa.array([len(m)], pa.int32())],
-                    ["block", "keys", "matrix", "centre", "radius", "n"])
-                n += 1
+            keys, lists = batch.column(0), batch.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(sizes) - sizes
+            for d in np.unique(sizes):
+                of_length = np.flatnonzero(sizes == d)
+                for a in range(0, len(of_length), rows):
+                    some = of_length[a:a + rows]
+                    m = flat[starts[some][:, None] + np.arange(d)]
+                    centre = m.mean(0)
+                    radius = float(np.sqrt(((m - centre) ** 2).sum(1)).max())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part + n]), pa.array([keys.take(pa.array(some)).to_pylist()], pa.list_(keys.type)),
+                         pa.array([m.tobytes()], pa.binary()), pa.array([centre.tolist()]), pa.array([radius]), pa.array([len(m)], pa.int32())],
+                        ["block", "keys", "matrix", "centre", "radius", "n"])
+                    n += 1
 
     return cut_lineage(src.mapInArrow(run, f"block long, keys array<{key_type}>, matrix binary, centre array<double>, "
                                            "radius double, n int"))
@@ -194,7 +202,9 @@ def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: st
     blocks is dropped when no query of one can have a k-th neighbour in the other (triangle
     inequality against the smallest radius that surely holds k references). The pairs left are
     compared in numpy, each returning k rows a query. Output: key, ref columns, dist, rank
-    (ties: smaller ``ref_key``, which must be unique)."""
+    (ties: smaller ``ref_key``, which must be unique). Vectors meet those of their own length only; a
+    query without a whole vector (null, empty, or with a null or non-finite component) has no neighbours,
+    and such a reference is nobody's."""
     import numpy as np
     import pyarrow as pa
     q = _vector_blocks(queries, key, vec, min(block_rows, 256))

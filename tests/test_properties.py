@@ -406,3 +406,16 @@ def test_selection_ranks_perfect_separators_first(spark):
     # n4 and n11 are in every document too: three of the 20 keys are undefined and come last
     assert not {"all", "n4", "n11"} & {r.key for r in SEL.select_top_percent(scores, 85).collect()}
     assert SEL.select_top_percent(scores, 85).count() == 17
+
+
+def test_knn_of_null_and_ragged_vectors(spark):
+    """Vectors meet their own length; null, empty and non-finite ones are left out on both sides."""
+    from tessera.operators.models import knn_regress
+    nan, inf = float("nan"), float("inf")
+    train = [(1, [0.0, 0.0], 1.0), (2, [1.0, 0.0], 2.0), (3, [5.0, 5.0, 5.0], 3.0), (4, None, 4.0), (5, [], 5.0), (6, [0.0, None], 6.0),
+             (7, [0.0, nan], 7.0), (8, [0.0, inf], 8.0), (9, [9.0, 9.0], 9.0)]
+    query = [(10, [0.1, 0.0]), (11, [5.0, 5.0, 4.0]), (12, None), (13, [0.0, None]), (14, [1.0, 2.0, 3.0, 4.0]), (15, []), (16, [nan, 0.0])]
+    t = spark.createDataFrame(train, "id long, vec array<double>, target double").coalesce(1)
+    q = spark.createDataFrame(query, "id long, vec array<double>").coalesce(1)
+    got = {r.id: r.prediction for r in knn_regress(t, q, 2, "id").collect()}
+    assert got == {10: 1.5, 11: 3.0}
