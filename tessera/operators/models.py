@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.folds import hash_fraction, stratified_kfold
+from tessera.operators.svd import truncated_svd
 
 __all__ = ["logistic", "ridge", "linear_l1l2", "gbt", "random_forest", "factorization_machine", "score",
            "oof_scores", "cross_val_score", "grid_metric", "grid_search", "validation_curve", "learning_curve", "simple_blend",
@@ -428,28 +429,7 @@ def class_weights(df: DataFrame, label: str = "target", weights: dict | None = N
     return df.join(w, label, "left")
 
 
-# ---- reductions (M10, M11) ----
-
-def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: int, prefix: str = "svd_") -> DataFrame:
-    """Rank-k projection U * S of a sparse matrix given in long form (row, col index, value).
-    Rows are keyed (no positional alignment); components are defined up to sign."""
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-    n_cols = int(long.agg(F.max(col_idx)).first()[0]) + 1
-    from pyspark import StorageLevel
-    from tessera.session import cut_lineage
-    # The eigen solver makes one pass over the rows per iteration: materialise the sparse
-    # rows once (checkpoint, then a recomputable in-memory copy of the vectors).
-    rows = cut_lineage(long.groupBy(row_key).agg(F.collect_list(F.struct(col_idx, value)).alias("_e")))
-    rdd = rows.rdd.map(lambda r: IndexedRow(int(r[0]), Vectors.sparse(
-        n_cols, sorted((int(e[0]), float(e[1])) for e in r[1])))).persist(StorageLevel.MEMORY_AND_DISK)
-    svd = IndexedRowMatrix(rdd).computeSVD(k, computeU=True)
-    s = svd.s.toArray().tolist()
-    spark = long.sparkSession
-    u = spark.createDataFrame(svd.U.rows.map(lambda r: (int(r.index), [float(x) for x in r.vector.toArray()])),
-                              f"{row_key} long, u array<double>")
-    return u.select(row_key, *[(F.col("u")[i] * F.lit(s[i])).alias(f"{prefix}{i}") for i in range(len(s))])
-
+# ---- reductions (M11; M10 is in ``svd``) ----
 
 def pca_by_variance(df: DataFrame, vec: str, variance: float = 0.95, out: str = "pca") -> tuple[DataFrame, int]:
     """Smallest k explaining ``variance`` of the total (M11), then the projection of the centred
