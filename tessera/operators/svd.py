@@ -190,11 +190,14 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
     unit = lambda j: F.pmod(F.xxhash64(F.lit("range"), "id", j), F.lit(1 << 52)) / float(1 << 51) - 1.0
     right = blocks.select(F.explode("cols").alias("id")).distinct().withColumn(
         "vec", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), unit))
+    whole = right.count() <= width  # the range is the whole space: one product is exact
+    if whole:
+        right, width = _orthonormal(cut_lineage(right), width)
     before = None
-    for _ in range(MAX_PASSES):
+    for _ in range(MAX_PASSES if width else 0):
         left = cut_lineage(_product(blocks, right, width))
         s, turn = _turned(left, width)
-        if not len(s):
+        if whole or not len(s):
             break
         if before is not None and len(before) == len(s[:k]) and (np.abs(s[:k] ** 2 - before ** 2) <= SETTLED * s[:k] ** 2).all():
             break
@@ -205,6 +208,9 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
         else:
             basis, rank = _orthonormal(left, width)
             right, width = _orthonormal(cut_lineage(_product(blocks, basis, rank, transposed=True)), rank)
+    if not width:  # no entries
+        return blocks.select(F.explode("rows").alias(row_key)).distinct().select(
+            row_key, *[F.lit(0.0).alias(f"{prefix}{j}") for j in range(k)])
     small = np.zeros((width, k))
     small[:, :len(s[:k])] = turn[:, :k]
     return _times_small(left, small).select(F.col("id").alias(row_key), *[F.col("vec")[j].alias(f"{prefix}{j}") for j in range(k)])
