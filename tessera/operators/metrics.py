@@ -3,18 +3,16 @@
 * ROC AUC (A31): Mann-Whitney form. Rows collapse to (group, score) -> (pos, neg);
   a distributed ordered prefix sum gives the negatives below each score.
 * Kendall tau-b (A33): n0 - n1 - n2 + n3 - 2 * discordant, where the discordant
-  count is a weighted 2-D dominance count computed without emitting pairs (see
-  ``kendall_tau``).
+  count is a weighted inversion count in bounded groups (see ``inversions``).
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ranks import average_rank, bucket_splits, prefix_sums
+from tessera.operators.inversions import DIGIT_BITS, LEAF, discordant_weight, weighted_inversions
+from tessera.operators.ranks import average_rank, prefix_sums
 
 __all__ = ["roc_auc", "auc_by_column", "log_loss", "kendall_tau", "spearman", "weighted_inversions",
            "score_by_model"]
@@ -61,115 +59,24 @@ def spearman(df: DataFrame, a: str, b: str, name: str = "spearman") -> DataFrame
     return r.agg(F.corr("_ra", "_rb").alias(name))
 
 
-def weighted_inversions(b: np.ndarray, w: np.ndarray) -> int:
-    """sum of w_i * w_j over i < j with b_i > b_j, for a sequence already in order.
-
-    Bottom-up merge: at block size s, every element of a right block looks up, by
-    binary search, the weight of larger values in its left neighbour block. All
-    block pairs of a level are searched in one vectorised call (keys are offset by
-    the pair index). O(m log^2 m), numpy only."""
-    n = len(b)
-    if n < 2:
-        return 0
-    _, vals = np.unique(b, return_inverse=True)
-    vals = vals.astype(np.int64)
-    ws = w.astype(np.int64)
-    m = int(vals.max()) + 1
-    idx = np.arange(n, dtype=np.int64)
-    total = 0
-    s = 1
-    while s < n:
-        blk = idx // s
-        pair = blk // 2
-        right = (blk % 2) == 1
-        if right.any():
-            kl = pair[~right] * m + vals[~right]
-            cw = np.concatenate([[0], np.cumsum(ws[~right])])
-            kr = pair[right] * m + vals[right]
-            upto = np.searchsorted(kl, kr, side="right")
-            end = np.searchsorted(kl, pair[right] * m + (m - 1), side="right")
-            above = cw[end] - cw[upto]
-            total += int(np.dot(above, ws[right]))
-        perm = np.lexsort((vals, pair))
-        vals, ws = vals[perm], ws[perm]
-        s *= 2
-    return total
-
-
-def _group_discordant(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["a", "b"], kind="mergesort")
-    d = weighted_inversions(pdf["b"].to_numpy(), pdf["w"].to_numpy())
-    return pd.DataFrame({"d": [d]})
-
-
-def _cross_cells(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Weighted pairs in distinct cells (p < q, s > r) of the bucket histogram."""
-    na, nb = int(pdf["pa"].max()) + 1, int(pdf["pb"].max()) + 1
-    h = np.zeros((na, nb), dtype=np.int64)
-    np.add.at(h, (pdf["pa"].to_numpy(), pdf["pb"].to_numpy()), pdf["w"].to_numpy())
-    # suffix over b-buckets strictly above r, then prefix over a-buckets strictly below q
-    suf = np.cumsum(h[:, ::-1], axis=1)[:, ::-1]
-    suf = np.concatenate([suf[:, 1:], np.zeros((na, 1), dtype=np.int64)], axis=1)
-    pre = np.cumsum(suf, axis=0)
-    pre = np.concatenate([np.zeros((1, nb), dtype=np.int64), pre[:-1]], axis=0)
-    return pd.DataFrame({"d": [int((h * pre).sum())]})
-
-
-def _isolating_splits(df: DataFrame, col: str, n_buckets: int) -> tuple[list[float], set]:
-    """Quantile splits where each split value gets a bucket of its own (heavy values isolated).
-    Returns the split list and the ids of single-value buckets."""
-    base = bucket_splits(df, col, n_buckets)
-    splits, singles = [], set()
-    for v in base:
-        nxt = float(np.nextafter(v, np.inf))
-        if splits and splits[-1] >= v:
-            continue
-        splits.append(v)
-        singles.add(len(splits))  # bucket [v, nextafter(v)) has id = position of v + 1
-        splits.append(nxt)
-    return splits, singles
-
-
 def kendall_tau(df: DataFrame, a: str, b: str, n_buckets: int | None = None, name: str = "tau_b",
-                bucket_rows: int = 1_000_000) -> DataFrame:
+                leaf: int = LEAF, digit_bits: int = DIGIT_BITS) -> DataFrame:
     """Kendall tau-b of two numeric columns, exact, without pairing rows.
 
     S = n0 - n1 - n2 + n3 - 2D with n1, n2, n3 the tied pairs in a, in b and in
     both, and D the pairs with a_i < a_j and b_i > b_j. Rows collapse to distinct
-    (a, b) with weights; a and b are cut into quantile buckets where every split
-    value is a bucket of its own, so a heavy value never makes a big group. Then
-    D = (pairs in different a- AND b-buckets, from the bucket histogram)
-      + (pairs inside one a-bucket) + (pairs inside one b-bucket) - (pairs inside one cell),
-    the last three per group with ``weighted_inversions``. Single-value buckets
-    hold no discordant pair and are skipped. There are as many buckets as hold about
-    ``bucket_rows`` rows each, 64 to 1 024 (the histogram of cells is one small matrix).
+    (a, b) with weights; D is the weighted inversion count of ``inversions``, whose
+    groups hold at most ``leaf`` rows at any size and any skew. ``n_buckets`` lowers
+    ``leaf`` until there are at least so many groups. Null and NaN rows take no part; a column
+    of one value gives null.
     """
-    from pyspark.ml.feature import Bucketizer
     pairs = (df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
              .dropna().groupBy("a", "b").agg(F.count(F.lit(1)).alias("w")))
-    if n_buckets is None:
-        n_buckets = min(1024, max(64, -(-pairs.count() // bucket_rows)))
-    sa, singles_a = _isolating_splits(pairs, "a", n_buckets)
-    sb, singles_b = _isolating_splits(pairs, "b", n_buckets)
-    inf = float("inf")
-    cut = Bucketizer(splits=[-inf] + sa + [inf], inputCol="a", outputCol="pa").transform(pairs)
-    cut = Bucketizer(splits=[-inf] + sb + [inf], inputCol="b", outputCol="pb").transform(cut)
-    cut = cut.withColumns({"pa": F.col("pa").cast("int"), "pb": F.col("pb").cast("int")})
-    out_schema = "d long"
-
-    def within(keys, skip_a: bool, skip_b: bool):
-        x = cut
-        if skip_a and singles_a:
-            x = x.filter(~F.col("pa").isin(list(singles_a)))
-        if skip_b and singles_b:
-            x = x.filter(~F.col("pb").isin(list(singles_b)))
-        return x.groupBy(*keys).applyInPandas(_group_discordant, out_schema).agg(F.sum("d").alias("d"))
-
-    hist = cut.groupBy("pa", "pb").agg(F.sum("w").alias("w"))
-    cross = hist.groupBy(F.lit(0).alias("_g")).applyInPandas(_cross_cells, out_schema)
-    d_a = within(["pa"], True, False)
-    d_b = within(["pb"], False, True)
-    d_c = within(["pa", "pb"], True, True)
+    from tessera.session import cut_lineage
+    pairs = cut_lineage(pairs)
+    if n_buckets is not None:
+        leaf = min(leaf, 1 << (max(1, pairs.count() // n_buckets).bit_length() - 1))
+    disc = discordant_weight(pairs, "a", "b", "w", leaf, digit_bits)
 
     def tied(cols):
         return pairs.groupBy(*cols).agg(F.sum("w").alias("t")).agg(
@@ -178,14 +85,11 @@ def kendall_tau(df: DataFrame, a: str, b: str, n_buckets: int | None = None, nam
     # every part is a one-row aggregate: combine them as scalar subqueries
     row = pairs.agg(F.sum("w").cast("double").alias("n")).select(
         "n", tied(["a"]).scalar().alias("n1"), tied(["b"]).scalar().alias("n2"),
-        tied(["a", "b"]).scalar().alias("n3"), cross.select("d").scalar().alias("dx"),
-        F.coalesce(d_a.scalar(), F.lit(0)).alias("da"), F.coalesce(d_b.scalar(), F.lit(0)).alias("db"),
-        F.coalesce(d_c.scalar(), F.lit(0)).alias("dc"))
+        tied(["a", "b"]).scalar().alias("n3"), F.coalesce(disc.scalar(), F.lit(0)).alias("d"))
     n0 = F.col("n") * (F.col("n") - 1) / 2
-    disc = F.col("dx") + F.col("da") + F.col("db") - F.col("dc")
-    s = n0 - F.col("n1") - F.col("n2") + F.col("n3") - 2 * disc
-    tau = s / F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2")))
-    return row.select(tau.alias(name), disc.cast("long").alias("discordant"), F.col("n").cast("long").alias("n"))
+    s = n0 - F.col("n1") - F.col("n2") + F.col("n3") - 2 * F.col("d").cast("double")
+    tau = F.try_divide(s, F.sqrt((n0 - F.col("n1")) * (n0 - F.col("n2"))))
+    return row.select(tau.alias(name), F.col("d").cast("long").alias("discordant"), F.col("n").cast("long").alias("n"))
 
 
 def score_by_model(df: DataFrame, label: str, cols) -> DataFrame:
