@@ -55,3 +55,35 @@ def test_scores_equal_the_dense_model():
             continue
         assert pred[k] == ["p", "q"][int(total.argmax())]
         assert abs(score[k] - 1 / np.exp(total - total.max()).sum()) < 1e-6
+
+
+def test_slices_of_languages_equal_one_matrix(spark):
+    """Three slices of one language against a single slice of three, rows without a letter and empty tables included."""
+    rows = corpus(random.Random(5), 150) + [(900, None, "xx", "s", 0, "x"), (901, "12", "zz", "s", 0, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    whole = {r.doc_id: r for r in langid.identify(df).collect()}
+    parts = {r.doc_id: r for r in langid.identify(df, slice_langs=1).collect()}
+    assert whole.keys() == parts.keys()
+    assert {r.lang_pred for r in whole.values()} == {"xx", "yy", "zz", "und"}
+    for k, r in whole.items():
+        assert parts[k].lang_pred == r.lang_pred and abs(parts[k].score - r.score) < 1e-3
+    assert langid.identify(df.limit(0), slice_langs=1).collect() == []
+
+
+def test_more_languages_than_a_slice_holds(spark):
+    """300 label values, 44 of them in a second slice: each word's document gets its own label."""
+    letters = "abcdefghijklmnopqrst"
+    word = [letters[k // 20] + letters[k % 20] + letters[(7 * k + 3) % 20] for k in range(300)]
+    rows = [(4 * k + c, f"{word[k]} {word[k]} {word[k]}", f"l{k:03d}") for k in range(300) for c in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(df).collect()
+    taught = {r.lang for r in df.where(~langid.held_out()).collect()}
+    asked = {r.doc_id: r.lang for r in df.collect() if r.lang in taught}
+    assert len(taught) > 256 and np.mean([r.lang_pred == asked[r.doc_id] for r in got if r.doc_id in asked]) > 0.98
+
+
+def test_merge_keeps_the_earlier_language_on_ties():
+    one = (np.array(["a", None, "a", None], object), np.array([2.0, 0, -900.0, 0]), np.array([1.0, 0, 1.5, 0]))
+    two = (np.array(["b", "b", "b", None], object), np.array([2.0, -5, 0.0, 0]), np.array([1.0, 1, 1.0, 0]))
+    best, top, mass = langid.merged(one, two)
+    assert best.tolist() == ["a", "b", "b", None] and top.tolist() == [2, -5, 0, 0] and mass.tolist() == [2, 1, 1, 0]
