@@ -14,8 +14,9 @@ is one row and the join never multiplies.
 
 Defined results: a null text has no own text (null) and no quotes; a message
 whose quotes match nothing, or that quotes nobody, starts a conversation of its
-own; equal messages: the earliest is answered; rows with equal order are not
-linked to each other; a passage that only holds white space links nothing; other
+own; equal messages: the earliest is answered; rows that repeat thread, order and
+text are copies of one message and all get its links; rows that share thread and
+order but not the text are conversations of their own; a passage that only holds white space links nothing; other
 columns are carried by ``keep``.
 """
 
@@ -30,6 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
+from tessera.operators.ranks import row_number_by_key
 from tessera.session import cut_lineage
 
 _marks = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
@@ -76,9 +78,10 @@ def _keys(level: int, lines: list[str]) -> list[dict]:
 
 
 def parsed(messages: DataFrame, keys: tuple[str, ...], text_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """``keys`` and ``keep`` columns, ``body`` (own text), ``own`` and ``quoted`` (their hashes)."""
+    """``keys`` and ``keep`` columns, ``__said`` (hash of the text), ``body`` (own text), ``own`` and ``quoted`` (their hashes)."""
     carried = list(dict.fromkeys([*keys, *keep]))
-    rows = messages.select(*[F.col(c) for c in carried], F.col(text_col).alias("__text"))
+    said = F.coalesce(F.sha2(F.col(text_col), 256), F.lit("-")).alias("__said")
+    rows = messages.select(*[F.col(c) for c in carried], said, F.col(text_col).alias("__text"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
     def run(batches):
@@ -90,8 +93,8 @@ def parsed(messages: DataFrame, keys: tuple[str, ...], text_col: str, keep: tupl
                 own.append(list({k["key"]: k for k in reversed(_keys(0, mine.split("\n")))}.values()))
                 quoted.append([k for level, lines in passages for k in _keys(level, lines)])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(len(carried))), pa.array(body, pa.string()), pa.array(own, _key_type),
-                 pa.array(quoted, _key_type)], [*carried, "body", "own", "quoted"])
+                [*(batch.column(k) for k in range(len(carried) + 1)), pa.array(body, pa.string()), pa.array(own, _key_type),
+                 pa.array(quoted, _key_type)], [*carried, "__said", "body", "own", "quoted"])
 
     return rows.mapInArrow(run, f"{types}, body string, own array<{_KEY}>, quoted array<{_KEY}>")
 
@@ -117,15 +120,17 @@ def link_replies(messages: DataFrame, thread_col: str = "conv_id", order_col: st
     ``order_col`` (integer) orders the messages of a thread; messages are linked
     within their thread. Returns thread, order, ``keep``, ``parent`` (the order
     number answered, null for a first message), ``root``, ``depth``, ``position``
-    (place in its conversation: every message after the one it answers),
-    ``n_quoted``, and ``body``. A message is known by (thread, order): rows that
-    repeat both, or hold a null in one, are conversations of their own.
+    (place in its conversation: every message after the one it answers, copies
+    next to each other), ``n_quoted``, and ``body``. A message is known by (thread,
+    order): copies (same text) share its links; rows of one (thread, order) with
+    different texts, or with a null in one of both, are conversations of their own.
     """
     rows = written(parsed(messages, (thread_col, order_col), text_col, keep).select(
         F.col(thread_col).alias("thread"), F.col(order_col).cast("long").alias("at"),
-        *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)], "body", "own", "quoted"), "messages")
+        *[F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)], "__said", "body", "own", "quoted"), "messages")
     once = rows.where("thread IS NOT NULL AND at IS NOT NULL").groupBy("thread", "at").agg(
-        F.count("*").alias("n"), F.first("own").alias("own"), F.first("quoted").alias("quoted")).where("n = 1")
+        F.count("*").alias("copies"), F.min("__said").alias("least"), F.max("__said").alias("most"), F.first("own").alias("own"),
+        F.first("quoted").alias("quoted")).where("least = most").drop("least", "most")
     originals = once.select("thread", "at", F.explode("own").alias("k")).groupBy("thread", "k.key").agg(
         F.min("at").alias("any"), F.min(F.when(F.col("k.whole"), F.col("at"))).alias("full"))
     asked = once.select("thread", "at", F.explode("quoted").alias("k")).select("thread", "at", "k.*")
@@ -134,14 +139,15 @@ def link_replies(messages: DataFrame, thread_col: str = "conv_id", order_col: st
     votes = matched.groupBy("thread", "at", "level", "source").agg(F.sum("weight").alias("weight"))
     parent = votes.groupBy("thread", "at").agg(
         F.min_by("source", F.struct("level", -F.col("weight"), "source")).alias("parent"))
-    known = once.select("thread", "at").join(parent, ["thread", "at"], "left")
+    known = once.select("thread", "at", "copies").join(parent, ["thread", "at"], "left")
     trees = _trees(known)
-    linked = written(known.join(trees, ["thread", "at"]), "replies")
-    out = rows.join(linked, ["thread", "at"], "left")
-    place = F.row_number().over(W.partitionBy("thread", "root").orderBy("depth", "at"))
-    numbered = out.where("root IS NOT NULL").withColumn("position", place)
-    alone = out.where("root IS NULL").withColumn("position", F.lit(1))
-    out = numbered.unionByName(alone)
+    above = W.partitionBy("thread", "root").orderBy("depth", "at").rowsBetween(W.unboundedPreceding, -1)
+    linked = written(known.join(trees, ["thread", "at"]).withColumn("before", F.coalesce(F.sum("copies").over(above), F.lit(0))), "replies")
+    out = rows.withColumn("__copy", F.monotonically_increasing_id()).join(linked, ["thread", "at"], "left")
+    single = out.where("copies IS NULL OR copies = 1").withColumn("nth", F.lit(0).cast("long"))
+    # a message may have any number of copies: they are numbered in ranges, not in one window
+    several = row_number_by_key(out.where("copies > 1"), ["thread", "at"], ["__copy"], "nth")
+    out = single.unionByName(several).withColumn("position", (F.coalesce("before", F.lit(0)) + F.col("nth") + 1).cast("int"))
     return out.select(F.col("thread").alias(thread_col), F.col("at").alias(order_col), *[F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)],
                       "parent", F.coalesce("root", "at").alias("root"), F.coalesce("depth", F.lit(0)).alias("depth"), "position",
                       F.size("quoted").alias("n_quoted"), "body")
