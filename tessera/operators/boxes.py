@@ -119,16 +119,22 @@ def boxes_from_runs(runs: DataFrame, height: int, keys=("image_id", "instance_id
     return allk.join(b, k, "left").fillna(0, subset=["y1", "x1", "y2", "x2"])
 
 
+def split_runs(runs: str, height: int) -> Column:
+    """The array of (start, length) cut at column boundaries: an array of (x, y_start, y_end), inclusive."""
+    def columns(r):
+        s, e = r["start"] - 1, r["start"] + r["length"] - 2
+        lo, hi = F.floor(s / height).cast("long"), F.floor(e / height).cast("long")
+        return F.transform(F.sequence(lo, hi), lambda x: F.struct(
+            x.alias("x"), (F.greatest(s, x * height) - x * height).alias("y_start"),
+            (F.least(e, x * height + height - 1) - x * height).alias("y_end")))
+    return F.flatten(F.transform(F.filter(runs, lambda r: r["length"] > 0), columns))
+
+
 def _split_runs_by_column(runs: DataFrame, height: int, keys) -> DataFrame:
     """Column-major runs cut at column boundaries: (keys, x, y_start, y_end) inclusive."""
-    s0 = F.col("start") - 1
-    e0 = F.col("start") - 1 + F.col("length") - 1
-    r = runs.filter(F.col("length") > 0).select(*keys, s0.alias("_s"), e0.alias("_e"))
-    cols = F.sequence(F.floor(F.col("_s") / height).cast("long"), F.floor(F.col("_e") / height).cast("long"))
-    r = r.select("*", F.explode(cols).alias("x"))
-    lo = F.greatest(F.col("_s"), F.col("x") * height)
-    hi = F.least(F.col("_e"), F.col("x") * height + height - 1)
-    return r.select(*keys, "x", (lo - F.col("x") * height).alias("y_start"), (hi - F.col("x") * height).alias("y_end"))
+    if "runs" not in runs.columns:
+        runs = runs.select(*keys, F.array(F.struct("start", "length")).alias("runs"))
+    return runs.select(*keys, F.inline(split_runs("runs", height)))
 
 
 def label_anchors(anchors: DataFrame, gt: DataFrame, images: DataFrame, per_image: int = 256,

@@ -91,9 +91,6 @@ def refine_detections(class_rows: DataFrame, window, min_conf: float = 0.7, nms_
     return top_k_per_group(kept, ["image_id"], "score", max_inst, tie_break=["roi_id"])
 
 
-_PAIR = ["image_id", "pred_id", "gt_id", "score", "pred_class", "gt_class", "iou"]
-
-
 def detection_pairs(pred: DataFrame, gt: DataFrame, cell: int = 32) -> DataFrame:
     """Candidate pairs of overlapping boxes with scores, classes and box IoU."""
     pairs = iou_join(pred.select("image_id", "pred_id", "class_id", "score", "y1", "x1", "y2", "x2"),
@@ -107,11 +104,15 @@ def detection_pairs(pred: DataFrame, gt: DataFrame, cell: int = 32) -> DataFrame
 
 def mask_pairs(pred: DataFrame, gt: DataFrame, pred_runs: DataFrame, gt_runs: DataFrame, height: int) -> DataFrame:
     """Candidate pairs with mask IoU instead of box IoU; runs as in ``masks.mask_iou_join``."""
-    from tessera.operators.masks import mask_iou_join
-    j = mask_iou_join(gt_runs, pred_runs, height).select(
-        "image_id", F.col("a_id").alias("gt_id"), F.col("b_id").alias("pred_id"), "iou")
-    return j.join(pred.select("image_id", "pred_id", "score", F.col("class_id").alias("pred_class")), ["image_id", "pred_id"]) \
-            .join(gt.select("image_id", "gt_id", F.col("class_id").alias("gt_class")), ["image_id", "gt_id"]).select(*_PAIR)
+    from tessera.operators.masks import mask_iou_join, pack_runs
+
+    def labelled(runs, boxes, key, cols):
+        m = pack_runs(runs).withColumnRenamed("instance_id", key)
+        return m.join(boxes.select("image_id", key, *cols), ["image_id", key])
+    j = mask_iou_join(labelled(gt_runs, gt, "gt_id", ["class_id"]), labelled(pred_runs, pred, "pred_id", ["class_id", "score"]),
+                      height, "gt_id", "pred_id", a_cols=("class_id",), b_cols=("class_id", "score"))
+    return j.select("image_id", F.col("b_id").alias("pred_id"), F.col("a_id").alias("gt_id"), F.col("b_score").alias("score"),
+                    F.col("b_class_id").alias("pred_class"), F.col("a_class_id").alias("gt_class"), "iou")
 
 
 def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overlap: float = 0.0,

@@ -1,10 +1,11 @@
 """Pixel-run (mask) operators.
 
-A mask is never a dense array: it is a run table (image_id, instance_id,
-start, length) with column-major 1-based starts (image height H). Every operator
-works on runs or run segments, so rows grow with runs, never with pixels: overlap
-resolution on boundary segments, IoU on column blocks, row-major encoding on interval
-differences of neighbouring columns. ``runs_to_pixels`` is a utility only.
+A mask is never a dense array. It comes as a run table (image_id, instance_id,
+start, length) with column-major 1-based starts (image height H), or packed: one row a
+mask whose column ``runs`` is an array of (start, length). Every operator takes either form;
+a run table is packed by one aggregation, and from then on a row is a mask, or the part of
+a mask in one band of columns, so shuffles and sorts carry masks, never runs or pixels.
+``runs_to_pixels`` is a utility only.
 """
 
 from __future__ import annotations
@@ -12,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.boxes import _split_runs_by_column
+from tessera.operators.boxes import split_runs
 
-__all__ = ["runs_to_pixels", "pixels_to_runs", "run_length_encode", "run_length_decode", "mask_iou_join",
+__all__ = ["once", "pack_runs", "runs_to_pixels", "pixels_to_runs", "run_length_encode", "run_length_decode", "mask_iou_join",
            "resolve_mask_overlaps", "occlude", "run_length_encode_rowmajor", "submission_rle",
            "video_submission", "mask_areas"]
 
@@ -34,104 +35,170 @@ def pixels_to_runs(pixels: DataFrame, keys=("image_id", "instance_id"), pos: str
     return isl.groupBy(*k, "_isl").agg(F.min(pos).alias("start"), F.count(F.lit(1)).alias("length")).drop("_isl")
 
 
-def _merge_runs(runs: DataFrame, keys) -> DataFrame:
-    """Overlapping or touching runs merged into maximal runs (interval gaps and islands)."""
+def once(col):
+    """Evaluated once a row: the optimiser otherwise copies the expression into every filter and
+    lambda that uses it, where it would run again for every element."""
+    return F.when(F.spark_partition_id() >= 0, col)
+
+
+def _islands(df: DataFrame, starts, ends, out: str = "runs") -> DataFrame:
+    """Union of half-open intervals as maximal runs ``out``, all inside the row: with both ends
+    sorted on their own, an island begins at the i-th start that lies beyond the (i-1)-th end
+    and stops at the i-th end that the (i+1)-th start lies beyond."""
+    df = df.withColumns({"_S": once(F.sort_array(starts)), "_E": once(F.sort_array(ends))})
+    first = F.filter("_S", lambda x, i: (i == 0) | (x > F.get("_E", i - 1)))
+    last = F.filter("_E", lambda x, i: (i == F.size("_E") - 1) | (F.get("_S", i + 1) > x))
+    df = df.withColumns({"_F": once(first), "_L": once(last)}).drop("_S", "_E")
+    return df.withColumn(out, once(F.transform("_F", lambda s, i: F.struct(s.alias("start"), (F.get("_L", i) - s).alias("length"))))) \
+             .drop("_F", "_L")
+
+
+def pack_runs(runs: DataFrame, keys=("image_id", "instance_id")) -> DataFrame:
+    """One row a mask: its maximal runs, ascending, in the array ``runs`` (overlapping or touching
+    ones merged). Empty runs are left out, and masks that have no others. Columns of a packed
+    input stay."""
     k = list(keys)
-    end = F.col("start") + F.col("length")
-    w = Window.partitionBy(*k).orderBy("start", "length")
-    prev_end = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    r = runs.filter(F.col("length") > 0).select(*k, "start", "length",
-                                                F.when(F.col("start") <= prev_end, 0).otherwise(1).alias("_new"))
-    r = r.withColumn("_isl", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return r.groupBy(*k, "_isl").agg(F.min("start").alias("start"),
-                                     (F.max(F.col("start") + F.col("length")) - F.min("start")).alias("length")) \
-            .drop("_isl")
+    if "runs" not in runs.columns:
+        runs = runs.filter(F.col("length") > 0).groupBy(*k).agg(F.collect_list(F.struct("start", "length")).alias("runs"))
+    p = runs.withColumn("runs", once(F.filter("runs", lambda r: r["length"] > 0))).filter(F.size("runs") > 0)
+    return _islands(p, F.transform("runs", lambda r: r["start"]), F.transform("runs", lambda r: r["start"] + r["length"]))
+
+
+def _total(col: str):
+    return F.aggregate(col, F.lit(0).cast("long"), lambda n, r: n + r["length"])
 
 
 def run_length_encode(runs: DataFrame, keys=("image_id", "instance_id"), out: str = "rle") -> DataFrame:
     """'start length start length ...' per mask, runs merged and ascending."""
-    k = list(keys)
-    m = _merge_runs(runs, k)
-    g = m.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_r"))
-    return g.select(*k, F.array_join(F.transform("_r", lambda x: F.concat_ws(" ", x["start"], x["length"])), " ")
-                    .alias(out))
+    return pack_runs(runs, keys).select(
+        *keys, F.array_join(F.transform("runs", lambda x: F.concat_ws(" ", x["start"], x["length"])), " ").alias(out))
 
 
-def run_length_decode(df: DataFrame, rle: str, height: int, width: int, keys=("image_id", "instance_id")) -> DataFrame:
+def run_length_decode(df: DataFrame, rle: str, height: int, width: int, keys=("image_id", "instance_id"),
+                      packed: bool = False) -> DataFrame:
     """'s l s l ...' -> run table, with bound checks (W9): a run outside 1..H*W is an error
-    row (valid = 0) instead of silently clipped."""
+    row (valid = 0) instead of silently clipped. ``packed``: one row a mask, its runs with
+    their flags in the array ``runs``."""
     k = list(keys)
-    nums = F.transform(F.split(F.trim(F.col(rle)), r"\s+"), lambda x: x.cast("long"))
-    pairs = F.filter(F.transform(F.sequence(F.lit(0), F.floor((F.size(nums) - 1) / 2).cast("int")),
-                                 lambda i: F.struct(nums[2 * i].alias("start"), nums[2 * i + 1].alias("length"))),
-                     lambda p: p["start"].isNotNull() & p["length"].isNotNull())
-    r = df.select(*k, F.explode(pairs).alias("p")).select(*k, "p.start", "p.length")
-    ok = (F.col("start") >= 1) & (F.col("length") >= 0) & (F.col("start") + F.col("length") - 1 <= height * width)
-    return r.withColumn("valid", ok.cast("int"))
+    nums = df.select(*k, once(F.transform(F.split(F.trim(F.col(rle)), r"\s+"), lambda x: x.cast("long"))).alias("_n"))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor((F.size("_n") - 1) / 2).cast("int")),
+                        lambda i: F.struct(F.get("_n", 2 * i).alias("start"), F.get("_n", 2 * i + 1).alias("length")))
+    pairs = F.filter(pairs, lambda p: p["start"].isNotNull() & p["length"].isNotNull())
+
+    def ok(p):
+        return (p["start"] >= 1) & (p["length"] >= 0) & (p["start"] + p["length"] - 1 <= height * width)
+    r = nums.select(*k, once(F.transform(pairs, lambda p: F.struct(
+        p["start"].alias("start"), p["length"].alias("length"), ok(p).cast("int").alias("valid")))).alias("runs"))
+    return r.filter(F.size("runs") > 0) if packed else r.select(*k, F.inline("runs"))
 
 
 def mask_areas(runs: DataFrame, keys=("image_id", "instance_id")) -> DataFrame:
-    return _merge_runs(runs, keys).groupBy(*keys).agg(F.sum("length").alias("area"))
+    return pack_runs(runs, keys).select(*keys, _total("runs").alias("area"))
+
+
+def _banded(masks: DataFrame, size: int) -> DataFrame:
+    """Packed masks cut at every ``size`` positions: a row for each band ``_b`` that a mask
+    touches, with its runs inside the band as the arrays ``_s`` and ``_e`` (half open, 1-based)."""
+    cols = [c for c in masks.columns if c != "runs"]
+    first, last = F.get("runs", F.lit(0)), F.element_at("runs", -1)
+    bands = F.sequence(F.floor((first["start"] - 1) / size), F.floor((last["start"] + last["length"] - 2) / size))
+    b = masks.select(*cols, "runs", F.explode(bands).alias("_b"))
+    lo, hi = F.col("_b") * size + 1, (F.col("_b") + 1) * size + 1
+    b = b.withColumn("runs", once(F.filter("runs", lambda r: (r["start"] < hi) & (r["start"] + r["length"] > lo)))).filter(F.size("runs") > 0)
+    return b.select(*cols, "_b", F.transform("runs", lambda r: F.greatest(r["start"], lo)).alias("_s"),
+                    F.transform("runs", lambda r: F.least(r["start"] + r["length"], hi)).alias("_e"))
 
 
 def mask_iou_join(a: DataFrame, b: DataFrame, height: int, a_key: str = "instance_id",
-                  b_key: str = "instance_id", block: int = 32) -> DataFrame:
-    """IoU of every overlapping pair of masks of the same image (J16). Runs are cut into
-    (column, 32-pixel block) segments and joined on (image, column, block); a pair of
-    segments is counted only in the block of its overlap start. Masks with no overlap give
-    no pair (IoU 0), an empty side gives no pairs."""
-    def seg(df, key, p):
-        s = _split_runs_by_column(df.select("image_id", F.col(key).alias("_id"), "start", "length"),
-                                  height, ["image_id", "_id"])
-        blocks = F.sequence(F.floor(F.col("y_start") / block).cast("long"), F.floor(F.col("y_end") / block).cast("long"))
-        s = s.select("*", F.explode(blocks).alias("_blk"))
-        return s.select("image_id", "x", "_blk", F.col("_id").alias(f"{p}id"),
-                        F.col("y_start").alias(f"{p}s"), F.col("y_end").alias(f"{p}e"))
-    sa, sb = seg(a, a_key, "a_"), seg(b, b_key, "b_")
-    j = sa.join(sb, ["image_id", "x", "_blk"], "inner")
-    lo = F.greatest("a_s", "b_s")
-    hi = F.least("a_e", "b_e")
-    j = j.filter((hi >= lo) & (F.floor(lo / block) == F.col("_blk")))
-    inter = j.groupBy("image_id", "a_id", "b_id").agg(F.sum(hi - lo + 1).alias("inter"))
-    area_a = mask_areas(a.select("image_id", F.col(a_key).alias("a_id"), "start", "length"), ("image_id", "a_id")) \
-        .withColumnRenamed("area", "area_a")
-    area_b = mask_areas(b.select("image_id", F.col(b_key).alias("b_id"), "start", "length"), ("image_id", "b_id")) \
-        .withColumnRenamed("area", "area_b")
-    out = inter.join(area_a, ["image_id", "a_id"]).join(area_b, ["image_id", "b_id"])
-    return out.select("image_id", "a_id", "b_id", "inter", "area_a", "area_b",
+                  b_key: str = "instance_id", block: int = 32, a_cols=(), b_cols=()) -> DataFrame:
+    """IoU of every overlapping pair of masks of the same image (J16). Masks are cut into bands
+    of ``block`` columns and joined on (image, band); the overlaps of a pair's runs are added up
+    inside the row, then over the bands. Masks with no overlap give no pair (IoU 0), an empty
+    side gives no pairs. ``a_cols``, ``b_cols``: columns of packed masks that go along as a_*, b_*."""
+    def seg(df, key, p, cols):
+        m = pack_runs(df, ["image_id", key]).filter(F.col(key).isNotNull())
+        m = m.select("image_id", F.col(key).alias(f"{p}id"), *[F.col(c).alias(f"{p}{c}") for c in cols],
+                     _total("runs").alias(f"area_{p[0]}"), "runs")
+        return _banded(m, height * block).withColumnsRenamed({"_s": f"{p}s", "_e": f"{p}e"})
+    j = seg(a, a_key, "a_", a_cols).join(seg(b, b_key, "b_", b_cols), ["image_id", "_b"], "inner")
+    j = j.filter((F.get("a_s", F.lit(0)) < F.element_at("b_e", -1)) & (F.get("b_s", F.lit(0)) < F.element_at("a_e", -1)))
+    keys = ["image_id", "a_id", "b_id"]
+    rest = ["area_a", "area_b", *[f"a_{c}" for c in a_cols], *[f"b_{c}" for c in b_cols]]
+    j = j.select(*keys, *rest, once(F.arrays_zip("a_s", "a_e")).alias("_a"), once(F.arrays_zip("b_s", "b_e")).alias("_b"))
+    zero = F.lit(0).cast("long")
+    shared = F.aggregate("_a", zero, lambda n, x: n + F.aggregate(
+        "_b", zero, lambda m, y: m + F.greatest(F.least(x["a_e"], y["b_e"]) - F.greatest(x["a_s"], y["b_s"]), zero)))
+    out = j.select(*keys, *rest, once(shared).alias("inter")).filter("inter > 0") \
+           .groupBy(*keys).agg(F.sum("inter").alias("inter"), *[F.first(c).alias(c) for c in rest])
+    return out.select(*keys, "inter", *rest,
                       (F.col("inter") / (F.col("area_a") + F.col("area_b") - F.col("inter"))).alias("iou"))
 
 
-def resolve_mask_overlaps(runs: DataFrame, scores: DataFrame, prefer: str = "best", tile: int = 128) -> DataFrame:
+def _resolved(runs: DataFrame, scores: DataFrame, prefer: str, tile: int) -> DataFrame:
+    """Packed masks with every position left to one of them (see ``resolve_mask_overlaps``)."""
+    k = ["image_id", "instance_id"]
+    m = pack_runs(runs.select(*k, *[c for c in ("runs", "start", "length") if c in runs.columns]), k)
+    parts = _banded(m.join(scores.select(*k, "score"), k, "inner"), tile)
+    best = prefer == "best"
+    one = F.struct(F.col("score").alias("score"), (-F.col("instance_id") if best else F.col("instance_id")).alias("o"),
+                   F.col("instance_id").alias("id"), F.col("_s").alias("s"), F.col("_e").alias("e"))
+    g = parts.groupBy("image_id", "_b").agg(F.sort_array(F.collect_list(one), asc=not best).alias("_m"))
+    g = g.select("image_id", "_b", *[F.col(f"_m.{c}").alias(c) for c in ("id", "s", "e")])
+    kinds = {f.name: f.dataType.simpleString() for f in m.schema.fields}
+    won = g.mapInArrow(lambda batches: map(_tile_winners, batches),
+                       f"image_id {kinds['image_id']}, instance_id {kinds['instance_id']}, _s array<long>, _l array<long>")
+    won = won.groupBy(*k).agg(F.flatten(F.collect_list("_s")).alias("_s"), F.flatten(F.collect_list("_l")).alias("_l"))
+    won = won.select(*k, once(F.arrays_zip(F.col("_s").alias("start"), F.col("_l").alias("length"))).alias("runs"))
+    return pack_runs(won, k)
+
+
+def _tile_winners(batch):
+    """Rows (image_id, _b, id, s, e) of tiles, masks in their order, to (image_id, id, starts, lengths):
+    the run ends of a tile cut it into segments, and the first mask that covers a segment takes it."""
+    import numpy as np
+    import pyarrow as pa
+    image, _, ids, s, e = batch.columns
+    sizes = np.diff(ids.offsets.to_numpy())
+    s, e, ids = s.flatten(), e.flatten(), ids.flatten()
+    n_masks = len(ids)
+    row = np.repeat(np.arange(len(image)), sizes)  # of each mask
+    mask = np.repeat(np.arange(n_masks), np.diff(s.offsets.to_numpy()))  # of each run
+    s, e = s.flatten().to_numpy(), e.flatten().to_numpy()
+    base = int(s.min(initial=0))
+    step = int(e.max(initial=0)) - base + 1  # rows apart, so that no segment joins two of them
+    at = row[mask] * step - base
+    cuts = np.unique(np.concatenate([at + s, at + e]))
+    i, j = np.searchsorted(cuts, at + s), np.searchsorted(cuts, at + e)
+    n = j - i
+    seg = np.repeat(i, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    owner = np.full(len(cuts), n_masks)
+    np.minimum.at(owner, seg, np.repeat(mask, n))
+    k = np.flatnonzero(owner < n_masks)
+    own, lo, hi = owner[k], cuts[k], cuts[np.minimum(k + 1, len(cuts) - 1)]
+    new = np.ones(len(k), bool)  # a segment that does not go on from the one before
+    new[1:] = (own[1:] != own[:-1]) | (lo[1:] != hi[:-1])
+    first = np.flatnonzero(new)
+    own, lo, hi = own[first], lo[first], hi[np.append(first[1:], len(k))[:len(first)] - 1]
+    order = np.argsort(own, kind="stable")
+    own, lo, hi = own[order], lo[order], hi[order]
+    u, at_u = np.unique(own, return_index=True)
+    offsets = pa.array(np.append(at_u, len(own)).astype("int32"))
+    start = lo - row[own] * step + base
+    return pa.RecordBatch.from_arrays(
+        [image.take(pa.array(row[u])), ids.take(pa.array(u)), pa.ListArray.from_arrays(offsets, pa.array(start)),
+         pa.ListArray.from_arrays(offsets, pa.array(hi - lo))], names=["image_id", "instance_id", "_s", "_l"])
+
+
+def resolve_mask_overlaps(runs: DataFrame, scores: DataFrame, prefer: str = "best", tile: int = 2048) -> DataFrame:
     """Each pixel goes to one instance (W10): the best score wins (ties: smaller id);
     ``prefer='lowest'`` gives the reference's effective behaviour (lowest score wins).
     Returns the resolved run table.
 
-    Works on segments, not pixels: runs are cut at fixed tiles of ``tile`` positions; in
-    each (image, tile) the run ends split the axis into elementary segments, each covered
-    by a fixed set of runs; the winner of a segment is one ``max_by`` over its covering
-    runs, and an instance's won segments merge back into maximal runs. Rows grow with
-    runs, never with pixels."""
-    k = ["image_id", "instance_id"]
-    r = runs.filter(F.col("length") > 0).join(scores.select(*k, "score"), k, "inner")
-    s0, e0 = F.col("start"), F.col("start") + F.col("length")  # [s0, e0), 1-based
-    t = F.explode(F.sequence(F.floor((s0 - 1) / tile), F.floor((e0 - 2) / tile))).alias("_t")
-    pieces = r.select(*k, "score", "start", "length", t).select(
-        *k, "score", "_t",
-        F.greatest(F.col("start"), F.col("_t") * tile + 1).alias("_ps"),
-        F.least(F.col("start") + F.col("length"), (F.col("_t") + 1) * tile + 1).alias("_pe"))
-    cuts = pieces.select("image_id", "_t", F.explode(F.array("_ps", "_pe")).alias("_b")).distinct()
-    w = Window.partitionBy("image_id", "_t").orderBy("_b")  # at most tile + 1 cuts per group
-    segs = cuts.select("image_id", "_t", F.col("_b").alias("_ss"), F.lead("_b").over(w).alias("_se")) \
-               .filter(F.col("_se").isNotNull())
-    cover = segs.join(pieces, ["image_id", "_t"]).filter((F.col("_ps") <= F.col("_ss")) & (F.col("_se") <= F.col("_pe")))
-    if prefer == "best":
-        win = F.max_by("instance_id", F.struct(F.col("score"), -F.col("instance_id")))
-    else:
-        win = F.min_by("instance_id", F.struct(F.col("score"), F.col("instance_id")))
-    won = cover.groupBy("image_id", "_t", "_ss", "_se").agg(win.alias("instance_id"))
-    return _merge_runs(won.select("image_id", "instance_id", F.col("_ss").alias("start"),
-                                  (F.col("_se") - F.col("_ss")).alias("length")), k)
+    Works on segments, not pixels: masks are cut at fixed tiles of ``tile`` positions; in each
+    (image, tile), a row, the run ends split the axis into elementary segments, each covered by a
+    fixed set of masks, and the first of the order takes it; an instance's won segments merge back
+    into maximal runs. Rows grow with masks; a row holds the masks that touch one tile."""
+    return _resolved(runs, scores, prefer, tile).select("image_id", "instance_id", F.inline("runs"))
 
 
 def occlude(runs: DataFrame, z: DataFrame) -> DataFrame:
@@ -139,55 +206,31 @@ def occlude(runs: DataFrame, z: DataFrame) -> DataFrame:
     return resolve_mask_overlaps(runs, z.withColumnRenamed("z", "score"), prefer="best")
 
 
-def _uncovered_rows(seg: DataFrame, k, dx: int) -> DataFrame:
-    """For each column segment (k, x, y_start, y_end), the row intervals it covers that the
-    segments of column x + dx do not: (k, x, u, v) inclusive. Segments of one column are
-    disjoint, so the uncovered parts are the gaps between the overlapping neighbours."""
-    a = seg.select(*k, "x", F.col("y_start").alias("_as"), F.col("y_end").alias("_ae"))
-    nb = seg.select(*k, (F.col("x") - dx).alias("x"), F.col("y_start").alias("_bs"), F.col("y_end").alias("_be"))
-    on = [a[c] == nb[c] for c in [*k, "x"]] + [nb["_bs"] <= a["_ae"], nb["_be"] >= a["_as"]]
-    j = a.join(nb, on, "left").select(a["*"], nb["_bs"], nb["_be"])
-    w = Window.partitionBy(*k, "x", "_as").orderBy("_bs")  # neighbours of one segment: bounded by the height
-    g = j.select(*k, "x", "_as", "_ae", "_bs", "_be",
-                 F.lag("_be").over(w).alias("_prev_be"), F.lead("_bs").over(w).alias("_next_bs"))
-    # gap before each neighbour (from the previous one, or from the segment start) and after the last
-    before = g.select(*k, "x", F.coalesce(F.col("_prev_be") + 1, F.col("_as")).alias("u"),
-                      F.coalesce(F.col("_bs") - 1, F.col("_ae")).alias("v"))
-    after = g.filter(F.col("_bs").isNotNull() & F.col("_next_bs").isNull()) \
-             .select(*k, "x", (F.col("_be") + 1).alias("u"), F.col("_ae").alias("v"))
-    return before.unionByName(after).filter(F.col("u") <= F.col("v"))
-
-
 def run_length_encode_rowmajor(runs: DataFrame, height: int, width: int,
                                keys=("image_id", "instance_id")) -> DataFrame:
     """Row-major 0-based runs 'start count|start count|...' and the pixel count.
     The last run has its full length.
 
-    No pixels: a row-major run starts at (x, y) where column x covers row y and column
-    x - 1 does not, and ends where column x + 1 does not. Those row sets come from interval
-    differences of neighbouring column segments, so rows grow with output runs; the k-th
-    start of a row pairs with its k-th end, and runs touching across a row end merge."""
+    All inside the mask's row: every image row that the mask touches lists the columns of the
+    segments that cover it, in order; neighbours form a run, and runs touching across a row end merge."""
     k = list(keys)
-    seg = _split_runs_by_column(_merge_runs(runs, k), height, k)
-    starts = _uncovered_rows(seg, k, -1).select(*k, F.explode(F.sequence("u", "v")).alias("y"), "x")
-    ends = _uncovered_rows(seg, k, 1).select(*k, F.explode(F.sequence("u", "v")).alias("y"), "x")
-    ws = Window.partitionBy(*k, "y").orderBy("x")  # one image row: bounded by the width
-    starts = starts.select(*k, "y", F.col("x").alias("_xs"), F.row_number().over(ws).alias("_n"))
-    ends = ends.select(*k, "y", F.col("x").alias("_xe"), F.row_number().over(ws).alias("_n"))
-    rr = starts.join(ends, [*k, "y", "_n"]).select(
-        *k, (F.col("y") * width + F.col("_xs")).alias("start"), (F.col("_xe") - F.col("_xs") + 1).alias("length"))
-    r = _merge_runs(rr, k)
-    g = r.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_r"),
-                          F.sum("length").alias("pixel_count"))
-    enc = F.concat(F.array_join(F.transform("_r", lambda s: F.concat_ws(" ", s["start"], s["length"])), "|"), F.lit("|"))
-    return g.select(*k, enc.alias("encoded_pixels"), "pixel_count")
+    p = pack_runs(runs, k).select(*k, once(split_runs("runs", height)).alias("_g"))
+    span = F.sequence(F.array_min(F.transform("_g", lambda s: s["y_start"])), F.array_max(F.transform("_g", lambda s: s["y_end"])))
+    p = p.select(*k, once(F.transform(span, lambda y: F.struct(y.alias("y"), F.sort_array(F.transform(
+        F.filter("_g", lambda s: (s["y_start"] <= y) & (y <= s["y_end"])), lambda s: s["x"])).alias("xs")))).alias("_r"))
+    first = F.flatten(F.transform("_r", lambda r: F.transform(F.filter(
+        r["xs"], lambda x, i: (i == 0) | (x - 1 > F.get(r["xs"], i - 1))), lambda x: r["y"] * width + x)))
+    last = F.flatten(F.transform("_r", lambda r: F.transform(F.filter(
+        r["xs"], lambda x, i: (i == F.size(r["xs"]) - 1) | (x + 1 < F.get(r["xs"], i + 1))), lambda x: r["y"] * width + x + 1)))
+    g = _islands(p, first, last)
+    enc = F.concat(F.array_join(F.transform("runs", lambda s: F.concat_ws(" ", s["start"], s["length"])), "|"), F.lit("|"))
+    return g.select(*k, enc.alias("encoded_pixels"), _total("runs").alias("pixel_count"))
 
 
 def submission_rle(images: DataFrame, runs: DataFrame, scores: DataFrame) -> DataFrame:
     """ImageId, EncodedPixels lines (D15): overlaps resolved by score, one line per instance,
     one empty line for an image without instances."""
-    resolved = resolve_mask_overlaps(runs, scores)
-    enc = run_length_encode(resolved)
+    enc = run_length_encode(_resolved(runs, scores, "best", 2048))
     lines = images.select("image_id").join(enc, "image_id", "left")
     return lines.select(F.col("image_id").alias("ImageId"), "instance_id",
                         F.coalesce(F.col("rle"), F.lit("")).alias("EncodedPixels"))

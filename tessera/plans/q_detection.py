@@ -188,14 +188,14 @@ enc AS (SELECT image_id, instance_id, string_agg(s || ' ' || l, ' ' ORDER BY s)
 WITH {BOX_SQL}, {_RUNS_SQL}, {_rle_sql('runs')}
 SELECT image_id, instance_id, rle FROM enc""")
 def q_mask_rle(spark, sf_dir):
-    return MK.run_length_encode(S.mask_runs(spark, sf_dir))
+    return MK.run_length_encode(S.masks(spark, sf_dir))
 
 
 @register("mask_iou_pairs", f"""
 WITH {BOX_SQL}, {PAIRS_SQL}
 SELECT image_id, gt_id AS a_id, pred_id AS b_id, round(iou, 6) AS iou FROM pairs""")
 def q_mask_iou_pairs(spark, sf_dir):
-    j = MK.mask_iou_join(S.mask_runs(spark, sf_dir), S.pred_mask_runs(spark, sf_dir), H)
+    j = MK.mask_iou_join(S.masks(spark, sf_dir), S.pred_masks(spark, sf_dir), H)
     return finish(j.select("image_id", "a_id", "b_id", "iou"))
 
 
@@ -246,7 +246,7 @@ FROM pred p LEFT JOIN reg r ON r.class_id = p.class_id
 LEFT JOIN enc e ON e.image_id = p.image_id AND e.instance_id = p.pred_id""")
 def q_coco_results(spark, sf_dir):
     reg = B.build_class_registry(S.class_sources(spark, sf_dir))
-    rle = MK.run_length_encode(S.pred_mask_runs(spark, sf_dir))
+    rle = MK.run_length_encode(S.pred_masks(spark, sf_dir))
     out = D.coco_results(S.pred_boxes(spark, sf_dir), reg, rle)
     return finish(out.drop("source", "name", "active_class_ids"))
 
@@ -408,7 +408,7 @@ SELECT image_id, pred_id, gt_id, round(iou, 6) AS iou FROM matched""")
 def q_mask_match_detections(spark, sf_dir):
     """Matching by mask overlap; the gt masks have a ragged upper edge, so mask and box overlap differ."""
     pred, gt = S.pred_boxes(spark, sf_dir), S.gt_boxes(spark, sf_dir)
-    pairs = D.mask_pairs(pred, gt, S.pred_mask_runs(spark, sf_dir), S.mask_runs(spark, sf_dir, ragged=3), H)
+    pairs = D.mask_pairs(pred, gt, S.pred_masks(spark, sf_dir), S.masks(spark, sf_dir, ragged=3), H)
     return finish(D.match_detections(pred, gt, 0.5, pairs=pairs))
 
 
@@ -588,7 +588,7 @@ FROM orders o LEFT JOIN enc ON enc.image_id = o.o_orderkey""")
 def q_mask_overlap_submission(spark, sf_dir):
     images = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("image_id"))
     scores = S.pred_boxes(spark, sf_dir).select("image_id", F.col("pred_id").alias("instance_id"), "score")
-    return MK.submission_rle(images, S.mask_runs(spark, sf_dir), scores)
+    return MK.submission_rle(images, S.masks(spark, sf_dir), scores)
 
 
 # Class id -> submission label id.
@@ -611,4 +611,4 @@ def q_video_submission(spark, sf_dir):
     det = S.pred_boxes(spark, sf_dir).select(
         "image_id", F.col("pred_id").alias("instance_id"), "class_id", "score",
         F.concat(F.lit("img_"), F.col("image_id").cast("string"), F.lit(".jpg")).alias("file_name"))
-    return MK.video_submission(S.pred_mask_runs(spark, sf_dir), det, LABEL_MAP, H, W)
+    return MK.video_submission(S.pred_masks(spark, sf_dir), det, LABEL_MAP, H, W)

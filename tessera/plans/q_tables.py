@@ -290,12 +290,12 @@ SELECT image_id, gt_id AS instance_id, CAST(count(*) AS BIGINT) AS columns, CAST
 FROM gt, LATERAL (SELECT unnest(range(x1, x2)) AS x) GROUP BY 1, 2""")
 def q_mask_decode_round_trip(spark, sf_dir):
     """Encoded masks decoded again (W9): runs split into columns have every pixel."""
-    from tessera.operators.boxes import _split_runs_by_column
-    back = MK.run_length_decode(MK.run_length_encode(S.mask_runs(spark, sf_dir)), "rle", H, S.IMAGE_W)
-    valid = back.groupBy("image_id", "instance_id").agg(F.min("valid").alias("valid"))
-    cut = _split_runs_by_column(back, H, ["image_id", "instance_id"])
-    cut = cut.groupBy("image_id", "instance_id").agg(F.countDistinct("x").alias("columns"), F.sum(F.col("y_end") - F.col("y_start") + 1).alias("pixels"))
-    return cut.join(valid, ["image_id", "instance_id"])
+    from tessera.operators.boxes import split_runs
+    back = MK.run_length_decode(MK.run_length_encode(S.masks(spark, sf_dir)), "rle", H, S.IMAGE_W, packed=True)
+    cut = back.select("*", MK.once(split_runs("runs", H)).alias("cut")).filter(F.size("cut") > 0)
+    pixels = F.aggregate("cut", F.lit(0).cast("long"), lambda n, c: n + c["y_end"] - c["y_start"] + 1)
+    return cut.select("image_id", "instance_id", F.size(F.array_distinct(F.transform("cut", lambda c: c["x"]))).cast("long").alias("columns"),
+                      pixels.alias("pixels"), F.array_min(F.transform("runs", lambda r: r["valid"])).alias("valid"))
 
 
 @register("occluded_masks", f"""
@@ -305,7 +305,7 @@ top AS (SELECT image_id, y, x, max(instance_id) AS instance_id FROM px GROUP BY
 SELECT image_id, instance_id, count(*) AS pixels FROM top GROUP BY 1, 2""")
 def q_occluded_masks(spark, sf_dir):
     """Later shapes hide earlier ones (W11): visible pixels of every shape."""
-    runs = S.mask_runs(spark, sf_dir)
+    runs = S.masks(spark, sf_dir)
     z = S.gt_boxes(spark, sf_dir).select("image_id", F.col("gt_id").alias("instance_id"), F.col("gt_id").cast("double").alias("z"))
     return MK.occlude(runs, z).groupBy("image_id", "instance_id").agg(F.sum("length").alias("pixels")).filter("pixels > 0")
 

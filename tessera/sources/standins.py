@@ -189,18 +189,28 @@ def pred_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _column_runs(height: int, ragged: int = 1):
+    """The box y1..x2 as an array of column runs (start, length), without empty ones."""
+    def run(x):
+        y1 = F.col("y1") + F.pmod(x, F.lit(ragged))
+        return F.struct((x * height + y1 + 1).cast("long").alias("start"), (F.col("y2") - y1).cast("long").alias("length"))
+    return F.filter(F.transform(F.sequence(F.col("x1"), F.col("x2") - 1), run), lambda r: r["length"] > 0)
+
+
+def masks(spark: SparkSession, sf_dir: str, height: int = IMAGE_H, ragged: int = 1) -> DataFrame:
+    """``mask_runs`` packed: one row a gt box, its runs in the array ``runs``."""
+    return gt_boxes(spark, sf_dir).select("image_id", F.col("gt_id").alias("instance_id"), _column_runs(height, ragged).alias("runs"))
+
+
+def pred_masks(spark: SparkSession, sf_dir: str, height: int = IMAGE_H) -> DataFrame:
+    """``pred_mask_runs`` packed: one row a predicted box, its runs in the array ``runs``."""
+    return pred_boxes(spark, sf_dir).select("image_id", F.col("pred_id").alias("instance_id"), _column_runs(height).alias("runs"))
+
+
 def mask_runs(spark: SparkSession, sf_dir: str, height: int = IMAGE_H, ragged: int = 1) -> DataFrame:
     """image_id, instance_id, start (1-based, column-major), length: each gt box cut into columns.
     ``ragged`` > 1 starts column x by x % ragged pixels lower, so the mask is not a rectangle."""
-    g = gt_boxes(spark, sf_dir)
-    col = F.explode(F.sequence(F.col("x1"), F.col("x2") - 1)).alias("x")
-    g = g.select("image_id", F.col("gt_id").alias("instance_id"), "y1", "y2", col)
-    g = g.withColumn("y1", F.col("y1") + F.pmod(F.col("x"), F.lit(ragged))).filter("y1 < y2")
-    return g.select(
-        "image_id", "instance_id",
-        (F.col("x") * height + F.col("y1") + 1).cast("long").alias("start"),
-        (F.col("y2") - F.col("y1")).cast("long").alias("length"),
-    )
+    return masks(spark, sf_dir, height, ragged).select("image_id", "instance_id", F.inline("runs"))
 
 
 def image_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
