@@ -223,24 +223,27 @@ def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, p
     """Detection-head targets (D6): positives IoU >= pos_thr with a non-crowd gt, negatives
     below it and not overlapping a crowd box (IoU >= 0.001); positives capped at
     pos_frac * per_image, negatives at positives * (1/pos_frac - 1); positives get the
-    class and std-scaled deltas of their best gt. Mask crops are not built."""
-    pairs = iou_join(rois.select("image_id", "roi_id", "y1", "x1", "y2", "x2"),
-                     gt.select("image_id", "gt_id", "class_id", "y1", "x1", "y2", "x2"),
-                     "roi_id", "gt_id", cell=cell, b_cols=("class_id",), a_prefix="r_", b_prefix="g_")
-    pairs = pairs.withColumnRenamed("r_roi_id", "roi_id").withColumnRenamed("g_gt_id", "gt_id")
-    real = pairs.filter(F.col("g_class_id") > 0)
-    best = real.groupBy("image_id", "roi_id").agg(
-        F.max("iou").alias("max_iou"),
-        F.max_by(F.struct(F.col("g_class_id").alias("class_id"),
-                          *[F.col(f"g_{c}").alias(c) for c in ("y1", "x1", "y2", "x2")]),
-                 F.struct(F.col("iou"), -F.col("gt_id"))).alias("g"))
-    crowd = pairs.filter((F.col("g_class_id") < 0) & (F.col("iou") >= 0.001)).select("image_id", "roi_id").distinct()
-    r = rois.select("image_id", "roi_id", "y1", "x1", "y2", "x2").join(best, ["image_id", "roi_id"], "left") \
-            .fillna(0.0, subset=["max_iou"])
+    class and std-scaled deltas of their best gt. Mask crops are not built. ``cell`` is of no
+    effect: no grid is needed where an image's rois are one row."""
+    sides = ("y1", "x1", "y2", "x2")
+    per = rois.groupBy("image_id").agg(F.collect_list(F.struct("roi_id", *sides)).alias("_rois"))
+    # every box meets the rois of its image, which come in one row: no roi travels again, and from here
+    # on everything is dealt by image
+    g = gt.select("image_id", "gt_id", F.col("class_id").alias("g_class_id"), *[F.col(c).alias(f"g_{c}") for c in sides])
+    r = per.join(g, "image_id", "left").select("image_id", F.explode("_rois").alias("_r"), "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
+    r = r.select("image_id", "_r.*", "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
+    box, other = tuple(F.col(c) for c in sides), tuple(F.col(f"g_{c}") for c in sides)
+    overlap = (F.least(box[2], other[2]) > F.greatest(box[0], other[0])) & (F.least(box[3], other[3]) > F.greatest(box[1], other[1]))
+    r = r.withColumn("iou", F.when(overlap, iou(box, other)))
+    real = F.when((F.col("g_class_id") > 0) & F.col("iou").isNotNull(), F.struct(
+        F.col("iou"), (-F.col("gt_id")).alias("o"), F.col("g_class_id").alias("class_id"), *[F.col(f"g_{c}").alias(c) for c in sides]))
+    r = r.groupBy("image_id", "roi_id", *sides).agg(
+        F.max(real).alias("g"), F.max((F.col("g_class_id") < 0) & (F.col("iou") >= 0.001)).alias("_crowd"))
+    r = r.select("*", F.coalesce("g.iou", F.lit(0.0)).alias("max_iou"))
     pos = cap_per_group(r.filter(F.col("max_iou") >= pos_thr), ["image_id"], int(per_image * pos_frac),
                         seed, ["roi_id"])
     n_pos = pos.groupBy("image_id").agg(F.count(F.lit(1)).alias("_np"))
-    negs = r.filter(F.col("max_iou") < pos_thr).join(crowd, ["image_id", "roi_id"], "left_anti") \
+    negs = r.filter((F.col("max_iou") < pos_thr) & ~F.coalesce("_crowd", F.lit(False))) \
             .join(n_pos, "image_id", "left").fillna(0, subset=["_np"])
     cap = F.floor(F.col("_np") * (1.0 / pos_frac - 1.0)).cast("int")
     max_pos = int(per_image * pos_frac)  # n_pos never exceeds it, so neither does cap
@@ -286,16 +289,18 @@ def random_rois(gt: DataFrame, images: DataFrame, n: int, seed: int = 0, near_fr
     """n random boxes per image (D16): near_frac of them drawn around the gt boxes (corners
     within one box size of the gt), the rest anywhere in the image; sides at least 1 px.
     Uniforms come from the md5 of (seed, image, index), so the draw is repeatable."""
-    per_gt = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("_g"))
     n_near = int(n * near_frac)
+    # a roi is drawn around the gt of rank k % (number of gt), so the first n_near of an image are enough
+    first = gt.select("image_id", "gt_id", F.struct("y1", "x1", "y2", "x2").alias("_box"))
+    first = first.withColumn("_rn", F.row_number().over(Window.partitionBy("image_id").orderBy("gt_id"))).filter(F.col("_rn") <= n_near)
+    near = first.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("_rn", "_box"))).alias("_near_gt")) if n_near else \
+        gt.select("image_id", F.array(F.struct(F.lit(1).alias("_rn"), F.struct("y1", "x1", "y2", "x2").alias("_box"))).alias("_near_gt")).limit(0)
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")
-    base = images.select("image_id", "height", "width", k)
-    near_idx = gt.select("image_id", "gt_id", "y1", "x1", "y2", "x2") \
-                 .withColumn("_r", F.row_number().over(Window.partitionBy("image_id").orderBy("gt_id")) - 1)
-    b = base.join(per_gt, "image_id", "left").fillna(0, subset=["_g"])
+    b = images.join(near, "image_id", "left").select("image_id", "height", "width", "_near_gt", k)
+    b = b.withColumn("_g", F.coalesce(F.size("_near_gt"), F.lit(0)))
     b = b.withColumn("_near", (F.col("k") < n_near) & (F.col("_g") > 0))
-    b = b.withColumn("_r", F.when(F.col("_near"), F.pmod(F.col("k"), F.col("_g"))))
-    b = b.join(near_idx, ["image_id", "_r"], "left")
+    b = b.withColumn("_at", F.when(F.col("_near"), F.get("_near_gt", F.pmod(F.col("k"), F.col("_g")))["_box"]))
+    b = b.select("image_id", "height", "width", "k", "_near", "_at.*")
     u = [_u(seed + i, F.col("image_id"), F.col("k")) for i in range(4)]
     h = F.col("y2") - F.col("y1")
     w = F.col("x2") - F.col("x1")
