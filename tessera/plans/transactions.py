@@ -87,9 +87,12 @@ def signed_feature_set(tx: DataFrame, categories) -> DataFrame:
 
 
 def signed_long_blocks(tx: DataFrame, dim: str) -> DataFrame:
-    """The five statistics per client, sign and every value of ``dim`` (A8), long form."""
-    signed = F.explode(F.array(*[F.struct(F.lit(s).alias("sign"), mask_amount("amount", s).alias("v")) for s in SIGNS]))
-    rows = tx.select("cl_id", dim, signed.alias("s")).select("cl_id", dim, "s.*")
-    return rows.groupBy("cl_id", "sign", dim).agg(
-        F.count("v").alias("n"), F.sum("v").alias("total"), F.max("v").alias("largest"),
-        F.coalesce(F.stddev_samp("v"), F.lit(0.0)).alias("std"), F.avg("v").alias("mean"))
+    """The five statistics per client, sign and every value of ``dim`` (A8), long form. A row is
+    aggregated once for all signs; only the results are laid out a sign a row."""
+    def five(sign):
+        v = mask_amount("amount", sign)
+        return F.struct(F.lit(sign).alias("sign"), F.count(v).alias("n"), F.sum(v).alias("total"), F.max(v).alias("largest"),
+                        F.coalesce(F.stddev_samp(v), F.lit(0.0)).alias("std"), F.avg(v).alias("mean"))
+    per = tx.groupBy("cl_id", dim).agg(*[five(s).alias(s) for s in SIGNS])
+    rows = per.select("cl_id", dim, F.explode(F.array(*SIGNS)).alias("s"))
+    return rows.select("cl_id", "s.sign", dim, *[f"s.{c}" for c in ("n", "total", "largest", "std", "mean")])
