@@ -73,7 +73,9 @@ def select_top_percent(scores: DataFrame, percent: float, feat=("src", "key"), d
     infinite scores first, undefined ones last. Scores equal to ``digits`` decimals count as
     ties (engine-independent order). Rows are ranked on (score, key) by range, so many keys
     of one score span many tasks."""
+    from tessera.session import cut_lineage
     feat = list(feat)
+    scores = cut_lineage(scores)  # the count, the ranges' sample and the ranks read it
     keep = int(math.ceil(scores.count() * percent / 100.0))
     undefined = F.col("score").isNull() | F.isnan("score")
     neg = F.when(undefined, F.lit(0.0)).otherwise(-F.round("score", digits))
