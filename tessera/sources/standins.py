@@ -99,8 +99,9 @@ def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, token: lower-cased runs of letters of the whole text (one row per token)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """doc_id, token: lower-cased runs of letters of the whole text (one row per token). The texts
+    are dealt by document, so what is counted per document later moves no token."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
     toks = F.split(F.lower(F.col("text")), r"[^\p{L}]+")
     return (d.select("doc_id", F.posexplode(toks).alias("pos", "token"))
             .filter(F.length("token") > 0))
