@@ -124,16 +124,39 @@ def mask_iou_join(a: DataFrame, b: DataFrame, height: int, a_key: str = "instanc
     j = j.filter((F.get("a_s", F.lit(0)) < F.element_at("b_e", -1)) & (F.get("b_s", F.lit(0)) < F.element_at("a_e", -1)))
     keys = ["image_id", "a_id", "b_id"]
     rest = ["area_a", "area_b", *[f"a_{c}" for c in a_cols], *[f"b_{c}" for c in b_cols]]
-    j = j.select(*keys, *rest, once(F.arrays_zip("a_s", "a_e")).alias("_a"), once(F.arrays_zip("b_s", "b_e")).alias("_b"))
-    zero = F.lit(0).cast("long")
-    shared = F.aggregate("_a", zero, lambda n, x: n + F.aggregate(
-        "_b", zero, lambda m, y: m + F.greatest(F.least(x["a_e"], y["b_e"]) - F.greatest(x["a_s"], y["b_s"]), zero)))
-    out = j.select(*keys, *rest, once(shared).alias("inter")).filter("inter > 0") \
+    j = j.select(*keys, *rest, "a_s", "a_e", "b_s", "b_e")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in j.schema.fields[:-4])
+    out = j.mapInArrow(lambda batches: map(_shared_positions, batches), f"{ddl}, inter long") \
            .groupBy(*keys).agg(F.sum("inter").alias("inter"), *[F.first(c).alias(c) for c in rest])
     return out.select(*keys, "inter", *rest,
                       (F.col("inter") / (F.col("area_a") + F.col("area_b") - F.col("inter"))).alias("iou"))
 
 
+def _shared_positions(batch):
+    """Rows whose last four columns are the runs of two masks (starts, ends, starts, ends; half open,
+    ascending, apart) to the other columns and the positions that both masks hold: a run of the second
+    holds as many as the first has before its end, less those before its start."""
+    import numpy as np
+    import pyarrow as pa
+    cols = batch.columns
+    a_s, a_e, b_s, b_e = (c.flatten().to_numpy() for c in cols[-4:])
+    a_row, b_row = (np.repeat(np.arange(len(c)), np.diff(c.offsets.to_numpy())) for c in (cols[-4], cols[-2]))
+    base = int(min(a_s.min(initial=0), b_s.min(initial=0)))
+    step = int(max(a_e.max(initial=0), b_e.max(initial=0))) - base + 1
+    start, size = a_row * step + a_s - base, a_e - a_s
+    before = np.concatenate([[0], np.cumsum(size)])
+
+    def held(x):
+        i = np.searchsorted(start, x, side="right")  # runs that begin at or before x
+        k = np.maximum(i - 1, 0)
+        return before[k] + np.where(i > 0, np.minimum(x - start[k], size[k]), 0) if len(start) else np.zeros(len(x), np.int64)
+    n = held(b_row * step + b_e - base) - held(b_row * step + b_s - base)
+    inter = np.bincount(b_row, weights=n, minlength=batch.num_rows).astype(np.int64)
+    some = inter > 0
+    out = pa.RecordBatch.from_arrays([*cols[:-4], pa.array(inter)], names=[*batch.schema.names[:-4], "inter"])
+    return out.filter(pa.array(some))
+
+
 def _resolved(runs: DataFrame, scores: DataFrame, prefer: str, tile: int) -> DataFrame:
     """Packed masks with every position left to one of them (see ``resolve_mask_overlaps``)."""
     k = ["image_id", "instance_id"]
