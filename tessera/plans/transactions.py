@@ -72,7 +72,10 @@ def signed_feature_set(tx: DataFrame, categories) -> DataFrame:
     """The signed feature set (A8), ONE aggregation: for all amounts, and with the negative or
     the positive ones set to zero, count / sum / max / std / mean in total and per category,
     mean per weekday and per hour; and the span in days. Missing cells are 0. The blocks per MCC
-    have an open domain and come in long form (``signed_long_blocks``)."""
+    have an open domain and come in long form (``signed_long_blocks``). The rows are dealt by
+    client first: the 180 aggregates of a client are far larger than its rows, so no task holds
+    them for clients that others hold too."""
+    tx = tx.select("cl_id", "ts", "trx_category", "amount").repartition("cl_id")
     tx = tx.withColumns({"weekday": F.weekday("ts"), "hour": F.hour("ts")})
     aggs = []
     for sign in SIGNS:
