@@ -10,7 +10,7 @@ chain of boxes that depend on each other, not the size of an image.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.boxes import BBOX_STD, apply_deltas_clip, iou_join
@@ -124,24 +124,31 @@ def match_detections(pred: DataFrame, gt: DataFrame, thr: float = 0.5, min_overl
 
     The greedy takes pairs in one total order (score desc, prediction id, IoU desc, gt id) and
     keeps a pair when both ends are free. A pair that is first among all pairs of its prediction
-    and of its gt is kept by it; each round keeps those and drops the pairs that touch them."""
+    and of its gt is kept by it; each round keeps those and drops the pairs that touch them. Pairs
+    that share no end with another go past the rounds and are not laid out a threshold a row."""
     ths = [float(t) for t in (thresholds if thresholds is not None else [thr])]
     pairs = detection_pairs(pred, gt, cell) if pairs is None else pairs
     pairs = pairs.filter((F.col("pred_class") == F.col("gt_class")) & (F.col("iou") >= F.lit(max(min(ths), min_overlap))))
-    pairs = pairs.select("*", F.explode(F.array(*[F.lit(t) for t in ths])).alias("iou_thr")).filter("iou >= iou_thr")
     g = ["image_id", "iou_thr"]
     p_key, g_key = [*g, "pred_id"], [*g, "gt_id"]
-    e = cut_lineage(pairs.select(*g, "pred_id", "gt_id", "score", "iou"))
-    parts = []
-    while True:
+    at = F.explode(F.array(*[F.lit(t) for t in ths])).alias("iou_thr")
+    cols = ["image_id", "pred_id", "gt_id", "score", "iou"]
+    # a pair whose ends are in no other pair is matched at every threshold it reaches; rounds are for the rest
+    by_pred, by_gt = Window.partitionBy("image_id", "pred_id"), Window.partitionBy("image_id", "gt_id")
+    pairs = pairs.select(*cols).filter(F.col("pred_id").isNotNull() & F.col("gt_id").isNotNull())
+    pairs = pairs.withColumn("_p", F.count(F.lit(1)).over(by_pred)).withColumn("_g", F.count(F.lit(1)).over(by_gt))
+    alone = (F.col("_p") == 1) & (F.col("_g") == 1)
+    pairs = cut_lineage(pairs.select(*cols, alone.alias("_alone")))
+    sure = pairs.filter("_alone").select("image_id", "pred_id", "gt_id", "iou", at).filter("iou >= iou_thr")
+    e = cut_lineage(pairs.filter("NOT _alone").select(*cols, at).filter("iou >= iou_thr").select(*g, "pred_id", "gt_id", "score", "iou"))
+    parts = [sure.select(*g, "pred_id", "gt_id", "iou")]
+    while not e.isEmpty():
         best_gt = e.groupBy(*p_key).agg(F.max_by(F.struct("gt_id", "iou"), F.struct(F.col("iou"), -F.col("gt_id"))).alias("b"))
         best_pred = e.groupBy(*g_key).agg(F.max_by("pred_id", F.struct(F.col("score"), -F.col("pred_id"))).alias("pred_id"))
         new = best_gt.select(*p_key, "b.*").join(best_pred, [*g, "pred_id", "gt_id"], "left_semi")
         new = cut_lineage(new.select(*g, "pred_id", "gt_id", "iou"))
         parts.append(new)
         e = cut_lineage(e.join(new.select(*p_key), p_key, "left_anti").join(new.select(*g_key), g_key, "left_anti"))
-        if e.isEmpty():
-            break
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
