@@ -230,14 +230,14 @@ def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, p
     # every box meets the rois of its image, which come in one row: no roi travels again, and from here
     # on everything is dealt by image
     g = gt.select("image_id", "gt_id", F.col("class_id").alias("g_class_id"), *[F.col(c).alias(f"g_{c}") for c in sides])
-    r = per.join(g, "image_id", "left").select("image_id", F.explode("_rois").alias("_r"), "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
-    r = r.select("image_id", "_r.*", "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
+    r = per.join(g, "image_id", "left").select("image_id", F.posexplode("_rois").alias("_at", "_r"), "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
+    r = r.select("image_id", "_at", "_r.*", "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
     box, other = tuple(F.col(c) for c in sides), tuple(F.col(f"g_{c}") for c in sides)
     overlap = (F.least(box[2], other[2]) > F.greatest(box[0], other[0])) & (F.least(box[3], other[3]) > F.greatest(box[1], other[1]))
     r = r.withColumn("iou", F.when(overlap, iou(box, other)))
     real = F.when((F.col("g_class_id") > 0) & F.col("iou").isNotNull(), F.struct(
         F.col("iou"), (-F.col("gt_id")).alias("o"), F.col("g_class_id").alias("class_id"), *[F.col(f"g_{c}").alias(c) for c in sides]))
-    r = r.groupBy("image_id", "roi_id", *sides).agg(
+    r = r.groupBy("image_id", "_at", "roi_id", *sides).agg(  # a roi given twice stays two rows
         F.max(real).alias("g"), F.max((F.col("g_class_id") < 0) & (F.col("iou") >= 0.001)).alias("_crowd"))
     r = r.select("*", F.coalesce("g.iou", F.lit(0.0)).alias("max_iou"))
     pos = cap_per_group(r.filter(F.col("max_iou") >= pos_thr), ["image_id"], int(per_image * pos_frac),
