@@ -96,17 +96,19 @@ def mask_areas(runs: DataFrame, keys=("image_id", "instance_id")) -> DataFrame:
     return pack_runs(runs, keys).select(*keys, _total("runs").alias("area"))
 
 
-def _banded(masks: DataFrame, size: int) -> DataFrame:
+def _banded(masks: DataFrame, size: int, kind: str | None = None) -> DataFrame:
     """Packed masks cut at every ``size`` positions: a row for each band ``_b`` that a mask
-    touches, with its runs inside the band as the arrays ``_s`` and ``_e`` (half open, 1-based)."""
+    touches, with its runs inside the band as the arrays ``_s`` and ``_e`` (half open, 1-based;
+    with ``kind``, from the band's first position on and of that type)."""
     cols = [c for c in masks.columns if c != "runs"]
     first, last = F.get("runs", F.lit(0)), F.element_at("runs", -1)
     bands = F.sequence(F.floor((first["start"] - 1) / size), F.floor((last["start"] + last["length"] - 2) / size))
     b = masks.select(*cols, "runs", F.explode(bands).alias("_b"))
     lo, hi = F.col("_b") * size + 1, (F.col("_b") + 1) * size + 1
     b = b.withColumn("runs", once(F.filter("runs", lambda r: (r["start"] < hi) & (r["start"] + r["length"] > lo)))).filter(F.size("runs") > 0)
-    return b.select(*cols, "_b", F.transform("runs", lambda r: F.greatest(r["start"], lo)).alias("_s"),
-                    F.transform("runs", lambda r: F.least(r["start"] + r["length"], hi)).alias("_e"))
+    at = (lambda x: (x - lo).cast(kind)) if kind else (lambda x: x)
+    return b.select(*cols, "_b", F.transform("runs", lambda r: at(F.greatest(r["start"], lo))).alias("_s"),
+                    F.transform("runs", lambda r: at(F.least(r["start"] + r["length"], hi))).alias("_e"))
 
 
 def mask_iou_join(a: DataFrame, b: DataFrame, height: int, a_key: str = "instance_id",
@@ -161,32 +163,38 @@ def _resolved(runs: DataFrame, scores: DataFrame, prefer: str, tile: int) -> Dat
     """Packed masks with every position left to one of them (see ``resolve_mask_overlaps``)."""
     k = ["image_id", "instance_id"]
     m = pack_runs(runs.select(*k, *[c for c in ("runs", "start", "length") if c in runs.columns]), k)
-    parts = _banded(m.join(scores.select(*k, "score"), k, "inner"), tile)
+    kind = "short" if tile < 1 << 15 else "int"  # of places inside a tile: what shuffles carry
+    parts = _banded(m.join(scores.select(*k, "score"), k, "inner"), tile, kind)
     best = prefer == "best"
     one = F.struct(F.col("score").alias("score"), (-F.col("instance_id") if best else F.col("instance_id")).alias("o"),
                    F.col("instance_id").alias("id"), F.col("_s").alias("s"), F.col("_e").alias("e"))
-    g = parts.groupBy("image_id", "_b").agg(F.sort_array(F.collect_list(one), asc=not best).alias("_m"))
+    # rows are dealt before they are collected: a row is smaller than a collection of one
+    g = parts.repartition("image_id", "_b").groupBy("image_id", "_b").agg(F.sort_array(F.collect_list(one), asc=not best).alias("_m"))
     g = g.select("image_id", "_b", *[F.col(f"_m.{c}").alias(c) for c in ("id", "s", "e")])
     kinds = {f.name: f.dataType.simpleString() for f in m.schema.fields}
     won = g.mapInArrow(lambda batches: map(_tile_winners, batches),
-                       f"image_id {kinds['image_id']}, instance_id {kinds['instance_id']}, _s array<long>, _l array<long>")
-    won = won.groupBy(*k).agg(F.flatten(F.collect_list("_s")).alias("_s"), F.flatten(F.collect_list("_l")).alias("_l"))
+                       f"image_id {kinds['image_id']}, _b long, instance_id {kinds['instance_id']}, _s array<{kind}>, _l array<{kind}>")
+    # dealt by image, as a caller joins them: its lines need no shuffle of their own
+    first = F.col("_b") * tile + 1
+    won = won.repartition("image_id").groupBy(*k).agg(F.flatten(F.collect_list(F.transform("_s", lambda x: x + first))).alias("_s"),
+                                                      F.flatten(F.collect_list(F.col("_l").cast("array<long>"))).alias("_l"))
     won = won.select(*k, once(F.arrays_zip(F.col("_s").alias("start"), F.col("_l").alias("length"))).alias("runs"))
     return pack_runs(won, k)
 
 
 def _tile_winners(batch):
-    """Rows (image_id, _b, id, s, e) of tiles, masks in their order, to (image_id, id, starts, lengths):
+    """Rows (image_id, _b, id, s, e) of tiles, masks in their order, to (image_id, _b, id, starts, lengths):
     the run ends of a tile cut it into segments, and the first mask that covers a segment takes it."""
     import numpy as np
     import pyarrow as pa
-    image, _, ids, s, e = batch.columns
+    image, band, ids, s, e = batch.columns
     sizes = np.diff(ids.offsets.to_numpy())
     s, e, ids = s.flatten(), e.flatten(), ids.flatten()
     n_masks = len(ids)
     row = np.repeat(np.arange(len(image)), sizes)  # of each mask
     mask = np.repeat(np.arange(n_masks), np.diff(s.offsets.to_numpy()))  # of each run
-    s, e = s.flatten().to_numpy(), e.flatten().to_numpy()
+    s, e = (c.flatten().to_numpy() for c in (s, e))
+    kind, s, e = s.dtype, s.astype(np.int64), e.astype(np.int64)
     base = int(s.min(initial=0))
     step = int(e.max(initial=0)) - base + 1  # rows apart, so that no segment joins two of them
     at = row[mask] * step - base
@@ -208,8 +216,9 @@ def _tile_winners(batch):
     offsets = pa.array(np.append(at_u, len(own)).astype("int32"))
     start = lo - row[own] * step + base
     return pa.RecordBatch.from_arrays(
-        [image.take(pa.array(row[u])), ids.take(pa.array(u)), pa.ListArray.from_arrays(offsets, pa.array(start)),
-         pa.ListArray.from_arrays(offsets, pa.array(hi - lo))], names=["image_id", "instance_id", "_s", "_l"])
+        [image.take(pa.array(row[u])), band.take(pa.array(row[u])), ids.take(pa.array(u)),
+         pa.ListArray.from_arrays(offsets, pa.array(start.astype(kind))), pa.ListArray.from_arrays(offsets, pa.array((hi - lo).astype(kind)))],
+        names=["image_id", "_b", "instance_id", "_s", "_l"])
 
 
 def resolve_mask_overlaps(runs: DataFrame, scores: DataFrame, prefer: str = "best", tile: int = 2048) -> DataFrame:
