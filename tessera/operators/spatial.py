@@ -194,6 +194,34 @@ def _vector_blocks(df: DataFrame, key: str, vec: str, rows: int) -> DataFrame:
                                            "radius double, n int"))
 
 
+def _nearest(a, b, k: int, at_once: int = 1 << 15):
+    """The k nearest rows of ``b`` of every row of ``a``: (row of a, row of b, distance), ties to the earlier row.
+    One matrix product tells which rows can be among them; only their distances are worked out, from the differences."""
+    import numpy as np
+    with np.errstate(over="ignore", invalid="ignore"):
+        aa, bb = (a * a).sum(1), (b * b).sum(1)
+        about = aa[:, None] + bb - 2 * (a @ b.T)
+        # rounding of the product: far below this, also with large components that nearly cancel
+        slack = 8 * (a.shape[1] + 4) * np.finfo(float).eps * (aa + bb.max(initial=0.0))
+        last = min(k, len(b)) - 1
+        limit = np.partition(about, last, axis=1)[:, last] + 2 * slack
+        maybe = ~(about > limit[:, None])  # also what is not a number
+    found = []
+    ends = np.cumsum(maybe.sum(1))
+    at = 0
+    while at < len(a):  # a bounded number of differences at once
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + at_once, side="right")))
+        i, j = np.nonzero(maybe[at:end])
+        with np.errstate(over="ignore"):
+            d = np.sqrt(((b[j] - a[at + i]) ** 2).sum(1))
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        found.append((at + i[rank < k], j[rank < k], d[rank < k]))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: str, ref_key: str = "_tk",
                   block_rows: int = 1024) -> DataFrame:
     """Exact k nearest reference rows of each query in Euclidean space over ``vec`` (array).
@@ -201,13 +229,13 @@ def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: st
     Blocks of queries meet blocks of references. A block is a ball (centre, radius); a pair of
     blocks is dropped when no query of one can have a k-th neighbour in the other (triangle
     inequality against the smallest radius that surely holds k references). The pairs left are
-    compared in numpy, each returning k rows a query. Output: key, ref columns, dist, rank
+    compared by a matrix product (see ``_nearest``), each returning k rows a query. Output: key, ref columns, dist, rank
     (ties: smaller ``ref_key``, which must be unique). Vectors meet those of their own length only; a
     query without a whole vector (null, empty, or with a null or non-finite component) has no neighbours,
     and such a reference is nobody's."""
     import numpy as np
     import pyarrow as pa
-    q = _vector_blocks(queries, key, vec, min(block_rows, 256))
+    q = _vector_blocks(queries, key, vec, block_rows)
     r = _vector_blocks(refs, ref_key, vec, block_rows)
     gap = F.sqrt(F.aggregate(F.zip_with("q_centre", "r_centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                              lambda acc, x: acc + x))
@@ -231,21 +259,14 @@ def knn_euclidean(queries: DataFrame, refs: DataFrame, k: int, key: str, vec: st
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                qk, rk = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
+                qk, rk = batch.column(0)[i].values, batch.column(2)[i].values
                 a = np.frombuffer(batch.column(1)[i].as_py()).reshape(len(qk), -1)
                 b = np.frombuffer(batch.column(3)[i].as_py()).reshape(len(rk), -1)
-                order = sorted(range(len(rk)), key=rk.__getitem__)  # ties: smaller key first
-                b = b[order]
-                out_q, out_r, out_d = [], [], []
-                for j, x in enumerate(a):
-                    d = np.sqrt(((b - x) ** 2).sum(1))
-                    best = np.argsort(d, kind="stable")[:k]
-                    out_q += [qk[j]] * len(best)
-                    out_r += [rk[order[m]] for m in best.tolist()]
-                    out_d.append(d[best])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out_q, batch.column(0).type.value_type), pa.array(out_r, batch.column(2).type.value_type),
-                     pa.array(np.concatenate(out_d))], [key, ref_key, "dist"])
+                names = rk.to_pylist()
+                order = np.array(sorted(range(len(rk)), key=names.__getitem__))  # ties: smaller key first
+                of, near, dist = _nearest(a, b[order], k)
+                yield pa.RecordBatch.from_arrays([qk.take(pa.array(of)), rk.take(pa.array(order[near])), pa.array(dist)],
+                                                 [key, ref_key, "dist"])
 
     found = work.mapInArrow(run, f"`{key}` {types[0]}, `{ref_key}` {types[1]}, dist double")
     top = found.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("dist", ref_key))) \
