@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.folds import hash_fraction, stratified_kfold
 from tessera.operators.svd import truncated_svd
+from tessera.session import cut_lineage
 
 __all__ = ["logistic", "ridge", "linear_l1l2", "gbt", "random_forest", "factorization_machine", "score",
            "oof_scores", "cross_val_score", "grid_metric", "grid_search", "validation_curve", "learning_curve", "simple_blend",
@@ -310,23 +311,45 @@ def _assemble_scores(df: DataFrame, key: str, cols, out: str = "meta") -> DataFr
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
 
 
+def _once(made: dict | None, key: tuple, make):
+    """``make()``, or what an earlier call with the same dict made under this key."""
+    if made is None:
+        return make()
+    if key not in made:
+        made[key] = make()
+    return made[key]
+
+
+def _blend_parts(train, test, bases: dict, key: str, label: str, part1_ratio: float, seed: int, made: dict | None):
+    """Scores of the bases fit on part 1 of train: (key, label, scores) of part 2 and (key, scores) of test,
+    written once, as meta fit and scoring read them again."""
+    def make():
+        is1 = hash_fraction(seed, key) < F.lit(part1_ratio)
+        p1, p2 = train.filter(is1), train.filter(~is1)
+        s2, st = p2.select(key, label), test.select(key)
+        for name, est in bases.items():
+            m = est.fit(p1)
+            s2 = s2.join(score(m, p2, key, name), key)
+            st = st.join(score(m, test, key, name), key)
+        return (s2, st) if made is None else (cut_lineage(s2), cut_lineage(st))
+    return _once(made, ("blend", key, label, part1_ratio, seed), make)
+
+
 def simple_blend(train: DataFrame, test: DataFrame, bases: dict, meta_est, key: str, label: str = "target",
-                 part1_ratio: float = 0.9, seed: int = 0) -> DataFrame:
-    """Bases fit on part 1 of train; meta model fit on their part-2 scores; test scored."""
-    is1 = hash_fraction(seed, key) < F.lit(part1_ratio)
-    p1, p2 = train.filter(is1), train.filter(~is1)
-    s2, st = p2.select(key, label), test.select(key)
-    for name, est in bases.items():
-        m = est.fit(p1)
-        s2 = s2.join(score(m, p2, key, name), key)
-        st = st.join(score(m, test, key, name), key)
+                 part1_ratio: float = 0.9, seed: int = 0, made: dict | None = None) -> DataFrame:
+    """Bases fit on part 1 of train; meta model fit on their part-2 scores; test scored.
+
+    ``made``, here and below: a dict handed to several ensembles over the same train, test and bases; a base
+    that was fit on the same rows for one of them is not fit again for the next."""
+    s2, st = _blend_parts(train, test, bases, key, label, part1_ratio, seed, made)
     meta = meta_est.setFeaturesCol("meta").setLabelCol(label).fit(_assemble_scores(s2, key, bases))
     return score(meta, _assemble_scores(st, key, bases), key)
 
 
-def average_blend(train, test, bases, meta_est, key, label="target", part1_ratio=0.9, n_iter=3, seed=0) -> DataFrame:
+def average_blend(train, test, bases, meta_est, key, label="target", part1_ratio=0.9, n_iter=3, seed=0,
+                  made: dict | None = None) -> DataFrame:
     """Mean of simple blends over seeds."""
-    return _mean_score([simple_blend(train, test, bases, meta_est, key, label, part1_ratio, seed + i)
+    return _mean_score([simple_blend(train, test, bases, meta_est, key, label, part1_ratio, seed + i, made)
                         for i in range(n_iter)], key)
 
 
@@ -338,20 +361,10 @@ def _mean_score(parts, key: str) -> DataFrame:
 
 
 def concatenate_blend(train, test, bases, meta_est, key, label="target", part1_ratio=0.9, n_iter=3,
-                      seed=0) -> DataFrame:
+                      seed=0, made: dict | None = None) -> DataFrame:
     """One meta model on all realisations' part-2 rows together; it scores every realisation's
     test rows, and these scores are averaged (E18)."""
-    metas, tests = [], []
-    for i in range(n_iter):
-        is1 = hash_fraction(seed + i, key) < F.lit(part1_ratio)
-        p1, p2 = train.filter(is1), train.filter(~is1)
-        s2, st = p2.select(key, label), test.select(key)
-        for name, est in bases.items():
-            m = est.fit(p1)
-            s2 = s2.join(score(m, p2, key, name), key)
-            st = st.join(score(m, test, key, name), key)
-        metas.append(s2)
-        tests.append(st)
+    metas, tests = zip(*[_blend_parts(train, test, bases, key, label, part1_ratio, seed + i, made) for i in range(n_iter)])
     allm = metas[0]
     for m in metas[1:]:
         allm = allm.unionByName(m)
@@ -360,18 +373,24 @@ def concatenate_blend(train, test, bases, meta_est, key, label="target", part1_r
 
 
 def stack(train, test, bases, meta_est, key, label="target", n_folds=3, n_iter=1, seed=0,
-          noise: float = 0.0) -> DataFrame:
+          noise: float = 0.0, made: dict | None = None) -> DataFrame:
     """Out-of-fold base scores as meta features over stratified folds, bases refit on all train
     for test (E19); ``noise`` > 0 adds Gaussian noise (hash-seeded) to the meta features of train
     and test (E20)."""
     reals = []
-    for i in range(n_iter):
+    whole = {} if made is None else made  # the fits on all train are the same in every iteration
+
+    def features(i):
         tr = stratified_kfold(train, key, label, n_folds, seed=seed + i)
         meta_tr, meta_te = tr.select(key, label), test.select(key)
         for name, est in bases.items():
             o = oof_scores(tr, None, est, key, "fold", name).select(key, F.col("score").alias(name))
             meta_tr = meta_tr.join(o, key)
-            meta_te = meta_te.join(score(est.fit(train), test, key, name), key)
+            model = _once(whole, ("whole", name, label), lambda: est.fit(train))  # noqa: B023
+            meta_te = meta_te.join(score(model, test, key, name), key)
+        return (meta_tr, meta_te) if made is None else (cut_lineage(meta_tr), cut_lineage(meta_te))
+    for i in range(n_iter):
+        meta_tr, meta_te = _once(made, ("stack", key, label, n_folds, seed + i), lambda: features(i))  # noqa: B023
         if noise > 0:
             def shaken(df):
                 return df.withColumns({n: F.col(n) + F.lit(noise) * _gauss(seed + i, key, j) for j, n in enumerate(bases)})  # noqa: B023
@@ -388,8 +407,9 @@ def _gauss(seed: int, key: str, j: int):
     return F.sqrt(-2 * F.log(u1)) * F.cos(2 * math.pi * u2)
 
 
-def noise_stack(train, test, bases, meta_est, key, label="target", scale=0.03, n_folds=3, n_iter=1, seed=0):
-    return stack(train, test, bases, meta_est, key, label, n_folds, n_iter, seed, noise=scale)
+def noise_stack(train, test, bases, meta_est, key, label="target", scale=0.03, n_folds=3, n_iter=1, seed=0,
+                made: dict | None = None):
+    return stack(train, test, bases, meta_est, key, label, n_folds, n_iter, seed, noise=scale, made=made)
 
 
 def stack_tables(scores: DataFrame, features: DataFrame, key: str, split: str = "oof") -> DataFrame:
