@@ -96,6 +96,8 @@ def grid_anchors(shapes: DataFrame, grid: AnchorGrid) -> DataFrame:
 
 #: Boxes worked on at once, and pairs written out at once.
 BOXES, PAIRS = 512, 1 << 20
+#: Pairs grouped in one task, about 300 bytes of its memory each.
+TASK_PAIRS = 1 << 21
 
 
 def _pairs_of(grid: AnchorGrid, box: np.ndarray, shape: np.ndarray, real: np.ndarray, least: np.ndarray):
@@ -202,7 +204,11 @@ def label_grid_anchors(grid: AnchorGrid, gt: DataFrame, images: DataFrame, per_i
     weak = p.filter(F.col("best") & (F.col("iou") < least)).select("image_id", "anchor_id", *[F.col(f"a_{s}").alias(s) for s in SIDES])
     weak = iou_join(weak.dropDuplicates(["image_id", "anchor_id"]), gt.filter(real), "anchor_id", "gt_id", b_cols=("class_id",),
                     a_prefix="a_", b_prefix="").withColumnRenamed("a_anchor_id", "anchor_id").withColumn("best", F.lit(True))
-    p = p.unionByName(weak.select(*p.columns))
+    # dealt by image before they are grouped: no task sorts all pairs of its boxes first, nothing moves again below;
+    # into more tasks than usual where there are too many pairs for those
+    tasks = -(-p.count() // TASK_PAIRS)
+    more = tasks > int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = p.unionByName(weak.select(*p.columns)).repartition(*([tasks] if more else []), "image_id")
     p = p.select("image_id", "anchor_id", F.when(real, F.col("iou")).alias("iou"),
                  F.when(real, F.struct(F.col("iou"), (-F.col("gt_id")).alias("_o"), *SIDES)).alias("g"),
                  F.struct(*[F.col(f"a_{s}").alias(s) for s in SIDES]).alias("box"), (~real).cast("int").alias("_crowd"),

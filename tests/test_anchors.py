@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import anchors
 from tessera.operators import boxes as B
 from tessera.operators.anchors import AnchorGrid, anchor_pairs, grid_anchors, label_grid_anchors
 
@@ -91,3 +92,23 @@ def test_plan_has_no_table_of_anchors(spark):
     assert len(rows) == 256 and len({r.anchor_id for r in rows}) == 256 and max(r.anchor_id for r in rows) < 261888
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "anchor_id" not in "".join(x for x in plan.splitlines() if "Join" in x and "_cy" not in x)
+
+
+def test_pairs_move_once_and_are_sorted_only_where_they_arrive(spark):
+    images = spark.createDataFrame([(i, 128, 128) for i in range(4)], "image_id long, height int, width int")
+    gt = spark.createDataFrame(some_boxes(np.random.default_rng(3), 4, 5), BOX)
+    plan = label_grid_anchors(GRIDS[0], gt, images, per_image=40)._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("REPARTITION_BY_COL", 1)
+    assert "functions=[max(iou" in above and "partial_max" in above and "partial_collect_list" in above
+    assert "partial_max" not in below and "partial_collect_list" not in below
+    assert not [line for line in above.splitlines() if "Exchange hashpartitioning" in line and "anchor_id" in line]
+
+
+def test_many_pairs_are_dealt_to_more_tasks(spark, monkeypatch):
+    images = spark.createDataFrame([(i, 128, 128) for i in range(40)], "image_id long, height int, width int")
+    gt = spark.createDataFrame(some_boxes(np.random.default_rng(4), 40, 5), BOX)
+    few = label_grid_anchors(GRIDS[0], gt, images, per_image=40).collect()
+    monkeypatch.setattr(anchors, "TASK_PAIRS", 50)
+    many = label_grid_anchors(GRIDS[0], gt, images, per_image=40)
+    assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, many.collect())) == sorted(map(str, few))
