@@ -3,7 +3,8 @@
 The matrix comes as entries (row, column, value), is cut into blocks of a bounded number of entries and written
 once. A product with a tall table of vectors joins each block with the vectors of its own rows or columns only;
 what blocks share is added up by a map-side aggregation, so a row or column that is everywhere costs one vector
-a block. Tall tables (row or column id, ``width`` numbers) stay distributed, on both sides of the matrix; they are
+a block. A block holds whole rows, so it goes through matrix and transpose at once; rows longer than a block are
+cut, and take the two products one after the other. Tall tables (row or column id, ``width`` numbers) stay distributed, on both sides of the matrix; they are
 made orthonormal through the R of a QR factorisation whose partition factors are merged sixteen at a time, so at
 most sixteen times ``width`` x ``width`` numbers reach the driver.
 
@@ -14,6 +15,9 @@ that holds down what lies below the last value of the range, so a slowly falling
 
 from __future__ import annotations
 
+import functools
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -26,7 +30,8 @@ __all__ = ["truncated_svd", "tall_r"]
 
 FAN_IN = 16
 EXTRA = 16  # vectors beyond k
-BLOCK_CELLS = 1 << 23  # entries of a block times width
+BLOCK_CELLS = 1 << 25  # entries of a block times width
+CHUNK = 1 << 14  # entries multiplied at once
 SETTLED, MAX_PASSES = 1e-6, 30  # relative change of a squared singular value; each pass gains several digits
 DEGREE, SPREAD = 8, 1e10  # of the polynomial: highest degree, and how far it may pull the range's directions apart
 LOST = 1e-12  # relative singular values below this are rounding
@@ -34,7 +39,8 @@ ILL = 1e-3
 
 
 def _blocks(long: DataFrame, row_key: str, col_idx: str, value: str, size: int) -> DataFrame:
-    """blk, the block's distinct rows and cols, and its entries as positions in those."""
+    """blk, the block's distinct rows and cols, and its entries as positions in those. A block is ``whole`` if it has
+    every entry of its rows; only rows of more than ``size`` entries are cut into several blocks, of one row each."""
     v = F.col(value).cast("double")
     entries = long.select(F.col(row_key).alias("row"), F.col(col_idx).alias("col"),
                           F.when(F.abs(v) < float("inf"), v).otherwise(0.0).alias("v"))
@@ -42,52 +48,80 @@ def _blocks(long: DataFrame, row_key: str, col_idx: str, value: str, size: int)
     types = {f.name: f.dataType.simpleString() for f in entries.schema.fields}
 
     def cut(batches):
-        part, made, held = TaskContext.get().partitionId(), 0, []
+        part, made = TaskContext.get().partitionId(), 0
 
-        def block(some: pa.Table) -> pa.RecordBatch:
+        def block(some: pa.Table, whole: bool) -> pa.RecordBatch:
             nonlocal made
             made += 1
             rows, cols = (some.column(c).combine_chunks().dictionary_encode() for c in ("row", "col"))
             columns = [rows.dictionary, cols.dictionary, rows.indices.cast(pa.int32()), cols.indices.cast(pa.int32()),
                        some.column("v").combine_chunks()]
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + made - 1], pa.int64()),
+                [pa.array([(part << 32) + made - 1], pa.int64()), pa.array([whole]),
                  *(pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns)],
-                names=["blk", "rows", "cols", "r", "c", "v"])
-
-        for batch in batches:
-            held.append(batch)
-            while sum(b.num_rows for b in held) >= size:
+                names=["blk", "whole", "rows", "cols", "r", "c", "v"])
+
+        held, n, cutting = [], 0, None  # cutting: the row of which a piece is written
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                held.append(batch)
+                n += batch.num_rows
+            while n > size or (batch is None and n):
                 some = pa.Table.from_batches(held)
-                yield block(some.slice(0, size))
-                held = some.slice(size).to_batches()
-        if sum(b.num_rows for b in held):
-            yield block(pa.Table.from_batches(held))
+                row = some.column("row").combine_chunks().dictionary_encode()
+                last = np.flatnonzero(np.diff(row.indices.to_numpy())) + 1  # where rows begin
+                if row.dictionary[0].as_py() == cutting:
+                    end, whole = min(size, int(last[0]) if len(last) else n), False
+                else:
+                    ends = last if batch is not None else np.append(last, n)
+                    ends = ends[ends <= size]
+                    end, whole = (int(ends[-1]), True) if len(ends) else (size, False)
+                    cutting = None if whole else row.dictionary[0].as_py()
+                yield block(some.slice(0, end), whole)
+                held, n = some.slice(end).to_batches(), n - end
 
-    return cut_lineage(entries.repartitionByRange("row", "col").sortWithinPartitions("row", "col").mapInArrow(
-        cut, f"blk long, rows array<{types['row']}>, cols array<{types['col']}>, r array<int>, c array<int>, v array<double>"))
+    return cut_lineage(entries.repartition("row").sortWithinPartitions("row", "col").mapInArrow(
+        cut, f"blk long, whole boolean, rows array<{types['row']}>, cols array<{types['col']}>, r array<int>, c array<int>, v array<double>"))
 
 
-def _product(blocks: DataFrame, tall: DataFrame, width: int, transposed: bool = False, scale: float = 1.0, plus=()) -> DataFrame:
-    """Matrix (or its transpose) times the tall table (id, vec), times ``scale``, plus tall tables times their
-    factors; again a tall table."""
-    mine, other, ids, others = ("r", "c", "rows", "cols") if transposed else ("c", "r", "cols", "rows")
-    id_type = blocks.schema[others].dataType.elementType.simpleString()
-    got = blocks.select(F.col("blk").alias("of"), F.posexplode(ids).alias("pos", "id")).join(tall, "id").select("of", "pos", "vec")
+def _routes(blocks: DataFrame, ids: str) -> DataFrame:
+    """Which block (``of``) needs which id's vector, and where."""
+    return blocks.select(F.col("blk").alias("of"), F.posexplode(ids).alias("pos", "id"))
 
-    def multiply(block: pa.Table, vectors: pa.Table) -> pa.Table:
-        r, c, v = (block[n].combine_chunks().flatten().to_numpy(zero_copy_only=False) for n in (other, mine, "v"))
-        out_ids = block[others].combine_chunks().flatten()
-        x = np.zeros((int(c.max()) + 1, width))
-        if vectors.num_rows:
-            x[vectors["pos"].to_numpy()] = vectors["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        order = np.argsort(r, kind="stable")
-        starts = np.searchsorted(r[order], np.arange(len(out_ids)))
-        y = scale * np.add.reduceat(v[order][:, None] * x[c[order]], starts, axis=0)
-        offsets = pa.array(np.arange(0, y.size + 1, width, dtype=np.int32))
-        return pa.table({"id": out_ids, "vec": pa.ListArray.from_arrays(offsets, pa.array(y.ravel()))})
-
-    partial = blocks.groupBy("blk").cogroup(got.groupBy("of")).applyInArrow(multiply, f"id {id_type}, vec array<double>")
+
+def _entries(block: pa.Table) -> tuple:
+    """Rows, columns (positions) and values of a block's entries."""
+    return tuple(block[n].combine_chunks().flatten().to_numpy(zero_copy_only=False) for n in ("r", "c", "v"))
+
+
+def _placed(vectors: pa.Table, n: int, width: int) -> np.ndarray:
+    """The vectors of a block's ids in their places; 0 where there is none."""
+    x = np.zeros((n, width))
+    if vectors.num_rows:
+        x[vectors["pos"].to_numpy()] = vectors["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return x
+
+
+def _added(to: np.ndarray, of: np.ndarray, v: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+    """Sums of v * x[of] by ``to``, some entries at a time."""
+    if len(to) and (to[1:] < to[:-1]).any():
+        order = np.argsort(to, kind="stable")
+        to, of, v = to[order], of[order], v[order]
+    y = np.zeros((n, x.shape[1]))
+    for a in range(0, len(v), CHUNK):
+        t = to[a:a + CHUNK]
+        starts = np.concatenate([[0], np.flatnonzero(t[1:] != t[:-1]) + 1])
+        y[t[starts]] += np.add.reduceat(v[a:a + CHUNK, None] * x[of[a:a + CHUNK]], starts, axis=0)
+    return y
+
+
+def _tall_batch(ids: pa.Array, y: np.ndarray) -> pa.Table:
+    offsets = pa.array(np.arange(0, y.size + 1, y.shape[1], dtype=np.int32))
+    return pa.table({"id": ids, "vec": pa.ListArray.from_arrays(offsets, pa.array(y.ravel()))})
+
+
+def _sums(partial: DataFrame, width: int, plus=()) -> DataFrame:
+    """Vectors of one id added up, plus tall tables times their factors."""
     for more, factor in plus:
         scaled = F.zip_with("vec", F.array_repeat(F.lit(factor), width), lambda x, by: x * by)
         partial = partial.unionByName(more.select("id", scaled.alias("vec")))
@@ -95,6 +129,49 @@ def _product(blocks: DataFrame, tall: DataFrame, width: int, transposed: bool =
     return sums.select("id", F.array(*[f"s{j}" for j in range(width)]).alias("vec"))
 
 
+def _parts(blocks: DataFrame, tall: DataFrame, width: int, transposed: bool = False, scale: float = 1.0, routes=None) -> DataFrame:
+    """What each block adds to the product of the matrix (or its transpose) and the tall table."""
+    ids, others = ("rows", "cols") if transposed else ("cols", "rows")
+    id_type = blocks.schema[others].dataType.elementType.simpleString()
+    got = (routes or _routes(blocks, ids)).join(tall, "id").select("of", "pos", "vec")
+
+    def multiply(block: pa.Table, vectors: pa.Table) -> pa.Table:
+        r, c, v = _entries(block)
+        mine, other = (r, c) if transposed else (c, r)
+        out_ids = block[others].combine_chunks().flatten()
+        return _tall_batch(out_ids, scale * _added(other, mine, v, _placed(vectors, int(mine.max()) + 1, width), len(out_ids)))
+
+    return blocks.groupBy("blk").cogroup(got.groupBy("of")).applyInArrow(multiply, f"id {id_type}, vec array<double>")
+
+
+def _product(blocks: DataFrame, tall: DataFrame, width: int, transposed: bool = False, routes=None) -> DataFrame:
+    """Matrix (or its transpose) times the tall table (id, vec); again a tall table."""
+    return _sums(_parts(blocks, tall, width, transposed, routes=routes), width)
+
+
+def _there_and_back(blocks: DataFrame, routes: DataFrame, pieces: bool, tall: DataFrame, width: int, scale: float = 1.0, plus=()) -> DataFrame:
+    """Transpose times matrix times the tall table, times ``scale``, plus tall tables times their factors. A whole
+    block goes both ways at once, as its rows need nothing of other blocks; ``pieces`` says whether there are others."""
+    id_type = blocks.schema["cols"].dataType.elementType.simpleString()
+    got = routes.join(tall, "id").select("of", "pos", "vec")
+
+    def both(block: pa.Table, vectors: pa.Table) -> pa.Table:
+        r, c, v = _entries(block)
+        ids = block["cols"].combine_chunks().flatten()
+        y = _added(r, c, v, _placed(vectors, len(ids), width), int(r.max()) + 1)
+        return _tall_batch(ids, scale * _added(c, r, v, y, len(ids)))
+
+    if not pieces:
+        partial = blocks.groupBy("blk").cogroup(got.groupBy("of")).applyInArrow(both, f"id {id_type}, vec array<double>")
+    else:
+        whole, cut = blocks.where("whole"), blocks.where("NOT whole")
+        got = got.join(whole.select(F.col("blk").alias("of")), "of", "left_semi")
+        partial = whole.groupBy("blk").cogroup(got.groupBy("of")).applyInArrow(both, f"id {id_type}, vec array<double>")
+        left = cut_lineage(_product(cut, tall, width))
+        partial = partial.unionByName(_parts(cut, left, width, True, scale))
+    return _sums(partial, width, plus)
+
+
 def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
@@ -162,18 +239,14 @@ def _degree(s: np.ndarray) -> int:
     return min(DEGREE, int(np.arccosh(SPREAD) / max(np.arccosh(max(2 * (s[0] / s[-1]) ** 2 - 1, 1.0)), 1e-6)))
 
 
-def _filtered(blocks: DataFrame, right: DataFrame, s: np.ndarray, degree: int) -> DataFrame:
+def _filtered(step, right: DataFrame, s: np.ndarray, degree: int) -> DataFrame:
     """The Chebyshev polynomial of (transpose times matrix) that is at most 1 below the last of ``s``, applied to
-    ``right``, whose directions belong to ``s``; each direction scaled back."""
+    ``right``, whose directions belong to ``s``; each direction scaled back. ``step(tall, width, scale, plus)`` is
+    ``_there_and_back`` of the matrix."""
     width, bound = len(s), s[-1] ** 2
-
-    def next_one(now, scale, plus):
-        left = cut_lineage(_product(blocks, now, width))
-        return cut_lineage(_product(blocks, left, width, True, scale / bound, plus))
-
-    before, now = right, next_one(right, 2.0, [(right, -1.0)])
+    before, now = right, cut_lineage(step(right, width, 2.0 / bound, [(right, -1.0)]))
     for _ in range(degree - 1):
-        before, now = now, next_one(now, 4.0, [(now, -2.0), (before, -1.0)])
+        before, now = now, cut_lineage(step(now, width, 4.0 / bound, [(now, -2.0), (before, -1.0)]))
     grown = np.cosh(degree * np.arccosh(2 * s ** 2 / bound - 1))
     return _times_small(now, np.diag(1 / grown))
 
@@ -188,14 +261,15 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
     width = k + EXTRA
     blocks = _blocks(long, row_key, col_idx, value, max(1, BLOCK_CELLS // width))
     unit = lambda j: F.pmod(F.xxhash64(F.lit("range"), "id", j), F.lit(1 << 52)) / float(1 << 51) - 1.0
-    right = blocks.select(F.explode("cols").alias("id")).distinct().withColumn(
+    routes, pieces = cut_lineage(_routes(blocks, "cols")), not blocks.where("NOT whole").isEmpty()
+    right = routes.select("id").distinct().withColumn(
         "vec", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), unit))
     whole = right.count() <= width  # the range is the whole space: one product is exact
     if whole:
         right, width = _orthonormal(cut_lineage(right), width)
     before = None
     for _ in range(MAX_PASSES if width else 0):
-        left = cut_lineage(_product(blocks, right, width))
+        left = cut_lineage(_product(blocks, right, width, routes=routes))
         s, turn = _turned(left, width)
         if whole or not len(s):
             break
@@ -204,7 +278,8 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
         degree = _degree(s) if before is not None and len(s) == width else 0
         before = s[:k]
         if degree > 1:
-            right, width = _orthonormal(_filtered(blocks, _times_small(right, turn), s, degree), width)
+            step = functools.partial(_there_and_back, blocks, routes, pieces)
+            right, width = _orthonormal(_filtered(step, cut_lineage(_times_small(right, turn)), s, degree), width)
         else:
             basis, rank = _orthonormal(left, width)
             right, width = _orthonormal(cut_lineage(_product(blocks, basis, rank, transposed=True)), rank)

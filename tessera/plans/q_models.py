@@ -188,6 +188,8 @@ def q_doc_svd(spark, sf_dir):
     """Rank-10 SVD of the TF-IDF document x term matrix, U * S keyed by document."""
     w = E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9,
                 docs=table(spark, sf_dir, "documents").select("doc_id"))
+    # read by the vocabulary, its ranges and the join with it
+    w = cut_lineage(w.select("doc_id", "token", "tfidf"))
     long = w.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), F.col("tfidf").alias("value"))
     idx, _ = E.dict_vectorise(long, long)
     return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10))

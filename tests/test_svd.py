@@ -70,3 +70,35 @@ def test_no_row_wise_rdd_in_the_plan(spark):
     plan = svd._product(blocks, tall, 2)._jdf.queryExecution().toString()
     assert "partial_sum" in plan and "CoGroupInArrow" in plan.replace("FlatMapCoGroupsInArrow", "CoGroupInArrow")
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+
+
+def test_a_step_there_and_back_writes_no_left_side(spark, monkeypatch):
+    a = _sparse(150, 70, 5)
+    tall = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(np.random.default_rng(6).normal(size=(70, 3)))], "id long, vec array<double>")
+    x = _vectors(tall)
+    for size, cut in ((400, 0), (40, 1)):  # the second: one row, 70 entries, is longer than a block
+        blocks = svd._blocks(_long(spark, a), "row", "col", "v", size)
+        rows = [(r, b.whole) for b in blocks.collect() for r in b.rows]
+        assert {r for r, whole in rows if not whole} == {0} if cut else all(whole for _, whole in rows)
+        assert len([r for r, whole in rows if whole]) == len({r for r, whole in rows if whole}) == 150 - cut
+        assert max(len(b.v) for b in blocks.collect()) <= size
+        writes = []
+        with monkeypatch.context() as m:
+            m.setattr(svd, "cut_lineage", lambda df: writes.append(1) or df)
+            got = svd._there_and_back(blocks, svd._routes(blocks, "cols"), bool(cut), tall, 3, 0.5, [(tall, -1.0)])
+            assert _vectors(got) == pytest.approx(0.5 * a.T @ a @ x - x)
+        assert len(writes) == cut
+
+
+def _vectors(tall):
+    return np.array([r.vec for r in sorted(tall.collect(), key=lambda r: r.id)])
+
+
+def test_a_polynomial_of_the_matrix_costs_one_write_a_degree(spark, monkeypatch):
+    writes, cut = [], svd.cut_lineage
+    monkeypatch.setattr(svd, "cut_lineage", lambda df: writes.append(1) or cut(df))
+    passes, degree = [], svd._degree
+    monkeypatch.setattr(svd, "_degree", lambda s: passes.append(degree(s)) or passes[-1])
+    truncated_svd(_long(spark, _sparse(200, 90, 1)), "row", "col", "v", 5).count()
+    degrees = [d for d in passes if d > 1]
+    assert degrees and len(writes) <= sum(degrees) + 2 * len(degrees) + 8
