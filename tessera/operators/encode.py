@@ -113,9 +113,9 @@ def tfidf(tokens: DataFrame, doc: str = "doc_id", term: str = "token", min_df=1,
     # A row needs a document and a term (the per-document norm join drops null documents
     # anyway). ``tf`` feeds four branches (n_docs, df, the weights, the norms): write it
     # once to the checkpoint folder instead of tokenising the raw text four times.
-    from tessera.session import cut_lineage
+    from tessera.session import packed_table
     tokens = tokens.filter(F.col(doc).isNotNull() & F.col(term).isNotNull())
-    tf = cut_lineage(tokens.groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf")))
+    tf = packed_table(tokens.groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf")))
     n_docs = (tf if docs is None else docs).select(F.countDistinct(doc)).scalar()
     dfs = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("_tot"))
 

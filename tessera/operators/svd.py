@@ -4,7 +4,8 @@ The matrix comes as entries (row, column, value), is cut into blocks of a bounde
 once. A product with a tall table of vectors joins each block with the vectors of its own rows or columns only;
 what blocks share is added up by a map-side aggregation, so a row or column that is everywhere costs one vector
 a block. A block holds whole rows, so it goes through matrix and transpose at once; rows longer than a block are
-cut, and take the two products one after the other. Tall tables (row or column id, ``width`` numbers) stay distributed, on both sides of the matrix; they are
+cut, and take the two products one after the other. Blocks are dealt once and stay there: a step moves vectors
+only. What a step wrote and no later one reads is deleted at once, so steps do not add up on disk. Tall tables (row or column id, ``width`` numbers) stay distributed, on both sides of the matrix; they are
 made orthonormal through the R of a QR factorisation whose partition factors are merged sixteen at a time, so at
 most sixteen times ``width`` x ``width`` numbers reach the driver.
 
@@ -24,13 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, forget, outlive, scratch, settings
 
 __all__ = ["truncated_svd", "tall_r"]
 
 FAN_IN = 16
 EXTRA = 16  # vectors beyond k
-BLOCK_CELLS = 1 << 25  # entries of a block times width
+BLOCK_CELLS = 1 << 27  # entries of a block times width: the more a block holds, the fewer blocks share a column
+COLUMNS_A_TASK = 1 << 18  # vectors of a task
 CHUNK = 1 << 14  # entries multiplied at once
 SETTLED, MAX_PASSES = 1e-6, 30  # relative change of a squared singular value; each pass gains several digits
 DEGREE, SPREAD = 8, 1e10  # of the polynomial: highest degree, and how far it may pull the range's directions apart
@@ -239,53 +241,95 @@ def _degree(s: np.ndarray) -> int:
     return min(DEGREE, int(np.arccosh(SPREAD) / max(np.arccosh(max(2 * (s[0] / s[-1]) ** 2 - 1, 1.0)), 1e-6)))
 
 
-def _filtered(step, right: DataFrame, s: np.ndarray, degree: int) -> DataFrame:
+def _filtered(step, right: DataFrame, s: np.ndarray, degree: int) -> tuple[DataFrame, DataFrame]:
     """The Chebyshev polynomial of (transpose times matrix) that is at most 1 below the last of ``s``, applied to
     ``right``, whose directions belong to ``s``; each direction scaled back. ``step(tall, width, scale, plus)`` is
-    ``_there_and_back`` of the matrix."""
+    ``_there_and_back`` of the matrix. Also the written table that the result is made of; ``right`` and the others
+    are deleted."""
     width, bound = len(s), s[-1] ** 2
     before, now = right, cut_lineage(step(right, width, 2.0 / bound, [(right, -1.0)]))
     for _ in range(degree - 1):
-        before, now = now, cut_lineage(step(now, width, 4.0 / bound, [(now, -2.0), (before, -1.0)]))
+        after = cut_lineage(step(now, width, 4.0 / bound, [(now, -2.0), (before, -1.0)]))
+        forget(before)
+        before, now = now, after
+    forget(before)
     grown = np.cosh(degree * np.arccosh(2 * s ** 2 / bound - 1))
-    return _times_small(now, np.diag(1 / grown))
+    return _times_small(now, np.diag(1 / grown)), now
 
 
-def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: int, prefix: str = "svd_") -> DataFrame:
+def _dealt(table: DataFrame, key: str, tasks: int) -> DataFrame:
+    """A written table dealt by a key into tasks that a later step knows of: it meets others without moving again.
+    Only without adaptive execution, which forgets where rows are."""
+    out = cut_lineage(table.repartition(tasks, key).sortWithinPartitions(key))
+    forget(table)
+    return out
+
+
+def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: int, prefix: str = "svd_", spent=()) -> DataFrame:
     """Rank-k projection U * S of a sparse matrix given in long form (row, column, value).
 
     Rows are keyed (no positional alignment); components fall by singular value and are defined up to sign.
     Entries of the same place add up; a null or non-finite value counts as 0; entries with a null row or column
     take no part; every other row comes back, once. Always ``k`` components: those beyond the rank are 0.
+    ``spent``: written tables of an open ``scratch`` that only ``long`` reads, deleted once the matrix is written.
     """
+    spark = long.sparkSession
+    with scratch(spark):
+        blocks = _blocks(long, row_key, col_idx, value, max(1, BLOCK_CELLS // (k + EXTRA)))
+        forget(*spent)
+        sizes = blocks.select(F.size("cols").alias("n"), "whole").groupBy().agg(
+            F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("cols"), F.min("whole").alias("whole")).first()
+        tasks = max(spark.sparkContext.defaultParallelism, -(-(sizes.cols or 0) // COLUMNS_A_TASK))
+        with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions=tasks):
+            # the matrix stays where it is from here on, three tasks a block, so that few get two
+            blocks = _dealt(blocks, "blk", max(tasks, 3 * sizes.blocks))
+            left, small = _projection(blocks, tasks, sizes.whole is False, k)
+            if left is None:  # no entries
+                outlive(blocks, every=True)
+            else:
+                outlive(left, every=True)
+    if left is None:
+        return blocks.select(F.explode("rows").alias(row_key)).distinct().select(
+            row_key, *[F.lit(0.0).alias(f"{prefix}{j}") for j in range(k)])
+    return _times_small(left, small).select(F.col("id").alias(row_key), *[F.col("vec")[j].alias(f"{prefix}{j}") for j in range(k)])
+
+
+def _projection(blocks: DataFrame, tasks: int, pieces: bool, k: int) -> tuple[DataFrame | None, np.ndarray | None]:
+    """Matrix times an orthonormal range, and the small matrix that turns it into U * S; None without a range."""
     width = k + EXTRA
-    blocks = _blocks(long, row_key, col_idx, value, max(1, BLOCK_CELLS // width))
     unit = lambda j: F.pmod(F.xxhash64(F.lit("range"), "id", j), F.lit(1 << 52)) / float(1 << 51) - 1.0
-    routes, pieces = cut_lineage(_routes(blocks, "cols")), not blocks.where("NOT whole").isEmpty()
+    routes = cut_lineage(_routes(blocks, "cols").repartition(tasks, "id").sortWithinPartitions("id"))
     right = routes.select("id").distinct().withColumn(
         "vec", F.transform(F.sequence(F.lit(0), F.lit(width - 1)), unit))
-    whole = right.count() <= width  # the range is the whole space: one product is exact
+    under = cut_lineage(right)  # the written table that ``right`` is made of
+    right, whole = under, under.count() <= width  # the range is the whole space: one product is exact
     if whole:
-        right, width = _orthonormal(cut_lineage(right), width)
-    before = None
-    for _ in range(MAX_PASSES if width else 0):
+        right, width = _orthonormal(right, width)
+    before = left = None
+    for done in range(MAX_PASSES if width else 0):
         left = cut_lineage(_product(blocks, right, width, routes=routes))
         s, turn = _turned(left, width)
-        if whole or not len(s):
+        if whole or not len(s) or done + 1 == MAX_PASSES:
             break
         if before is not None and len(before) == len(s[:k]) and (np.abs(s[:k] ** 2 - before ** 2) <= SETTLED * s[:k] ** 2).all():
             break
         degree = _degree(s) if before is not None and len(s) == width else 0
         before = s[:k]
         if degree > 1:
+            forget(left)
             step = functools.partial(_there_and_back, blocks, routes, pieces)
-            right, width = _orthonormal(_filtered(step, cut_lineage(_times_small(right, turn)), s, degree), width)
+            turned = cut_lineage(_times_small(right, turn))
+            forget(under)
+            right, under = _filtered(step, turned, s, degree)
+            right, width = _orthonormal(right, width)
         else:
             basis, rank = _orthonormal(left, width)
-            right, width = _orthonormal(cut_lineage(_product(blocks, basis, rank, transposed=True)), rank)
-    if not width:  # no entries
-        return blocks.select(F.explode("rows").alias(row_key)).distinct().select(
-            row_key, *[F.lit(0.0).alias(f"{prefix}{j}") for j in range(k)])
+            forget(under)
+            under = cut_lineage(_product(blocks, basis, rank, transposed=True))
+            forget(left)
+            right, width = _orthonormal(under, rank)
+    if not width:
+        return None, None
     small = np.zeros((width, k))
     small[:, :len(s[:k])] = turn[:, :k]
-    return _times_small(left, small).select(F.col("id").alias(row_key), *[F.col("vec")[j].alias(f"{prefix}{j}") for j in range(k)])
+    return left, small

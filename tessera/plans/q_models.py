@@ -13,7 +13,7 @@ from tessera.operators.folds import kfold, train_test_split
 from tessera.plans.q_metrics import fold_sql
 from tessera.plans.q_text import DOCLAB_SQL, TOKENS_SQL
 from tessera.plans.registry import finish, register
-from tessera.session import cut_lineage, table
+from tessera.session import cut_lineage, outlive, packed_table, scratch, table
 from tessera.sources import standins as S
 
 FEATURES = ["n_chars", "n_tokens", "n_distinct", "lang_en", "lang_fr", "lang_de", "lang_es"]
@@ -186,13 +186,15 @@ def q_doc_feature_importance(spark, sf_dir):
 @register("doc_svd")
 def q_doc_svd(spark, sf_dir):
     """Rank-10 SVD of the TF-IDF document x term matrix, U * S keyed by document."""
-    w = E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9,
-                docs=table(spark, sf_dir, "documents").select("doc_id"))
-    # read by the vocabulary, its ranges and the join with it
-    w = cut_lineage(w.select("doc_id", "token", "tfidf"))
-    long = w.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), F.col("tfidf").alias("value"))
-    idx, _ = E.dict_vectorise(long, long)
-    return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10))
+    with scratch(spark):  # the texts' tables go as soon as the matrix is written
+        with scratch(spark):
+            w = E.tfidf(S.doc_tokens(spark, sf_dir), "doc_id", "token", min_df=2, max_df=0.9,
+                        docs=table(spark, sf_dir, "documents").select("doc_id"))
+            # read by the vocabulary, its ranges and the join with it
+            w = outlive(packed_table(w.select("doc_id", "token", "tfidf")))
+        long = w.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), F.col("tfidf").alias("value"))
+        idx, _ = E.dict_vectorise(long, long)
+        return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10, spent=[w]))
 
 
 @register("embedding_pca")

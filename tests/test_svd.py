@@ -102,3 +102,41 @@ def test_a_polynomial_of_the_matrix_costs_one_write_a_degree(spark, monkeypatch)
     truncated_svd(_long(spark, _sparse(200, 90, 1)), "row", "col", "v", 5).count()
     degrees = [d for d in passes if d > 1]
     assert degrees and len(writes) <= sum(degrees) + 2 * len(degrees) + 8
+
+
+def _written(spark):
+    from tessera.session import ensure_checkpoint_dir
+    where = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    return {str(f.getPath()) for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)}
+
+
+def test_only_the_result_stays_written(spark):
+    before = _written(spark)
+    out = truncated_svd(_long(spark, _sparse(200, 90, 1)), "row", "col", "v", 5)
+    assert len(_written(spark) - before) == 1
+    assert out.count() == 200 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    nothing = truncated_svd(_long(spark, np.zeros((3, 3))), "row", "col", "v", 2)
+    assert nothing.collect() == []
+
+
+def test_the_matrix_stays_where_it_is(spark):
+    from tessera.session import settings
+    blocks = svd._blocks(_long(spark, _sparse(150, 70, 5)), "row", "col", "v", 400)
+    tall = blocks.select(F.explode("cols").alias("id")).distinct().withColumn("vec", F.array(F.lit(1.0), F.lit(2.0)))
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        blocks = svd._dealt(blocks, "blk", 12)
+        plan = svd._there_and_back(blocks, svd._routes(blocks, "cols"), False, tall, 2)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not [line for line in moved if "hashpartitioning(blk" in line]
+
+
+def test_spent_tables_go_before_the_range_is_searched(spark, monkeypatch):
+    from tessera.session import outlive, packed_table, scratch
+    seen, dealt = [], svd._dealt
+    with scratch(spark):
+        with scratch(spark):
+            long = outlive(packed_table(_long(spark, _sparse(60, 40, 2))))
+        assert any(long._packed.split("/")[-1] in f for f in _written(spark))
+        monkeypatch.setattr(svd, "_dealt", lambda *a: seen.append(any(long._packed.split("/")[-1] in f for f in _written(spark))) or dealt(*a))
+        out = truncated_svd(long, "row", "col", "v", 3, spent=[long])
+    assert seen == [False] and out.count() == 60
