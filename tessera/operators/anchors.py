@@ -4,17 +4,21 @@ The anchors of an image are a function of its shape: level, row, column and side
 id. So no anchor table is needed: a box solves for the index ranges of the anchors it can match, per level
 and ratio, and only those are written out. A pair's IoU is at most the IoU of its two sides along either
 axis, which turns a least IoU into a largest distance between the centres. No key is shared between images
-beyond the image's own, and the work grows with the pairs that count, not with the anchors.
+beyond the image's own, and the work grows with the pairs that count, not with the anchors. An image is labelled where
+its boxes are, in one row; only images of very many boxes write and move their pairs.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +102,11 @@ def grid_anchors(shapes: DataFrame, grid: AnchorGrid) -> DataFrame:
 BOXES, PAIRS = 512, 1 << 20
 #: Pairs grouped in one task, about 300 bytes of its memory each.
 TASK_PAIRS = 1 << 21
+#: Pairs a box is reckoned with as long as they are not made.
+PAIRS_A_BOX = 16
+#: An image of more boxes than this is not one row; images and their boxes worked on at once.
+CROWDED = 256
+ROWS, ROW_BOXES = 1024, 4096
 
 
 def _pairs_of(grid: AnchorGrid, box: np.ndarray, shape: np.ndarray, real: np.ndarray, least: np.ndarray):
@@ -141,13 +150,13 @@ def _pairs_of(grid: AnchorGrid, box: np.ndarray, shape: np.ndarray, real: np.nda
             cy, cx = (i * step).astype(float), (j * step).astype(float)
             anchor = np.stack([cy - 0.5 * size[0], cx - 0.5 * size[1], cy + 0.5 * size[0], cx + 0.5 * size[1]], axis=1)
             g = box[b]
-            inter = np.maximum(np.minimum(g[:, 2], anchor[:, 2]) - np.maximum(g[:, 0], anchor[:, 0]), 0) \
-                * np.maximum(np.minimum(g[:, 3], anchor[:, 3]) - np.maximum(g[:, 1], anchor[:, 1]), 0)
-            iou = inter / ((g[:, 2] - g[:, 0]) * (g[:, 3] - g[:, 1])
-                           + (anchor[:, 2] - anchor[:, 0]) * (anchor[:, 3] - anchor[:, 1]) - inter)
+            inter = _common(g, anchor)
+            iou = inter / (_area(g) + _area(anchor) - inter)
             some = (inter > 0) & ((iou >= least[b]) | winner[b, 0])
             found.append((b[some], (first[b] + (i * n[b, 1] + j) * len(grid.ratios) + k)[some], anchor[some], iou[some]))
             at = end
+    if not found:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros((0, 4)), np.zeros(0), np.zeros(0, bool)
     b, ids, anchor, iou = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((ids, -iou, b))
     b, ids, anchor, iou = b[order], ids[order], anchor[order], iou[order]
@@ -193,10 +202,137 @@ def label_grid_anchors(grid: AnchorGrid, gt: DataFrame, images: DataFrame, per_i
     ``neg_thr`` unless a box of another class has IoU >= 0.001 with it; at most per_image / 2 positives, and
     negatives drawn uniformly from the image's other anchors up to per_image.
 
-    Written out are only the pairs that can change a label: those from IoU ``neg_thr`` on, and those of the
+    Only pairs that can change a label count: those from IoU ``neg_thr`` on, and those of the
     other boxes from 0.001 on. The best anchor of a box comes from the grid position nearest to its centre;
-    one below ``neg_thr`` meets the other boxes of its image, which may be nearer to it."""
+    one below ``neg_thr`` meets the other boxes of its image, which may be nearer to it.
+
+    An image is one row with its boxes, so its pairs are made, labelled and drawn from in one place and none is
+    written or moved. Images of more than ``CROWDED`` boxes are labelled pair by pair instead."""
     size = images.select("image_id", "height", "width")
+    gt = gt.filter(F.col("image_id").isNotNull())
+    few = gt.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = few.groupBy(F.least("n", F.lit(CROWDED + 1)).alias("n")).count().collect()  # at most CROWDED + 1 rows
+    boxes = sum(r["n"] * r["count"] for r in sizes)
+    rule = functools.partial(_targets_by_pairs, grid, per_image=per_image, pos_thr=pos_thr, neg_thr=neg_thr, seed=seed)
+    if any(r["n"] > CROWDED for r in sizes):
+        crowded = F.broadcast(cut_lineage(few.filter(F.col("n") > CROWDED).select("image_id")))
+        by_pairs = rule(gt.join(crowded, "image_id", "left_semi"), size.join(crowded, "image_id", "left_semi"))
+        gt, size = (x.join(crowded, "image_id", "left_anti") for x in (gt, size))
+    else:
+        nothing = lambda df: df.sparkSession.createDataFrame([], df.schema)
+        by_pairs = rule(nothing(gt), nothing(size))
+    tasks = -(-boxes * PAIRS_A_BOX // TASK_PAIRS)
+    more = tasks > int(gt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    real, area = F.coalesce(F.col("class_id") > 0, F.lit(False)), (F.col("y2") > F.col("y1")) & (F.col("x2") > F.col("x1"))
+    one = F.struct((-F.col("gt_id")).alias("o"), *[F.col(c).cast("double").alias(c) for c in SIDES], real.alias("real"))
+    rows = gt.filter(area).select("image_id", one.alias("b"))
+    rows = (rows.repartition(tasks, "image_id") if more else rows).groupBy("image_id").agg(
+        F.sort_array(F.collect_list("b"), asc=False).alias("boxes"))  # of equal boxes the smaller gt_id comes first
+    t = size.join(rows, "image_id", "left").select(
+        "image_id", grid.total(F.col("height"), F.col("width")).alias("n"), F.col("height").cast("double").alias("height"),
+        F.col("width").cast("double").alias("width"), hash_int(seed + 1, "image_id").alias("a"), hash_int(seed + 2, "image_id").alias("z"),
+        F.concat_ws("|", F.lit(str(seed)), F.col("image_id").cast("string")).alias("name"), "boxes")
+    run = functools.partial(_image_targets, grid, per_image, pos_thr, min(neg_thr, pos_thr))
+    out = t.mapInArrow(run, f"image_id {size.schema['image_id'].dataType.simpleString()}, anchor_id long, match int, d array<double>")
+    delta = box_refinement(*(tuple(F.get("d", F.lit(k + j)) for j in range(4)) for k in (0, 4)), std=RPN_STD)
+    return out.select("image_id", "anchor_id", "match", *delta).unionByName(by_pairs)
+
+
+def _image_targets(grid: AnchorGrid, per_image: int, pos_thr: float, least: float, batches):
+    """Rows of images with their boxes to the images' anchors: (image_id, anchor_id, match, sides of the anchor and of
+    its box, null for negatives)."""
+    primes = {}
+    for batch in batches:
+        some = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(batch.column("boxes")), 0).to_numpy())])
+        at = 0
+        while at < batch.num_rows:
+            end = min(max(at + 1, int(np.searchsorted(some, some[at] + ROW_BOXES, side="right")) - 1), at + ROWS, batch.num_rows)
+            yield _targets(grid, per_image, pos_thr, least, batch.slice(at, end - at), primes)
+            at = end
+
+
+def _targets(grid: AnchorGrid, per_image: int, pos_thr: float, least: float, part: pa.RecordBatch, primes: dict) -> pa.RecordBatch:
+    n, height, width, a, z = (part.column(c).to_numpy() for c in ("n", "height", "width", "a", "z"))
+    rows = part.num_rows
+    counts = pc.fill_null(pc.list_value_length(part.column("boxes")), 0).to_numpy()
+    owner, begin = np.repeat(np.arange(rows), counts), np.cumsum(counts) - counts
+    _, *sides, real = part.column("boxes").flatten().flatten()
+    box, real = np.stack([s.to_numpy() for s in sides], axis=1), real.to_numpy(zero_copy_only=False)
+    shape = np.stack([height, width], axis=1)[owner]
+    b, ids, anchor, iou, best = _pairs_of(grid, box, shape, real, np.where(real, least, 0.001))
+    weak = np.flatnonzero(best & (iou < least))
+    if len(weak):  # the best anchor of a box that is far from it may be nearer to another one
+        m = counts[owner[b[weak]]]
+        near = np.repeat(begin[owner[b[weak]]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        w = np.repeat(weak, m)
+        inter = _common(box[near], anchor[w])
+        value = inter / (_area(box[near]) + _area(anchor[w]) - inter)
+        some = (inter > 0) & real[near]
+        b, ids, anchor, iou, best = (np.concatenate([x, y[some]]) for x, y in (
+            (b, near), (ids, ids[w]), (anchor, anchor[w]), (iou, value), (best, np.ones(len(w), bool))))
+    # every touched anchor once, with its best box of class > 0; none of them can be negative
+    step = int(ids.max(initial=0)) + 1
+    key, top = owner[b] * step + ids, np.where(real[b], iou, -1.0)
+    order = np.lexsort((b, -top, key))
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    any_best = np.maximum.reduceat(best[order], first) if len(first) else np.zeros(0, bool)
+    barred, one = key[first], order[first]
+    positive = any_best | (np.maximum(top[one], 0.0) >= pos_thr)
+    one, image = one[positive], barred[positive] // step
+    found, cap = np.bincount(image, minlength=rows), per_image // 2
+    if (found > cap).any():  # drawn
+        names, keep = part.column("name"), found[image] <= cap
+        for i in np.flatnonzero(found > cap):
+            k = np.flatnonzero(image == i)
+            drawn = sorted(k, key=lambda j: (hashlib.md5(f"{names[i].as_py()}|{ids[one[j]]}".encode()).hexdigest(), ids[one[j]]))
+            keep[drawn[:cap]] = True
+        one, image = one[keep], image[keep]
+    # the images' own permutations of their anchor ids, see boxes._draw_anchors
+    want = per_image - np.bincount(image, minlength=rows)
+    p = np.array([_prime(primes, v) for v in n.tolist()], np.int64)
+    a, z = 1 + a % (p - 1), z % p
+    steps = np.where((want > 0) & (n > 0), np.minimum(p, want + np.bincount(barred // step, minlength=rows) + p - n), 0)
+    walker = np.repeat(np.arange(rows), steps)
+    j = np.arange(len(walker)) - np.repeat(np.cumsum(steps) - steps, steps)
+    met = (a[walker] * j + z[walker]) % p[walker]
+    free = met < n[walker]
+    known = met < step  # ids beyond the largest touched one are no key
+    spot = np.searchsorted(barred, walker * step + met)
+    free &= ~(known & (barred[np.minimum(spot, len(barred) - 1)] == walker * step + met)) if len(barred) else True
+    walker, met = walker[free], met[free]
+    rank = np.arange(len(walker)) - np.searchsorted(walker, walker)
+    taken = rank < want[walker]
+    walker, met = walker[taken], met[taken]
+
+    has = np.where(top[one] >= 0, 8, 0)  # an anchor has no box only if every one is positive
+    d = np.concatenate([anchor[one], box[b[one]]], axis=1)[has > 0]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(has), np.full(len(met), has.sum())]).astype(np.int32),
+                       mask=np.concatenate([has == 0, np.ones(len(met), bool), [False]]))
+    return pa.RecordBatch.from_arrays(
+        [part.column("image_id").take(pa.array(np.concatenate([image, walker]))), pa.array(np.concatenate([ids[one], met])),
+         pa.array(np.repeat([1, -1], [len(one), len(met)]).astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(d.ravel()))],
+        names=["image_id", "anchor_id", "match", "d"])
+
+
+def _prime(primes: dict, n: int) -> int:
+    if n not in primes:
+        primes[n] = next_prime(n)
+    return primes[n]
+
+
+def _area(box: np.ndarray) -> np.ndarray:
+    return (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.maximum(np.minimum(a[:, 2], b[:, 2]) - np.maximum(a[:, 0], b[:, 0]), 0) \
+        * np.maximum(np.minimum(a[:, 3], b[:, 3]) - np.maximum(a[:, 1], b[:, 1]), 0)
+
+
+def _targets_by_pairs(grid: AnchorGrid, gt: DataFrame, size: DataFrame, per_image: int, pos_thr: float, neg_thr: float,
+                      seed: int) -> DataFrame:
+    """``label_grid_anchors`` for images of any number of boxes: every pair is a row."""
     boxes = gt.select("image_id", "gt_id", "class_id", *SIDES).join(size, "image_id")
     least, real = min(neg_thr, pos_thr), F.col("class_id") > 0
     # two branches read the pairs: written once to the checkpoint folder
