@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.boxes import box_refinement
-from tessera.operators.boxes import RPN_STD, iou_join, next_prime
+from tessera.operators.boxes import RPN_STD, _area, _common, iou_join, next_prime
 from tessera.operators.window import hash_int, hash_order
 from tessera.session import cut_lineage
 
@@ -321,15 +321,6 @@ def _prime(primes: dict, n: int) -> int:
     return primes[n]
 
 
-def _area(box: np.ndarray) -> np.ndarray:
-    return (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
-
-
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.maximum(np.minimum(a[:, 2], b[:, 2]) - np.maximum(a[:, 0], b[:, 0]), 0) \
-        * np.maximum(np.minimum(a[:, 3], b[:, 3]) - np.maximum(a[:, 1], b[:, 1]), 0)
-
-
 def _targets_by_pairs(grid: AnchorGrid, gt: DataFrame, size: DataFrame, per_image: int, pos_thr: float, neg_thr: float,
                       seed: int) -> DataFrame:
     """``label_grid_anchors`` for images of any number of boxes: every pair is a row."""

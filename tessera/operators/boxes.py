@@ -10,10 +10,16 @@ never all of its pairs.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.boxes import apply_box_deltas, box_refinement, clip, iou
 from tessera.operators.window import cap_per_group, hash_int
@@ -218,43 +224,109 @@ def _draw_anchors(size: DataFrame, anchors: DataFrame, barred: DataFrame, n_pos:
     return free.select("image_id", "anchor_id")
 
 
+#: Pairs of rois and boxes worked on at once, and images.
+ROI_PAIRS, ROI_ROWS = 1 << 18, 2048
+
+
 def sample_training_rois(rois: DataFrame, gt: DataFrame, per_image: int = 200, pos_frac: float = 0.33,
                          pos_thr: float = 0.5, seed: int = 0, cell: int = 32) -> DataFrame:
     """Detection-head targets (D6): positives IoU >= pos_thr with a non-crowd gt, negatives
     below it and not overlapping a crowd box (IoU >= 0.001); positives capped at
     pos_frac * per_image, negatives at positives * (1/pos_frac - 1); positives get the
     class and std-scaled deltas of their best gt. Mask crops are not built. ``cell`` is of no
-    effect: no grid is needed where an image's rois are one row."""
+    effect: an image is one row with its rois and boxes, so no grid is needed and no pair of them is ever a row."""
     sides = ("y1", "x1", "y2", "x2")
-    per = rois.groupBy("image_id").agg(F.collect_list(F.struct("roi_id", *sides)).alias("_rois"))
-    # every box meets the rois of its image, which come in one row: no roi travels again, and from here
-    # on everything is dealt by image
-    g = gt.select("image_id", "gt_id", F.col("class_id").alias("g_class_id"), *[F.col(c).alias(f"g_{c}") for c in sides])
-    r = per.join(g, "image_id", "left").select("image_id", F.posexplode("_rois").alias("_at", "_r"), "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
-    r = r.select("image_id", "_at", "_r.*", "gt_id", "g_class_id", *[f"g_{c}" for c in sides])
-    box, other = tuple(F.col(c) for c in sides), tuple(F.col(f"g_{c}") for c in sides)
-    overlap = (F.least(box[2], other[2]) > F.greatest(box[0], other[0])) & (F.least(box[3], other[3]) > F.greatest(box[1], other[1]))
-    r = r.withColumn("iou", F.when(overlap, iou(box, other)))
-    real = F.when((F.col("g_class_id") > 0) & F.col("iou").isNotNull(), F.struct(
-        F.col("iou"), (-F.col("gt_id")).alias("o"), F.col("g_class_id").alias("class_id"), *[F.col(f"g_{c}").alias(c) for c in sides]))
-    r = r.groupBy("image_id", "_at", "roi_id", *sides).agg(  # a roi given twice stays two rows
-        F.max(real).alias("g"), F.max((F.col("g_class_id") < 0) & (F.col("iou") >= 0.001)).alias("_crowd"))
-    r = r.select("*", F.coalesce("g.iou", F.lit(0.0)).alias("max_iou"))
-    pos = cap_per_group(r.filter(F.col("max_iou") >= pos_thr), ["image_id"], int(per_image * pos_frac),
-                        seed, ["roi_id"])
-    n_pos = pos.groupBy("image_id").agg(F.count(F.lit(1)).alias("_np"))
-    negs = r.filter((F.col("max_iou") < pos_thr) & ~F.coalesce("_crowd", F.lit(False))) \
-            .join(n_pos, "image_id", "left").fillna(0, subset=["_np"])
-    cap = F.floor(F.col("_np") * (1.0 / pos_frac - 1.0)).cast("int")
-    max_pos = int(per_image * pos_frac)  # n_pos never exceeds it, so neither does cap
-    negs = cap_per_group(negs, ["image_id"], cap, seed + 1, ["roi_id"],
-                         max_n=int(math.floor(max_pos * (1.0 / pos_frac - 1.0))))
-    d = box_refinement(tuple(F.col(c) for c in ("y1", "x1", "y2", "x2")),
-                       tuple(F.col(f"g.{c}") for c in ("y1", "x1", "y2", "x2")), std=BBOX_STD)
-    p = pos.select("image_id", "roi_id", F.col("g.class_id").alias("class_id"), *d)
-    n = negs.select("image_id", "roi_id", F.lit(0).alias("class_id"),
-                    *[F.lit(0.0).alias(f"d{x}") for x in ("y", "x", "h", "w")])
-    return p.unionByName(n)
+    per = rois.groupBy("image_id").agg(F.collect_list(F.struct("roi_id", *[F.col(c).cast("double").alias(c) for c in sides])).alias("rois"))
+    box = F.struct((-F.col("gt_id")).alias("o"), "class_id", *[F.col(c).cast("double").alias(c) for c in sides])
+    boxes = gt.groupBy("image_id").agg(F.sort_array(F.collect_list(box), asc=False).alias("boxes"))  # of equal ones the first counts
+    t = per.join(boxes, "image_id", "left").select("image_id", F.col("image_id").cast("string").alias("name"), "rois", "boxes")
+    if not isinstance(rois.schema["roi_id"].dataType, T.IntegralType):  # the text of a whole number needs no Spark
+        t = t.withColumn("names", F.transform("rois", lambda r: r["roi_id"].cast("string")))
+    kinds = [df.schema[c].dataType.simpleString() for df, c in ((rois, "image_id"), (rois, "roi_id"), (gt, "class_id"))]
+    run = functools.partial(_image_rois, int(per_image * pos_frac), 1.0 / pos_frac - 1.0, pos_thr, seed)
+    out = t.mapInArrow(run, f"image_id {kinds[0]}, roi_id {kinds[1]}, class_id {kinds[2]}, neg boolean, d array<double>")
+    delta = box_refinement(*(tuple(F.get("d", F.lit(k + j)) for j in range(4)) for k in (0, 4)), std=BBOX_STD)
+    names = [f"d{x}" for x in ("y", "x", "h", "w")]
+    return out.select("image_id", "roi_id", F.when(F.col("neg"), F.lit(0)).otherwise(F.col("class_id")).alias("class_id"),
+                      *[F.when(F.col("neg"), F.lit(0.0)).otherwise(x).alias(n) for x, n in zip(delta, names)])
+
+
+def _image_rois(cap: int, per_positive: float, pos_thr: float, seed: int, batches):
+    """Rows of images with their rois and boxes to the sampled rois: (image_id, roi_id, class_id, neg, sides of the roi
+    and of its box, null for negatives)."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROI_ROWS):
+            yield _sampled_rois(cap, per_positive, pos_thr, seed, batch.slice(at, ROI_ROWS))
+
+
+def _sampled_rois(cap: int, per_positive: float, pos_thr: float, seed: int, part: pa.RecordBatch) -> pa.RecordBatch:
+    n_rois, n_boxes = (pc.fill_null(pc.list_value_length(part.column(c)), 0).to_numpy() for c in ("rois", "boxes"))
+    ids, *roi = part.column("rois").flatten().flatten()
+    _, classes, *box = part.column("boxes").flatten().flatten()
+    roi, box = (np.stack([s.to_numpy(zero_copy_only=False) for s in x], axis=1) for x in (roi, box))
+    kind = classes.to_numpy(zero_copy_only=False)
+    image, begin = np.repeat(np.arange(part.num_rows), n_rois), np.cumsum(n_boxes) - n_boxes
+    pairs = np.concatenate([[0], np.cumsum(n_boxes[image])])
+    top, best, crowd, at = np.full(len(roi), -1.0), np.zeros(len(roi), int), np.zeros(len(roi), bool), 0
+    while at < len(roi):  # a bounded number of pairs at once
+        end = max(at + 1, int(np.searchsorted(pairs, pairs[at] + ROI_PAIRS, side="right")) - 1)
+        m = n_boxes[image[at:end]]
+        r = np.repeat(np.arange(at, end), m)
+        b = np.arange(len(r)) + np.repeat(begin[image[at:end]] - (pairs[at:end] - pairs[at]), m)
+        inter = _common(roi[r], box[b])
+        some = np.flatnonzero(inter > 0)
+        r, b, inter = r[some], b[some], inter[some]
+        iou_ = inter / (_area(roi[r]) + _area(box[b]) - inter)
+        crowd[r[(kind[b] < 0) & (iou_ >= 0.001)]] = True
+        real = kind[b] > 0
+        r, b, iou_ = r[real], b[real], iou_[real]
+        np.maximum.at(top, r, iou_)
+        first = np.flatnonzero(iou_ == top[r])[::-1]  # the first of equal ones is set last
+        best[r[first]] = b[first]
+        at = end
+    most = np.maximum(top, 0.0)
+    name = part.column("name")
+    names = part.column("names").flatten() if "names" in part.schema.names else None
+
+    def drawn(some: np.ndarray, least: np.ndarray, by: int) -> np.ndarray:
+        """Of these rois the first ``least`` of their image, in the order of ``cap_per_group``."""
+        count = np.bincount(image[some], minlength=part.num_rows)
+        keep = [some[(count <= least)[image[some]]]]
+        over = some[((count > least) & (least > 0))[image[some]]]
+        images, first = np.unique(image[over], return_index=True)
+        head = ["|".join([str(by), *filter(None.__ne__, [x])]) for x in name.take(pa.array(images)).to_pylist()]
+        own = ids.take(pa.array(over)).to_pylist()
+        text = [*map(str, own)] if names is None else names.take(pa.array(over)).to_pylist()
+        for i, begin, end in zip(range(len(images)), first, [*first[1:], len(over)]):
+            order = sorted(range(begin, end), key=lambda j: (hashlib.md5(  # noqa: B023
+                (f"{head[i]}|{text[j]}" if own[j] is not None else head[i]).encode()).hexdigest(), own[j] is not None, own[j]))  # noqa: B023
+            keep.append(over[order[:least[images[i]]]])
+        return np.concatenate(keep).astype(int)
+
+    pos = drawn(np.flatnonzero(most >= pos_thr), np.full(part.num_rows, cap), seed)
+    found = np.bincount(image[pos], minlength=part.num_rows)
+    neg = drawn(np.flatnonzero((most < pos_thr) & ~crowd), np.floor(found * per_positive).astype(int), seed + 1)
+    has = top[pos] >= 0
+    d = np.concatenate([roi[pos[has]], box[best[pos[has]]]], axis=1)
+    size = np.where(has, 8, 0)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(size), np.full(len(neg), size.sum())]).astype(np.int32),
+                       mask=np.concatenate([~has, np.ones(len(neg), bool), [False]]))
+    both = pa.array(np.concatenate([pos, neg]))
+    label = pa.array(np.concatenate([best[pos], np.zeros(len(neg), int)]), mask=np.concatenate([~has, np.ones(len(neg), bool)]))
+    return pa.RecordBatch.from_arrays(
+        [part.column("image_id").take(pa.array(image[np.concatenate([pos, neg])])), ids.take(both), classes.take(label),
+         pa.array(np.repeat([False, True], [len(pos), len(neg)])), pa.ListArray.from_arrays(offsets, pa.array(d.ravel()))],
+        names=["image_id", "roi_id", "class_id", "neg", "d"])
+
+
+def _area(box: np.ndarray) -> np.ndarray:
+    return (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Areas that boxes share, row by row."""
+    return np.maximum(np.minimum(a[:, 2], b[:, 2]) - np.maximum(a[:, 0], b[:, 0]), 0) \
+        * np.maximum(np.minimum(a[:, 3], b[:, 3]) - np.maximum(a[:, 1], b[:, 1]), 0)
 
 
 def apply_deltas_clip(df: DataFrame, deltas, window, std=None) -> DataFrame:
@@ -285,6 +357,10 @@ def _u(seed: int, *cols) -> Column:
     return hash_int(seed, *cols).cast("double") / float(1 << 28)
 
 
+#: Rois of one task, which an image's own are collected from later.
+TASK_ROIS = 1 << 21
+
+
 def random_rois(gt: DataFrame, images: DataFrame, n: int, seed: int = 0, near_frac: float = 0.9) -> DataFrame:
     """n random boxes per image (D16): near_frac of them drawn around the gt boxes (corners
     within one box size of the gt), the rest anywhere in the image; sides at least 1 px.
@@ -296,6 +372,10 @@ def random_rois(gt: DataFrame, images: DataFrame, n: int, seed: int = 0, near_fr
     near = first.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("_rn", "_box"))).alias("_near_gt")) if n_near else \
         gt.select("image_id", F.array(F.struct(F.lit(1).alias("_rn"), F.struct("y1", "x1", "y2", "x2").alias("_box"))).alias("_near_gt")).limit(0)
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("k")
+    # dealt before they are made, into more tasks than usual where there are too many rois for those
+    tasks = -(-images.count() * n // TASK_ROIS)
+    if tasks > int(images.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        images = images.repartition(tasks, "image_id")
     b = images.join(near, "image_id", "left").select("image_id", "height", "width", "_near_gt", k)
     b = b.withColumn("_g", F.coalesce(F.size("_near_gt"), F.lit(0)))
     b = b.withColumn("_near", (F.col("k") < n_near) & (F.col("_g") > 0))
