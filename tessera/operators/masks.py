@@ -10,11 +10,12 @@ a mask in one band of columns, so shuffles and sorts carry masks, never runs or
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.boxes import split_runs
-
 __all__ = ["once", "pack_runs", "runs_to_pixels", "pixels_to_runs", "run_length_encode", "run_length_decode", "mask_iou_join",
            "resolve_mask_overlaps", "occlude", "run_length_encode_rowmajor", "submission_rle",
            "video_submission", "mask_areas"]
@@ -238,25 +239,91 @@ def occlude(runs: DataFrame, z: DataFrame) -> DataFrame:
     return resolve_mask_overlaps(runs, z.withColumnRenamed("z", "score"), prefer="best")
 
 
+def _in_arrays(runs: DataFrame, keys) -> DataFrame:
+    """A run table as one row a mask with its runs as they are; masks that come so stay."""
+    if "runs" in runs.columns:
+        return runs
+    return runs.filter(F.col("length") > 0).groupBy(*keys).agg(F.collect_list(F.struct("start", "length")).alias("runs"))
+
+
 def run_length_encode_rowmajor(runs: DataFrame, height: int, width: int,
-                               keys=("image_id", "instance_id")) -> DataFrame:
+                               keys=("image_id", "instance_id"), extra=()) -> DataFrame:
     """Row-major 0-based runs 'start count|start count|...' and the pixel count.
-    The last run has its full length.
-
-    All inside the mask's row: every image row that the mask touches lists the columns of the
-    segments that cover it, in order; neighbours form a run, and runs touching across a row end merge."""
-    k = list(keys)
-    p = pack_runs(runs, k).select(*k, once(split_runs("runs", height)).alias("_g"))
-    span = F.sequence(F.array_min(F.transform("_g", lambda s: s["y_start"])), F.array_max(F.transform("_g", lambda s: s["y_end"])))
-    p = p.select(*k, once(F.transform(span, lambda y: F.struct(y.alias("y"), F.sort_array(F.transform(
-        F.filter("_g", lambda s: (s["y_start"] <= y) & (y <= s["y_end"])), lambda s: s["x"])).alias("xs")))).alias("_r"))
-    first = F.flatten(F.transform("_r", lambda r: F.transform(F.filter(
-        r["xs"], lambda x, i: (i == 0) | (x - 1 > F.get(r["xs"], i - 1))), lambda x: r["y"] * width + x)))
-    last = F.flatten(F.transform("_r", lambda r: F.transform(F.filter(
-        r["xs"], lambda x, i: (i == F.size(r["xs"]) - 1) | (x + 1 < F.get(r["xs"], i + 1))), lambda x: r["y"] * width + x + 1)))
-    g = _islands(p, first, last)
-    enc = F.concat(F.array_join(F.transform("runs", lambda s: F.concat_ws(" ", s["start"], s["length"])), "|"), F.lit("|"))
-    return g.select(*k, enc.alias("encoded_pixels"), _total("runs").alias("pixel_count"))
+    The last run has its full length. ``extra``: columns of packed masks that go along.
+
+    All inside the mask's row, in Arrow batches: a row of the image has a run wherever a column begins or ends
+    against its neighbour, so only those places are listed, not the pixels; runs touching across a row end merge."""
+    @F.arrow_udf("struct<encoded_pixels: string, pixel_count: long>")
+    def encoded(masks: pa.Array) -> pa.Array:
+        return _rowmajor(masks, height, width)
+    p = _in_arrays(runs, keys).select(*keys, *extra, once(encoded("runs")).alias("_e")).filter(F.col("_e").isNotNull())
+    return p.select(*keys, *extra, "_e.encoded_pixels", "_e.pixel_count")
+
+
+#: Pixels of the masks that are encoded at once (a larger mask is alone).
+ENCODED_PIXELS = 1 << 22
+
+
+def _rowmajor(masks: pa.Array, height: int, width: int) -> pa.Array:
+    """Masks (lists of start and length) to their row-major runs as text and their pixels; null without a run."""
+    lists = pc.fill_null(pc.list_value_length(masks), 0).to_numpy()
+    flat = masks.flatten()
+    start, length = (pc.struct_field(flat, n).cast(pa.int64()) for n in ("start", "length"))
+    some = pc.fill_null(pc.and_(pc.greater(length, 0), pc.is_valid(start)), False).to_numpy(zero_copy_only=False)
+    mask = np.repeat(np.arange(len(masks)), lists)[some]
+    start, length = (c.fill_null(0).to_numpy()[some] for c in (start, length))
+    size = np.concatenate([[0], np.cumsum(np.bincount(mask, weights=length, minlength=len(masks)).astype(np.int64))])
+    out, at = [], 0
+    while at < len(masks):
+        end = max(at + 1, int(np.searchsorted(size, size[at] + ENCODED_PIXELS, side="right")) - 1)
+        a, b = np.searchsorted(mask, [at, end])
+        out.append(_rowmajor_runs(mask[a:b] - at, start[a:b], length[a:b], end - at, height, width))
+        at = end
+    return pa.concat_arrays(out) if out else pa.array([], pa.struct([("encoded_pixels", pa.string()), ("pixel_count", pa.int64())]))
+
+
+def _maximal(row: np.ndarray, start: np.ndarray, end: np.ndarray):
+    """Union of half-open intervals of every row (ascending): (row, start, end), see ``_islands``."""
+    base = int(start.min(initial=0))
+    step = int(end.max(initial=0)) - base + 2  # rows apart
+    s, e = np.sort(row * step + start - base), np.sort(row * step + end - base)
+    first = np.concatenate([np.ones(min(1, len(s)), bool), s[1:] > e[:-1]])
+    s, e = s[first], e[np.concatenate([first[1:], np.ones(min(1, len(s)), bool)])]
+    return s // step, s % step + base, e - s // step * step + base
+
+
+def _rowmajor_runs(mask: np.ndarray, start: np.ndarray, length: np.ndarray, n: int, height: int, width: int) -> pa.Array:
+    mask, s, e = _maximal(mask, start - 1, start - 1 + length)
+    lo, hi = s // height, (e - 1) // height
+    times = hi - lo + 1  # columns of a run
+    piece = np.repeat(np.arange(len(s)), times)
+    x = lo[piece] + np.arange(len(piece)) - np.repeat(np.cumsum(times) - times, times)
+    y0, y1, mask = np.maximum(s[piece] - x * height, 0), np.minimum(e[piece] - x * height, height), mask[piece]
+    left = int(x.min(initial=0)) - 1
+    columns, rows = int(x.max(initial=0)) - left + 2, height + 1
+
+    def alone(by: int):
+        """(mask, column, row) of the pixels whose neighbour ``by`` columns on is not set."""
+        own, other = ((mask * columns + x - left + k) * rows for k in (0, -by))
+        event = np.concatenate([(own + y0) * 4, (own + y1) * 4 + 1, (other + y0) * 4 + 2, (other + y1) * 4 + 3])
+        event.sort()
+        kind, place = event & 3, event >> 2
+        here = np.cumsum(np.array([1, -1, 0, 0])[kind])
+        there = np.cumsum(np.array([0, 0, 1, -1])[kind])
+        k = np.flatnonzero((here[:-1] > 0) & (there[:-1] == 0) & (place[1:] > place[:-1])) if len(place) else np.zeros(0, int)
+        count = place[k + 1] - place[k]
+        at = np.repeat(place[k], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        at, y = at // rows, at % rows
+        return at // columns, at % columns + left, y
+
+    (m, first, top), (_, last, bottom) = alone(-1), alone(1)  # of every run its first and its last pixel, as many a mask
+    m, s, e = _maximal(m, top * width + first, bottom * width + last + 1)
+    text = pc.binary_join_element_wise(pa.array(s).cast(pa.string()), pa.array(e - s).cast(pa.string()), " ")
+    found = np.bincount(m, minlength=n)
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(found)]).astype(np.int32)), text)
+    encoded = pc.binary_join_element_wise(pc.binary_join(lists, "|"), "", "|")
+    total = np.concatenate([[0], np.cumsum(e - s)])[np.concatenate([[0], np.cumsum(found)])]
+    return pa.StructArray.from_arrays([encoded, pa.array(np.diff(total))], names=["encoded_pixels", "pixel_count"], mask=pa.array(found == 0))
 
 
 def submission_rle(images: DataFrame, runs: DataFrame, scores: DataFrame) -> DataFrame:
@@ -273,8 +340,10 @@ def video_submission(runs: DataFrame, detections: DataFrame, label_map: dict, he
     class ids mapped, empty masks skipped, id = file name before '.jp'."""
     from tessera.operators.clean import map_values
     det = detections.filter(F.col("class_id").isin(list(label_map.keys())))
-    enc = run_length_encode_rowmajor(runs, height, width)
-    j = det.join(enc, ["image_id", "instance_id"], "inner").filter(F.col("pixel_count") > 0)
+    k = ["image_id", "instance_id"]
+    # masks meet their detections as they are, so no encoded text is moved
+    j = det.join(_in_arrays(runs, k).select(*k, "runs"), k, "inner")
+    j = run_length_encode_rowmajor(j, height, width, k, ("file_name", "class_id", "score")).filter(F.col("pixel_count") > 0)
     return j.select(F.substring_index("file_name", ".jp", 1).alias("ImageId"),
                     map_values("class_id", label_map).alias("LabelId"),
                     F.col("score").alias("Confidence"), F.col("pixel_count").alias("PixelCount"),
