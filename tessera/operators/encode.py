@@ -6,7 +6,9 @@ key, except a handful of per-column scalars that become literals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ranks import prefix_sums
@@ -85,9 +87,11 @@ def robust_scale(train: DataFrame, df: DataFrame, cols, suffix: str = "") -> Dat
 def row_normalise(long: DataFrame, row_key, p: str = "l2", value: str = "value") -> DataFrame:
     """Each row (user) of a long table divided by its L1 or L2 norm; zero rows stay (M7)."""
     keys = [row_key] if isinstance(row_key, str) else list(row_key)
-    norm = F.sum(F.abs(value)) if p == "l1" else F.sqrt(F.sum(F.col(value) * F.col(value)))
-    n = long.groupBy(*keys).agg(norm.alias("_norm"))
-    return long.join(n, keys, "left").withColumn(
+    over = Window.partitionBy(*keys)
+    norm = F.sum(F.abs(value)).over(over) if p == "l1" else F.sqrt(F.sum(F.col(value) * F.col(value)).over(over))
+    # a row of a table with a null key stays; the table is made and moved once, not once more for the norms
+    known = functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return long.withColumn("_norm", F.when(known, norm)).withColumn(
         value, F.when(F.col("_norm") > 0, F.col(value) / F.col("_norm")).otherwise(F.col(value))).drop("_norm")
 
 

@@ -33,6 +33,7 @@ FAN_IN = 16
 EXTRA = 16  # vectors beyond k
 BLOCK_CELLS = 1 << 27  # entries of a block times width: the more a block holds, the fewer blocks share a column
 COLUMNS_A_TASK = 1 << 18  # vectors of a task
+HALVED = 1 << 28  # bytes of the vectors that blocks get: beyond, the polynomial takes half of the directions at a time
 CHUNK = 1 << 14  # entries multiplied at once
 SETTLED, MAX_PASSES = 1e-6, 30  # relative change of a squared singular value; each pass gains several digits
 DEGREE, SPREAD = 8, 1e10  # of the polynomial: highest degree, and how far it may pull the range's directions apart
@@ -123,12 +124,15 @@ def _tall_batch(ids: pa.Array, y: np.ndarray) -> pa.Table:
 
 
 def _sums(partial: DataFrame, width: int, plus=()) -> DataFrame:
-    """Vectors of one id added up, plus tall tables times their factors."""
-    for more, factor in plus:
-        scaled = F.zip_with("vec", F.array_repeat(F.lit(factor), width), lambda x, by: x * by)
-        partial = partial.unionByName(more.select("id", scaled.alias("vec")))
+    """Vectors of one id added up, plus tall tables (of no other ids) times their factors, which stay where they are
+    if they were made by this."""
     sums = partial.groupBy("id").agg(*[F.sum(F.col("vec")[j]).alias(f"s{j}") for j in range(width)])
-    return sums.select("id", F.array(*[f"s{j}" for j in range(width)]).alias("vec"))
+    out = sums.select("id", F.array(*[f"s{j}" for j in range(width)]).alias("vec"))
+    for more, factor in plus:
+        out = out.join(more.select("id", F.col("vec").alias("_more")), "id", "left").select(
+            "id", F.when(F.col("_more").isNull(), F.col("vec")).otherwise(F.array(
+                *[F.col("vec")[j] + factor * F.col("_more")[j] for j in range(width)])).alias("vec"))
+    return out
 
 
 def _parts(blocks: DataFrame, tall: DataFrame, width: int, transposed: bool = False, scale: float = 1.0, routes=None) -> DataFrame:
@@ -241,12 +245,12 @@ def _degree(s: np.ndarray) -> int:
     return min(DEGREE, int(np.arccosh(SPREAD) / max(np.arccosh(max(2 * (s[0] / s[-1]) ** 2 - 1, 1.0)), 1e-6)))
 
 
-def _filtered(step, right: DataFrame, s: np.ndarray, degree: int) -> tuple[DataFrame, DataFrame]:
-    """The Chebyshev polynomial of (transpose times matrix) that is at most 1 below the last of ``s``, applied to
+def _filtered(step, right: DataFrame, s: np.ndarray, degree: int, bound: float) -> tuple[DataFrame, DataFrame]:
+    """The Chebyshev polynomial of (transpose times matrix) that is at most 1 up to ``bound``, applied to
     ``right``, whose directions belong to ``s``; each direction scaled back. ``step(tall, width, scale, plus)`` is
     ``_there_and_back`` of the matrix. Also the written table that the result is made of; ``right`` and the others
     are deleted."""
-    width, bound = len(s), s[-1] ** 2
+    width = len(s)
     before, now = right, cut_lineage(step(right, width, 2.0 / bound, [(right, -1.0)]))
     for _ in range(degree - 1):
         after = cut_lineage(step(now, width, 4.0 / bound, [(now, -2.0), (before, -1.0)]))
@@ -283,7 +287,7 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
         with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions=tasks):
             # the matrix stays where it is from here on, three tasks a block, so that few get two
             blocks = _dealt(blocks, "blk", max(tasks, 3 * sizes.blocks))
-            left, small = _projection(blocks, tasks, sizes.whole is False, k)
+            left, small = _projection(blocks, tasks, sizes.whole is False, (sizes.cols or 0) * (k + EXTRA) * 8 > HALVED, k)
             if left is None:  # no entries
                 outlive(blocks, every=True)
             else:
@@ -294,7 +298,7 @@ def truncated_svd(long: DataFrame, row_key: str, col_idx: str, value: str, k: in
     return _times_small(left, small).select(F.col("id").alias(row_key), *[F.col("vec")[j].alias(f"{prefix}{j}") for j in range(k)])
 
 
-def _projection(blocks: DataFrame, tasks: int, pieces: bool, k: int) -> tuple[DataFrame | None, np.ndarray | None]:
+def _projection(blocks: DataFrame, tasks: int, pieces: bool, halved: bool, k: int) -> tuple[DataFrame | None, np.ndarray | None]:
     """Matrix times an orthonormal range, and the small matrix that turns it into U * S; None without a range."""
     width = k + EXTRA
     unit = lambda j: F.pmod(F.xxhash64(F.lit("range"), "id", j), F.lit(1 << 52)) / float(1 << 51) - 1.0
@@ -318,9 +322,16 @@ def _projection(blocks: DataFrame, tasks: int, pieces: bool, k: int) -> tuple[Da
         if degree > 1:
             forget(left)
             step = functools.partial(_there_and_back, blocks, routes, pieces)
-            turned = cut_lineage(_times_small(right, turn))
+            tables = []
+            for own in np.array_split(np.arange(len(s)), 1 + halved):  # every direction goes through it on its own
+                tables.append(_filtered(step, cut_lineage(_times_small(right, turn[:, own])), s[own], degree, s[-1] ** 2))
             forget(under)
-            right, under = _filtered(step, turned, s, degree)
+            right, under = tables[0]
+            if halved:
+                both = right.join(tables[1][0].select("id", F.col("vec").alias("_more")), "id")
+                under = cut_lineage(both.select("id", F.concat("vec", "_more").alias("vec")))
+                forget(*[now for _, now in tables])
+                right = under
             right, width = _orthonormal(right, width)
         else:
             basis, rank = _orthonormal(left, width)

@@ -13,7 +13,7 @@ from tessera.operators.folds import kfold, train_test_split
 from tessera.plans.q_metrics import fold_sql
 from tessera.plans.q_text import DOCLAB_SQL, TOKENS_SQL
 from tessera.plans.registry import finish, register
-from tessera.session import cut_lineage, outlive, packed_table, scratch, table
+from tessera.session import cut_lineage, forget, outlive, packed_table, scratch, table
 from tessera.sources import standins as S
 
 FEATURES = ["n_chars", "n_tokens", "n_distinct", "lang_en", "lang_fr", "lang_de", "lang_es"]
@@ -194,7 +194,9 @@ def q_doc_svd(spark, sf_dir):
             w = outlive(packed_table(w.select("doc_id", "token", "tfidf")))
         long = w.select("doc_id", F.lit("tok").alias("src"), F.col("token").alias("key"), F.col("tfidf").alias("value"))
         idx, _ = E.dict_vectorise(long, long)
-        return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10, spent=[w]))
+        idx = packed_table(idx.select("doc_id", "col_idx", "value"))
+        forget(w)
+        return finish(MD.truncated_svd(idx, "doc_id", "col_idx", "value", 10, spent=[idx]))
 
 
 @register("embedding_pca")

@@ -140,3 +140,26 @@ def test_spent_tables_go_before_the_range_is_searched(spark, monkeypatch):
         monkeypatch.setattr(svd, "_dealt", lambda *a: seen.append(any(long._packed.split("/")[-1] in f for f in _written(spark))) or dealt(*a))
         out = truncated_svd(long, "row", "col", "v", 3, spent=[long])
     assert seen == [False] and out.count() == 60
+
+
+def test_half_of_the_directions_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(svd, "HALVED", 0)
+    degrees, degree = [], svd._degree
+    monkeypatch.setattr(svd, "_degree", lambda s: degrees.append(degree(s)) or degrees[-1])
+    a = _sparse(200, 90, 1)
+    before = _written(spark)
+    out = truncated_svd(_long(spark, a), "row", "col", "v", 5)
+    assert len(_written(spark) - before) == 1 and max(degrees) > 1
+    u, s, _ = np.linalg.svd(a, full_matrices=False)
+    assert np.abs(_matrix(sorted(out.collect()))) == pytest.approx(np.abs((u * s)[:, :5]), abs=1e-5)
+
+
+def test_earlier_vectors_are_added_without_moving(spark):
+    from tessera.session import settings
+    blocks = svd._blocks(_long(spark, _sparse(150, 70, 5)), "row", "col", "v", 400)
+    tall = blocks.select(F.explode("cols").alias("id")).distinct().withColumn("vec", F.array(F.lit(1.0), F.lit(2.0)))
+    with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions=4, spark__sql__autoBroadcastJoinThreshold=-1):
+        routes = svd._routes(blocks, "cols")
+        step = svd.cut_lineage(svd._there_and_back(blocks, routes, False, tall, 2))
+        plan = svd._sums(routes.select("id", F.lit(None).cast("array<double>").alias("vec")), 2, [(step, -2.0)])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
